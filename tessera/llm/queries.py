@@ -3,18 +3,47 @@ derives the columns of its contract; and the DuckDB SQL of those that have one."
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, quality, sharding, simhash
+from tessera.llm import exact_dedup, html, language, mixing, packing, private, quality, secrets, sharding, simhash
 from tessera.llm.common import documents, scratch_path
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The key of op8's pseudonyms here; a real one comes from a secret store.
+PSEUDONYM_KEY = "tessera-demonstration-key"
+
+
+def op1_zstd_novelty_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scan(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    sha = F.sha2(F.encode(secrets.joined(base), "UTF-8"), 256)
+    return rows.select("doc_id", count("assign"), count("access"), count("hex"), sha.alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), count("novel"))
+
+
+def op2_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_blocks", "n_main")
+
+
+def op3_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digest(packing.pack(documents(spark, sf_dir), TOKENIZER))
+
+
 def op4_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir), scratch_path(spark, "slot-map"), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op5_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rows = language.identify(docs, language.fit(language.labelled_sample(docs)))
+    return rows.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(documents(spark, sf_dir))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
@@ -24,6 +53,11 @@ def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = private.pseudonymise(documents(spark, sf_dir), PSEUDONYM_KEY)
+    return rows.select("doc_id", "text", F.size("finds").cast("long").alias("n_finds"), F.to_json("finds").alias("finds"))
+
+
 def op9_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.deduplicate(documents(spark, sf_dir), exact_dedup.DigestIndex.temporary(spark))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -34,5 +68,19 @@ def op10_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_virtual_slot_shards, op6_adaptive_quality, op7_pareto_mix, op9_digest_index_dedup, op10_ball_simhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_zstd_novelty_secrets,
+        op2_crf_main_text,
+        op3_bin_slack_packing,
+        op4_virtual_slot_shards,
+        op5_crf_language,
+        op6_adaptive_quality,
+        op7_pareto_mix,
+        op8_feistel_pseudonyms,
+        op9_digest_index_dedup,
+        op10_ball_simhash,
+    )
+}
 ORACLES: dict[str, str] = {}
