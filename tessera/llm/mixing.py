@@ -102,8 +102,8 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The documents as the mix takes them, each as often as it is taken, with
     all their columns. Rows that repeat doc_id, source and text are one draw."""
     drawn = mix(docs, **params).filter("copies > 0").groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("copies"))
-    d = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("text_hash").alias("_h"), "copies")
+    d = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("text_hash").alias("_h"), F.col("copies").alias("_copies"))
     keyed = docs.withColumn("_th", F.xxhash64(text_of()))
     on = (keyed["_th"] == d["_h"]) & keyed["doc_id"].cast("long").eqNullSafe(d["_id"]) & keyed["source"].eqNullSafe(d["_s"])
-    named = keyed.join(d, on).select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("_nth"))
+    named = keyed.join(d, on).select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_nth"))
     return named.drop("_nth")
