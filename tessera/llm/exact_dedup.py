@@ -59,7 +59,8 @@ class DigestIndex:
         """Adds those digests of groups (digest, keep_id, group_size) that are new."""
         if self.exists():
             groups = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
-        rows = groups.select("digest", "keep_id", "group_size", F.lit(batch).alias("first_batch"))
+        # dealt as the buckets are, so that each bucket is one file of one task
+        rows = groups.select("digest", "keep_id", "group_size", F.lit(batch).alias("first_batch")).repartition(self.buckets, "digest")
         rows.write.bucketBy(self.buckets, "digest").sortBy("digest").mode("append").format("parquet").saveAsTable(self.name)
 
 
