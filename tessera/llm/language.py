@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = 4
 GRAMS = 1 << 16
 LEXICON = 1 << 16
-#: Words worked on at once, and distinct words.
-WORDS_AT_ONCE = 400_000
+#: Characters and distinct words worked on at once.
+CHARS_AT_ONCE = 2_000_000
 ITEMS_AT_ONCE = 40_000
 UNDETERMINED = "und"
 
@@ -117,31 +118,35 @@ def fit(sample: list[tuple[str, str]], max_words: int = 200_000, seed: int = 11,
     return chain.fit(word_bags(list(index)), np.array(items), np.array(gold), np.array(lens), rounds)
 
 
-def _label(chain: Chain, texts: list[str | None], with_words: bool):
+def _label(chain: Chain, texts: pa.Array, with_words: bool = False):
     """For each text its sums of posteriors and number of words, and, if asked
-    for, its words' labels."""
-    words = [words_of(t) for t in texts]
-    lens = np.fromiter(map(len, words), np.int64, len(words))
-    sums = np.zeros((len(texts), len(chain.labels)))
-    labels: list[list[str]] = [[] for _ in texts] if with_words else []
-    todo, at = np.argsort(-lens, kind="stable"), 0
-    todo = todo[lens[todo] > 0]
-    while at < len(todo):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(lens[todo[at:]]), WORDS_AT_ONCE)))
-        own = todo[at:stop]
-        at = stop
+    for, its words' labels. Texts of like length are worked on together, some
+    ``CHARS_AT_ONCE`` at a time."""
+    size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    sums, counts = np.zeros((len(texts), len(chain.labels))), np.zeros(len(texts), np.int64)
+    labels: list[list[str]] = [[] for _ in range(len(texts))] if with_words else []
+    order = np.argsort(-size, kind="stable")
+    order = order[size[order] > 0]
+    part = np.cumsum(size[order]) // CHARS_AT_ONCE
+    for own in np.split(order, np.flatnonzero(np.diff(part)) + 1) if len(order) else []:
+        words = [words_of(t) for t in texts.take(pa.array(own)).to_pylist()]
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        counts[own] = lens
+        words, own, lens = [w for w in words if w], own[lens > 0], lens[lens > 0]
+        if not words:
+            continue
         index: dict[str, int] = {}
-        items = np.array([index.setdefault(w, len(index)) for i in own for w in words[i]])
+        items = np.fromiter((index.setdefault(w, len(index)) for ws in words for w in ws), np.int64, int(lens.sum()))
         distinct = list(index)
         scores = np.concatenate([chain.emissions(word_bags(distinct[j : j + ITEMS_AT_ONCE])) for j in range(0, len(distinct), ITEMS_AT_ONCE)])
-        gamma = chain.marginals(scores[items], lens[own])
-        begins = np.cumsum(lens[own]) - lens[own]
-        sums[own] = np.add.reduceat(gamma.astype(np.float64), begins, axis=0)
+        gamma = chain.marginals(scores[items], lens)
+        begins = np.cumsum(lens) - lens
+        sums[own] = np.add.reduceat(gamma, begins, axis=0, dtype=np.float64)
         if with_words:
             best = gamma.argmax(axis=1)
-            for i, b in zip(own, begins):
-                labels[i] = [chain.labels[k] for k in best[b : b + lens[i]]]
-    return sums, lens, labels
+            for i, b, n in zip(own, begins, lens):
+                labels[i] = [chain.labels[k] for k in best[b : b + n]]
+    return sums, counts, labels
 
 
 def identify(docs: DataFrame, chain: Chain | None, with_words: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,7 +154,7 @@ def identify(docs: DataFrame, chain: Chain | None, with_words: bool = False, id_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(1)
             if chain is None:
                 found, scores, labels = [UNDETERMINED] * len(texts), [0.0] * len(texts), [[] for _ in texts]
             else:
@@ -177,7 +182,7 @@ def accepted(docs: DataFrame, chain: Chain | None, least: float = 0.5) -> DataFr
         for b in batches:
             if chain is None:
                 continue
-            sums, lens, _ = _label(chain, b.column(at).to_pylist(), False)
+            sums, lens, _ = _label(chain, b.column(at))
             yield b.filter(pa.array((lens > 0) & (sums.max(axis=1) >= least * np.maximum(lens, 1))))
 
     return docs.mapInArrow(run, schema)

@@ -1,0 +1,149 @@
+"""Statistics as column expressions, and the few that need NumPy per group."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+#: Coefficients of Wichura's algorithm AS241, PPND16 (fixed values, published).
+AS241 = {
+    "centre": (
+        (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4, 4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+        (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3, 2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3),
+    ),
+    "middle": (
+        (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0, 1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+        (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1, 1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9),
+    ),
+    "tail": (
+        (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1, 2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+        (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2, 7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+    ),
+}
+
+
+def _ratio(part: str, x: Column) -> Column:
+    def horner(c: Sequence[float]) -> Column:
+        out = F.lit(c[-1])
+        for v in reversed(c[:-1]):
+            out = out * x + F.lit(v)
+        return out
+
+    return horner(AS241[part][0]) / horner(AS241[part][1])
+
+
+def probit(p: Column) -> Column:
+    """The inverse of the normal distribution function, null outside (0, 1)."""
+    q = p - 0.5
+    r = F.sqrt(-F.ln(F.when(q < 0, p).otherwise(1 - p)))
+    tail = F.when(r <= 5, _ratio("middle", r - 1.6)).otherwise(_ratio("tail", r - 5))
+    x = F.when(F.abs(q) <= 0.425, q * _ratio("centre", 0.180625 - q * q)).otherwise(F.when(q < 0, -tail).otherwise(tail))
+    return F.when((p > 0) & (p < 1), x)
+
+
+def probit_sql(p: str) -> str:
+    """The same in SQL over the expression p."""
+
+    def ratio(part: str, x: str) -> str:
+        def horner(c):
+            out = f"{c[-1]!r}::DOUBLE"
+            for v in reversed(c[:-1]):
+                out = f"(({out}) * ({x}) + {v!r}::DOUBLE)"
+            return out
+
+        return f"({horner(AS241[part][0])} / {horner(AS241[part][1])})"
+
+    q = f"(({p}) - 0.5::DOUBLE)"
+    r = f"sqrt(-ln(CASE WHEN {q} < 0 THEN ({p}) ELSE 1 - ({p}) END))"
+    tail = f"(CASE WHEN {r} <= 5 THEN {ratio('middle', f'({r} - 1.6::DOUBLE)')} ELSE {ratio('tail', f'({r} - 5)')} END)"
+    return f"(CASE WHEN ({p}) > 0 AND ({p}) < 1 THEN CASE WHEN abs({q}) <= 0.425 THEN {q} * {ratio('centre', f'(0.180625::DOUBLE - {q} * {q})')} WHEN {q} < 0 THEN -{tail} ELSE {tail} END END)"
+
+
+def winsorized(x: Column, by: list[str], low: float = 0.01, high: float = 0.99) -> Column:
+    """x clipped to interpolated quantiles of its group."""
+    w = Window.partitionBy(*by)
+    return F.greatest(F.percentile(x, F.lit(low)).over(w), F.least(F.percentile(x, F.lit(high)).over(w), x))
+
+
+def average_rank(x: Column, by: list[str], name: str) -> Column:
+    """Ranks from 1, ties sharing their mean. name: x's column name."""
+    w = Window.partitionBy(*by).orderBy(x)
+    ties = F.count(x).over(Window.partitionBy(*by, name))
+    return F.when(x.isNotNull(), F.rank().over(w) + (ties - 1).cast("double") / 2)
+
+
+def standardised(x: Column, by: list[str], floor: float = 1e-9) -> Column:
+    """x less its group's mean, over its population deviation where that is not nil."""
+    w = Window.partitionBy(*by)
+    centred = x - F.avg(x).over(w)
+    sd = F.stddev_pop(x).over(w)
+    return F.when(sd > floor, centred / sd).otherwise(centred)
+
+
+def newey_west(df: DataFrame, value: str, order: str, by: list[str], lags: int = 3) -> DataFrame:
+    """by, n, mean, t: the t statistic of a series' mean with Bartlett weights.
+
+    Lag products are windows over each series; no series is gathered.
+    """
+    g = Window.partitionBy(*by)
+    o = g.orderBy(order)
+    rows = df.filter(F.col(value).isNotNull()).withColumn("e", F.col(value) - F.avg(value).over(g))
+    products = [F.coalesce(F.sum(F.col("e") * F.col(f"l{j}")), F.lit(0.0)) * (2 * (1 - j / (lags + 1))) for j in range(1, lags + 1)]
+    for j in range(1, lags + 1):
+        rows = rows.withColumn(f"l{j}", F.lag("e", j).over(o))
+    total = F.sum(F.col("e") * F.col("e"))
+    for p in products:
+        total = total + p
+    out = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), total.alias("s"))
+    se = F.sqrt(F.greatest(F.col("s"), F.lit(0.0))) / F.col("n")
+    return out.select(*by, "n", "mean", F.when(se > 1e-15, F.col("mean") / se).alias("t"))
+
+
+def grouped_ols(df: DataFrame, y: str, xs: list[str], by: str, minimum: int) -> DataFrame:
+    """by, term, beta, n: least squares with an intercept in each group on
+    regressors standardised there; groups are one cross-section each."""
+    if by == "term":
+        raise ValueError("the group column can't be called term")
+    kind = dict(df.dtypes)[by]
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) < minimum:
+            return pd.DataFrame({by: [], "term": [], "beta": [], "n": []})
+        x = pdf[xs].to_numpy(float)
+        sd = x.std(axis=0)
+        x = (x - x.mean(axis=0)) / np.where(sd > 1e-9, sd, 1.0)
+        beta, *_ = np.linalg.lstsq(np.column_stack([np.ones(len(x)), x]), pdf[y].to_numpy(float), rcond=None)
+        return pd.DataFrame({by: pdf[by].iloc[0], "term": ["intercept", *xs], "beta": beta, "n": len(x)})
+
+    return df.select(by, y, *xs).dropna().groupBy(by).applyInPandas(fit, f"{by} {kind}, term string, beta double, n long")
+
+
+def block_bootstrap(df: DataFrame, value: str, order: str, by: str, block: int = 6, draws: int = 2000, seed: int = 20260726, low: float = 0.025, high: float = 0.975) -> DataFrame:
+    """by, n, low, high: circular block bootstrap interval of a series' mean.
+    A series has one value a month, so a group is small."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values(order)[value].to_numpy(float)
+        n, rng = len(x), np.random.default_rng(seed)
+        blocks = -(-n // block)
+        at = (rng.integers(0, n, (draws, blocks))[:, :, None] + np.arange(block)) % n
+        means = x[at.reshape(draws, -1)[:, :n]].mean(axis=1)
+        return pd.DataFrame({by: [pdf[by].iloc[0]], "n": [n], "low": [np.quantile(means, low)], "high": [np.quantile(means, high)]})
+
+    return df.select(by, order, value).dropna().groupBy(by).applyInPandas(run, f"{by} {dict(df.dtypes)[by]}, n long, low double, high double")
+
+
+def average_linkage(names: list[str], distance: np.ndarray, cut: float) -> list[list[str]]:
+    """Clusters by average linkage, merged while closer than cut. For a matrix
+    of a few dozen signals, which is all the driver ever holds."""
+    groups = [[i] for i in range(len(names))]
+    while len(groups) > 1:
+        d, i, j = min((distance[np.ix_(a, b)].mean(), x, y) for x, a in enumerate(groups) for y, b in enumerate(groups) if x < y)
+        if d > cut:
+            break
+        groups[i] += groups.pop(j)
+    return sorted(sorted(names[k] for k in g) for g in groups)
