@@ -62,12 +62,12 @@ def listed(exchange: str | Column) -> Column:
 
 def same_issuer(a: str | Column, b: str | Column) -> Column:
     """False only if both ids are given and differ after leading zeros."""
-    x, y = F.nullif(F.ltrim(F.lit("0"), F.trim(col(a))), F.lit("")), F.nullif(F.ltrim(F.lit("0"), F.trim(col(b))), F.lit(""))
+    x, y = F.nullif(F.ltrim(F.trim(col(a)), F.lit("0")), F.lit("")), F.nullif(F.ltrim(F.trim(col(b)), F.lit("0")), F.lit(""))
     return F.coalesce(x == y, F.lit(True))
 
 
 def padded_id(c: str | Column, width: int = 10) -> Column:
-    return F.lpad(F.ltrim(F.lit("0"), col(c)), width, "0")
+    return F.lpad(F.ltrim(col(c), F.lit("0")), width, "0")
 
 
 def covers(valid_from: str | Column, valid_to: str | Column, t: str | Column) -> Column:

@@ -89,9 +89,9 @@ def adv63_upper_median(spark, d):
     return universe.trailing_adv(X.bars(spark, d)).select("sec", "d", F.round("adv", 4).alias("adv"))
 
 
-@query(f"SELECT as_of, sec, ROUND(price, 6) AS price, ROUND(mktcap, 2) AS mktcap, gap, {ELIGIBLE} AS in_universe FROM snapshot", **UNIVERSE)
+@query(f"SELECT as_of, sec, price, ROUND(mktcap, 2) AS mktcap, gap, {ELIGIBLE} AS in_universe FROM snapshot", **UNIVERSE)
 def universe_snapshot(spark, d):
-    return snapshot(spark, d).select("as_of", "sec", F.round("price", 6).alias("price"), F.round("mktcap", 2).alias("mktcap"), F.col("gap").cast("long").alias("gap"), universe.eligible(**BARS).alias("in_universe"))
+    return snapshot(spark, d).select("as_of", "sec", "price", F.round("mktcap", 2).alias("mktcap"), F.col("gap").cast("long").alias("gap"), universe.eligible(**BARS).alias("in_universe"))
 
 
 @query("""SELECT COALESCE(CASE WHEN mktcap IS NULL THEN 'mktcap-missing' WHEN adv IS NULL THEN 'adv-warmup' WHEN mktcap < 3e9 THEN 'cap' WHEN price < 1200 THEN 'price' WHEN adv < 3e4 OR gap > 12 THEN 'adv/staleness' END, 'member') AS reason, COUNT(*) AS n FROM snapshot GROUP BY 1""", **UNIVERSE)

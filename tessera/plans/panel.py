@@ -72,10 +72,10 @@ def _rounded(df, *cols, to=6):
     return df.withColumns({c: F.round(c, to) for c in cols})
 
 
-@query("SELECT sec, as_of, CASE WHEN q = 4 AND days BETWEEN 240 AND 390 THEN ROUND(t_gp, 2) END AS ttm_gp, CASE WHEN q = 4 AND days BETWEEN 240 AND 390 THEN ROUND(t_cfo, 2) END AS ttm_cfo FROM ttm", **BASE)
+@query("SELECT sec, as_of, CASE WHEN q = 4 AND days BETWEEN 240 AND 390 THEN ROUND(t_gp, 4) END AS ttm_gp, CASE WHEN q = 4 AND days BETWEEN 240 AND 390 THEN ROUND(t_cfo, 4) END AS ttm_cfo FROM ttm", **BASE)
 def pit_ttm(spark, d):
     rows = factors.trailing_year(T.visible(spark, d), ["gp", "cfo"])
-    return _rounded(rows.select("sec", "as_of", "ttm_gp", "ttm_cfo"), "ttm_gp", "ttm_cfo", to=2)
+    return _rounded(rows.select("sec", "as_of", "ttm_gp", "ttm_cfo"), "ttm_gp", "ttm_cfo", to=4)
 
 
 @query("SELECT sec, as_of, ROUND(NULLIF(ago_assets0, -1), 2) AS ago_assets, ROUND(ago_shares, 2) AS ago_shares FROM ago", **BASE)
@@ -306,7 +306,7 @@ def external_correlation(spark, d):
     return ls.join(e, "m").groupBy("factor").agg(F.count("*").alias("months"), F.round(F.corr("ls", "v"), 6).alias("rho")).filter("months >= 24")
 
 
-REPLICATION = "SELECT factor, CASE factor WHEN 'asset_growth' THEN -1 WHEN 'accruals' THEN -1 WHEN 'net_issuance' THEN -1 WHEN 'trk_core_1m' THEN -1 ELSE 1 END AS prior, avg(top - bottom) AS m FROM lsq GROUP BY 1"
+REPLICATION = "SELECT factor, CASE factor WHEN 'asset_growth' THEN -1 WHEN 'accruals' THEN -1 WHEN 'net_issuance' THEN -1 ELSE 1 END AS prior, avg(top - bottom) AS m FROM lsq GROUP BY 1"
 
 
 @query("SELECT factor, ROUND(12 * m, 6) AS ann, m * prior > 0 AS sign_ok FROM rep", **EVAL, rep=REPLICATION)
