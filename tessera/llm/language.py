@@ -37,7 +37,7 @@ ORDERS = 4
 GRAMS = 1 << 16
 LEXICON = 1 << 16
 #: Characters and distinct words worked on at once.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 1_000_000
 ITEMS_AT_ONCE = 40_000
 UNDETERMINED = "und"
 
@@ -167,6 +167,7 @@ def identify(docs: DataFrame, chain: Chain | None, with_words: bool = False, id_
             if with_words:
                 columns, names = [*columns, pa.array(labels, pa.list_(pa.string()))], [*names, "word_langs"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double" + ", word_langs array<string>" * with_words)
@@ -184,5 +185,6 @@ def accepted(docs: DataFrame, chain: Chain | None, least: float = 0.5) -> DataFr
                 continue
             sums, lens, _ = _label(chain, b.column(at))
             yield b.filter(pa.array((lens > 0) & (sums.max(axis=1) >= least * np.maximum(lens, 1))))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)

@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 
 CAPACITY = 4096
 END_ID = 2
-#: Remainders that wait in a task at most, texts tokenized at once, and words a worker remembers.
+#: Remainders that wait in a task at most, pieces handed on and texts tokenized at once.
 WINDOW = 4096
-BATCH = 4096
-REMEMBERED = 1_200_000
-LONGEST_REMEMBERED = 64
+PIECES_AT_ONCE = 1024
+BATCH = 2048
+#: Words that a worker remembers, and their bytes.
+REMEMBERED = 1_000_000
+REMEMBERED_BYTES = 1 << 26
 FOLD_NOT = r"\pM|<\|"
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -45,14 +47,20 @@ _loaded: dict[str, WordTokenizer] = {}
 class WordTokenizer:
     """A tokenizer that drops white space and never joins what it separates, so
     that a text's ids are those of its words. Each distinct word of a batch is
-    looked up once; words are remembered from batch to batch.
+    looked up once; words are remembered from batch to batch, as Arrow and NumPy
+    arrays of bounded size.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.pool = np.zeros(0, "<u4")
+        self.sizes = self.starts = np.zeros(0, np.int64)
 
     @classmethod
     def at(cls, path: str) -> WordTokenizer:
@@ -60,23 +68,27 @@ class WordTokenizer:
             _loaded[path] = cls(path)
         return _loaded[path]
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each of some distinct words."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        found = list(map(known.get, words))
-        missing = [i for i, x in enumerate(found) if x is None]
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)]
-            flat, to = np.fromiter(chain.from_iterable(ids), "<u4").tobytes(), 0
-            for i, x in zip(part, ids):
-                begin, to = to, to + 4 * len(x)
-                found[i] = flat[begin:to]
-                if len(words[i]) <= LONGEST_REMEMBERED:
-                    known[words[i]] = found[i]
-        return found
+    def _learn(self, words: pa.Array) -> None:
+        """Appends distinct words that aren't remembered, with their ids."""
+        for at in range(0, len(words), 20_000):
+            part = words.slice(at, 20_000)
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part.to_pylist(), add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))])
+            self.words = pa.concat_arrays([self.words, part])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where each of some distinct words is remembered."""
+        if len(self.words) > REMEMBERED or self.words.nbytes + self.pool.nbytes > REMEMBERED_BYTES:
+            self._forget()
+        at = pc.index_in(words, value_set=self.words)
+        new, known = at.is_null(), len(self.words)
+        self._learn(words.filter(new))
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = np.arange(known, len(self.words))
+        return at
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
@@ -95,14 +107,10 @@ class WordTokenizer:
         texts = pc.ascii_lower(texts) if fold else texts
         split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"(\pL)([.,])", r"\1 \2"))
         words = split.flatten().dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        at = words.indices.to_numpy(zero_copy_only=False)
-        each = sizes[at]
+        at = self._places(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+        each = self.sizes[at]
         ends = np.concatenate([[0], np.cumsum(each)])
-        tokens = pool[np.repeat(starts[at] - ends[:-1], each) + np.arange(ends[-1])]
+        tokens = self.pool[np.repeat(self.starts[at] - ends[:-1], each) + np.arange(ends[-1])]
         bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
         return [tokens[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
@@ -177,11 +185,13 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
                 offset += len(ids) // 4
             sequence += 1
 
-        def settle(keep: int) -> None:
+        def settle(keep: int) -> Iterator[pa.RecordBatch]:
             nonlocal n_waiting
             for pieces in pack_window(waiting, capacity, keep):
                 n_waiting -= len(pieces)
                 place(pieces)
+                if len(out) >= PIECES_AT_ONCE:
+                    yield flush()
 
         for b in batches:
             docs_ids, texts = b.column(0).to_pylist(), b.column(1)
@@ -196,14 +206,14 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
                     if total > whole:
                         waiting[total - whole].append((doc, whole, total, ids[4 * whole :]))
                         n_waiting += 1
-                    if len(out) >= WINDOW:
+                    if len(out) >= PIECES_AT_ONCE:
                         yield flush()
                 if n_waiting >= WINDOW:
-                    settle(keep=WINDOW // 8 * capacity // 8)
-                    yield flush()
-        settle(keep=0)
+                    yield from settle(keep=WINDOW // 8 * capacity // 8)
+        yield from settle(keep=0)
         if out:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)
