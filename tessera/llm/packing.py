@@ -34,9 +34,9 @@ END_ID = 2
 #: Remainders that wait in a task at most, pieces handed on and texts tokenized at once.
 WINDOW = 4096
 PIECES_AT_ONCE = 1024
-BATCH = 2048
+BATCH = 1024
 #: Words that a worker remembers, and their bytes.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 REMEMBERED_BYTES = 1 << 26
 FOLD_NOT = r"\pM|<\|"
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -210,10 +210,10 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
                         yield flush()
                 if n_waiting >= WINDOW:
                     yield from settle(keep=WINDOW // 8 * capacity // 8)
+            pa.default_memory_pool().release_unused()  # Arrow would hold on to it while the JVM works
         yield from settle(keep=0)
         if out:
             yield flush()
-        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)
