@@ -1 +1,160 @@
-"""Queries: see below."""
+"""Queries of the quality gates, audits, adjudication and the summary page."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import predicates as P
+from tessera.operators import quality as Q
+from tessera.operators import returns
+from tessera.operators import temporal as TJ
+from tessera.plans import history as H
+from tessera.plans import panel
+from tessera.plans import temporal as T
+from tessera.plans.registry import query
+from tessera.sources import fixtures as X
+
+
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(accepted <= CAST(as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND timing_pit AND period_end <= as_of, FALSE) THEN 1 END) AS violations FROM visible_ WHERE nth <= 6""", visible_=T.VISIBLE)
+def gate_point_in_time(spark, d):
+    return Q.violations(T.visible(spark, d), ~(P.visible("accepted", "as_of") & F.col("timing_pit") & (F.col("period_end") <= F.col("as_of"))))
+
+
+OVERLAPS = """SELECT a.symbol, a.sec AS sa, b.sec AS sb, a.valid_from AS fa, b.valid_from AS fb,
+  date_diff('day', greatest(a.valid_from, b.valid_from), least(COALESCE(a.valid_to, DATE '9999-12-31'), COALESCE(b.valid_to, DATE '9999-12-31'))) + 1 AS days
+  FROM symbol_map a JOIN symbol_map b ON a.symbol = b.symbol AND a.sec < b.sec AND a.valid_from <= COALESCE(b.valid_to, DATE '9999-12-31') AND b.valid_from <= COALESCE(a.valid_to, DATE '9999-12-31')"""
+
+
+def _overlaps(spark, d):
+    end = lambda c: F.coalesce(F.col(c), F.lit(TJ.FOREVER).cast("date"))
+    days = F.datediff(F.least(end("a_to"), end("b_to")), F.greatest("a_from", "b_from")) + 1
+    return TJ.overlaps(X.symbol_map(spark, d), "symbol", "sec").withColumn("days", days)
+
+
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN q.symbol IS NULL THEN 1 END) AS violations FROM overlaps_ o LEFT JOIN (SELECT DISTINCT symbol FROM symbol_map WHERE sec % 3 = 0) q ON q.symbol = o.symbol""", overlaps_=OVERLAPS)
+def gate_identity(spark, d):
+    quarantined = X.symbol_map(spark, d).filter("sec % 3 = 0").select("symbol", F.lit(True).alias("known")).distinct()
+    return Q.violations(_overlaps(spark, d).join(quarantined, "symbol", "left"), F.col("known").isNull())
+
+
+RECON = """SELECT sec, CASE WHEN n > 0 AND bad <= greatest(10::DOUBLE, 0.02::DOUBLE * n) THEN ROUND(100 * (1 - mism / n::DOUBLE), 2) END AS pct FROM (SELECT sec, COUNT(CASE WHEN NOT insane THEN 1 END) AS n, COUNT(CASE WHEN insane THEN 1 END) AS bad,
+  COUNT(CASE WHEN NOT insane AND mismatch THEN 1 END) AS mism FROM pairs GROUP BY 1)"""
+
+
+@query("""SELECT COUNT(*) AS rows_, ROUND(COUNT(CASE WHEN pct IS NULL OR pct >= 95 THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 6) AS share, COUNT(CASE WHEN pct IS NULL OR pct >= 95 THEN 1 END) / CAST(COUNT(*) AS DOUBLE) >= 0.99::DOUBLE AS passed
+  FROM members m LEFT JOIN recon r ON r.sec = m.sec""", **H.UNIVERSE, members=panel.MEMBERS, daily=H.DAILY, pairs=H.PAIRS, recon=RECON)
+def gate_reconciled_members(spark, d):
+    pct = returns.match_score(H._pairs(spark, d)).select("sec", "pct")
+    return Q.share(panel.members(spark, d).join(pct, "sec", "left"), F.col("pct").isNull() | (F.col("pct") >= 95), 0.99)
+
+
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN c_custkey % 40 = 7 THEN 1 END) AS violations FROM customer""")
+def gate_embedded_issuer(spark, d):
+    k = F.col("c_custkey")
+    told = F.when(k % 40 == 7, k + 1).otherwise(k)
+    raw = F.concat(F.lit('{"income": {"cik": "'), P.padded_id(told.cast("string")), F.lit('"}}'))
+    rows = X.table(spark, d, "customer").select(k.cast("string").alias("cik"), raw.alias("raw"))
+    return Q.violations(rows, ~P.same_issuer("cik", F.get_json_object("raw", "$.income.cik")))
+
+
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN timing_pit AND date_diff('day', period_end, CAST(accepted AS DATE)) <= 10 THEN 1 END) AS violations FROM statements""")
+def gate_timing_flag(spark, d):
+    return Q.violations(X.statements(spark, d), F.col("timing_pit") & (P.lag_class("accepted", "period_end") == "missing"))
+
+
+@query("""SELECT COUNT(*) AS rows_, ROUND(COUNT(CASE WHEN c_custkey % 100 <> 3 THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 6) AS share, COUNT(CASE WHEN c_custkey % 100 <> 3 THEN 1 END) / CAST(COUNT(*) AS DOUBLE) >= 0.98::DOUBLE AS passed FROM customer""")
+def gate_hash_recomputes(spark, d):
+    now = P.canonical_hash({"name": F.col("c_name"), "segment": F.col("c_mktsegment")})
+    then = P.canonical_hash({"name": F.when(F.col("c_custkey") % 100 == 3, F.lit("renamed")).otherwise(F.col("c_name")), "segment": F.col("c_mktsegment")})
+    return Q.share(X.table(spark, d, "customer"), now == then, 0.98)
+
+
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(mktcap >= 3e9 AND adv >= 3e4 AND price >= 1200 AND gap <= 12, FALSE) THEN 1 END) AS violations FROM snapshot WHERE COALESCE(mktcap >= 1e8 AND adv >= 1e3 AND price >= 1000 AND gap <= 40, FALSE)""", **H.UNIVERSE)
+def gate_member_thresholds(spark, d):
+    """How many of the members by looser bars miss the report's bars."""
+    from tessera.operators import universe
+
+    return Q.violations(H.snapshot(spark, d).filter(universe.eligible(**panel.LOOSE)), ~universe.eligible(**H.BARS))
+
+
+@query("""SELECT n, median, wild, median BETWEEN 0.1::DOUBLE AND 5 AND wild < 0.01::DOUBLE * n AS passed FROM (SELECT COUNT(sue) AS n, quantile_disc(abs(sue), 0.5) AS median, COUNT(CASE WHEN abs(sue) > 50 THEN 1 END) AS wild FROM sue)""", sue=H.SUE)
+def gate_sue_sanity(spark, d):
+    from tessera.operators.factors import standardised_surprise
+
+    rows = standardised_surprise(X.surprises(spark, d)).select(F.abs("sue").alias("s"))
+    g = rows.agg(F.count("s").alias("n"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY s)").alias("median"), F.count_if(F.col("s") > 50).alias("wild"))
+    return g.select("n", "median", "wild", (F.col("median").between(0.1, 5) & (F.col("wild") < 0.01 * F.col("n"))).alias("passed"))
+
+
+@query("""SELECT COUNT(DISTINCT c.as_of) AS board_months, COUNT(DISTINCT factor) AS factors, (SELECT COUNT(*) FROM calendar) AS months FROM covered c""", **panel.BOARD)
+def gate_board_integrity(spark, d):
+    from tessera.operators import crosssection as C
+
+    rows = C.covered(panel.board_values(spark, d), panel.members(spark, d), 0.6, ["ebit_ev"])
+    return rows.agg(F.countDistinct("as_of").alias("board_months"), F.countDistinct("factor").alias("factors")).crossJoin(X.calendar(spark, d).agg(F.count("*").alias("months")))  # one row by one row
+
+
+@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS marked FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
+  FULL JOIN (SELECT sec, COUNT(*) AS n FROM bars WHERE sec % 11 <> 5 OR month(d) <> 2 GROUP BY 1) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""")
+def audit_price_markers(spark, d):
+    b = X.bars(spark, d)
+    marked = b.filter("sec % 11 <> 5 OR month(d) <> 2").groupBy("sec").agg(F.count("*").alias("marked"))
+    return Q.drift(b.groupBy("sec").agg(F.count("*").alias("prices")), marked, "sec", "prices", "marked")
+
+
+@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS originals, COALESCE(b.n, 0) AS periods FROM (SELECT sec, COUNT(*) AS n FROM statements WHERE vintage_id = 1 GROUP BY 1) a
+  FULL JOIN (SELECT sec, COUNT(DISTINCT period_end) AS n FROM statements GROUP BY 1) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""")
+def audit_vintages(spark, d):
+    s = X.statements(spark, d)
+    return Q.drift(s.filter("vintage_id = 1").groupBy("sec").agg(F.count("*").alias("originals")), s.groupBy("sec").agg(F.countDistinct("period_end").alias("periods")), "sec", "originals", "periods")
+
+
+@query("""SELECT verdict, COUNT(*) AS n FROM (SELECT CASE WHEN days <= 7 THEN 'trim' WHEN sa % 4 = 0 AND sb % 4 <> 0 THEN 'keep-a' WHEN sb % 4 = 0 AND sa % 4 <> 0 THEN 'keep-b'
+  WHEN month(fa) = 1 AND month(fb) <> 1 THEN 'drop-a' WHEN month(fb) = 1 AND month(fa) <> 1 THEN 'drop-b' ELSE 'conflict' END AS verdict FROM overlaps_) GROUP BY 1""", overlaps_=OVERLAPS)
+def overlap_adjudication(spark, d):
+    a, b = F.col("a_entity") % 4 == 0, F.col("b_entity") % 4 == 0
+    verdict = Q.adjudicated(F.col("days"), a, b, F.month("a_from") == 1, F.month("b_from") == 1)
+    return _overlaps(spark, d).groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT symbol, CASE WHEN uses > 1 THEN 'reuse' WHEN NOT profile THEN 'no-profile' WHEN is_open AND NOT gone THEN 'active' WHEN gone THEN 'delisted' ELSE 'closed' END AS outcome FROM (
+  SELECT m.symbol, COUNT(DISTINCT m.sec) AS uses, bool_or(valid_to IS NULL) AS is_open, bool_or(m.sec % 7 <> 2) AS profile, bool_or(x.sec IS NOT NULL) AS gone FROM (SELECT * FROM symbol_map WHERE sec % 9 = 1) m LEFT JOIN delistings x ON x.sec = m.sec GROUP BY 1)""")
+def identity_resolution(spark, d):
+    m = X.symbol_map(spark, d).filter("sec % 9 = 1").join(X.delistings(spark, d).select("sec", F.lit(True).alias("gone")), "sec", "left")
+    g = m.groupBy("symbol").agg(F.countDistinct("sec").alias("uses"), F.bool_or(F.col("valid_to").isNull()).alias("is_open"), F.bool_or(F.col("sec") % 7 != 2).alias("profile"), F.bool_or(F.col("gone").isNotNull()).alias("gone"))
+    return g.select("symbol", Q.resolution(F.col("uses"), F.col("is_open"), F.col("profile"), F.col("gone")).alias("outcome"))
+
+
+@query("""SELECT a.sec, COUNT(*) AS periods, COUNT(CASE WHEN abs(a.gp - b.gp) > greatest(1000::DOUBLE, 0.005::DOUBLE * abs(b.gp)) THEN 1 END) AS restated FROM statements a JOIN statements b ON a.sec = b.sec AND a.period_end = b.period_end
+  WHERE a.vintage_id = 1 AND b.vintage_id = 2 GROUP BY 1""")
+def vintage_comparison(spark, d):
+    s = X.statements(spark, d)
+    one = s.filter("vintage_id = 1").select("sec", "period_end", F.col("gp").alias("a"))
+    two = s.filter("vintage_id = 2").select("sec", "period_end", F.col("gp").alias("b"))
+    return one.join(two, ["sec", "period_end"]).groupBy("sec").agg(F.count("*").alias("periods"), F.count_if(~P.near(F.col("a"), F.col("b"), 1000.0, 0.005)).alias("restated"))
+
+
+@query("""SELECT what, factor, ROUND(avg(ic), 6) AS mean_ic, COUNT(*) AS months FROM (SELECT 'full' AS what, factor, ic FROM ics UNION ALL SELECT 'registered', factor, ic FROM ics WHERE as_of <= DATE '2000-07-31') GROUP BY 1, 2""", **panel.EVAL)
+def registered_window(spark, d):
+    from tessera.operators import crosssection as C
+
+    ics = C.rank_ic(panel.paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
+    windows = F.when(F.col("as_of") <= F.lit(panel.HOLDOUT), F.array(F.lit("full"), F.lit("registered"))).otherwise(F.array(F.lit("full")))
+    return ics.select("factor", "ic", F.explode(windows).alias("what")).groupBy("what", "factor").agg(F.round(F.avg("ic"), 6).alias("mean_ic"), F.count("*").alias("months"))
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 50")
+def hash_sample(spark, d):
+    """A sampling operator: its limit is the sample's size."""
+    return Q.hash_sample(X.table(spark, d, "customer"), "c_custkey", 50).select("c_custkey", "c_name")
+
+
+@query("""SELECT 'securities' AS what, COUNT(*) AS n FROM securities UNION ALL SELECT 'bars', COUNT(*) FROM bars UNION ALL SELECT 'statements', COUNT(*) FROM statements UNION ALL SELECT 'surprises', COUNT(*) FROM surprises
+  UNION ALL SELECT 'members', COUNT(*) FROM members""", **H.UNIVERSE, members=panel.MEMBERS)
+def api_summary(spark, d):
+    parts = {"securities": X.securities(spark, d), "bars": X.bars(spark, d), "statements": X.statements(spark, d), "surprises": X.surprises(spark, d), "members": panel.members(spark, d)}
+    out = None
+    for name, rows in parts.items():
+        one = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -1 +1,123 @@
-"""Queries: see below."""
+"""Queries over sources, keyed writes and the incremental loop."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import predicates as P
+from tessera.operators.temporal import by_priority
+from tessera.plans.registry import query
+from tessera.sources import files, tables
+from tessera.sources import fixtures as X
+from tessera.sources.scratch import scratch_path
+from tessera.streaming import incremental
+
+
+@query("""SELECT part, COUNT(*) AS n, SUM(volume) AS volume FROM (SELECT CASE WHEN d < DATE '1997-01-01' THEN 1 WHEN d < DATE '1999-01-01' THEN 2 ELSE 3 END AS part, volume FROM bars WHERE d BETWEEN DATE '1996-03-01' AND DATE '2000-06-30') GROUP BY 1""")
+def date_chunk_scan(spark, d):
+    edges = [("1996-03-01", "1996-12-31"), ("1997-01-01", "1998-12-31"), ("1999-01-01", "2000-06-30")]
+    out = None
+    for i, (low, high) in enumerate(edges, 1):
+        one = files.scan_dates(X.bars(spark, d), "d", low, high).select(F.lit(i).alias("part"), "volume")
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("part").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
+
+
+@query("""SELECT sec, COUNT(*) AS n, COUNT(CASE WHEN page = 'old' THEN 1 END) AS filled FROM (SELECT sec, d, 'new' AS page FROM bars WHERE d >= DATE '1999-01-01' UNION ALL SELECT sec, d, 'old' FROM bars WHERE d < DATE '1999-01-01') GROUP BY 1""")
+def fill_back_scan(spark, d):
+    """A capped page is filled up by an older one that overlaps it; what came
+    first on a day counts."""
+    b = X.bars(spark, d).select("sec", "d")
+    new, old = b.filter("d >= DATE'1999-01-01'").withColumn("page", F.lit("new")), b.filter("d <= DATE'1999-06-30'").withColumn("page", F.lit("old"))
+    return by_priority([new, old], ["sec", "d"]).groupBy("sec").agg(F.count("*").alias("n"), F.count_if(F.col("page") == "old").alias("filled"))
+
+
+@query("SELECT s_suppkey AS sec, s_name AS name, s_nationkey AS nation FROM supplier")
+def csv_scan(spark, d):
+    path = scratch_path(spark, "csv")
+    X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")).write.option("header", True).csv(path)
+    return files.scan_csv(spark, path, "sec long, name string, nation int")
+
+
+@query("SELECT n_nationkey AS k, n_name AS name, n_regionkey AS region FROM nation")
+def json_scan(spark, d):
+    path = scratch_path(spark, "json")
+    X.table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")).write.json(path)
+    return files.scan_json(spark, path, "k long, name string, region int")
+
+
+@query("""SELECT m AS month, COUNT(*) AS n, ROUND(SUM(v), 6) AS value FROM (SELECT strftime(o_orderdate, '%Y%m') AS m, (o_orderkey % 1000) / 100::DOUBLE AS v FROM orders WHERE o_orderkey % 3 <> 0) GROUP BY 1""")
+def ragged_text_scan(spark, d):
+    o = X.table(spark, d, "orders")
+    m, v = F.date_format("o_orderdate", "yyyyMM"), (F.col("o_orderkey") % 1000).cast("string")
+    line = F.when(F.col("o_orderkey") % 3 != 0, F.concat_ws(", ", m, v)).when(F.col("o_orderkey") % 2 == 0, F.concat_ws(",", m, v, v)).otherwise("Annual, 2.0")
+    path = scratch_path(spark, "text")
+    o.select(line.alias("value")).write.text(path)
+    return files.scan_months(spark, path).groupBy("month").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("value"))
+
+
+@query("SELECT o_custkey AS k, MIN(o_orderkey) AS first_order FROM orders WHERE o_custkey % 2 = 1 GROUP BY 1")
+def insert_or_ignore(spark, d):
+    have = X.table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"))
+    new = X.table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("first_order"))
+    return tables.only_new(have, new, ["k"], ["first_order"])
+
+
+@query("""SELECT c_custkey AS k, COALESCE(o.v, c_acctbal) AS v FROM customer LEFT JOIN (SELECT o_custkey, MAX(o_totalprice) AS v FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) o ON o.o_custkey = c_custkey
+  UNION ALL SELECT -o_custkey, MAX(o_totalprice) FROM orders WHERE o_custkey % 3 = 1 GROUP BY 1""")
+def upsert(spark, d):
+    have = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
+    o = X.table(spark, d, "orders").filter("o_custkey % 3 <> 2")
+    new = o.select(F.when(F.col("o_custkey") % 3 == 1, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("k"), F.col("o_totalprice").alias("v"))
+    return tables.upserted(have, new, ["k"], [F.desc("v")])
+
+
+@query("SELECT p_brand AS name, ROW_NUMBER() OVER (ORDER BY substr(md5(p_brand), 1, 3), p_brand) AS id FROM (SELECT DISTINCT p_brand FROM part)")
+def surrogate_ids(spark, d):
+    return tables.with_ids(X.table(spark, d, "part").select(F.col("p_brand").alias("name")).distinct(), "name")
+
+
+@query("SELECT year(o_orderdate) AS y, COUNT(*) AS n, COUNT(CASE WHEN year(o_orderdate) = 1997 THEN 1 END) AS rebuilt FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0 GROUP BY 1")
+def partition_rebuild(spark, d):
+    path = scratch_path(spark, "orders")
+    o = X.table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"), F.lit(0).alias("rebuilt"))
+    tables.replace_partitions(o, path, ["y"])
+    tables.replace_partitions(o.filter("y = 1997 AND o_orderkey % 2 = 0").withColumn("rebuilt", F.lit(1)), path, ["y"])
+    return spark.read.schema("o_orderkey long, rebuilt int, y int").parquet(path).groupBy("y").agg(F.count("*").alias("n"), F.sum("rebuilt").alias("rebuilt"))
+
+
+NEXT = """SELECT sec, period_end, 2 AS vintage_id, h FROM (SELECT b.sec, b.period_end, substr(sha256('gp=' || CAST(CAST(ROUND(b.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS h, substr(sha256('gp=' || CAST(CAST(ROUND(a.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS old, a.sec AS known
+  FROM (SELECT * FROM statements WHERE vintage_id = 2) b JOIN (SELECT * FROM statements WHERE vintage_id = 1) a ON a.sec = b.sec AND a.period_end = b.period_end) WHERE h <> old
+  UNION ALL SELECT b.sec, b.period_end, 1, substr(sha256('gp=' || CAST(CAST(ROUND(b.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) FROM statements b WHERE vintage_id = 2 AND NOT EXISTS (SELECT 1 FROM statements a WHERE a.vintage_id = 1 AND a.sec = b.sec AND a.period_end = b.period_end)"""
+
+
+@query(NEXT)
+def restatement_capture(spark, d):
+    """A feed row becomes a new vintage only if its hash differs from the latest."""
+    s = X.statements(spark, d).withColumn("h", P.canonical_hash({"gp": X.cents("gp")}))
+    have, feed = s.filter("vintage_id = 1").select("sec", "period_end", "vintage_id", "h"), s.filter("vintage_id = 2").select("sec", "period_end", "h")
+    return incremental.new_vintages(have, feed, ["sec", "period_end"], "h").select("sec", "period_end", "vintage_id", "h")
+
+
+@query("""SELECT CAST(ts AS DATE) AS d, event_type, COUNT(DISTINCT event_id) AS n, ROUND(SUM(value), 4) AS value FROM events GROUP BY 1, 2""")
+def stream_daily_events(spark, d):
+    """Events read as a stream, each once within five days, counted by day."""
+    events = spark.readStream.schema("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").option("pathGlobFilter", "events.parquet").parquet(d)
+    once = incremental.once_within(events.withColumn("at", F.col("ts").cast("timestamp")), "at", ["event_id"], "5 days")
+    out = scratch_path(spark, "daily-events")
+
+    def daily(rows, _batch):
+        # counts of one batch; batches are summed when they are read
+        rows.groupBy(F.col("ts").cast("date").alias("d"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value")).write.parquet(f"{out}/batch={_batch}", mode="overwrite")
+
+    incremental.run_available(once, daily, scratch_path(spark, "daily-events-state"))
+    parts = spark.read.schema("d date, event_type string, n long, value double").parquet(f"{out}/*")
+    return parts.groupBy("d", "event_type").agg(F.sum("n").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
+@query("""SELECT sec, COUNT(*) AS days, MAX(d) AS last_d FROM (SELECT sec, d FROM bars WHERE d < DATE '1999-01-01' UNION ALL SELECT b.sec, b.d FROM bars b JOIN (SELECT sec, MAX(d) AS last_d FROM bars WHERE d < DATE '1999-01-01' GROUP BY 1) l ON l.sec = b.sec AND b.d > l.last_d) GROUP BY 1""")
+def append_later_bars(spark, d):
+    """Bars not later than the last stored one of their security are ignored."""
+    b = X.bars(spark, d).select("sec", "d", "close")
+    stored = b.filter("d < DATE'1999-01-01'")
+    return stored.unionByName(incremental.later_rows(stored, b, "sec", "d")).groupBy("sec").agg(F.count("*").alias("days"), F.max("d").alias("last_d"))
