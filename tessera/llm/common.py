@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import scratch_path, shared_dir  # noqa: F401  operators take them from here
+
 #: White space of the word rule, as a Java and as a Python class body.
 SPACES = r"\x20\x09-\x0D"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -17,33 +16,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session leaves it unset is one made: below the warehouse on
-    a cluster, a temporary folder in local mode.
-    """
-    sc = spark.sparkContext
-    given = sc.getConf().get("spark.checkpoint.dir")
-    if given:
-        return given
-    if sc.getCheckpointDir() is None:
-        local = sc.master.startswith("local[") or sc.master == "local"
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared")
-    return sc.getCheckpointDir()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once, for use inside expressions."""
     return F.transform(F.array(value), body)[0]
@@ -61,3 +39,8 @@ def word_array(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """The number of words without building them: starts of runs."""
     return F.regexp_count(text, F.lit(f"[^{SPACES}]+"))
+
+
+def unit(h: Column) -> Column:
+    """A hash as a number strictly between 0 and 1."""
+    return (F.shiftrightunsigned(h, 12).cast("double") + 0.5) / float(1 << 52)

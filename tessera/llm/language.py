@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import unit
 from tessera.llm.crf import Bag, Chain
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -74,11 +75,18 @@ def words_of(text: str | None) -> list[str]:
 
 
 def labelled_sample(docs: DataFrame, per_lang: int = 300, max_docs: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """(lang, text) of at most max_docs labelled rows that aren't held out."""
+    """(lang, text) of at most max_docs labelled rows that aren't held out.
+
+    Rows are thinned by a hash of doc_id to some four times per_lang a language
+    before they are ranked, so that no task ranks all rows of a language. At
+    most max_docs languages are counted, those with the most rows.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     may = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    counts = may.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_docs)
+    thin = may.select("doc_id", "lang").join(F.broadcast(counts), "lang").filter(unit(F.xxhash64("doc_id")) * F.col("count") <= 4 * per_lang)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = may.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_lang)
+    ids = thin.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_lang)
     ids = ids.orderBy("nth", "lang", "doc_id").limit(max_docs).select("doc_id").distinct()
     # at most max_docs ids are broadcast; the second limit is for ids that repeat
     return [(r.lang, r.text or "") for r in may.join(F.broadcast(ids), "doc_id").limit(max_docs).select("lang", "text", "doc_id").orderBy("doc_id", "lang", "text").collect()]

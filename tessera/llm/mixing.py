@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, text_of, word_count
+from tessera.llm.common import checkpointed, text_of, unit, word_count
 
 BINS = 4096
 
@@ -54,11 +54,6 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repe
     return rows.select("source", "source_size", "documents", "weight", target.alias("target"))
 
 
-def _unit(h: Column) -> Column:
-    """A hash as a number strictly between 0 and 1."""
-    return (F.shiftrightunsigned(h, 12).cast("double") + 0.5) / float(1 << 52)
-
-
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3, share: float = 1.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row for each row of docs: doc_id, source, size, source_size, target,
     copies (whole times taken), taken (words), text_hash."""
@@ -72,7 +67,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: in
     plan = plan.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
 
     joined = rows.join(plan.withColumnRenamed("source", "s"), rows["source"].eqNullSafe(F.col("s"))).drop("s")
-    u = _unit(F.xxhash64("doc_id", "text_hash", F.lit(seed)))
+    u = unit(F.xxhash64("doc_id", "text_hash", F.lit(seed)))
     fraction = F.col("times") - F.col("whole")
     damped = F.sqrt(F.greatest(F.lit(1.0), F.col("size") * F.col("documents") / F.greatest(F.col("source_size"), F.lit(1))))
     p = F.least(F.lit(0.999), F.greatest(F.lit(1e-9), fraction / damped))
