@@ -112,7 +112,7 @@ def grouped_ols(df: DataFrame, y: str, xs: list[str], by: str, minimum: int) ->
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) < minimum:
-            return pd.DataFrame({by: [], "term": [], "beta": [], "n": []})
+            return pd.DataFrame(columns=[by, "term", "beta", "n"])
         x = pdf[xs].to_numpy(float)
         sd = x.std(axis=0)
         x = (x - x.mean(axis=0)) / np.where(sd > 1e-9, sd, 1.0)
