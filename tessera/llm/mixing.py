@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, text_of, unit, word_count
+from tessera.llm.common import checkpointed, text_of, word_count
 
 BINS = 4096
 
@@ -54,11 +54,17 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repe
     return rows.select("source", "source_size", "documents", "weight", target.alias("target"))
 
 
+def _random(doc_id: str, text_hash: str, seed: int) -> Column:
+    """A digest of a document as a number strictly between 0 and 1."""
+    key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(text_hash), F.lit(str(seed)))
+    return (F.conv(F.substring(F.md5(F.encode(key, "UTF-8")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3, share: float = 1.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row for each row of docs: doc_id, source, size, source_size, target,
     copies (whole times taken), taken (words), text_hash."""
     text = text_of(text_col)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text).cast("long").alias("size"), F.xxhash64(text).alias("text_hash"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text).cast("long").alias("size"), F.md5(F.encode(text, "UTF-8")).alias("text_hash"))
     rows = checkpointed(base)
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     plan = checkpointed(targets(sources, weights, max_repeats, share))
@@ -67,7 +73,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: in
     plan = plan.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
 
     joined = rows.join(plan.withColumnRenamed("source", "s"), rows["source"].eqNullSafe(F.col("s"))).drop("s")
-    u = unit(F.xxhash64("doc_id", "text_hash", F.lit(seed)))
+    u = _random("doc_id", "text_hash", seed)
     fraction = F.col("times") - F.col("whole")
     damped = F.sqrt(F.greatest(F.lit(1.0), F.col("size") * F.col("documents") / F.greatest(F.col("source_size"), F.lit(1))))
     p = F.least(F.lit(0.999), F.greatest(F.lit(1e-9), fraction / damped))
@@ -98,7 +104,7 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     all their columns. Rows that repeat doc_id, source and text are one draw."""
     drawn = mix(docs, **params).filter("copies > 0").groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("copies"))
     d = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("text_hash").alias("_h"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_th", F.xxhash64(text_of()))
+    keyed = docs.withColumn("_th", F.md5(F.encode(text_of(), "UTF-8")))
     on = (keyed["_th"] == d["_h"]) & keyed["doc_id"].cast("long").eqNullSafe(d["_id"]) & keyed["source"].eqNullSafe(d["_s"])
     named = keyed.join(d, on).select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_nth"))
     return named.drop("_nth")

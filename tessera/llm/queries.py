@@ -3,15 +3,13 @@ derives the columns of its contract; and the DuckDB SQL of those that have one."
 
 from __future__ import annotations
 
-import string
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, html, language, mixing, packing, private, quality, secrets, sharding, simhash
 from tessera.llm.common import documents, scratch_path
-
+from tessera.llm.oracles import ORACLES  # noqa: F401  the entry module takes them from here
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: The key of op8's pseudonyms here; a real one comes from a secret store.
@@ -85,11 +83,3 @@ QUERIES = {
         op10_ball_simhash,
     )
 }
-#: The other operators need zstandard, CRC-32, XXH64, a tokenizer, a trained model
-#: or Feistel rounds, which DuckDB's SQL lacks; tests hold them against brute force.
-ORACLES: dict[str, str] = {
-    "op9_digest_index_dedup": f"""SELECT doc_id, MAX(doc_id) OVER g AS keep_id, COUNT(*) OVER g AS group_size,
-  doc_id = MAX(doc_id) OVER g AND ROW_NUMBER() OVER (PARTITION BY text_sha256, doc_id) = 1 AS kept, text_sha256 FROM (
-  SELECT doc_id, sha256(translate(COALESCE(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')) AS text_sha256 FROM documents)
-  WINDOW g AS (PARTITION BY text_sha256)""",
-}
