@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.stats import average_rank, newey_west, probit, standardised, winsorized
+from tessera.operators.stats import average_rank, correlation, newey_west, probit, standardised, winsorized
 
 
 def covered(values: DataFrame, members: DataFrame, least: float = 0.6, without_financials: list[str] = ()) -> DataFrame:
@@ -48,7 +48,7 @@ def rank_ic(pairs: DataFrame, by: list[str], signal: str, outcome: str, minimum:
     """by, ic, n: rank correlation with ties in order of sec."""
     rows = pairs.dropna(subset=[signal, outcome])
     rows = rows.withColumn("ra", ordinal(F.col(signal), by)).withColumn("rb", ordinal(F.col(outcome), by))
-    return rows.groupBy(*by).agg(F.corr("ra", "rb").alias("ic"), F.count("*").alias("n")).filter(F.col("n") >= minimum)
+    return rows.groupBy(*by).agg(correlation("ra", "rb").alias("ic"), F.count("*").alias("n")).filter(F.col("n") >= minimum)
 
 
 def quantile_spread(pairs: DataFrame, by: list[str], signal: str, outcome: str, minimum: int, tail: float = 0.1) -> DataFrame:
@@ -85,8 +85,7 @@ def redundancy(cells: DataFrame, signal: str) -> DataFrame:
     names = [r[0] for r in cells.select("factor").distinct().orderBy("factor").collect()]  # the registry: a dozen
     wide = cells.groupBy("as_of", "sec").pivot("factor", names).agg(F.first(signal))
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    both = lambda a, b: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(a))
-    g = wide.groupBy("as_of").agg(*[F.corr(both(a, b), F.when(F.col(a).isNotNull(), F.col(b))).alias(f"{a}|{b}") for a, b in pairs])
+    g = wide.groupBy("as_of").agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     long = g.select("as_of", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.abs(F.col(f"`{a}|{b}`")).alias("r")) for a, b in pairs])).alias("x")).select("as_of", "x.*")
     return long.filter("r IS NOT NULL").groupBy("a", "b").agg(F.avg("r").alias("rho"), F.count("*").alias("months"))
 

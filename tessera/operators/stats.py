@@ -84,6 +84,14 @@ def standardised(x: Column, by: list[str], floor: float = 1e-9) -> Column:
     return F.when(sd > floor, centred / sd).otherwise(centred)
 
 
+def correlation(x: str | Column, y: str | Column) -> Column:
+    """Pearson correlation of the pairs that have both values; null where one of
+    them doesn't vary, which corr() takes for a division by zero."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def newey_west(df: DataFrame, value: str, order: str, by: list[str], lags: int = 3) -> DataFrame:
     """by, n, mean, t: the t statistic of a series' mean with Bartlett weights.
 

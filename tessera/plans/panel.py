@@ -167,7 +167,7 @@ def fm_univariate(spark, d):
 def fm_two_factor(spark, d):
     p = paired(spark, d)
     wide = p.filter(F.col("factor").isin("mom_12_1", "bp")).groupBy("as_of", "sec").agg(F.max(F.when(F.col("factor") == "mom_12_1", F.col("z"))).alias("a"), F.max(F.when(F.col("factor") == "bp", F.col("z"))).alias("b"), F.first("fwd").alias("y")).dropna()
-    g = wide.groupBy("as_of").agg(F.count("*").alias("n"), F.covar_pop("a", "y").alias("c1"), F.covar_pop("b", "y").alias("c2"), F.stddev_pop("a").alias("s1"), F.stddev_pop("b").alias("s2"), F.corr("a", "b").alias("r")).filter("n >= 10 AND 1 - r * r > 1e-6")
+    g = wide.groupBy("as_of").agg(F.count("*").alias("n"), F.covar_pop("a", "y").alias("c1"), F.covar_pop("b", "y").alias("c2"), F.stddev_pop("a").alias("s1"), F.stddev_pop("b").alias("s2"), stats.correlation("a", "b").alias("r")).filter("n >= 10 AND 1 - r * r > 1e-6")
     det = 1 - F.col("r") * F.col("r")
     u, v = F.col("c1") / F.col("s1"), F.col("c2") / F.col("s2")
     return g.select("as_of", "n", F.round((u - F.col("r") * v) / det, 7).alias("beta_mom"), F.round((v - F.col("r") * u) / det, 7).alias("beta_bp"))
@@ -303,7 +303,7 @@ EXTERNAL = "SELECT date_trunc('month', d) AS m, avg(close) / 1000 - 1 AS v FROM
 def external_correlation(spark, d):
     e = X.bars(spark, d).filter("sec % 2 = 0").groupBy(F.trunc("d", "MM").alias("m")).agg((F.avg("close") / 1000 - 1).alias("v"))
     ls = C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10).withColumn("m", F.add_months(F.trunc("as_of", "MM"), 1))
-    return ls.join(e, "m").groupBy("factor").agg(F.count("*").alias("months"), F.round(F.corr("ls", "v"), 6).alias("rho")).filter("months >= 24")
+    return ls.join(e, "m").groupBy("factor").agg(F.count("*").alias("months"), F.round(stats.correlation("ls", "v"), 6).alias("rho")).filter("months >= 24")
 
 
 REPLICATION = "SELECT factor, CASE factor WHEN 'asset_growth' THEN -1 WHEN 'accruals' THEN -1 WHEN 'net_issuance' THEN -1 ELSE 1 END AS prior, avg(top - bottom) AS m FROM lsq GROUP BY 1"
