@@ -195,14 +195,3 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 2, id_col: st
     named = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = linked.select("fingerprint", "root").join(named, "root").select("fingerprint", "component_id")
     return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-def one_of_each_group(docs: DataFrame, words: int = 4, radius: int = 2) -> DataFrame:
-    """The rows of docs that stay: one of each group, that of the least doc_id.
-
-    Rows without doc_id can't be named by one; they stay where they are alone
-    in standing for a group, that is, are kept unless they repeat a fingerprint.
-    """
-    groups = near_duplicates(docs, words, radius)
-    keep = groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
