@@ -160,8 +160,9 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text (rewritten), finds: array of (kind, value, pseudonym)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # a text without @ and with few digits has nothing to look for
-    may = F.col("text").rlike(r"@|[0-9][0-9.() -]{5}")
+    # a text without @ and with few digits has nothing to look for; every find has
+    # an @ or a digit before five of these
+    may = F.col("text").rlike(r"@|[0-9][0-9.()/ -]{5}")
     finds = F.when(may, F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
     rows = rows.withColumn("found", finds)
     changed = F.transform("found", lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), pseudonym(m, key).alias("pseudonym")))

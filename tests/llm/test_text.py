@@ -254,3 +254,11 @@ def test_feistel_is_a_permutation(spark, size):
 def test_pseudonyms_of_nothing(nothing, awkward):
     assert private.pseudonymise(nothing, "k").count() == 0
     assert private.pseudonymise(awkward, "k").count() == awkward.count()
+
+
+def test_each_kind_alone_in_a_text_is_found(spark):
+    alone = ["12/05/1987", "12.05.1987", "1987-05-12", "1.1.1.1", "152.143.123.131", "123-45-6789", "743-555-3824", "(743) 555-3824", "+1 743 555 3824", "4785380592391139", "4785 3805 9239 1139", "jo@example.com"]
+    docs = spark.createDataFrame([(i, f"Born on {v} in the city.") for i, v in enumerate(alone)], "doc_id long, text string")
+    got = {r.doc_id: r for r in private.pseudonymise(docs, "k").collect()}
+    for i, v in enumerate(alone):
+        assert [f.value for f in got[i].finds] == [v] and v not in got[i].text, v
