@@ -90,27 +90,33 @@ def redundancy(cells: DataFrame, signal: str) -> DataFrame:
     return long.filter("r IS NOT NULL").groupBy("a", "b").agg(F.avg("r").alias("rho"), F.count("*").alias("months"))
 
 
-def composite(cells: DataFrame, signs: dict[str, int], signal: str, least: int, weights: DataFrame | None = None) -> DataFrame:
+def composite(cells: DataFrame, signs: dict[str, int], signal: str, least: int, weights: DataFrame | None = None, keep: str | None = None) -> DataFrame:
     """(as_of, sec, score, k): mean of the sign-aligned members a name has, by
-    weight if given (as_of, factor, weight), where it has enough of them."""
+    weight if given (as_of, factor, weight), where it has enough of them; nil
+    where none of them has any weight. keep: a column that goes with a name."""
     sign = F.coalesce(*[F.when(F.col("factor") == f, F.lit(s)) for f, s in signs.items()])
     rows = cells.filter(F.col("factor").isin(list(signs)) & F.col(signal).isNotNull()).withColumn("z", sign * F.col(signal))
-    rows = rows.withColumn("weight", F.lit(1.0)) if weights is None else rows.join(weights, ["as_of", "factor"])
-    g = rows.groupBy("as_of", "sec").agg(F.sum(F.col("z") * F.col("weight")).alias("s"), F.sum("weight").alias("w"), F.count("*").alias("k"))
-    return g.filter((F.col("k") >= least) & (F.col("w") > 0)).select("as_of", "sec", (F.col("s") / F.col("w")).alias("score"), "k")
-
-
-def walk_forward_weights(ics: DataFrame, signs: dict[str, int], least: int = 36) -> DataFrame:
-    """(as_of, factor, weight): mean sign-aligned IC over all months strictly
-    before as_of, floored at nil and scaled to one; equal weights as long as any
-    member has too short a history, or if all are nil."""
-    sign = F.coalesce(*[F.when(F.col("factor") == f, F.lit(s)) for f, s in signs.items()])
+    # a row a month and factor of the registry is broadcast
+    rows = rows.withColumn("weight", F.lit(1.0)) if weights is None else rows.join(F.broadcast(weights), ["as_of", "factor"])
+    more = [F.first(keep).alias(keep)] if keep else []
+    g = rows.groupBy("as_of", "sec").agg(F.sum(F.col("z") * F.col("weight")).alias("s"), F.sum("weight").alias("w"), F.count("*").alias("k"), *more)
+    score = F.col("s") / F.when(F.col("w") > 1e-9, F.col("w")).otherwise(1.0)
+    return g.filter(F.col("k") >= least).select("as_of", "sec", score.alias("score"), "k", *([keep] if keep else []))
+
+
+def walk_forward_weights(ics: DataFrame, months: DataFrame, signs: dict[str, int], least: int = 36) -> DataFrame:
+    """(as_of, factor, weight) of every member at every month: its mean
+    sign-aligned IC over all months strictly before, floored at nil and scaled to
+    one; equal weights as long as a member has too short a history, or if all
+    are nil. months: as_of; a row a month."""
+    members = F.explode(F.array(*[F.struct(F.lit(f).alias("factor"), F.lit(s).alias("sign")) for f, s in signs.items()]))
+    every = months.select("as_of", members.alias("x")).select("as_of", "x.*")
+    rows = every.join(ics.select("as_of", "factor", "ic"), ["as_of", "factor"], "left").withColumn("ic", F.col("sign") * F.col("ic"))
     w = Window.partitionBy("factor").orderBy("as_of").rowsBetween(Window.unboundedPreceding, -1)
-    rows = ics.filter(F.col("factor").isin(list(signs)))
-    rows = rows.withColumn("m", F.greatest(F.avg(sign * F.col("ic")).over(w), F.lit(0.0))).withColumn("n", F.count("ic").over(w))
+    rows = rows.withColumn("m", F.greatest(F.coalesce(F.avg("ic").over(w), F.lit(0.0)), F.lit(0.0))).withColumn("n", F.count("ic").over(w))
     g = Window.partitionBy("as_of")
-    equal = (F.min("n").over(g) < least) | (F.count("*").over(g) < len(signs)) | (F.sum("m").over(g) <= 0)
-    return rows.select("as_of", "factor", F.when(equal, F.lit(1.0) / F.count("*").over(g)).otherwise(F.col("m") / F.sum("m").over(g)).alias("weight"))
+    equal = (F.min("n").over(g) < least) | (F.sum("m").over(g) <= 1e-9)
+    return rows.select("as_of", "factor", F.when(equal, F.lit(1.0) / len(signs)).otherwise(F.col("m") / F.sum("m").over(g)).alias("weight"))
 
 
 def equity_curve(monthly: DataFrame, by: str, value: str, order: str = "as_of") -> DataFrame:

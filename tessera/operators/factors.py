@@ -12,22 +12,22 @@ from tessera.operators.returns import dense, lagged
 
 #: factor: (family, sign expected beforehand, financials left out) (fixed values).
 REGISTRY = {
-    "ebit_ev": ("value", 1, True), "gp_a": ("quality", 1, False), "accruals": ("quality", -1, False), "asset_growth": ("quality", -1, False),
+    "ebit_ev": ("value", 1, True), "gp_a": ("quality", 1, True), "accruals": ("quality", -1, True), "asset_growth": ("quality", -1, True),
     "mom_12_1": ("momentum", 1, False), "bp": ("value", 1, False), "net_issuance": ("quality", -1, False), "sue": ("events", 1, False),
     "vol_12m": ("low_risk", -1, False), "beta_36m": ("low_risk", -1, False), "trk_core_1m": ("tracker", 1, False),
 }
 
 
 def trailing_year(visible: DataFrame, values: list[str], span: tuple[int, int] = (240, 390)) -> DataFrame:
-    """The latest period's row of each (sec, as_of), with ttm_<value>: sums over
-    the last four visible quarters, null unless all four have a value and first
-    and last lie a plausible year apart."""
+    """The latest period's row of each (sec, as_of), with whole: whether the last
+    four visible quarters span a plausible year, and ttm_<value>: their sums,
+    null unless that is so and all four have a value."""
     w = Window.partitionBy("sec", "as_of").orderBy("period_end").rowsBetween(-3, 0)
-    rows = visible
     days = F.datediff("period_end", F.min("period_end").over(w))
     whole = (F.count(F.lit(1)).over(w) == 4) & days.between(*span)
+    rows = visible.withColumn("whole", whole)
     for v in values:
-        rows = rows.withColumn(f"ttm_{v}", F.when(whole & (F.count(v).over(w) == 4), F.sum(v).over(w)))
+        rows = rows.withColumn(f"ttm_{v}", F.when(F.col("whole") & (F.count(v).over(w) == 4), F.sum(v).over(w)))
     return rows.filter("nth = 1")
 
 
@@ -47,18 +47,20 @@ def truthy(c: str) -> Column:
 def statement_factors(visible: DataFrame, members: DataFrame) -> DataFrame:
     """(sec, as_of, factor, value) of the six ratios built on statements.
 
-    members: (sec, as_of, mktcap, is_fin). A ratio that isn't valid has no row.
+    members: (sec, as_of, mktcap, is_fin). A ratio that isn't valid has no row;
+    those built on a year of income or on assets leave financials out.
     """
     now = trailing_year(visible, ["ebit", "gp", "ni", "cfo"])
     rows = members.join(now, ["sec", "as_of"]).join(year_ago(visible, ["assets", "shares"]), ["sec", "as_of"], "left")
     mc, ta, ago = F.col("mktcap"), truthy("assets"), truthy("ago_assets")
     ev = mc + F.col("debt") - F.col("cash")
-    valid_ev = (ev > F.greatest(F.lit(1e8), 0.05 * mc)) & ~F.col("is_fin") & ta.isNotNull()
+    year = F.col("whole") & ~F.col("is_fin")
+    valid_ev = (ev > F.greatest(F.lit(1e8), 0.05 * mc)) & ta.isNotNull()
     ratios = {
-        "ebit_ev": F.when(valid_ev, F.col("ttm_ebit") / ev),
-        "gp_a": F.col("ttm_gp") / ta,
-        "accruals": (F.col("ttm_ni") - F.col("ttm_cfo")) / F.when(ago.isNotNull(), (ta + ago) / 2).otherwise(ta),
-        "asset_growth": ta / ago - 1,
+        "ebit_ev": F.when(year & valid_ev, F.col("ttm_ebit") / ev),
+        "gp_a": F.when(year, F.col("ttm_gp") / ta),
+        "accruals": F.when(year, (F.col("ttm_ni") - F.col("ttm_cfo")) / F.when(ago.isNotNull(), (ta + ago) / 2).otherwise(ta)),
+        "asset_growth": F.when(year, ta / ago - 1),
         "bp": F.when(F.col("equity") > 0, F.col("equity") / mc),
         "net_issuance": truthy("shares") / F.when(F.col("ago_shares") > 0, F.col("ago_shares")) - 1,
     }

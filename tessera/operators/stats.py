@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -84,12 +84,13 @@ def standardised(x: Column, by: list[str], floor: float = 1e-9) -> Column:
     return F.when(sd > floor, centred / sd).otherwise(centred)
 
 
-def correlation(x: str | Column, y: str | Column) -> Column:
+def correlation(x: str | Column, y: str | Column, floor: float = 1e-9) -> Column:
     """Pearson correlation of the pairs that have both values; null where one of
-    them doesn't vary, which corr() takes for a division by zero."""
+    them doesn't vary, or by rounding only."""
     x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
     a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    sa, sb = F.stddev_pop(a), F.stddev_pop(b)
+    return F.when((sa > floor) & (sb > floor), F.covar_pop(a, b) / (sa * sb))
 
 
 def newey_west(df: DataFrame, value: str, order: str, by: list[str], lags: int = 3) -> DataFrame:
@@ -111,23 +112,53 @@ def newey_west(df: DataFrame, value: str, order: str, by: list[str], lags: int =
     return out.select(*by, "n", "mean", F.when(se > 1e-15, F.col("mean") / se).alias("t"))
 
 
-def grouped_ols(df: DataFrame, y: str, xs: list[str], by: str, minimum: int) -> DataFrame:
+def grouped_ols(df: DataFrame, y: str, xs: list[str], by: str, minimum: int, floor: float = 1e-9) -> DataFrame:
     """by, term, beta, n: least squares with an intercept in each group on
-    regressors standardised there; groups are one cross-section each."""
+    regressors standardised there; rows without all values are left out. A
+    regressor that doesn't vary, or that those before it explain, has slope nil.
+
+    Groups are reduced to sums of products, which combine before the shuffle, so
+    no group is gathered; what NumPy solves is one small system a group.
+    """
     if by == "term":
         raise ValueError("the group column can't be called term")
-    kind = dict(df.dtypes)[by]
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) < minimum:
-            return pd.DataFrame(columns=[by, "term", "beta", "n"])
-        x = pdf[xs].to_numpy(float)
-        sd = x.std(axis=0)
-        x = (x - x.mean(axis=0)) / np.where(sd > 1e-9, sd, 1.0)
-        beta, *_ = np.linalg.lstsq(np.column_stack([np.ones(len(x)), x]), pdf[y].to_numpy(float), rcond=None)
-        return pd.DataFrame({by: pdf[by].iloc[0], "term": ["intercept", *xs], "beta": beta, "n": len(x)})
-
-    return df.select(by, y, *xs).dropna().groupBy(by).applyInPandas(fit, f"{by} {kind}, term string, beta double, n long")
+    k, kind = len(xs), dict(df.dtypes)[by]
+    rows = df.select(by, y, *xs).dropna()
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    scaled = {x: F.stddev_pop(x) for x in xs}
+    sums = [F.covar_pop(xs[i], xs[j]) for i, j in pairs] + [F.covar_pop(x, y) for x in xs]
+    g = rows.groupBy(by).agg(F.count("*").alias("n"), F.avg(y).alias("mean"), F.array(*sums).alias("cov"), F.array(*scaled.values()).alias("sd"))
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for key, n, mean, cov, sd in pdf.itertuples(index=False):
+                c, r, sd = np.zeros((k, k)), np.array(cov[len(pairs) :], float), np.array(sd, float)
+                for (i, j), v in zip(pairs, cov):
+                    c[i, j] = c[j, i] = v
+                varies = sd > floor
+                sd = np.where(varies, sd, 1.0)
+                beta = eliminated(np.where(np.outer(varies, varies), c / np.outer(sd, sd), 0.0), np.where(varies, r / sd, 0.0), floor)
+                out += [(key, t, b, n) for t, b in zip(["intercept", *xs], [mean, *beta])]
+            yield pd.DataFrame(out, columns=[by, "term", "beta", "n"])
+
+    few = g.filter(F.col("n") >= minimum)
+    return few.select(by, "n", "mean", "cov", "sd").mapInPandas(solve, f"{by} {kind}, term string, beta double, n long")
+
+
+def eliminated(a: np.ndarray, b: np.ndarray, floor: float) -> np.ndarray:
+    """The solution of a x = b by elimination in the order of the rows; x is nil
+    where nothing is left of a row."""
+    m = np.column_stack([a, b]).astype(float)
+    for s in range(len(a)):
+        pivot = m[s, s]
+        if pivot <= floor:
+            m[s] = 0.0
+            continue
+        m[s] /= pivot
+        others = np.arange(len(a)) != s
+        m[others] -= np.outer(m[others, s], m[s])
+    return m[:, -1]
 
 
 def block_bootstrap(df: DataFrame, value: str, order: str, by: str, block: int = 6, draws: int = 2000, seed: int = 20260726, low: float = 0.025, high: float = 0.975) -> DataFrame:

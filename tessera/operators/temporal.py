@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.predicates import covers, visible
+from tessera.operators.predicates import covers
+from tessera.sources.scratch import checkpointed
 
 FOREVER = "9999-12-31"
 
@@ -37,23 +38,53 @@ def resolve(left: DataFrame, intervals: DataFrame, key: str, time: str, value: s
     return left.join(best, [key, time], "left")
 
 
-def visible_statements(grid: DataFrame, statements: DataFrame, last_periods: int | None = 6, reach_days: int | None = None) -> DataFrame:
-    """For each (sec, as_of) of grid the statements as they were known then: of
-    what was accepted by the close of as_of, each period's last vintage; ``nth``
-    counts periods back from the latest.
+def seen_intervals(statements: DataFrame) -> DataFrame:
+    """statements + seen, until: a vintage is what is known of its period from
+    when it was accepted until a later vintage is. Vintages that are never known
+    (accepted after a later one, or not at all) have no row."""
+    later = Window.partitionBy("sec", "period_end").orderBy(F.desc("vintage_id")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = statements.withColumn("seen", F.col("accepted")).withColumn("until", F.min("accepted").over(later))
+    return rows.filter("seen IS NOT NULL AND (until IS NULL OR seen < until)")
 
-    The cut-off comes before the choice of vintage. reach_days bounds how far
-    back periods are looked at, to keep grid times statements small.
+
+def visible_on_grid(statements: DataFrame, grid: DataFrame, last_periods: int | None = 6) -> DataFrame:
+    """For each as_of of grid (as_of, ai; a row a month) the statements as they
+    were known by its close; ``nth`` counts periods back from the latest.
+
+    A vintage is written out for the months of its own interval only, and a
+    period no longer than until last_periods later ones are known, so the rows
+    made are in proportion to those returned. Windows by sec: one shuffle, or
+    none where statements are stored by it.
     """
-    joined = grid.join(statements, "sec").filter(visible("accepted", "as_of") & (F.col("period_end") <= F.col("as_of")))
-    if reach_days is not None:
-        joined = joined.filter(F.datediff("as_of", "period_end") <= reach_days)
-    values = [c for c in statements.columns if c not in ("sec", "period_end", "vintage_id")]
-    latest = joined.groupBy("sec", "as_of", "period_end").agg(F.max(F.struct("vintage_id", *values)).alias("s")).select("sec", "as_of", "period_end", "s.*")
-    out = latest.withColumn("nth", F.row_number().over(Window.partitionBy("sec", "as_of").orderBy(F.desc("period_end"))))
+    months = [r.as_of for r in grid.select("as_of").orderBy("as_of").collect()]  # a row a month
+    first = grid.agg(F.coalesce(F.min("ai"), F.lit(1)).alias("ai")).first().ai
+    closes = F.array(*[F.lit(m).cast("timestamp_ntz") + F.expr("INTERVAL 16 HOURS") for m in months]) if months else F.array().cast("array<timestamp_ntz>")
+    # months are numbered one after another, so the first close at or after t has the number of those before it
+    month_of = lambda t: F.size(F.filter(closes, lambda c: c < t)) + first
+    rows = seen_intervals(statements).withColumn("seen", F.greatest("seen", F.col("period_end").cast("timestamp_ntz")))
+    if last_periods is None:
+        gone = F.lit(None).cast("timestamp_ntz")
+    else:
+        known = F.min("seen").over(Window.partitionBy("sec", "period_end"))
+        rows = rows.withColumn("known", known).withColumn("place", F.dense_rank().over(Window.partitionBy("sec").orderBy("period_end")))
+        ahead = Window.partitionBy("sec").orderBy("place").rangeBetween(1, last_periods)
+        full = F.max("place").over(ahead) == F.col("place") + last_periods
+        gone = F.when(full, F.max("known").over(ahead))
+    rows = rows.withColumn("lo", month_of(F.col("seen"))).withColumn("hi", F.least(month_of(F.coalesce("until", F.lit("9999-01-01").cast("timestamp_ntz"))), month_of(F.coalesce(gone, F.lit("9999-01-01").cast("timestamp_ntz")))) - 1)
+    each = rows.filter("lo <= hi").withColumn("ai", F.explode(F.sequence("lo", "hi"))).join(F.broadcast(grid.select("as_of", F.col("ai").cast("int").alias("ai"))), "ai")
+    out = each.withColumn("nth", F.row_number().over(Window.partitionBy("sec", "as_of").orderBy(F.desc("period_end"))))
+    values = [c for c in statements.columns if c not in ("sec", "period_end")]
+    out = out.select("sec", "as_of", "period_end", *values, "nth")
     return out if last_periods is None else out.filter(F.col("nth") <= last_periods)
 
 
+def visible_statements(grid: DataFrame, statements: DataFrame, last_periods: int | None = 6) -> DataFrame:
+    """visible_on_grid for the cells (sec, as_of) of grid only."""
+    dates = grid.select("as_of").distinct()
+    months = dates.withColumn("ai", F.row_number().over(Window.orderBy("as_of")))  # a row a date
+    return visible_on_grid(statements, months, last_periods).join(grid.select("sec", "as_of").distinct(), ["sec", "as_of"], "left_semi")
+
+
 def _end(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(FOREVER).cast("date"))
 
@@ -100,15 +131,26 @@ def by_priority(parts: list[DataFrame], key: list[str], order: list[str] | None
     return tagged.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1").drop("_nth", "_priority")
 
 
-def rename_chain(edges: DataFrame, most: int = 32) -> DataFrame:
+def rename_chain(edges: DataFrame) -> DataFrame:
     """(start, last, steps) of each name followed along edges (old, new), as far
-    as they go; a cycle ends where it would repeat. Doubling: a chain of length
-    n takes log2(n) joins. Each name has one edge at most."""
-    jumps = edges.select(F.col("old").alias("start"), F.col("new").alias("last"), F.lit(1).alias("steps"))
-    for _ in range(max(1, most.bit_length())):
-        nxt = jumps.select(F.col("start").alias("_s"), F.col("last").alias("_l"), F.col("steps").alias("_n"))
-        jumps = jumps.join(nxt, (F.col("last") == F.col("_s")) & (F.col("_l") != F.col("start")), "left").select("start", F.coalesce("_l", "last").alias("last"), (F.col("steps") + F.coalesce("_n", F.lit(0))).alias("steps"))
-    return jumps
+    as they go. Each name has one edge at most; last and steps are null for a
+    name that leads into a cycle.
+
+    Doubling until nothing goes on: a chain of n steps takes log2(n) joins. A
+    chain of distinct names has no more steps than there are edges, so what goes
+    on beyond that is a cycle.
+    """
+    jumps = checkpointed(edges.select(F.col("old").alias("start"), F.col("new").alias("last"), F.lit(1).cast("long").alias("steps")))
+    most, reach = jumps.count(), 1
+    while True:
+        nxt = jumps.select(F.col("start").alias("last"), F.col("last").alias("then"), F.col("steps").alias("more"))
+        going = checkpointed(jumps.join(nxt, "last", "left").select("start", "last", "steps", "then", "more"))
+        if reach > most or going.filter("then IS NOT NULL").isEmpty():
+            break
+        jumps = going.select("start", F.coalesce("then", "last").alias("last"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"))
+        reach *= 2
+    ends = F.col("then").isNull()
+    return going.select("start", F.when(ends, F.col("last")).alias("last"), F.when(ends, F.col("steps")).alias("steps"))
 
 
 def fuzzy_match(left: DataFrame, right: DataFrame, key: list[str], left_date: str, right_date: str, days: int = 6) -> DataFrame:

@@ -14,6 +14,11 @@ def trading_grid(bars: DataFrame, min_rows: int = 100) -> DataFrame:
     return grid.select("as_of", F.row_number().over(Window.orderBy("as_of")).cast("long").alias("ai"))
 
 
+def complete_months(rows: DataFrame, today: Column, as_of: str = "as_of") -> DataFrame:
+    """rows without those of the month that today lies in, which isn't over."""
+    return rows.filter(F.trunc(as_of, "MM") < F.trunc(today, "MM"))
+
+
 def upper_median(x: Column, window) -> Column:
     """The middle of the sorted values in a frame, the upper one of two."""
     values = F.sort_array(F.collect_list(x).over(window))

@@ -9,6 +9,7 @@ from tessera.operators import factors, predicates, returns, universe
 from tessera.operators.crosssection import counted_spread
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X
+from tessera.sources.stored import stored
 
 DAILY = """SELECT sec, d, close, prev, CASE WHEN prev <> 0 THEN (close * COALESCE(split, 1) + COALESCE(dividend, 0)) / prev END - 1 AS r FROM (
   SELECT b.sec, b.d, b.close, lag(b.close) OVER (PARTITION BY b.sec ORDER BY b.d) AS prev, a.split, a.dividend FROM bars b LEFT JOIN (
@@ -80,6 +81,7 @@ BARS = dict(min_mktcap=3e9, min_adv=3e4, min_price=1200.0, max_gap=12)
 ELIGIBLE = "COALESCE(mktcap >= 3e9 AND adv >= 3e4 AND price >= 1200 AND gap <= 12, FALSE)"
 
 
+@stored("as_of")
 def snapshot(spark, d):
     return universe.snapshots(X.bars(spark, d), X.calendar(spark, d), X.securities(spark, d))
 
@@ -133,7 +135,11 @@ def month_return(spark, d):
     return factors.monthly_return(X.month_end(spark, d), X.calendar(spark, d)).filter("value IS NOT NULL").select("sec", "as_of", F.round("value", 8).alias("value"))
 
 
-@query("""SELECT sec, as_of, ROUND(v, 6) AS value FROM (SELECT sec, as_of, CASE WHEN COUNT(r) OVER w = 12 THEN stddev_samp(r) OVER w * sqrt(12) END AS v FROM (SELECT *, tr / tr1 - 1 AS r FROM lags) WINDOW w AS (PARTITION BY sec ORDER BY ai ROWS 11 PRECEDING)) WHERE v IS NOT NULL""", **MONTHLY)
+VOLS = """SELECT sec, as_of, CASE WHEN COUNT(r) OVER w = 12 THEN stddev_samp(r) OVER w * sqrt(12) END AS value
+  FROM (SELECT *, tr / tr1 - 1 AS r FROM lags) WINDOW w AS (PARTITION BY sec ORDER BY ai ROWS 11 PRECEDING)"""
+
+
+@query("SELECT sec, as_of, ROUND(value, 6) AS value FROM vols WHERE value IS NOT NULL", **MONTHLY, vols=VOLS)
 def vol_12m(spark, d):
     return factors.volatility(X.month_end(spark, d), X.calendar(spark, d)).filter("value IS NOT NULL").select("sec", "as_of", F.round("value", 6).alias("value"))
 
@@ -146,9 +152,14 @@ def benchmark(spark, d):
     return b.select("as_of", (F.col("v") / F.lag("v").over(Window.orderBy("ai")) - 1).alias("bench"))  # a row a month
 
 
-@query("""SELECT sec, as_of, ROUND(b, 6) AS value FROM (SELECT sec, as_of, CASE WHEN COUNT(y) OVER w >= 24 AND var_pop(y) OVER w > 1e-10::DOUBLE THEN covar_samp(x, y) OVER w / var_pop(y) OVER w END AS b FROM (
-  SELECT sec, l.as_of, ai, CASE WHEN bench IS NOT NULL THEN tr / tr1 - 1 END AS x, CASE WHEN tr / tr1 IS NOT NULL THEN bench END AS y FROM lags l LEFT JOIN bench b ON b.as_of = l.as_of) WINDOW w AS (PARTITION BY sec ORDER BY ai ROWS 35 PRECEDING)) WHERE b IS NOT NULL
-  AND as_of <= (SELECT MAX(c.as_of) FROM calendar c WHERE c.ai <= (SELECT MAX(m.ai) FROM month_end m WHERE m.sec = sec) + 12)""", **MONTHLY, bench=BENCH)
+BETAS = """SELECT sec, as_of, b AS value FROM (
+    SELECT sec, as_of, CASE WHEN COUNT(y) OVER w >= 24 AND var_pop(y) OVER w > 1e-10::DOUBLE THEN covar_samp(x, y) OVER w / var_pop(y) OVER w END AS b FROM (
+      SELECT sec, l.as_of, ai, CASE WHEN bench IS NOT NULL THEN tr / tr1 - 1 END AS x, CASE WHEN tr / tr1 IS NOT NULL THEN bench END AS y
+      FROM lags l LEFT JOIN bench b ON b.as_of = l.as_of) WINDOW w AS (PARTITION BY sec ORDER BY ai ROWS 35 PRECEDING)) o
+  WHERE as_of <= (SELECT MAX(c.as_of) FROM calendar c WHERE c.ai <= (SELECT MAX(m.ai) FROM month_end m WHERE m.sec = o.sec) + 12)"""
+
+
+@query("SELECT sec, as_of, ROUND(value, 6) AS value FROM betas WHERE value IS NOT NULL", **MONTHLY, bench=BENCH, betas=BETAS)
 def beta_36m(spark, d):
     return factors.market_beta(X.month_end(spark, d), X.calendar(spark, d), benchmark(spark, d)).filter("value IS NOT NULL").select("sec", "as_of", F.round("value", 6).alias("value"))
 

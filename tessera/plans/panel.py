@@ -1,71 +1,151 @@
-"""Queries over the factor board: signals, standardising, evaluation, composites."""
+"""Queries over the factor board: signals, standardising, evaluation, composites.
+
+The board is stored, as are the cells paired with the return that follows and
+the monthly statistics: a query reads what it evaluates and derives no more.
+"""
 
 from __future__ import annotations
 
 import datetime
+import re
 
 import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import crosssection as C
-from tessera.operators import factors, returns, stats, universe
+from tessera.operators import factors, returns, stats, temporal, universe
 from tessera.plans import history as H
 from tessera.plans import temporal as T
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X
+from tessera.sources.stored import stored
 
 #: Members with looser bars than the universe report, so that small tables have cross-sections.
 LOOSE = dict(min_mktcap=1e8, min_adv=1e3, min_price=1000.0, max_gap=40)
-MEMBERS = """SELECT s.as_of, s.sec, s.mktcap, x.sector, x.is_fin FROM snapshot s JOIN securities x ON x.sec = s.sec WHERE COALESCE(s.mktcap >= 1e8 AND s.adv >= 1e3 AND s.price >= 1000 AND s.gap <= 40, FALSE)"""
-TTM = """SELECT * FROM (SELECT *, COUNT(*) OVER w AS q, date_diff('day', MIN(period_end) OVER w, period_end) AS days, CASE WHEN COUNT(ebit) OVER w = 4 THEN SUM(ebit) OVER w END AS t_ebit, CASE WHEN COUNT(gp) OVER w = 4 THEN SUM(gp) OVER w END AS t_gp,
-  CASE WHEN COUNT(ni) OVER w = 4 THEN SUM(ni) OVER w END AS t_ni, CASE WHEN COUNT(cfo) OVER w = 4 THEN SUM(cfo) OVER w END AS t_cfo FROM (SELECT * FROM visible_ WHERE nth <= 6) WINDOW w AS (PARTITION BY sec, as_of ORDER BY period_end ROWS 3 PRECEDING)) WHERE nth = 1"""
-AGO = """SELECT v.sec, v.as_of, max_by(v.period_end, v.period_end) AS ago_end, max_by(COALESCE(v.assets, -1), v.period_end) AS ago_assets0, max_by(v.shares, v.period_end) AS ago_shares FROM visible_ v JOIN (SELECT sec, as_of, period_end FROM visible_ WHERE nth = 1) l ON l.sec = v.sec AND l.as_of = v.as_of
+#: Fewest names of a cross-section, names of a regression, months of a summary and of a track record, at the tables' scale.
+NAMES, REGRESSED, MONTHS, BURN_IN = 10, 30, 12, 12
+FACTORS = sorted(factors.REGISTRY)
+WITHOUT_FINANCIALS = [f for f in FACTORS if factors.REGISTRY[f][2]]
+MAX_AGE = 140  # days that a surprise counts
+
+
+def _in(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+MEMBERS = """SELECT s.as_of, s.sec, s.mktcap, x.sector, x.is_fin FROM snapshot s JOIN securities x ON x.sec = s.sec
+  WHERE COALESCE(s.mktcap >= 1e8 AND s.adv >= 1e3 AND s.price >= 1000 AND s.gap <= 40, FALSE)"""
+TTM = """SELECT * FROM (
+  SELECT *, COUNT(*) OVER w AS q, date_diff('day', MIN(period_end) OVER w, period_end) AS days,
+    CASE WHEN COUNT(ebit) OVER w = 4 THEN SUM(ebit) OVER w END AS t_ebit, CASE WHEN COUNT(gp) OVER w = 4 THEN SUM(gp) OVER w END AS t_gp,
+    CASE WHEN COUNT(ni) OVER w = 4 THEN SUM(ni) OVER w END AS t_ni, CASE WHEN COUNT(cfo) OVER w = 4 THEN SUM(cfo) OVER w END AS t_cfo
+  FROM (SELECT * FROM visible_ WHERE nth <= 6) WINDOW w AS (PARTITION BY sec, as_of ORDER BY period_end ROWS 3 PRECEDING)) WHERE nth = 1"""
+AGO = """SELECT v.sec, v.as_of, max_by(v.period_end, v.period_end) AS ago_end, max_by(COALESCE(v.assets, -1), v.period_end) AS ago_assets0,
+    max_by(v.shares, v.period_end) AS ago_shares
+  FROM visible_ v JOIN (SELECT sec, as_of, period_end FROM visible_ WHERE nth = 1) l ON l.sec = v.sec AND l.as_of = v.as_of
   WHERE v.nth <= 6 AND date_diff('day', v.period_end, l.period_end) BETWEEN 300 AND 430 GROUP BY 1, 2"""
-STATEMENT_VALUES = """SELECT sec, as_of, f.factor, CASE f.factor WHEN 'ebit_ev' THEN CASE WHEN ev > greatest(1e8, 0.05::DOUBLE * mktcap) AND NOT is_fin AND ta IS NOT NULL AND whole THEN t_ebit / ev END WHEN 'gp_a' THEN CASE WHEN whole THEN t_gp / ta END
-  WHEN 'accruals' THEN CASE WHEN whole THEN (t_ni - t_cfo) / CASE WHEN ago_ta IS NOT NULL THEN (ta + ago_ta) / 2 ELSE ta END END WHEN 'asset_growth' THEN ta / ago_ta - 1 WHEN 'bp' THEN CASE WHEN equity > 0 THEN equity / mktcap END
-  WHEN 'net_issuance' THEN shares_ / CASE WHEN ago_shares > 0 THEN ago_shares END - 1 END AS value FROM (
-  SELECT m.sec, m.as_of, m.mktcap, m.is_fin, m.mktcap + t.debt - t.cash AS ev, NULLIF(t.assets, 0) AS ta, NULLIF(NULLIF(a.ago_assets0, -1), 0) AS ago_ta, NULLIF(t.shares, 0) AS shares_, a.ago_shares, t.equity, t_ebit, t_gp, t_ni, t_cfo, q = 4 AND days BETWEEN 240 AND 390 AS whole
-  FROM members m JOIN ttm t ON t.sec = m.sec AND t.as_of = m.as_of LEFT JOIN ago a ON a.sec = m.sec AND a.as_of = m.as_of) CROSS JOIN (VALUES ('ebit_ev'), ('gp_a'), ('accruals'), ('asset_growth'), ('bp'), ('net_issuance')) f(factor)"""
-VALS = """SELECT v.as_of, v.sec, v.factor, v.value, m.sector, m.mktcap, m.is_fin FROM (SELECT sec, as_of, factor, value FROM svals WHERE value IS NOT NULL
-  UNION ALL SELECT sec, as_of, 'mom_12_1', tr1 / tr12 - 1 FROM lags WHERE tr1 / tr12 IS NOT NULL UNION ALL SELECT sec, as_of, 'trk_core_1m', tr / tr1 - 1 FROM lags WHERE tr / tr1 IS NOT NULL) v JOIN members m ON m.sec = v.sec AND m.as_of = v.as_of"""
-COVERED = """SELECT v.* FROM (SELECT *, COUNT(*) OVER (PARTITION BY as_of, factor) AS n FROM vals) v JOIN (SELECT as_of, COUNT(*) AS n_all, COUNT(CASE WHEN NOT is_fin THEN 1 END) AS n_non FROM members GROUP BY 1) s ON s.as_of = v.as_of
-  WHERE n >= 0.6::DOUBLE * CASE WHEN factor = 'ebit_ev' THEN n_non ELSE n_all END"""
-RANKED = f"""SELECT *, {stats.probit_sql('(rk / (n + 1))')} AS rank_norm FROM (SELECT *, rank() OVER (PARTITION BY as_of, factor ORDER BY w) + (COUNT(*) OVER (PARTITION BY as_of, factor, w) - 1) / 2::DOUBLE AS rk FROM (
-  SELECT as_of, sec, factor, sector, mktcap, n, value, greatest(quantile_cont(value, 0.01) OVER g, least(quantile_cont(value, 0.99) OVER g, value)) AS w FROM covered WINDOW g AS (PARTITION BY as_of, factor)))"""
-SECTORED = """SELECT *, CASE WHEN stddev_pop(dz) OVER g > 1e-9::DOUBLE THEN dz / stddev_pop(dz) OVER g ELSE dz END AS z_sector FROM (SELECT *, rank_norm - avg(rank_norm) OVER s AS dz, ln(mktcap) - avg(ln(mktcap)) OVER s AS x FROM ranked WINDOW s AS (PARTITION BY as_of, factor, sector)) WINDOW g AS (PARTITION BY as_of, factor)"""
-CELLS = """SELECT as_of, sec, factor, sector, mktcap, rank_norm, z_sector, CASE WHEN stddev_pop(rz) OVER g > 1e-9::DOUBLE THEN (rz - avg(rz) OVER g) / stddev_pop(rz) OVER g ELSE rz - avg(rz) OVER g END AS z FROM (
-  SELECT *, z_sector - SUM(z_sector * x) OVER g / greatest(SUM(x * x) OVER g, 1e-12::DOUBLE) * x AS rz FROM sectored WINDOW g AS (PARTITION BY as_of, factor)) WINDOW g AS (PARTITION BY as_of, factor)"""
+STATEMENT_VALUES = """SELECT sec, as_of, f.factor, CASE f.factor
+    WHEN 'ebit_ev' THEN CASE WHEN ev > greatest(1e8, 0.05::DOUBLE * mktcap) AND whole AND ta IS NOT NULL THEN t_ebit / ev END
+    WHEN 'gp_a' THEN CASE WHEN whole THEN t_gp / ta END
+    WHEN 'accruals' THEN CASE WHEN whole THEN (t_ni - t_cfo) / CASE WHEN ago_ta IS NOT NULL THEN (ta + ago_ta) / 2 ELSE ta END END
+    WHEN 'asset_growth' THEN CASE WHEN whole THEN ta / ago_ta - 1 END
+    WHEN 'bp' THEN CASE WHEN equity > 0 THEN equity / mktcap END
+    WHEN 'net_issuance' THEN shares_ / CASE WHEN ago_shares > 0 THEN ago_shares END - 1 END AS value
+  FROM (SELECT m.sec, m.as_of, m.mktcap, m.mktcap + t.debt - t.cash AS ev, NULLIF(t.assets, 0) AS ta,
+      NULLIF(NULLIF(a.ago_assets0, -1), 0) AS ago_ta, NULLIF(t.shares, 0) AS shares_, a.ago_shares, t.equity, t_ebit, t_gp, t_ni, t_cfo,
+      q = 4 AND days BETWEEN 240 AND 390 AND NOT m.is_fin AS whole
+    FROM members m JOIN ttm t ON t.sec = m.sec AND t.as_of = m.as_of LEFT JOIN ago a ON a.sec = m.sec AND a.as_of = m.as_of)
+  CROSS JOIN (VALUES ('ebit_ev'), ('gp_a'), ('accruals'), ('asset_growth'), ('bp'), ('net_issuance')) f(factor)"""
+#: Of each member the last surprise that has a score, unless it is older than MAX_AGE days.
+SUE_VALUES = f"""SELECT m.sec, m.as_of, CASE WHEN date_diff('day', r.report_date, m.as_of) <= {MAX_AGE} THEN r.sue END AS value
+  FROM members m ASOF JOIN (SELECT * FROM sue WHERE sue IS NOT NULL) r ON r.sec = m.sec AND m.as_of >= r.report_date"""
+VALS = """SELECT v.as_of, v.sec, v.factor, v.value, m.sector, m.mktcap, m.is_fin FROM (
+    SELECT sec, as_of, factor, value FROM svals
+    UNION ALL SELECT sec, as_of, 'mom_12_1', tr1 / tr12 - 1 FROM lags UNION ALL SELECT sec, as_of, 'trk_core_1m', tr / tr1 - 1 FROM lags
+    UNION ALL SELECT sec, as_of, 'sue', value FROM sue_values UNION ALL SELECT sec, as_of, 'vol_12m', value FROM vols
+    UNION ALL SELECT sec, as_of, 'beta_36m', value FROM betas) v
+  JOIN members m ON m.sec = v.sec AND m.as_of = v.as_of WHERE v.value IS NOT NULL"""
+COVERED = f"""SELECT v.* FROM (SELECT *, COUNT(*) OVER (PARTITION BY as_of, factor) AS n FROM vals) v
+  JOIN (SELECT as_of, COUNT(*) AS n_all, COUNT(CASE WHEN NOT is_fin THEN 1 END) AS n_non FROM members GROUP BY 1) s ON s.as_of = v.as_of
+  WHERE n >= 0.6::DOUBLE * CASE WHEN factor IN ({_in(WITHOUT_FINANCIALS)}) THEN n_non ELSE n_all END"""
+RANKED = f"""SELECT *, {stats.probit_sql('(rk / (n + 1))')} AS rank_norm FROM (
+  SELECT *, rank() OVER (PARTITION BY as_of, factor ORDER BY w) + (COUNT(*) OVER (PARTITION BY as_of, factor, w) - 1) / 2::DOUBLE AS rk FROM (
+    SELECT as_of, sec, factor, sector, mktcap, n, value, greatest(quantile_cont(value, 0.01) OVER g, least(quantile_cont(value, 0.99) OVER g, value)) AS w
+    FROM covered WINDOW g AS (PARTITION BY as_of, factor)))"""
+SECTORED = """SELECT *, CASE WHEN stddev_pop(dz) OVER g > 1e-9::DOUBLE THEN dz / stddev_pop(dz) OVER g ELSE dz END AS z_sector FROM (
+  SELECT *, rank_norm - avg(rank_norm) OVER s AS dz, ln(mktcap) - avg(ln(mktcap)) OVER s AS x FROM ranked WINDOW s AS (PARTITION BY as_of, factor, sector))
+  WINDOW g AS (PARTITION BY as_of, factor)"""
+CELLS = """SELECT as_of, sec, factor, sector, mktcap, rank_norm, z_sector,
+    CASE WHEN stddev_pop(rz) OVER g > 1e-9::DOUBLE THEN (rz - avg(rz) OVER g) / stddev_pop(rz) OVER g ELSE rz - avg(rz) OVER g END AS z
+  FROM (SELECT *, z_sector - SUM(z_sector * x) OVER g / greatest(SUM(x * x) OVER g, 1e-12::DOUBLE) * x AS rz FROM sectored WINDOW g AS (PARTITION BY as_of, factor))
+  WINDOW g AS (PARTITION BY as_of, factor)"""
 BASE = dict(**H.UNIVERSE, visible_=T.VISIBLE, members=MEMBERS, ttm=TTM, ago=AGO)
-BOARD = dict(**BASE, **H.MONTHLY, svals=STATEMENT_VALUES, vals=VALS, covered=COVERED, ranked=RANKED, sectored=SECTORED, cells=CELLS)
+SIGNALS = dict(svals=STATEMENT_VALUES, bench=H.BENCH, vols=H.VOLS, betas=H.BETAS, sue=H.SUE, sue_values=SUE_VALUES, vals=VALS)
+BOARD = dict(**BASE, **H.MONTHLY, **SIGNALS, covered=COVERED, ranked=RANKED, sectored=SECTORED, cells=CELLS)
 #: Evaluated on what no rounding can reorder: signals as ranks are rounded first.
-PAIRED = "SELECT c.as_of, c.sec, c.factor, ROUND(c.z, 9) AS z, l.nxt / l.tr - 1 AS fwd FROM cells c JOIN lags l ON l.sec = c.sec AND l.as_of = c.as_of WHERE l.nxt / l.tr IS NOT NULL"
-ICS = """SELECT factor, as_of, corr(ra, rb) AS ic, COUNT(*) AS n FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY z, sec) AS DOUBLE) AS ra, CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY fwd, sec) AS DOUBLE) AS rb FROM paired) GROUP BY 1, 2 HAVING COUNT(*) >= 10"""
-LS = """SELECT factor, as_of, COUNT(*) AS n, avg(CASE WHEN z >= hi THEN fwd END) AS top, avg(CASE WHEN z <= lo THEN fwd END) AS bottom FROM (SELECT *, quantile_cont(z, 0.9) OVER g AS hi, quantile_cont(z, 0.1) OVER g AS lo FROM paired WINDOW g AS (PARTITION BY factor, as_of)) GROUP BY 1, 2 HAVING COUNT(*) >= 10"""
+PAIRED = """SELECT c.as_of, c.sec, c.factor, ROUND(c.z, 9) AS z, l.nxt / l.tr - 1 AS fwd
+  FROM cells c JOIN lags l ON l.sec = c.sec AND l.as_of = c.as_of WHERE l.nxt / l.tr IS NOT NULL"""
+ICS = f"""SELECT factor, as_of, corr(ra, rb) AS ic, COUNT(*) AS n FROM (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY z, sec) AS DOUBLE) AS ra,
+    CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY fwd, sec) AS DOUBLE) AS rb FROM paired) GROUP BY 1, 2 HAVING COUNT(*) >= {NAMES}"""
+LS = f"""SELECT factor, as_of, COUNT(*) AS n, avg(CASE WHEN z >= hi THEN fwd END) AS top, avg(CASE WHEN z <= lo THEN fwd END) AS bottom FROM (
+  SELECT *, quantile_cont(z, 0.9) OVER g AS hi, quantile_cont(z, 0.1) OVER g AS lo FROM paired WINDOW g AS (PARTITION BY factor, as_of))
+  GROUP BY 1, 2 HAVING COUNT(*) >= {NAMES}"""
 EVAL = dict(**BOARD, paired=PAIRED, ics=ICS, lsq=LS)
 
 
+@stored("as_of")
 def members(spark, d):
     x = X.securities(spark, d).select("sec", "sector", "is_fin")
     return H.snapshot(spark, d).filter(universe.eligible(**LOOSE)).join(x, "sec").select("as_of", "sec", "mktcap", "sector", "is_fin")
 
 
+def sue_values(spark, d):
+    """Of each member the last surprise with a score by then, if recent enough."""
+    reports = factors.standardised_surprise(X.surprises(spark, d)).filter("sue IS NOT NULL").select("sec", "report_date", "sue")
+    rows = temporal.asof_backward(members(spark, d).select("sec", "as_of"), reports, "sec", "as_of", "report_date", ["sue"], MAX_AGE)
+    return rows.select("sec", "as_of", F.lit("sue").alias("factor"), F.col("sue").alias("value"))
+
+
+@stored("as_of")
 def board_values(spark, d):
+    """Every signal of the registry, as far as members have it."""
     m, cells, grid = members(spark, d), X.month_end(spark, d), X.calendar(spark, d)
-    named = lambda df, f: df.filter("value IS NOT NULL").select("sec", "as_of", F.lit(f).alias("factor"), "value")
-    values = factors.statement_factors(T.visible(spark, d), m.select("sec", "as_of", "mktcap", "is_fin"))
-    values = values.unionByName(named(returns.momentum(cells, grid), "mom_12_1")).unionByName(named(factors.monthly_return(cells, grid), "trk_core_1m"))
-    return values.join(m, ["sec", "as_of"])
+    values = factors.statement_factors(T.visible(spark, d), m.select("sec", "as_of", "mktcap", "is_fin")).unionByName(sue_values(spark, d))
+    for name, rows in (
+        ("mom_12_1", returns.momentum(cells, grid)), ("trk_core_1m", factors.monthly_return(cells, grid)),
+        ("vol_12m", factors.volatility(cells, grid)), ("beta_36m", factors.market_beta(cells, grid, H.benchmark(spark, d))),
+    ):
+        values = values.unionByName(rows.select("sec", "as_of", F.lit(name).alias("factor"), "value"))
+    return values.filter("value IS NOT NULL").join(m, ["sec", "as_of"])
+
+
+def covered(spark, d):
+    return C.covered(board_values(spark, d), members(spark, d), 0.6, WITHOUT_FINANCIALS)
 
 
+@stored("as_of")
 def board(spark, d):
-    rows = C.covered(board_values(spark, d), members(spark, d), 0.6, ["ebit_ev"])
-    return C.standardise(rows).withColumnRenamed("z_sector_size", "z")
+    return C.standardise(covered(spark, d)).withColumnRenamed("z_sector_size", "z")
 
 
+@stored("as_of")
 def paired(spark, d):
+    """The board's cells of complete months with the return that follows."""
     fwd = returns.forward_returns(X.month_end(spark, d), X.calendar(spark, d)).filter("fwd IS NOT NULL").select("sec", "as_of", "fwd")
-    return board(spark, d).select("as_of", "sec", "factor", F.round("z", 9).alias("z")).join(fwd, ["sec", "as_of"])
+    cells = universe.complete_months(board(spark, d), F.current_date())
+    return cells.select("as_of", "sec", "factor", F.round("z", 9).alias("z")).join(fwd, ["sec", "as_of"])
+
+
+@stored()
+def ics(spark, d):
+    return C.rank_ic(paired(spark, d), ["factor", "as_of"], "z", "fwd", NAMES)
+
+
+@stored()
+def spreads(spark, d):
+    return C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", NAMES)
 
 
 def _rounded(df, *cols, to=6):
@@ -91,7 +171,7 @@ def statement_factors(spark, d):
 
 @query("SELECT factor, as_of, COUNT(*) AS n FROM covered GROUP BY 1, 2", **BOARD)
 def coverage_filter(spark, d):
-    return C.covered(board_values(spark, d), members(spark, d), 0.6, ["ebit_ev"]).groupBy("factor", "as_of").agg(F.count("*").alias("n"))
+    return covered(spark, d).groupBy("factor", "as_of").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT as_of, ROUND(ratio, 6) AS ratio, ratio BETWEEN 0.55::DOUBLE AND 0.65::DOUBLE AS knife_edge FROM (SELECT m.as_of, COUNT(v.value) / CAST(COUNT(*) AS DOUBLE) AS ratio FROM members m LEFT JOIN (SELECT * FROM svals WHERE factor = 'gp_a') v ON v.sec = m.sec AND v.as_of = m.as_of GROUP BY 1)""", **BASE, svals=STATEMENT_VALUES)
@@ -104,7 +184,7 @@ def coverage_ratio(spark, d):
 
 @query("SELECT as_of, sec, factor, ROUND(w, 8) AS w FROM ranked", **BOARD)
 def winsorize(spark, d):
-    rows = C.covered(board_values(spark, d), members(spark, d), 0.6, ["ebit_ev"])
+    rows = covered(spark, d)
     return rows.select("as_of", "sec", "factor", F.round(stats.winsorized(F.col("value"), ["as_of", "factor"]), 8).alias("w"))
 
 
@@ -120,12 +200,12 @@ def sector_size_neutral(spark, d):
 
 @query("SELECT factor, as_of, ROUND(ic, 6) AS ic, n FROM ics", **EVAL)
 def ic_monthly(spark, d):
-    return _rounded(C.rank_ic(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10), "ic")
+    return _rounded(ics(spark, d), "ic")
 
 
 @query("SELECT factor, as_of, n, ROUND(top, 6) AS top, ROUND(bottom, 6) AS bottom, ROUND(top - bottom, 6) AS ls FROM lsq", **EVAL)
 def ls_quantile(spark, d):
-    return _rounded(C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10), "top", "bottom", "ls")
+    return _rounded(spreads(spark, d), "top", "bottom", "ls")
 
 
 def _newey_west_sql(lags: int, source: str) -> str:
@@ -136,17 +216,14 @@ def _newey_west_sql(lags: int, source: str) -> str:
 
 @query(f"SELECT factor, n, ROUND(mean, 6) AS mean, ROUND(t, 5) AS t FROM ({_newey_west_sql(3, 'SELECT factor, as_of, ic AS v FROM ics')})", **EVAL)
 def ic_newey_west(spark, d):
-    ics = C.rank_ic(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
-    return stats.newey_west(ics, "ic", "as_of", ["factor"], 3).select("factor", "n", F.round("mean", 6).alias("mean"), F.round("t", 5).alias("t"))
+    return stats.newey_west(ics(spark, d), "ic", "as_of", ["factor"], 3).select("factor", "n", F.round("mean", 6).alias("mean"), F.round("t", 5).alias("t"))
 
 
 @query(f"""SELECT g.factor, months, ROUND(mean_ic, 6) AS mean_ic, ROUND(mean_ic / sd, 5) AS icir, ROUND(a.t, 5) AS ic_t, ROUND(12 * m, 6) AS ls_ann, ROUND(b.t, 5) AS ls_t FROM (
   SELECT i.factor, COUNT(ic) AS months, avg(ic) AS mean_ic, stddev_pop(ic) AS sd, avg(top - bottom) AS m FROM ics i JOIN lsq USING (factor, as_of) GROUP BY 1 HAVING COUNT(ic) >= 12) g
   JOIN ({_newey_west_sql(0, 'SELECT factor, as_of, ic AS v FROM ics')}) a ON a.factor = g.factor JOIN ({_newey_west_sql(0, 'SELECT factor, as_of, top - bottom AS v FROM lsq')}) b ON b.factor = g.factor""", **EVAL)
 def factor_summary(spark, d):
-    p = paired(spark, d)
-    ics = C.rank_ic(p, ["factor", "as_of"], "z", "fwd", 10).drop("n")
-    monthly = ics.join(C.quantile_spread(p, ["factor", "as_of"], "z", "fwd", 10).select("factor", "as_of", "ls"), ["factor", "as_of"])
+    monthly = ics(spark, d).drop("n").join(spreads(spark, d).select("factor", "as_of", "ls"), ["factor", "as_of"])
     s = C.summary(monthly, "factor", 12)
     return s.select("factor", "months", F.round("mean_ic", 6).alias("mean_ic"), F.round("icir", 5).alias("icir"), F.round("ic_t", 5).alias("ic_t"), F.round("ls_ann", 6).alias("ls_ann"), F.round("ls_t", 5).alias("ls_t"))
 
@@ -173,34 +250,61 @@ def fm_two_factor(spark, d):
     return g.select("as_of", "n", F.round((u - F.col("r") * v) / det, 7).alias("beta_mom"), F.round((v - F.col("r") * u) / det, 7).alias("beta_bp"))
 
 
-FM_FACTORS = ["mom_12_1", "bp", "trk_core_1m"]
-
-
-def _fm(spark, d):
-    p = paired(spark, d)
-    wide = p.filter(F.col("factor").isin(FM_FACTORS)).groupBy("as_of", "sec").pivot("factor", FM_FACTORS).agg(F.first("z"))
-    fwd = p.groupBy("as_of", "sec").agg(F.first("fwd").alias("fwd"))
-    return stats.grouped_ols(wide.join(fwd, ["as_of", "sec"]), "fwd", FM_FACTORS, "as_of", 10)
-
-
-@query()
+def _least_squares_sql() -> dict[str, str]:
+    """Least squares of the return on all factors by Gauss and Jordan, a step a
+    factor, on the correlations of the complete cases of each month."""
+    k = len(FACTORS)
+    out = {
+        "complete": f"SELECT * FROM paired QUALIFY COUNT(*) OVER (PARTITION BY as_of, sec) = {k}",
+        "columns_": f"""SELECT as_of, sec, list_position([{_in(FACTORS)}], factor) AS k, z AS v FROM complete
+    UNION ALL SELECT as_of, sec, {k + 1}, MAX(fwd) FROM complete GROUP BY 1, 2""",
+        "system0": f"""SELECT a.as_of, a.k AS i, b.k AS j, COUNT(*) AS n, CASE WHEN stddev_pop(a.v) > 1e-9::DOUBLE AND (b.k > {k} OR stddev_pop(b.v) > 1e-9::DOUBLE)
+      THEN covar_pop(a.v, b.v) / stddev_pop(a.v) / CASE WHEN b.k > {k} THEN 1 ELSE stddev_pop(b.v) END ELSE 0 END AS v
+    FROM columns_ a JOIN columns_ b ON b.as_of = a.as_of AND b.sec = a.sec WHERE a.k <= {k} GROUP BY 1, 2, 3 HAVING COUNT(*) >= {REGRESSED}""",
+    }
+    for s in range(1, k + 1):
+        out[f"system{s}"] = f"""SELECT a.as_of, a.i, a.j, a.n, CASE WHEN p.v <= 1e-9::DOUBLE THEN CASE WHEN a.i = {s} THEN 0 ELSE a.v END
+      WHEN a.i = {s} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v
+    FROM system{s - 1} a JOIN system{s - 1} p ON p.as_of = a.as_of AND p.i = {s} AND p.j = {s}
+    JOIN system{s - 1} r ON r.as_of = a.as_of AND r.i = {s} AND r.j = a.j JOIN system{s - 1} c ON c.as_of = a.as_of AND c.i = a.i AND c.j = {s}"""
+    out["fm"] = f"""SELECT as_of, [{_in(FACTORS)}][i] AS term, v AS beta, n FROM system{k} WHERE j = {k + 1}
+    UNION ALL SELECT as_of, 'intercept', avg(v), COUNT(*) FROM columns_ WHERE k = {k + 1} GROUP BY 1 HAVING COUNT(*) >= {REGRESSED}"""
+    return out
+
+
+REGRESSION = dict(**EVAL, **_least_squares_sql())
+
+
+@stored()
+def fm_betas(spark, d):
+    """Each month's slopes on all factors of the registry, over the names that
+    have every one of them."""
+    wide = paired(spark, d).groupBy("as_of", "sec").pivot("factor", FACTORS).agg(F.first("z").alias("z"), F.first("fwd").alias("fwd"))
+    names = [F.col(f"{f}_z").alias(f) for f in FACTORS]
+    rows = wide.select("as_of", "sec", *names, F.col(f"{FACTORS[0]}_fwd").alias("fwd"))
+    return stats.grouped_ols(rows, "fwd", FACTORS, "as_of", REGRESSED)
+
+
+@query("SELECT as_of, term, ROUND(beta, 6) AS beta, n FROM fm", **REGRESSION)
 def fm_multi(spark, d):
-    return _fm(spark, d).select("as_of", "term", F.round("beta", 7).alias("beta"), "n")
+    return fm_betas(spark, d).select("as_of", "term", F.round("beta", 6).alias("beta"), "n")
 
 
-@query()
+@query(f"SELECT factor AS term, n, ROUND(mean, 6) AS mean, ROUND(t, 4) AS t FROM ({_newey_west_sql(3, 'SELECT term AS factor, as_of, beta AS v FROM fm')})", **REGRESSION)
 def fm_multi_newey_west(spark, d):
-    rows = stats.newey_west(_fm(spark, d), "beta", "as_of", ["term"], 3)
-    return rows.select("term", "n", F.round("mean", 7).alias("mean"), F.round("t", 4).alias("t"))
+    rows = stats.newey_west(fm_betas(spark, d), "beta", "as_of", ["term"], 3)
+    return rows.select("term", "n", F.round("mean", 6).alias("mean"), F.round("t", 4).alias("t"))
 
 
 @query()
 def bootstrap_ci(spark, d):
-    ls = C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
+    ls = spreads(spark, d)
     return _rounded(stats.block_bootstrap(ls, "ls", "as_of", "factor"), "low", "high")
 
 
-REDUNDANCY = """SELECT a, b, avg(abs(r)) AS rho, COUNT(*) AS months FROM (SELECT x.factor AS a, y.factor AS b, x.as_of, corr(x.z, y.z) AS r FROM cells x JOIN cells y ON x.as_of = y.as_of AND x.sec = y.sec AND x.factor < y.factor GROUP BY 1, 2, 3 HAVING COUNT(*) >= 2 AND NOT isnan(corr(x.z, y.z))) WHERE r IS NOT NULL GROUP BY 1, 2"""
+REDUNDANCY = """SELECT a, b, avg(abs(r)) AS rho, COUNT(*) AS months FROM (
+    SELECT x.factor AS a, y.factor AS b, x.as_of, CASE WHEN stddev_pop(x.z) > 1e-9::DOUBLE AND stddev_pop(y.z) > 1e-9::DOUBLE THEN covar_pop(x.z, y.z) / (stddev_pop(x.z) * stddev_pop(y.z)) END AS r
+    FROM cells x JOIN cells y ON x.as_of = y.as_of AND x.sec = y.sec AND x.factor < y.factor GROUP BY 1, 2, 3) WHERE r IS NOT NULL GROUP BY 1, 2"""
 
 
 @query("SELECT a, b, ROUND(rho, 6) AS rho, months FROM red", **BOARD, red=REDUNDANCY)
@@ -221,96 +325,224 @@ def clusters(spark, d):
     return spark.createDataFrame(out, "cut double, cluster int, members string")
 
 
-SIGNS = {"mom_12_1": 1, "bp": 1, "asset_growth": -1, "accruals": -1}
-SIGNS_SQL = "CASE factor WHEN 'mom_12_1' THEN 1 WHEN 'bp' THEN 1 ELSE -1 END"
-SIGNED = f"SELECT as_of, sec, factor, {SIGNS_SQL} * z AS z FROM paired WHERE factor IN ('mom_12_1', 'bp', 'asset_growth', 'accruals')"
-SCORED_EW = "SELECT as_of, sec, ROUND(SUM(z) / COUNT(*), 9) AS score FROM signed GROUP BY 1, 2 HAVING COUNT(*) >= 3"
-COUNTED = """SELECT as_of, n, avg(CASE WHEN r > n - k THEN fwd END) AS top, avg(CASE WHEN r <= k THEN fwd END) AS bottom FROM (SELECT s.as_of, f.fwd, ROW_NUMBER() OVER (PARTITION BY s.as_of ORDER BY s.score, s.sec) AS r, COUNT(*) OVER (PARTITION BY s.as_of) AS n,
-  greatest(COUNT(*) OVER (PARTITION BY s.as_of) // 10, 1) AS k FROM scored s JOIN (SELECT DISTINCT as_of, sec, fwd FROM paired) f ON f.as_of = s.as_of AND f.sec = s.sec) WHERE n >= 10 GROUP BY as_of, n"""
+#: The registered composites: their members, and how many of them a name needs.
+COMPOSITES = {"a": (["mom_12_1", "gp_a", "sue", "net_issuance"], 3), "b": (["mom_12_1", "gp_a", "sue", "net_issuance", "ebit_ev", "bp"], 4)}
+SIGNS = {f: factors.REGISTRY[f][1] for f in FACTORS}
+SIGN_SQL = f"CASE WHEN factor IN ({_in(f for f in FACTORS if SIGNS[f] < 0)}) THEN -1 ELSE 1 END"
 
 
-def _spread(spark, d, weights=None):
-    p = paired(spark, d)
-    scored = C.composite(p, SIGNS, "z", 3, weights).withColumn("score", F.round("score", 9))
-    fwd = p.select("as_of", "sec", "fwd").distinct()
-    return C.counted_spread(scored.join(fwd, ["as_of", "sec"]), ["as_of"], "score", "fwd", 10)
+def _composite_sql(which: str, weighted: bool) -> dict[str, str]:
+    names, least = COMPOSITES[which]
+    signed = f"SELECT as_of, sec, factor, fwd, {SIGN_SQL} * z AS z FROM paired WHERE factor IN ({_in(names)})"
+    # every member has a weight at every month: that of the months before it
+    weights = f"""SELECT as_of, factor, CASE WHEN MIN(n) OVER g < {BURN_IN} OR SUM(m) OVER g <= 1e-9::DOUBLE THEN 1::DOUBLE / COUNT(*) OVER g ELSE m / SUM(m) OVER g END AS weight FROM (
+    SELECT c.as_of, f.factor, greatest(COALESCE(avg(i.ic) OVER w, 0), 0) AS m, COUNT(i.ic) OVER w AS n
+    FROM calendar c CROSS JOIN (SELECT unnest([{_in(names)}]) AS factor) f LEFT JOIN (SELECT factor, as_of, {SIGN_SQL} * ic AS ic FROM ics) i ON i.as_of = c.as_of AND i.factor = f.factor
+    WINDOW w AS (PARTITION BY f.factor ORDER BY c.as_of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WINDOW g AS (PARTITION BY as_of)"""
+    equal = f"SELECT as_of, factor, 1::DOUBLE AS weight FROM calendar CROSS JOIN (SELECT unnest([{_in(names)}]) AS factor)"
+    scored = f"""SELECT s.as_of, s.sec, MAX(fwd) AS fwd, ROUND(SUM(z * weight) / CASE WHEN SUM(weight) > 1e-9::DOUBLE THEN SUM(weight) ELSE 1 END, 9) AS score
+    FROM signed s JOIN weights_ w ON w.as_of = s.as_of AND w.factor = s.factor GROUP BY 1, 2 HAVING COUNT(*) >= {least}"""
+    counted = f"""SELECT as_of, n, avg(CASE WHEN r > n - k THEN fwd END) - avg(CASE WHEN r <= k THEN fwd END) AS ls FROM (
+    SELECT as_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM scored)
+    WHERE n >= {NAMES} GROUP BY as_of, n"""
+    return dict(signed=signed, weights_=weights if weighted else equal, scored=scored, counted=counted)
 
 
-@query("SELECT as_of, n, ROUND(top - bottom, 6) AS ls FROM counted", **EVAL, signed=SIGNED, scored=SCORED_EW, counted=COUNTED)
-def composite_ew(spark, d):
-    return _rounded(_spread(spark, d).select("as_of", "n", "ls"), "ls")
+def weights(spark, d, which):
+    names = COMPOSITES[which][0]
+    return C.walk_forward_weights(ics(spark, d), X.calendar(spark, d).select("as_of"), {f: SIGNS[f] for f in names}, BURN_IN)
 
 
-WEIGHTS = f"""SELECT as_of, factor, CASE WHEN MIN(n) OVER g < 12 OR COUNT(*) OVER g < 4 OR SUM(m) OVER g <= 0 THEN 1::DOUBLE / COUNT(*) OVER g ELSE m / SUM(m) OVER g END AS weight FROM (
-  SELECT as_of, factor, greatest(avg({SIGNS_SQL} * ic) OVER w, 0) AS m, COUNT(ic) OVER w AS n FROM ics WHERE factor IN ('mom_12_1', 'bp', 'asset_growth', 'accruals') WINDOW w AS (PARTITION BY factor ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WINDOW g AS (PARTITION BY as_of)"""
+def scored(spark, d, which, weighted):
+    names, least = COMPOSITES[which]
+    rows = C.composite(paired(spark, d), {f: SIGNS[f] for f in names}, "z", least, weights(spark, d, which) if weighted else None, keep="fwd")
+    return rows.withColumn("score", F.round("score", 9))
 
 
-@query("SELECT as_of, factor, ROUND(weight, 7) AS weight FROM weights_", **EVAL, weights_=WEIGHTS)
-def walk_forward_weights(spark, d):
-    ics = C.rank_ic(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
-    return _rounded(C.walk_forward_weights(ics, SIGNS, 12), "weight", to=7)
+def _spread(spark, d, which, weighted):
+    return C.counted_spread(scored(spark, d, which, weighted), ["as_of"], "score", "fwd", NAMES).select("as_of", "n", "ls")
 
 
-SCORED_IC = "SELECT s.as_of, s.sec, ROUND(SUM(z * weight) / SUM(weight), 9) AS score FROM signed s JOIN weights_ w ON w.as_of = s.as_of AND w.factor = s.factor GROUP BY 1, 2 HAVING COUNT(*) >= 3 AND SUM(weight) > 0"
+def _composite(name: str, which: str, weighted: bool):
+    def run(spark, d):
+        return _rounded(_spread(spark, d, which, weighted), "ls")
 
+    run.__name__, run.__module__ = name, __name__
+    return query("SELECT as_of, n, ROUND(ls, 6) AS ls FROM counted", **EVAL, **_composite_sql(which, weighted))(run)
 
-@query("SELECT as_of, n, ROUND(top - bottom, 6) AS ls FROM counted", **EVAL, signed=SIGNED, weights_=WEIGHTS, scored=SCORED_IC, counted=COUNTED)
-def composite_icw(spark, d):
-    ics = C.rank_ic(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
-    return _rounded(_spread(spark, d, C.walk_forward_weights(ics, SIGNS, 12)).select("as_of", "n", "ls"), "ls")
+
+composite_a_ew = _composite("composite_a_ew", "a", False)
+composite_a_icw = _composite("composite_a_icw", "a", True)
+composite_b_ew = _composite("composite_b_ew", "b", False)
+composite_b_icw = _composite("composite_b_icw", "b", True)
+
+
+@query("SELECT as_of, factor, ROUND(weight, 7) AS weight FROM weights_", **EVAL, **_composite_sql("b", True))
+def walk_forward_weights(spark, d):
+    return _rounded(weights(spark, d, "b"), "weight", to=7)
 
 
 HOLDOUT = datetime.date(2000, 7, 31)
 
 
-@query("""SELECT as_of > DATE '2000-07-31' AS holdout, COUNT(*) AS months, ROUND(12 * avg(top - bottom), 6) AS ann, ROUND(stddev_pop(top - bottom) * sqrt(12), 6) AS vol, ROUND(MIN(top - bottom), 6) AS worst FROM counted GROUP BY 1""", **EVAL, signed=SIGNED, scored=SCORED_EW, counted=COUNTED)
+@query("""SELECT as_of > DATE '2000-07-31' AS holdout, COUNT(*) AS months, ROUND(12 * avg(ls), 6) AS ann, ROUND(stddev_pop(ls) * sqrt(12), 6) AS vol,
+  ROUND(MIN(ls), 6) AS worst FROM counted GROUP BY 1""", **EVAL, **_composite_sql("a", False))
 def masked_holdout(spark, d):
-    g = _spread(spark, d).groupBy((F.col("as_of") > F.lit(HOLDOUT)).alias("holdout"))
-    return g.agg(F.count("*").alias("months"), F.round(12 * F.avg("ls"), 6).alias("ann"), F.round(F.stddev_pop("ls") * F.sqrt(F.lit(12.0)), 6).alias("vol"), F.round(F.min("ls"), 6).alias("worst"))
+    g = _spread(spark, d, "a", False).groupBy((F.col("as_of") > F.lit(HOLDOUT)).alias("holdout"))
+    vol = F.round(F.stddev_pop("ls") * F.sqrt(F.lit(12.0)), 6).alias("vol")
+    return g.agg(F.count("*").alias("months"), F.round(12 * F.avg("ls"), 6).alias("ann"), vol, F.round(F.min("ls"), 6).alias("worst"))
 
 
-@query("SELECT factor, as_of, ROUND(product(1 + ls) OVER (PARTITION BY factor ORDER BY as_of ROWS UNBOUNDED PRECEDING), 4) AS curve FROM (SELECT factor, as_of, ROUND(top - bottom, 6) AS ls FROM lsq)", **EVAL)
+@query("""SELECT factor, as_of, ROUND(product(1 + ls) OVER (PARTITION BY factor ORDER BY as_of ROWS UNBOUNDED PRECEDING), 4) AS curve FROM (
+  SELECT factor, as_of, ROUND(top - bottom, 6) AS ls FROM lsq)""", **EVAL)
 def equity_curve(spark, d):
-    ls = C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10).withColumn("ls", F.round("ls", 6))
-    return C.equity_curve(ls, "factor", "ls").select("factor", "as_of", "curve")
+    return C.equity_curve(spreads(spark, d).withColumn("ls", F.round("ls", 6)), "factor", "ls").select("factor", "as_of", "curve")
+
+
+_CURVE = "SELECT as_of, ROUND(product(1 + ROUND(ls, 6)) OVER (ORDER BY as_of ROWS UNBOUNDED PRECEDING), 4) AS curve, as_of > DATE '2000-07-31' AS holdout FROM counted"
+
+
+def _all_composites_sql() -> tuple[str, dict[str, str]]:
+    """One statement for the four: their parts under names of their own."""
+    parts, ctes = [], {}
+    for which in COMPOSITES:
+        for weighted in (False, True):
+            tag = f"{which}_{'icw' if weighted else 'ew'}"
+            own = _composite_sql(which, weighted)
+            for name, sql in own.items():
+                for other in own:
+                    sql = re.sub(rf"(FROM|JOIN) {other}\b", rf"\1 {other}_{tag}", sql)
+                ctes[f"{name}_{tag}"] = sql
+            parts.append(f"SELECT '{tag}' AS composite, * FROM ({_CURVE.replace('FROM counted', f'FROM counted_{tag}')})")
+    return " UNION ALL ".join(parts), ctes
+
+
+_CURVES_SQL, _CURVES_CTES = _all_composites_sql()
 
 
-@query("""SELECT as_of, sec, side, symbol, ROUND(score, 6) AS score FROM (SELECT p.*, CASE WHEN r > n - k THEN 'long' WHEN r <= k THEN 'short' END AS side, m.symbol FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, least(greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1), 25) AS k FROM scored WHERE as_of = (SELECT MAX(as_of) FROM scored)) p
-  LEFT JOIN (SELECT sec, arg_max(symbol, (valid_from, symbol)) AS symbol FROM symbol_map GROUP BY 1) m ON m.sec = p.sec) WHERE side IS NOT NULL""", **EVAL, signed=SIGNED, scored=SCORED_EW)
+@query(_CURVES_SQL, **EVAL, **_CURVES_CTES)
+def composite_curves(spark, d):
+    """The curves of the four composites and where their holdout begins."""
+    out = None
+    for which in COMPOSITES:
+        for weighted in (False, True):
+            tag = f"{which}_{'icw' if weighted else 'ew'}"
+            one = _rounded(_spread(spark, d, which, weighted), "ls").withColumn("composite", F.lit(tag))
+            out = one if out is None else out.unionByName(one)
+    return C.equity_curve(out, "composite", "ls").select("composite", "as_of", "curve", (F.col("as_of") > F.lit(HOLDOUT)).alias("holdout"))
+
+
+@query("""SELECT p.as_of, p.sec, side, m.symbol, x.sector, ROUND(score, 6) AS score FROM (SELECT *, CASE WHEN r > n - k THEN 'long' WHEN r <= k THEN 'short' END AS side FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, least(greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1), 25) AS k
+  FROM scored WHERE as_of = (SELECT MAX(as_of) FROM scored))) p
+  LEFT JOIN (SELECT sec, arg_max(symbol, (valid_from, symbol)) AS symbol FROM symbol_map GROUP BY 1) m ON m.sec = p.sec JOIN securities x ON x.sec = p.sec
+  WHERE side IS NOT NULL""", **EVAL, **_composite_sql("a", False))
 def portfolio_top_bottom(spark, d):
-    scored = C.composite(paired(spark, d), SIGNS, "z", 3).withColumn("score", F.round("score", 9))
-    last = scored.agg(F.max("as_of").alias("as_of"))
+    rows = scored(spark, d, "a", False)
+    last = rows.agg(F.max("as_of").alias("as_of"))
     w = Window.partitionBy("as_of")
-    rows = scored.join(F.broadcast(last), "as_of").withColumn("r", F.row_number().over(w.orderBy("score", "sec"))).withColumn("n", F.count("*").over(w))  # one row is broadcast
+    rows = rows.join(F.broadcast(last), "as_of")  # one row is broadcast
+    rows = rows.withColumn("r", F.row_number().over(w.orderBy("score", "sec"))).withColumn("n", F.count("*").over(w))
     k = F.least(F.greatest(F.floor(F.col("n") / 10), F.lit(1)), F.lit(25))
     rows = rows.withColumn("side", F.when(F.col("r") > F.col("n") - k, "long").when(F.col("r") <= k, "short")).filter("side IS NOT NULL")
     sym = X.symbol_map(spark, d).groupBy("sec").agg(F.max(F.struct("valid_from", "symbol"))["symbol"].alias("symbol"))
-    return rows.join(sym, "sec", "left").select("as_of", "sec", "side", "symbol", F.round("score", 6).alias("score"))
+    named = rows.join(sym, "sec", "left").join(X.securities(spark, d).select("sec", "sector"), "sec")
+    return named.select("as_of", "sec", "side", "symbol", "sector", F.round("score", 6).alias("score"))
 
 
-@query("SELECT factor, as_of, ROUND(ls, 6) AS ls FROM (SELECT factor, as_of, top - bottom AS ls, ROW_NUMBER() OVER (PARTITION BY factor ORDER BY top - bottom, as_of) AS r FROM lsq) WHERE r <= 5", **EVAL)
+@query("""SELECT factor, as_of, ROUND(ls, 6) AS ls FROM (SELECT factor, as_of, top - bottom AS ls, ROW_NUMBER() OVER (PARTITION BY factor ORDER BY top - bottom, as_of) AS r FROM lsq) WHERE r <= 5""", **EVAL)
 def worst_months(spark, d):
-    ls = C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
-    rows = ls.withColumn("r", F.row_number().over(Window.partitionBy("factor").orderBy("ls", "as_of"))).filter("r <= 5")
+    rows = spreads(spark, d).withColumn("r", F.row_number().over(Window.partitionBy("factor").orderBy("ls", "as_of"))).filter("r <= 5")
     return _rounded(rows.select("factor", "as_of", "ls"), "ls")
 
 
 EXTERNAL = "SELECT date_trunc('month', d) AS m, avg(close) / 1000 - 1 AS v FROM bars WHERE sec % 2 = 0 GROUP BY 1"
+OUTSIDE = """SELECT factor, COUNT(*) AS months, corr(ls, v) AS rho FROM (
+  SELECT l.factor, l.top - l.bottom AS ls, e.v FROM lsq l JOIN external e ON e.m = date_trunc('month', l.as_of) + INTERVAL 1 MONTH) GROUP BY 1 HAVING COUNT(*) >= 24"""
 
 
-@query("""SELECT factor, COUNT(*) AS months, ROUND(corr(ls, v), 6) AS rho FROM (SELECT l.factor, l.top - l.bottom AS ls, e.v FROM lsq l JOIN external e ON e.m = date_trunc('month', l.as_of) + INTERVAL 1 MONTH) GROUP BY 1 HAVING COUNT(*) >= 24""", **EVAL, external=EXTERNAL)
-def external_correlation(spark, d):
+def outside(spark, d):
+    """Correlation of each factor's spread with an outside series, by the month
+    that returns accrue in."""
     e = X.bars(spark, d).filter("sec % 2 = 0").groupBy(F.trunc("d", "MM").alias("m")).agg((F.avg("close") / 1000 - 1).alias("v"))
-    ls = C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10).withColumn("m", F.add_months(F.trunc("as_of", "MM"), 1))
-    return ls.join(e, "m").groupBy("factor").agg(F.count("*").alias("months"), F.round(stats.correlation("ls", "v"), 6).alias("rho")).filter("months >= 24")
+    ls = spreads(spark, d).withColumn("m", F.add_months(F.trunc("as_of", "MM"), 1))
+    return ls.join(e, "m").groupBy("factor").agg(F.count("*").alias("months"), stats.correlation("ls", "v").alias("rho")).filter("months >= 24")
 
 
-REPLICATION = "SELECT factor, CASE factor WHEN 'asset_growth' THEN -1 WHEN 'accruals' THEN -1 WHEN 'net_issuance' THEN -1 ELSE 1 END AS prior, avg(top - bottom) AS m FROM lsq GROUP BY 1"
+@query("SELECT factor, months, ROUND(rho, 6) AS rho FROM outside", **EVAL, external=EXTERNAL, outside=OUTSIDE)
+def external_correlation(spark, d):
+    return _rounded(outside(spark, d), "rho")
+
 
+REPLICATION = f"SELECT factor, avg(top - bottom) AS m, avg(top - bottom) * {SIGN_SQL} > 0 AS ok FROM lsq GROUP BY 1"
 
-@query("SELECT factor, ROUND(12 * m, 6) AS ann, m * prior > 0 AS sign_ok FROM rep", **EVAL, rep=REPLICATION)
+
+def _signs(spark, d):
+    prior = F.when(F.col("factor").isin([f for f in FACTORS if SIGNS[f] < 0]), -1).otherwise(1)
+    return spreads(spark, d).groupBy("factor").agg(F.avg("ls").alias("m")).withColumn("ok", F.col("m") * prior > 0)
+
+
+@query("SELECT factor, ROUND(12 * m, 6) AS ann, ok AS sign_ok FROM rep", **EVAL, rep=REPLICATION)
 def replication_gate(spark, d):
-    ls = C.quantile_spread(paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
-    prior = F.coalesce(*[F.when(F.col("factor") == f, F.lit(s)) for f, (_, s, _) in factors.REGISTRY.items()])
-    return ls.groupBy("factor").agg(F.avg("ls").alias("m")).select("factor", F.round(12 * F.col("m"), 6).alias("ann"), (F.col("m") * prior > 0).alias("sign_ok"))
+    return _signs(spark, d).select("factor", F.round(12 * F.col("m"), 6).alias("ann"), F.col("ok").alias("sign_ok"))
+
+
+#: Whose signs the verdict rests on, with the outside correlation of momentum (fixed values).
+CANONICAL = ["ebit_ev", "gp_a", "accruals", "asset_growth", "mom_12_1"]
+LEAST_RHO = 0.6
+
+
+@query(f"""SELECT passed, checks, CASE WHEN passed = checks THEN 'PASS' ELSE 'REVIEW' END AS verdict FROM (
+  SELECT COUNT(CASE WHEN ok THEN 1 END) AS passed, COUNT(*) AS checks FROM (
+    SELECT COALESCE(ok, FALSE) AS ok FROM (SELECT unnest([{_in(CANONICAL)}]) AS factor) c LEFT JOIN rep USING (factor)
+    UNION ALL SELECT rho >= {LEAST_RHO}::DOUBLE FROM outside WHERE factor = 'mom_12_1'))""", **EVAL, rep=REPLICATION, external=EXTERNAL, outside=OUTSIDE)
+def replication_verdict(spark, d):
+    """The signs expected beforehand, a factor without data failing, and the
+    outside correlation of momentum where months overlap enough."""
+    asked = spark.range(1).select(F.explode(F.array(*[F.lit(f) for f in CANONICAL])).alias("factor"))
+    signs = asked.join(_signs(spark, d), "factor", "left").select(F.coalesce("ok", F.lit(False)).alias("ok"))
+    rows = signs.unionByName(outside(spark, d).filter("factor = 'mom_12_1'").select((F.col("rho") >= LEAST_RHO).alias("ok")))
+    g = rows.agg(F.count_if("ok").alias("passed"), F.count("*").alias("checks"))
+    return g.withColumn("verdict", F.when(F.col("passed") == F.col("checks"), "PASS").otherwise("REVIEW"))
+
+
+# hand audit: momentum ranked raw over members, beside the stored spread
+HAND = f"""SELECT as_of, next_of, n, avg(CASE WHEN r > n - k THEN fwd END) - avg(CASE WHEN r <= k THEN fwd END) AS ls FROM (
+  SELECT as_of, next_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY mom, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM (
+    SELECT m.sec, m.as_of, l.nxt_asof AS next_of, l.tr1 / l.tr12 - 1 AS mom, l.nxt / l.tr - 1 AS fwd FROM members m JOIN lags l ON l.sec = m.sec AND l.as_of = m.as_of)
+  WHERE mom IS NOT NULL AND fwd IS NOT NULL) WHERE n >= {NAMES} GROUP BY as_of, next_of, n"""
+
+
+def hand_series(spark, d):
+    """(as_of, next_of, n, ls) of momentum by the raw signal over members."""
+    cells, grid = X.month_end(spark, d), X.calendar(spark, d)
+    pairs = returns.momentum(cells, grid).withColumnRenamed("value", "mom").join(returns.forward_returns(cells, grid).drop("ai"), ["sec", "as_of"])
+    hand = C.counted_spread(pairs.join(members(spark, d).select("sec", "as_of"), ["sec", "as_of"]), ["as_of"], "mom", "fwd", NAMES).select("as_of", "n", "ls")
+    after = grid.select("as_of", F.lead("as_of").over(Window.orderBy("as_of")).alias("next_of"))  # a row a month
+    return hand.join(F.broadcast(after), "as_of")
+
+
+@query("""SELECT keyed, COUNT(*) AS months, ROUND(corr(ls, v), 6) AS rho FROM (
+    SELECT 'return month' AS keyed, h.ls, e.v FROM hand h JOIN external e ON e.m = date_trunc('month', next_of)
+    UNION ALL SELECT 'signal month', h.ls, e.v FROM hand h JOIN external e ON e.m = date_trunc('month', as_of)
+    UNION ALL SELECT 'stored', h.ls, l.top - l.bottom FROM hand h JOIN lsq l ON l.as_of = h.as_of AND l.factor = 'mom_12_1') GROUP BY 1 HAVING COUNT(*) >= 24""", **EVAL, external=EXTERNAL, hand=HAND)
+def hand_audit(spark, d):
+    """The hand series against the outside one, keyed by the month returns accrue
+    in and by that of the signal, and against the stored spread."""
+    hand = hand_series(spark, d)
+    e = X.bars(spark, d).filter("sec % 2 = 0").groupBy(F.trunc("d", "MM").alias("m")).agg((F.avg("close") / 1000 - 1).alias("v"))
+    keys = F.explode(F.array(F.struct(F.lit("return month").alias("keyed"), F.trunc("next_of", "MM").alias("m")), F.struct(F.lit("signal month").alias("keyed"), F.trunc("as_of", "MM").alias("m"))))
+    outer = hand.select("ls", keys.alias("k")).select("ls", "k.*").join(e, "m").select("keyed", "ls", "v")
+    kept = spreads(spark, d).filter("factor = 'mom_12_1'").select("as_of", F.col("ls").alias("v"))
+    rows = outer.unionByName(hand.join(kept, "as_of").select(F.lit("stored").alias("keyed"), "ls", "v"))
+    g = rows.groupBy("keyed").agg(F.count("*").alias("months"), F.round(stats.correlation("ls", "v"), 6).alias("rho"))
+    return g.filter("months >= 24")
+
+
+@query("""SELECT as_of, COUNT(*) AS members, date_trunc('month', as_of) = (SELECT date_trunc('month', MAX(d)) FROM bars) AS running FROM members GROUP BY 1
+  HAVING date_trunc('month', as_of) < (SELECT date_trunc('month', MAX(d)) FROM bars)""", **BASE)
+def complete_months(spark, d):
+    """Months evaluated when today is the day of the last bar."""
+    today = X.bars(spark, d).agg(F.max("d")).first()[0]
+    rows = universe.complete_months(members(spark, d), F.lit(today)).groupBy("as_of").agg(F.count("*").alias("members"))
+    return rows.withColumn("running", F.trunc("as_of", "MM") == F.trunc(F.lit(today), "MM"))

@@ -86,12 +86,18 @@ def gate_sue_sanity(spark, d):
     return g.select("n", "median", "wild", (F.col("median").between(0.1, 5) & (F.col("wild") < 0.01 * F.col("n"))).alias("passed"))
 
 
-@query("""SELECT COUNT(DISTINCT c.as_of) AS board_months, COUNT(DISTINCT factor) AS factors, (SELECT COUNT(*) FROM calendar) AS months FROM covered c""", **panel.BOARD)
+@query(f"""SELECT b.*, months, {len(panel.FACTORS)} AS registered, b.board_months = months AND b.factors = {len(panel.FACTORS)} AND b.unknown = 0 AS passed FROM (
+  SELECT COUNT(DISTINCT as_of) AS board_months, COUNT(DISTINCT factor) AS factors, COUNT(CASE WHEN factor NOT IN ({panel._in(panel.FACTORS)}) THEN 1 END) AS unknown FROM covered) b
+  CROSS JOIN (SELECT COUNT(DISTINCT as_of) AS months FROM members)""", **panel.BOARD)
 def gate_board_integrity(spark, d):
-    from tessera.operators import crosssection as C
-
-    rows = C.covered(panel.board_values(spark, d), panel.members(spark, d), 0.6, ["ebit_ev"])
-    return rows.agg(F.countDistinct("as_of").alias("board_months"), F.countDistinct("factor").alias("factors")).crossJoin(X.calendar(spark, d).agg(F.count("*").alias("months")))  # one row by one row
+    """Whether the board has every month with members and every factor of the
+    registry, and no other. One row by one row."""
+    rows = panel.board(spark, d)
+    known = F.count_if(~F.col("factor").isin(panel.FACTORS)).alias("unknown")
+    g = rows.agg(F.countDistinct("as_of").alias("board_months"), F.countDistinct("factor").alias("factors"), known)
+    g = g.crossJoin(panel.members(spark, d).agg(F.countDistinct("as_of").alias("months"))).withColumn("registered", F.lit(len(panel.FACTORS)))
+    passed = (F.col("board_months") == F.col("months")) & (F.col("factors") == F.col("registered")) & (F.col("unknown") == 0)
+    return g.withColumn("passed", passed)
 
 
 @query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS marked FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
@@ -118,9 +124,9 @@ def overlap_adjudication(spark, d):
 
 
 @query("""SELECT symbol, CASE WHEN uses > 1 THEN 'reuse' WHEN NOT profile THEN 'no-profile' WHEN is_open AND NOT gone THEN 'active' WHEN gone THEN 'delisted' ELSE 'closed' END AS outcome FROM (
-  SELECT m.symbol, COUNT(DISTINCT m.sec) AS uses, bool_or(valid_to IS NULL) AS is_open, bool_or(m.sec % 7 <> 2) AS profile, bool_or(x.sec IS NOT NULL) AS gone FROM (SELECT * FROM symbol_map WHERE sec % 9 = 1) m LEFT JOIN delistings x ON x.sec = m.sec GROUP BY 1)""")
+  SELECT m.symbol, COUNT(DISTINCT m.sec) AS uses, bool_or(valid_to IS NULL) AS is_open, bool_or(m.sec % 7 <> 2) AS profile, bool_or(x.sec IS NOT NULL) AS gone FROM symbol_map m LEFT JOIN delistings x ON x.sec = m.sec GROUP BY 1)""")
 def identity_resolution(spark, d):
-    m = X.symbol_map(spark, d).filter("sec % 9 = 1").join(X.delistings(spark, d).select("sec", F.lit(True).alias("gone")), "sec", "left")
+    m = X.symbol_map(spark, d).join(X.delistings(spark, d).select("sec", F.lit(True).alias("gone")), "sec", "left")
     g = m.groupBy("symbol").agg(F.countDistinct("sec").alias("uses"), F.bool_or(F.col("valid_to").isNull()).alias("is_open"), F.bool_or(F.col("sec") % 7 != 2).alias("profile"), F.bool_or(F.col("gone").isNotNull()).alias("gone"))
     return g.select("symbol", Q.resolution(F.col("uses"), F.col("is_open"), F.col("profile"), F.col("gone")).alias("outcome"))
 
@@ -136,11 +142,8 @@ def vintage_comparison(spark, d):
 
 @query("""SELECT what, factor, ROUND(avg(ic), 6) AS mean_ic, COUNT(*) AS months FROM (SELECT 'full' AS what, factor, ic FROM ics UNION ALL SELECT 'registered', factor, ic FROM ics WHERE as_of <= DATE '2000-07-31') GROUP BY 1, 2""", **panel.EVAL)
 def registered_window(spark, d):
-    from tessera.operators import crosssection as C
-
-    ics = C.rank_ic(panel.paired(spark, d), ["factor", "as_of"], "z", "fwd", 10)
     windows = F.when(F.col("as_of") <= F.lit(panel.HOLDOUT), F.array(F.lit("full"), F.lit("registered"))).otherwise(F.array(F.lit("full")))
-    return ics.select("factor", "ic", F.explode(windows).alias("what")).groupBy("what", "factor").agg(F.round(F.avg("ic"), 6).alias("mean_ic"), F.count("*").alias("months"))
+    return panel.ics(spark, d).select("factor", "ic", F.explode(windows).alias("what")).groupBy("what", "factor").agg(F.round(F.avg("ic"), 6).alias("mean_ic"), F.count("*").alias("months"))
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 50")

@@ -152,10 +152,10 @@ def same_day_combination(spark, d):
 
 
 @query("""SELECT src, k FROM (SELECT 'supplier' AS src, s_suppkey AS k FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT 'customer', c_custkey FROM customer
-  WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0) AND c_custkey < 300)""")
+  WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0))""")
 def priority_merge(spark, d):
     s = X.table(spark, d, "supplier").filter("s_suppkey % 2 = 0").select(F.lit("supplier").alias("src"), F.col("s_suppkey").alias("k"))
-    c = X.table(spark, d, "customer").filter("c_custkey < 300").select(F.lit("customer").alias("src"), F.col("c_custkey").alias("k"))
+    c = X.table(spark, d, "customer").select(F.lit("customer").alias("src"), F.col("c_custkey").alias("k"))
     return by_priority([s, c], ["k"])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import temporal as T
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X
+from tessera.sources.stored import stored
 
 
 @query("""SELECT t.sec, t.report_date, b.d AS found_at, b.close AS price FROM (SELECT sec % 100 AS sec, report_date FROM surprises GROUP BY 1, 2) t ASOF LEFT JOIN bars b ON t.sec = b.sec AND t.report_date >= b.d""")
@@ -44,11 +45,10 @@ VISIBLE = """SELECT *, ROW_NUMBER() OVER (PARTITION BY sec, as_of ORDER BY perio
   FROM statements s JOIN calendar c ON s.accepted <= CAST(c.as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND s.period_end <= c.as_of WHERE s.timing_pit) WHERE vn = 1"""
 
 
-def visible(spark, d, last_periods=6):
-    grid = X.calendar(spark, d)
-    asofs = [r.as_of for r in grid.select("as_of").orderBy("as_of").collect()]  # a row a month
-    cells = X.securities(spark, d).select("sec", F.explode(F.array(*[F.lit(a) for a in asofs])).alias("as_of"))
-    return T.visible_statements(cells, X.statements(spark, d).filter("timing_pit"), last_periods)
+@stored("sec")
+def visible(spark, d):
+    """The last six periods known at each month end, with the values known then."""
+    return T.visible_on_grid(X.statements(spark, d).filter("timing_pit"), X.calendar(spark, d), 6)
 
 
 @query("SELECT sec, as_of, period_end, vintage_id, accepted, nth, gp FROM visible_ WHERE nth <= 6", visible_=VISIBLE)
@@ -56,12 +56,12 @@ def pit_visible(spark, d):
     return visible(spark, d).select("sec", "as_of", "period_end", "vintage_id", "accepted", F.col("nth").cast("long").alias("nth"), "gp")
 
 
-@query("""SELECT o.o_orderkey, s.symbol, m.sec AS found FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS t, o_custkey % 200 AS k FROM orders WHERE o_orderkey % 5 = 0) o
+@query("""SELECT o.o_orderkey, s.symbol, m.sec AS found FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS t, o_custkey % 200 AS k FROM orders) o
   JOIN (SELECT DISTINCT symbol FROM symbol_map) s ON s.symbol = 'SYM' || CAST(o.k AS VARCHAR)
-  LEFT JOIN (SELECT o_orderkey AS k, arg_max(sec, (valid_from, sec)) AS sec FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS t, 'SYM' || CAST(o_custkey % 200 AS VARCHAR) AS symbol FROM orders WHERE o_orderkey % 5 = 0) q
+  LEFT JOIN (SELECT o_orderkey AS k, arg_max(sec, (valid_from, sec)) AS sec FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS t, 'SYM' || CAST(o_custkey % 200 AS VARCHAR) AS symbol FROM orders) q
     JOIN symbol_map USING (symbol) WHERE valid_from <= t AND (valid_to IS NULL OR valid_to >= t) GROUP BY 1) m ON m.k = o.o_orderkey""")
 def symbol_resolution(spark, d):
-    left = X.table(spark, d, "orders").filter("o_orderkey % 5 = 0").select("o_orderkey", F.col("o_orderdate").cast("date").alias("t"), F.concat(F.lit("SYM"), (F.col("o_custkey") % 200).cast("string")).alias("symbol"))
+    left = X.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("t"), F.concat(F.lit("SYM"), (F.col("o_custkey") % 200).cast("string")).alias("symbol"))
     m = X.symbol_map(spark, d)
     known = left.join(m.select("symbol").distinct(), "symbol")
     hits = T.resolve(known.select("symbol", "t").distinct(), m, "symbol", "t", "sec").withColumnRenamed("sec", "found")
@@ -98,11 +98,16 @@ def interval_containment(spark, d):
     return T.uncontained(X.symbol_map(spark, d), ["symbol"]).select("symbol", "valid_from", "valid_to")
 
 
-@query("""WITH RECURSIVE walk(start, last, steps) AS (SELECT p_partkey, p_partkey * 3 + 1, 1 FROM part WHERE p_partkey % 2 = 0 UNION ALL
-  SELECT start, last * 3 + 1, steps + 1 FROM walk WHERE last % 2 = 0 AND last < (SELECT COUNT(*) FROM part)) SELECT start, arg_max(last, steps) AS last, MAX(steps) AS steps FROM walk GROUP BY 1""".replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")")
+# chains over part keys: most lead 97 further; multiples of 97 end in a cycle of ten
+EDGES = """SELECT p_partkey AS old, CASE WHEN p_partkey % 97 <> 0 THEN p_partkey + 97 WHEN p_partkey < 970 THEN p_partkey + 97 ELSE 97 END AS new FROM part"""
+
+
+@query("""SELECT start, CASE WHEN steps <= (SELECT COUNT(*) FROM edges) THEN last END AS last, CASE WHEN steps <= (SELECT COUNT(*) FROM edges) THEN steps END AS steps FROM (SELECT start, arg_max(last, steps) AS last, MAX(steps) AS steps FROM (
+  WITH RECURSIVE walk(start, last, steps) AS (SELECT old, new, CAST(1 AS BIGINT) FROM edges UNION ALL SELECT start, new, steps + 1 FROM walk JOIN edges ON old = last WHERE steps <= (SELECT COUNT(*) FROM edges)) SELECT * FROM walk) GROUP BY 1)""", edges=EDGES)
 def rename_chain(spark, d):
-    p = X.table(spark, d, "part").filter("p_partkey % 2 = 0")
-    return T.rename_chain(p.select(F.col("p_partkey").alias("old"), (F.col("p_partkey") * 3 + 1).alias("new")))
+    k = F.col("p_partkey")
+    new = F.when(k % 97 != 0, k + 97).when(k < 970, k + 97).otherwise(97)
+    return T.rename_chain(X.table(spark, d, "part").select(k.alias("old"), new.alias("new")))
 
 
 @query("""SELECT sec, a, b FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sec, a ORDER BY abs(date_diff('day', b, a)), b) AS n FROM (

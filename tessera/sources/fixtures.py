@@ -2,8 +2,8 @@
 
 Suppliers stand for securities, line items for trades, orders for earnings
 reports and symbol usage, and so on. Each adapter is a plain projection or
-aggregation, so that Catalyst prunes and pushes down through it. ``CTES`` holds
-the same definitions in DuckDB SQL for the oracles.
+aggregation; those that many queries start from are stored by their key.
+``CTES`` holds the same definitions in DuckDB SQL for the oracles.
 
 Money is summed in whole cents, so that sums do not depend on their order.
 """
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.stored import stored
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,6 +24,7 @@ def cents(c: str | Column) -> Column:
     return F.round((F.col(c) if isinstance(c, str) else c) * 100).cast("long")
 
 
+@stored("sec")
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars (sec, d, close, volume)."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("sec"), F.col("l_shipdate").cast("date").alias("d"), cents("l_extendedprice").alias("c"), F.col("l_quantity").cast("long").alias("q"))
@@ -44,13 +47,15 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return div.unionByName(split)
 
 
-def calendar(spark: SparkSession, sf_dir: str, min_rows: int = 5) -> DataFrame:
+@stored()
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month-end grid (as_of, ai): last day of each month with enough bars."""
     from tessera.operators.universe import trading_grid
 
-    return trading_grid(bars(spark, sf_dir), min_rows)
+    return trading_grid(bars(spark, sf_dir), min_rows=5)
 
 
+@stored("sec")
 def month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sec, as_of, ai, tr): the last close in each month of the grid."""
     b = bars(spark, sf_dir)
@@ -59,6 +64,7 @@ def month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.join(F.broadcast(grid), "m").select("sec", "as_of", "ai", "tr")
 
 
+@stored("sec")
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bitemporal quarterly statements: (sec, period_end, vintage_id, accepted,
     timing_pit, ebit, gp, ni, cfo, assets, debt, cash, equity, shares).
@@ -143,5 +149,5 @@ CTES = {
 
 def with_ctes(body: str, **more: str) -> str:
     """DuckDB SQL: the fixtures and further definitions in front of a query."""
-    parts = [f"{name} AS ({sql})" for name, sql in (CTES | more).items()]
+    parts = [f"{name} AS MATERIALIZED ({sql})" for name, sql in (CTES | more).items()]
     return "WITH " + ",\n".join(parts) + "\n" + body
