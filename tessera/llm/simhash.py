@@ -1,17 +1,11 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
-Two fingerprints differ in at most 2r bits exactly if some value lies within r
-bits of both. So each distinct fingerprint stands for the ball of all values
-within r bits, and equal values from two balls are a link. A ball of radius 2
-over 64 bits has 2,081 values; shuffling them one by one would move hundreds
-of times the input. They are dealt by the leading bits of the *value* instead:
-a fingerprint goes once to every bucket its ball reaches, and the values of
-that bucket are written out, sorted and compared inside the task, split by
-further bits until they fit in bounded memory. Nothing is left out: a value is
-compared in the one bucket that its leading bits name.
-
-Each task answers with a spanning star of what it linked, so no group is ever
-expanded into pairs; connected components over those stars follow in Spark.
+Two fingerprints differ in at most 4 bits exactly if their balls of radius 2
+share a value. Distinct fingerprints are dealt to tasks and their variants are
+written out and brought together there (see ``balls``); every pair that meets is
+verified. Each task answers with a spanning star of what it linked, so no group
+is ever expanded into pairs; connected components over those stars follow in
+Spark.
 
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero and links like any other; repeated rows return repeated rows;
@@ -21,7 +15,6 @@ component_id; an empty table returns no rows. Other columns are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import balls
 from tessera.llm.common import checkpointed
 
 BITS = 64
 SEED = 42
-#: Values written out at once in a task, and those that a bucket gets on average.
-CHUNK = 1 << 21
-PER_BUCKET = 1 << 22
+#: Shingles hashed at once, and fingerprints that a group of a task has on average.
+AT_ONCE = 1 << 16
+PER_GROUP = 1 << 14
 
 
 def simhash(text: bytes, words: int = 4) -> int:
@@ -52,8 +46,8 @@ def simhash(text: bytes, words: int = 4) -> int:
     ends = ends[words - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
     n, ones = len(starts), np.zeros(BITS, np.int64)
-    for at in range(0, n, CHUNK >> 5):
-        stop = at + (CHUNK >> 5)
+    for at in range(0, n, AT_ONCE):
+        stop = at + AT_ONCE
         h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:stop], ends[at:stop])], dtype=">u8")
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
@@ -72,95 +66,24 @@ def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, "doc_id long, fingerprint long")
 
 
-def _ball_size(bits: int, radius: int) -> int:
-    return sum(math.comb(bits, k) for k in range(radius + 1))
-
-
-def _flips(bits: int, radius: int) -> np.ndarray:
-    """Masks of at most radius of the low bits."""
-    out = [np.zeros(1, np.uint64)]
-    for _ in range(radius):
-        last = out[-1]
-        one = np.uint64(1) << np.arange(bits, dtype=np.uint64)
-        # each mask grows by a bit above its highest, so that it comes once
-        out.append((last[:, None] | one[None, :])[one[None, :] > last[:, None]])
-    return np.concatenate(out)
-
-
-def _collisions(fps: np.ndarray, spent: np.ndarray, low: int, radius: int) -> Iterator[np.ndarray]:
-    """Pairs of indices whose balls share a value that agrees above ``low`` bits.
-
-    spent: bits already flipped above. Splits by the next bit while too many
-    values would be written out at once.
-    """
-    stack = [(np.arange(len(fps)), spent, low)]
-    while stack:
-        idx, used, low = stack.pop()
-        if len(idx) < 2:
-            continue
-        sizes = [_ball_size(low, radius - s) for s in range(radius + 1)]
-        if low and sum(sizes[s] * int((used == s).sum()) for s in range(radius + 1)) > CHUNK:
-            bit = (fps[idx] >> np.uint64(low - 1)) & np.uint64(1)
-            for v in (0, 1):
-                cost = used + (bit != v)
-                keep = cost <= radius
-                stack.append((idx[keep], cost[keep], low - 1))
-            continue
-        mask = np.uint64((1 << low) - 1)
-        values, owners = [], []
-        for s in range(radius + 1):
-            own = idx[used == s]
-            if len(own):
-                flips = _flips(low, radius - s)
-                values.append(((fps[own] & mask)[:, None] ^ flips[None, :]).ravel())
-                owners.append(np.repeat(own, len(flips)))
-        values, owners = np.concatenate(values), np.concatenate(owners)
-        order = np.argsort(values)
-        values, owners = values[order], owners[order]
-        same = values[1:] == values[:-1]
-        if same.any():
-            yield np.unique(np.stack([owners[:-1][same], owners[1:][same]]), axis=1)
-
-
-def _roots(n: int, pairs: list[np.ndarray]) -> np.ndarray:
-    """Smallest index reachable from each of n, by hooking and pointer jumping."""
-    root = np.arange(n)
-    if not pairs:
-        return root
-    a, b = np.concatenate(pairs, axis=1)
-    while True:
-        ra, rb = root[a], root[b]
-        if (ra == rb).all():
-            return root
-        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def ball_links(distinct: DataFrame, n: int, radius: int = 2) -> DataFrame:
     """Star links (src, dst) among distinct fingerprints within 2*radius bits.
 
-    distinct: a column ``fingerprint``; n: its rows, which fix the bucket bits.
+    distinct: a column ``fingerprint``; n: its rows, which fix the groups.
     """
-    bits = min(24, max(1, math.ceil(math.log2(max(2, n * _ball_size(BITS, radius) / PER_BUCKET)))))
-    low = BITS - bits
-    masks = F.array(*[F.lit(int(m)) for m in _flips(bits, radius)])
 
     def links(table: pa.Table) -> pa.Table:
-        fps = np.unique(table.column("fingerprint").to_numpy().astype(np.int64)).view(np.uint64)
-        bucket = np.uint64(table.column("bucket")[0].as_py())
-        spent = np.bitwise_count((fps >> np.uint64(low)) ^ bucket).astype(np.int64)
-        pairs = []
-        for p in _collisions(fps, spent, low, radius):
-            near = np.bitwise_count(fps[p[0]] ^ fps[p[1]]) <= 2 * radius  # verified pair by pair
-            pairs.append(p[:, near])
-        root = _roots(len(fps), pairs)
+        fps = np.sort(table.column("fp").to_numpy()).view(np.uint64)
+        block, part, parts = (table.column(c)[0].as_py() for c in ("block", "part", "parts"))
+        # what meets is verified pair by pair
+        near = ((a[k], b[k]) for a, b in balls.meetings(fps, BITS, radius, block, part, parts) for k in [np.bitwise_count(fps[a] ^ fps[b]) <= 2 * radius])
+        root = balls.roots(len(fps), near)
         moved = root != np.arange(len(fps))
         signed = fps.view(np.int64)
         return pa.table({"src": signed[moved], "dst": signed[root[moved]]})
 
-    dealt = distinct.select("fingerprint", F.explode(F.transform(masks, lambda m: F.shiftrightunsigned("fingerprint", low).bitwiseXOR(m))).alias("bucket"))
-    return dealt.groupBy("bucket").applyInArrow(links, "src long, dst long").distinct()
+    dealt = balls.dealt(distinct.select(F.col("fingerprint").alias("fp")), n, BITS, radius, PER_GROUP)
+    return dealt.groupBy("block", "lead", "part").applyInArrow(links, "src long, dst long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -170,18 +93,17 @@ def components(links: DataFrame) -> DataFrame:
     the paths, and each is cut by a reliable checkpoint.
     """
     edges = checkpointed(links.filter("src <> dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct())
-    last = None
     while True:
+        # done when all edges lead from a node to a root of its own and no root leads on
+        sizes = edges.agg(F.count("*"), F.countDistinct("a")).first()
+        if sizes[0] == sizes[1] and edges.select(F.col("b").alias("a")).join(edges, "a", "left_semi").isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_least, "a")
         edges = checkpointed(small.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if now == last:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).groupBy("node").agg(F.min("root").alias("root"))
-        last = now
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tessera.llm import simhash
+from tessera.llm import balls, simhash
 
 
 def brute_fingerprint(text, words=4):
@@ -50,8 +50,8 @@ def test_spark_hash_is_the_same(spark):
     assert spark.range(1).select(F.xxhash64(F.lit(text))).first()[0] % (1 << 64) == simhash.simhash(text.encode())
 
 
-@pytest.mark.parametrize("chunk", [300, 1 << 21])
-def test_links_reach_every_pair_within_the_radius(spark, monkeypatch, chunk):
+def clustered():
+    """Fingerprints with others at 1 to 6 bits from them, and what links them."""
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 60, dtype=np.int64)
     prints = set(base.tolist())
@@ -62,11 +62,37 @@ def test_links_reach_every_pair_within_the_radius(spark, monkeypatch, chunk):
                 g ^= 1 << b
             prints.add(g)
     prints = sorted(prints)
-    fps = np.array(prints, dtype=np.int64).view(np.uint64)
-    monkeypatch.setattr(simhash, "CHUNK", chunk)
-    pairs = list(simhash._collisions(fps, np.zeros(len(fps), np.int64), 64, 2))
-    root = simhash._roots(len(fps), pairs)
-    assert root.tolist() == brute_components(list(range(len(prints))), [int(x) for x in fps], 4)
+    return np.array(prints, dtype=np.int64).view(np.uint64), brute_components(list(range(len(prints))), prints, 4)
+
+
+@pytest.mark.parametrize("chunk", [300, 1 << 21])
+@pytest.mark.parametrize("parts", [0, 3])
+def test_meetings_reach_every_pair_within_the_radius(monkeypatch, chunk, parts):
+    fps, want = clustered()
+    monkeypatch.setattr(balls, "CHUNK", chunk)
+    pairs = [p for part in range(1 << parts) for p in balls.meetings(fps, 64, 2, -1, part, parts)]
+    assert all((np.bitwise_count(fps[a] ^ fps[b]) <= 4).all() for a, b in pairs)
+    assert balls.roots(len(fps), iter(pairs)).tolist() == want
+
+
+def test_meetings_where_hashes_collide(monkeypatch):
+    """With a multiplier of nil all values have one hash."""
+    fps, want = clustered()
+    monkeypatch.setattr(balls, "MULTIPLIER", np.uint64(0))
+    pairs = [(a[k], b[k]) for a, b in balls.meetings(fps, 64, 2, -1) for k in [np.bitwise_count(fps[a] ^ fps[b]) <= 4]]
+    assert balls.roots(len(fps), iter(pairs)).tolist() == want
+
+
+@pytest.mark.parametrize("per_group", [4, 40, 1 << 14])
+def test_links_however_fingerprints_are_dealt(spark, monkeypatch, per_group):
+    """Small groups are dealt by block, and those that are large cut into parts."""
+    fps, want = clustered()
+    monkeypatch.setattr(simhash, "PER_GROUP", per_group)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fingerprint long")
+    at = {int(x): i for i, x in enumerate(fps.view(np.int64))}
+    pairs = [(at[r.src], at[r.dst]) for r in simhash.ball_links(df, len(fps)).collect()]
+    a, b = np.array(pairs).T
+    assert balls.roots(len(fps), iter([(a, b)])).tolist() == want
 
 
 def test_components_of_long_chains(spark):
