@@ -18,8 +18,10 @@ returns no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,14 +38,22 @@ WINDOW = 4096
 PIECES_AT_ONCE = 1024
 BATCH = 1024
 #: Words that a worker remembers, and their bytes.
-REMEMBERED = 700_000
-REMEMBERED_BYTES = 1 << 26
-FOLD_NOT = r"\pM|<\|"
+REMEMBERED = 250_000
+REMEMBERED_BYTES = 1 << 24
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 _loaded: dict[str, WordTokenizer] = {}
 
 
+@lru_cache(maxsize=1)
+def not_folded() -> str:
+    """A pattern for what keeps a text from being folded: marks, special tokens,
+    letters that lower-casing or normalising turns into a letter and a mark, and
+    the one whose lower case depends on what follows it."""
+    apart = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha() and any(unicodedata.category(x)[0] == "M" for x in unicodedata.normalize("NFC", c.lower()))]
+    return r"\pM|<\||[\x{03A3}" + "".join(f"\\x{{{ord(c):X}}}" for c in apart) + "]"
+
+
 class WordTokenizer:
     """A tokenizer that drops white space and never joins what it separates, so
     that a text's ids are those of its words. Each distinct word of a batch is
@@ -93,7 +103,7 @@ class WordTokenizer:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         texts = texts.cast(pa.large_string())
-        odd = pc.match_substring_regex(texts, FOLD_NOT).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, not_folded()).to_numpy(zero_copy_only=False)
         out: list = [None] * len(texts)
         for mask, fold in ((odd, False), (~odd, True)):
             if mask.any():
@@ -104,8 +114,9 @@ class WordTokenizer:
     def _encode(self, texts: pa.Array, fold: bool) -> list[np.ndarray]:
         # letters fold and end before a stop or comma in the tokenizer too, so
         # fewer distinct words do; not where marks combine or special tokens hide
-        texts = pc.ascii_lower(texts) if fold else texts
-        split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"(\pL)([.,])", r"\1 \2"))
+        if fold:
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([.,])", r"\1 \2")
+        split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
         at = self._places(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
         each = self.sizes[at]

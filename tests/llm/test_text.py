@@ -187,6 +187,15 @@ def test_words_give_the_ids_of_the_text():
         assert [x.tolist() for x in words.encode(pa.array(texts))] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@given(st.lists(st.text(st.characters(categories=["L", "M"]) | st.sampled_from(".,' İΣσS1\n"), max_size=8), min_size=20, max_size=40))
+@settings(max_examples=100, deadline=None)
+def test_ids_over_unicode(texts):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    assert [x.tolist() for x in packing.WordTokenizer.at(TOKENIZER).encode(pa.array(texts))] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 4), max_size=6), st.integers(0, 60))
 @settings(max_examples=200, deadline=None)
 def test_best_fill_is_the_best(counts, room):
