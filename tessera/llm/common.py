@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import scratch_path, shared_dir  # noqa: F401  operators take them from here
+from tessera.sources.scratch import checkpointed, scratch_path, shared_dir  # noqa: F401  operators take them from here
 
 #: White space of the word rule, as a Java and as a Python class body.
 SPACES = r"\x20\x09-\x0D"
@@ -16,10 +16,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df has not, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def let(value: Column, body) -> Column:
@@ -44,3 +46,10 @@ def word_count(text: Column) -> Column:
 def unit(h: Column) -> Column:
     """A hash as a number strictly between 0 and 1."""
     return (F.shiftrightunsigned(h, 12).cast("double") + 0.5) / float(1 << 52)
+
+
+def bin_of(v: Column) -> Column:
+    """The lower end of the log-linear bin of a whole number, 32 bins to an
+    octave: exact below 64."""
+    shift = F.greatest(F.length(F.bin(v)) - 6, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", v, shift), shift)

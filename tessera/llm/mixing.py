@@ -6,19 +6,23 @@ weight. Target over size is the number of times a source is read: the whole
 part is allocated as certain copies of every document, and the rest is drawn by
 Pareto order sampling: documents are ranked by random odds over inclusion odds,
 u/(1-u) / (p/(1-p)), and the first ones are taken until their words fill the
-rest. p falls with the length of very long documents, so that one of them does
-not decide what a small source holds. u is a hash of doc_id and text: reruns
-agree. Only DataFrame operations.
+rest. u is a hash of doc_id and text: reruns agree. Only DataFrame operations.
+
+p falls with the root of a document's length beyond the mean, so that one long
+document does not decide what a small source holds, and is scaled so that the
+expected words are the source's rest: min(1, c w) with the one c for which they
+are, found from sums over bins of lengths (see ``inclusion``).
 
 A source with a third of all rows is not ranked in one task: ranks are cut into
 ``BINS`` bins whose words are summed first, and only the one bin in which the
-source's rest ends is put in order.
+source's rest ends is put in order. Scaled as they are, draws end near rank one,
+where bins are narrow; a source that has no rest isn't ranked at all.
 
 Defined results: a null text has no words; a null source is a source of its
 own and comes last; a document without words takes none; the words taken differ
 from the target by at most the document at the end of the ranking; equal ranks
 are ordered by doc_id; an empty table returns no rows. Other columns are not
-read, and the stage form hands all of them on unchanged.
+read, and the stage form hands all of them on unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, text_of, word_count
+from tessera.llm.common import bin_of, checkpointed, text_of, unused, word_count
 
 BINS = 4096
 
@@ -60,6 +64,26 @@ def _random(doc_id: str, text_hash: str, seed: int) -> Column:
     return (F.conv(F.substring(F.md5(F.encode(key, "UTF-8")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def inclusion(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source, length, p): the inclusion probability of a source's documents of
+    a length, so that their expected words are what the source has to draw.
+
+    rows: source, size; plan: source, source_size, documents, rest (above nil).
+    With lengths in rising order, weights w fall; those first ones that are
+    certain are told by running sums, as every later one then has c w <= 1.
+    """
+    bins = rows.groupBy("source", bin_of(F.col("size")).alias("length")).agg(F.sum("size").alias("words"))
+    p = plan.select(F.col("source").alias("s"), "source_size", "documents", "rest")
+    bins = bins.join(p, bins["source"].eqNullSafe(F.col("s"))).drop("s")
+    bins = bins.withColumn("w", 1 / F.sqrt(F.greatest(F.lit(1.0), F.col("length") * F.col("documents") / F.col("source_size"))))
+    by = Window.partitionBy("source").orderBy("length")  # a few hundred lengths a source
+    before = F.coalesce(F.sum("words").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tail = F.sum(F.col("words") * F.col("w")).over(by.rowsBetween(0, Window.unboundedFollowing))
+    bins = bins.withColumn("c", F.try_divide(F.col("rest") - before, tail))
+    level = F.min(F.when(F.col("c") * F.col("w") <= 1, F.struct("length", "c"))).over(Window.partitionBy("source"))
+    return bins.withColumn("level", level).select("source", "length", F.when(F.col("length") >= F.col("level.length"), F.col("level.c") * F.col("w")).otherwise(1.0).alias("p"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3, share: float = 1.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row for each row of docs: doc_id, source, size, source_size, target,
     copies (whole times taken), taken (words), text_hash."""
@@ -67,18 +91,20 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: in
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text).cast("long").alias("size"), F.md5(F.encode(text, "UTF-8")).alias("text_hash"))
     rows = checkpointed(base)
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
-    plan = checkpointed(targets(sources, weights, max_repeats, share))
+    plan = targets(sources, weights, max_repeats, share)
     plan = plan.withColumn("times", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = plan.withColumn("whole", F.least(F.floor("times"), F.lit(max_repeats)).cast("int"))
-    plan = plan.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
-
+    plan = checkpointed(plan.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size"))))
     joined = rows.join(plan.withColumnRenamed("source", "s"), rows["source"].eqNullSafe(F.col("s"))).drop("s")
+    ranks = (F.col("rest") > 0) & (F.col("whole") < max_repeats)
+
+    odds = checkpointed(inclusion(rows, plan.filter(ranks)))
+    drawn_from = joined.filter(ranks).withColumn("length", bin_of(F.col("size")))
+    on = drawn_from["source"].eqNullSafe(odds["source"]) & (drawn_from["length"] == odds["length"])
     u = _random("doc_id", "text_hash", seed)
-    fraction = F.col("times") - F.col("whole")
-    damped = F.sqrt(F.greatest(F.lit(1.0), F.col("size") * F.col("documents") / F.greatest(F.col("source_size"), F.lit(1))))
-    p = F.least(F.lit(0.999), F.greatest(F.lit(1e-9), fraction / damped))
-    q = (u / (1 - u)) / (p / (1 - p))
-    ranked = joined.withColumn("q", q).withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * BINS).cast("int"))
+    q = F.when(F.col("p") >= 1, 0.0).otherwise((u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
+    ranked = drawn_from.join(odds, on).select(drawn_from["*"], "p").drop("length")
+    ranked = ranked.withColumn("q", F.coalesce(q, F.lit(float("inf")))).drop("p").withColumn("bin", F.floor(BINS - BINS / (1 + F.col("q"))).cast("int"))
 
     # bins before the one in which a source's rest ends are taken whole
     sums = ranked.groupBy("source", "bin").agg(F.sum("size").alias("bin_words"), F.first("rest").alias("rest"))
@@ -92,10 +118,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: in
     inside = Window.partitionBy("source").orderBy("q", "doc_id", "text_hash", "size").rowsBetween(Window.unboundedPreceding, 0)
     last = marked.filter(at_end).withColumn("upto", F.col("before") + F.sum("size").over(inside))
     # the document that crosses the end is taken if that comes nearer to it
-    last = last.withColumn("drawn", (2 * F.col("upto") - F.col("size") <= 2 * F.col("rest")) & ((F.col("rest") - F.col("upto") + F.col("size")) > 0)).drop("upto")
-    others = marked.filter(~at_end | F.col("end_bin").isNull()).withColumn("drawn", F.coalesce(F.col("bin") < F.col("end_bin"), F.lit(True)) & (F.col("rest") > 0))
-    out = others.unionByName(last)
-    copies = F.col("whole") + F.when(F.col("drawn") & (F.col("whole") < max_repeats), 1).otherwise(0)
+    last = last.withColumn("drawn", (2 * F.col("upto") - F.col("size") <= 2 * F.col("rest")) & ((F.col("rest") - F.col("upto") + F.col("size")) > 0))
+    others = marked.filter(~at_end | F.col("end_bin").isNull()).withColumn("drawn", F.coalesce(F.col("bin") < F.col("end_bin"), F.lit(True)))
+    names = ["doc_id", "source", "size", "source_size", "target", "whole", "text_hash", "drawn"]
+    out = others.select(*names).unionByName(last.select(*names)).unionByName(joined.filter(~ranks).withColumn("drawn", F.lit(False)).select(*names))
+    copies = F.col("whole") + F.col("drawn").cast("int")
     return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "text_hash")
 
 
@@ -103,8 +130,8 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The documents as the mix takes them, each as often as it is taken, with
     all their columns. Rows that repeat doc_id, source and text are one draw."""
     drawn = mix(docs, **params).filter("copies > 0").groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("copies"))
-    d = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("text_hash").alias("_h"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_th", F.md5(F.encode(text_of(), "UTF-8")))
-    on = (keyed["_th"] == d["_h"]) & keyed["doc_id"].cast("long").eqNullSafe(d["_id"]) & keyed["source"].eqNullSafe(d["_s"])
-    named = keyed.join(d, on).select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_nth"))
-    return named.drop("_nth")
+    hashed, nth = unused(docs, "text_hash"), unused(docs, "nth")
+    keyed = docs.withColumn(hashed, F.md5(F.encode(text_of(), "UTF-8")))
+    on = (keyed[hashed] == drawn["text_hash"]) & keyed["doc_id"].cast("long").eqNullSafe(drawn["doc_id"]) & keyed["source"].eqNullSafe(drawn["source"])
+    named = keyed.join(drawn, on).select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), drawn["copies"])).alias(nth))
+    return named.drop(nth)

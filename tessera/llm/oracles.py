@@ -28,19 +28,22 @@ v AS (SELECT m.*, rule, CASE rule WHEN 'symbol_permille' THEN n_symbols * 1000 /
 b AS (SELECT *, (x >> greatest(length(bin(x)) - 6, 0)) << greatest(length(bin(x)) - 6, 0) AS bin FROM v)"""
 
 
-def _fences(keys: str) -> str:
-    slack = " ".join(f"WHEN '{r}' THEN {s}" for r, s in quality.RULES.items())
-    return f"""SELECT {keys}rule, documents, q75 + {quality.FENCE} * (q75 - q25) + CASE rule {slack} END AS fence FROM (
-  SELECT {keys}rule, MAX(documents) AS documents, MIN(CASE WHEN upto * 100 >= documents * 25 THEN bin END) AS q25, MIN(CASE WHEN upto * 100 >= documents * 75 THEN bin END) AS q75 FROM (
+def _quartiles(keys: str) -> str:
+    return f"""SELECT {keys}rule, MAX(documents) AS documents, MIN(CASE WHEN upto * 100 >= documents * 25 THEN bin END) AS q25, MIN(CASE WHEN upto * 100 >= documents * 75 THEN bin END) AS q75 FROM (
     SELECT {keys}rule, bin, SUM(n) OVER (PARTITION BY {keys}rule ORDER BY bin) AS upto, SUM(n) OVER (PARTITION BY {keys}rule) AS documents FROM (
-      SELECT {keys}rule, bin, COUNT(*) AS n FROM b GROUP BY ALL)) GROUP BY ALL)"""
+      SELECT {keys}rule, bin, COUNT(*) AS n FROM b GROUP BY ALL)) GROUP BY ALL"""
 
 
-ADAPTIVE_QUALITY = f"""WITH {_MEASURES}, own AS ({_fences("lang, source, ")}), of_lang AS ({_fences("lang, ")}), of_all AS ({_fences("")}),
+def _blended(q: str) -> str:
+    return f"(CAST(o.documents AS DOUBLE) * o.{q} + {quality.PRIOR} * g.{q} + {quality.PRIOR} * a.{q}) / (o.documents + {2 * quality.PRIOR})"
+
+
+_SLACK = " ".join(f"WHEN '{r}' THEN {s}" for r, s in quality.RULES.items())
+ADAPTIVE_QUALITY = f"""WITH {_MEASURES}, own AS ({_quartiles("lang, source, ")}), of_lang AS ({_quartiles("lang, ")}), of_all AS ({_quartiles("")}),
 failed AS (SELECT b.rid, string_agg(b.rule, ',' ORDER BY list_position(['symbol_permille', 'dup_line_permille', 'repeat_permille', 'word_length_x100'], b.rule)) AS rules FROM b
   JOIN own o ON o.rule = b.rule AND o.lang IS NOT DISTINCT FROM b.lang AND o.source IS NOT DISTINCT FROM b.source
   JOIN of_lang g ON g.rule = b.rule AND g.lang IS NOT DISTINCT FROM b.lang JOIN of_all a ON a.rule = b.rule
-  WHERE b.x > CASE WHEN o.documents >= {quality.MIN_DOCUMENTS} THEN o.fence WHEN g.documents >= {quality.MIN_DOCUMENTS} THEN g.fence ELSE a.fence END GROUP BY 1)
+  WHERE b.x > {1 + quality.FENCE} * ({_blended("q75")}) - {quality.FENCE} * ({_blended("q25")}) + CASE b.rule {_SLACK} END GROUP BY 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND rules IS NULL AS kept, COALESCE(rules, '') AS failed_rules FROM m LEFT JOIN failed USING (rid)"""
 
@@ -51,10 +54,19 @@ s2 AS (SELECT *, (total - COALESCE(SUM(most) OVER (ORDER BY most / weight, sourc
 s3 AS (SELECT *, least(most, COALESCE((SELECT arg_min(rate, most / weight) FROM s2 WHERE most / weight >= rate) * weight, most)) AS target FROM s2),
 s4 AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS times FROM s3),
 s5 AS (SELECT *, least(CAST(floor(times) AS BIGINT), 3) AS whole, greatest(0, target - least(CAST(floor(times) AS BIGINT), 3) * source_size) AS rest FROM s4),
-j AS (SELECT d.*, source_size, target, whole, rest, (CAST(CAST('0x' || substr(md5(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || h || ':7'), 1, 13) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
-  least(0.999::DOUBLE, greatest(1e-9::DOUBLE, (times - whole) / sqrt(greatest(1::DOUBLE, CAST(d.size * documents AS DOUBLE) / greatest(source_size, 1))))) AS p FROM d JOIN s5 ON s5.source IS NOT DISTINCT FROM d.source),
-k AS (SELECT *, SUM(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id, h, size ROWS UNBOUNDED PRECEDING) AS upto FROM j),
-c AS (SELECT *, whole + CASE WHEN whole < 3 AND 2 * upto - size <= 2 * rest AND rest - upto + size > 0 THEN 1 ELSE 0 END AS copies FROM k)
-SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, copies FROM c"""
+r AS (SELECT * FROM s5 WHERE rest > 0 AND whole < 3),
+b1 AS (SELECT d.source, (d.size >> greatest(length(bin(d.size)) - 6, 0)) << greatest(length(bin(d.size)) - 6, 0) AS len, SUM(d.size) AS words FROM d GROUP BY 1, 2),
+b2 AS (SELECT b1.*, rest, 1 / sqrt(greatest(1::DOUBLE, CAST(len * documents AS DOUBLE) / source_size)) AS w FROM b1 JOIN r ON r.source IS NOT DISTINCT FROM b1.source),
+b3 AS (SELECT *, (rest - COALESCE(SUM(words) OVER (PARTITION BY source ORDER BY len ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / NULLIF(SUM(words * w) OVER (PARTITION BY source ORDER BY len ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS c FROM b2),
+b4 AS (SELECT *, MIN(CASE WHEN c * w <= 1 THEN len END) OVER (PARTITION BY source) AS from_len FROM b3),
+b5 AS (SELECT *, CASE WHEN len >= from_len THEN MAX(CASE WHEN len = from_len THEN c END) OVER (PARTITION BY source) * w ELSE 1 END AS p FROM b4),
+j AS (SELECT d.*, r.rest, b5.p, (CAST(CAST('0x' || substr(md5(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || h || ':7'), 1, 13) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM d JOIN r ON r.source IS NOT DISTINCT FROM d.source JOIN b5 ON b5.source IS NOT DISTINCT FROM d.source AND b5.len = (d.size >> greatest(length(bin(d.size)) - 6, 0)) << greatest(length(bin(d.size)) - 6, 0)),
+k AS (SELECT *, SUM(size) OVER (PARTITION BY source ORDER BY CASE WHEN p >= 1 THEN 0 ELSE (u / (1 - u)) / (p / (1 - p)) END, doc_id, h, size ROWS UNBOUNDED PRECEDING) AS upto FROM j),
+c AS (SELECT doc_id, source, size, h, CASE WHEN 2 * upto - size <= 2 * rest AND rest - upto + size > 0 THEN 1 ELSE 0 END AS drawn FROM k),
+e AS (SELECT d.doc_id, d.size, s5.source_size, s5.target, d.source, CAST(whole AS BIGINT) AS whole, 0 AS drawn FROM d JOIN s5 ON s5.source IS NOT DISTINCT FROM d.source WHERE NOT (rest > 0 AND whole < 3)
+  UNION ALL SELECT c.doc_id, c.size, s5.source_size, s5.target, c.source, CAST(whole AS BIGINT), drawn FROM c JOIN s5 ON s5.source IS NOT DISTINCT FROM c.source)
+SELECT doc_id, size, source_size, target, CAST((whole + drawn) * size AS BIGINT) AS taken, source, whole + drawn AS copies FROM e"""
 
 ORACLES = {"op6_adaptive_quality": ADAPTIVE_QUALITY, "op7_pareto_mix": PARETO_MIX, "op9_digest_index_dedup": EXACT_DEDUP}

@@ -3,10 +3,12 @@
 Each text gives a few whole numbers (symbols, repeated lines, repeated words,
 word length). Their distribution is sketched per language and source as counts
 of log-linear bins, 32 to an octave: sketches merge by adding counts, in any
-order, with a relative error of at most 1/32, so the thresholds of a language
+order, with a relative error of at most 1/32, so the quartiles of a language
 or of all rows come from the same table, and reruns agree. A document fails a
 rule beyond the fence q75 + 3 (q75 - q25) + slack of its own language and
-source (of its language, or of all rows, where those have few documents).
+source. Their quartiles are means of the group's own, weighed by its documents,
+and of its language's and all rows', weighed as ``PRIOR`` documents each: a
+group's own figures prevail the more documents it has, at every size by one law.
 Only DataFrame operations; words are compared inside the row, so that a text is
 never spread over rows.
 
@@ -17,15 +19,18 @@ rows. Other columns are not read.
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, checkpointed, let, text_of, word_array
+from tessera.llm.common import SPACES, bin_of, checkpointed, let, text_of, word_array
 
 WINDOW = 8
 #: rule: (slack added to the fence, on the rule's own scale)
 RULES = {"symbol_permille": 50, "dup_line_permille": 150, "repeat_permille": 150, "word_length_x100": 300}
-MIN_DOCUMENTS = 100
+#: Documents that a language's quartiles, and those of all rows, count for in a group's.
+PRIOR = 100
 FENCE = 3
 
 
@@ -74,12 +79,6 @@ RULE_VALUES = {
 }
 
 
-def bin_of(v: Column) -> Column:
-    """The lower end of the log-linear bin of a whole number: exact below 64."""
-    shift = F.greatest(F.length(F.bin(v)) - 6, F.lit(0))
-    return F.call_function("shiftleft", F.call_function("shiftright", v, shift), shift)
-
-
 def sketch(rows: DataFrame, keys: list[str]) -> DataFrame:
     """keys, rule, bin, n: the mergeable sketches."""
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), bin_of(f()).alias("bin")) for r, f in RULE_VALUES.items()])
@@ -87,36 +86,36 @@ def sketch(rows: DataFrame, keys: list[str]) -> DataFrame:
     return each.groupBy(*keys, "rule", "bin").agg(F.count("*").alias("n"))
 
 
-def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, rule, documents, fence from sketches, which are merged first."""
+def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, documents, <rule>_25, <rule>_75 from sketches, which are merged first."""
     merged = sketches.groupBy(*keys, "rule", "bin").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, "rule")
     merged = merged.withColumn("upto", F.sum("n").over(by.orderBy("bin"))).withColumn("all", F.sum("n").over(by))
-    q = lambda p: F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("bin")))
-    slack = F.coalesce(*[F.when(F.col("rule") == r, F.lit(s)) for r, s in RULES.items()])
-    quartiles = merged.groupBy(*keys, "rule").agg(q(25).alias("q25"), q(75).alias("q75"), F.first("all").alias("documents"))
-    return quartiles.select(*keys, "rule", "documents", (F.col("q75") + FENCE * (F.col("q75") - F.col("q25")) + slack).alias("fence"))
+    q = lambda r, p: F.min(F.when((F.col("rule") == r) & (F.col("upto") * 100 >= F.col("all") * p), F.col("bin"))).alias(f"{r}_{p}")
+    return merged.groupBy(*keys).agg(F.first("all").alias("documents"), *[q(r, p) for r in RULES for p in (25, 75)])
+
 
+def fences(own: DataFrame, of_lang: DataFrame, of_all: dict) -> DataFrame:
+    """lang, source, max_<rule>: the fences of each group. of_all: one row."""
+    g = of_lang.select(F.col("lang").alias("l2"), *[F.col(c).alias(f"{c}_lang") for c in of_lang.columns if c not in ("lang", "documents")])
+    rows = own.join(g, own["lang"].eqNullSafe(F.col("l2"))).drop("l2")
 
-def _wide(rows: DataFrame, keys: list[str], tag: str) -> DataFrame:
-    names = list(RULES)
-    out = rows.groupBy(*keys) if keys else rows.groupBy()
-    return out.agg(F.first("documents").alias(f"n_{tag}"), *[F.max(F.when(F.col("rule") == r, F.col("fence"))).alias(f"{r}_{tag}") for r in names])
+    def blended(c: str) -> Column:
+        return (F.col("documents") * F.col(c) + PRIOR * F.col(f"{c}_lang") + PRIOR * F.lit(of_all[c])) / (F.col("documents") + 2 * PRIOR)
 
+    def fence(r: str) -> Column:
+        return (1 + FENCE) * blended(f"{r}_75") - FENCE * blended(f"{r}_25") + RULES[r]
 
-def judged(docs: DataFrame, min_words: int = 20, max_repeat_percent: int = 30, min_documents: int = MIN_DOCUMENTS, **columns) -> DataFrame:
+    return rows.select("lang", "source", *[fence(r).alias(f"max_{r}") for r in RULES])
+
+
+def judged(docs: DataFrame, min_words: int = 20, max_repeat_percent: int = 30, **columns) -> DataFrame:
     """measures() + base_failed, failed_rules (array), kept."""
     rows = checkpointed(measures(docs, **columns))
     own = checkpointed(sketch(rows, ["lang", "source"]))
-    by_source = _wide(fences(own, ["lang", "source"]), ["lang", "source"], "own").withColumnRenamed("lang", "l1").withColumnRenamed("source", "s1")
-    by_lang = _wide(fences(own, ["lang"]), ["lang"], "lang").withColumnRenamed("lang", "l2")
-    of_all = _wide(fences(own.drop("lang", "source"), []), [], "all").first().asDict()  # one row, whatever the input
-    joined = by_source.join(by_lang, F.col("l1").eqNullSafe(F.col("l2"))).drop("l2")
-
-    def chosen(rule: str) -> Column:
-        return F.when(F.col("n_own") >= min_documents, F.col(f"{rule}_own")).when(F.col("n_lang") >= min_documents, F.col(f"{rule}_lang")).otherwise(F.lit(of_all[f"{rule}_all"]))
-
-    limits = joined.select("l1", "s1", *[chosen(r).alias(f"max_{r}") for r in RULES])
+    of_all = quartiles(own.drop("lang", "source"), []).first()  # one row, whatever the input
+    limits = fences(quartiles(own, ["lang", "source"]), quartiles(own, ["lang"]), of_all.asDict() if of_all else defaultdict(int))
+    limits = limits.withColumnsRenamed({"lang": "l1", "source": "s1"})
     out = rows.join(limits, rows["lang"].eqNullSafe(F.col("l1")) & rows["source"].eqNullSafe(F.col("s1"))).drop("l1", "s1")
     failed = F.array_compact(F.array(*[F.when(f() > F.col(f"max_{r}"), F.lit(r)) for r, f in RULE_VALUES.items()]))
     base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)

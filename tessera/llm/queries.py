@@ -59,7 +59,8 @@ def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exact_dedup.deduplicate(documents(spark, sf_dir), exact_dedup.DigestIndex.temporary(spark))
+    with exact_dedup.DigestIndex.temporary(spark) as index:
+        rows = exact_dedup.deduplicate_newest_first(documents(spark, sf_dir), index)
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

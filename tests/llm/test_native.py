@@ -19,8 +19,13 @@ def rows_of(df):
     return [r.asDict() for r in df.collect()]
 
 
-def test_exact_dedup_matches_brute_force(spark, awkward):
-    got = rows_of(exact_dedup.deduplicate(awkward, exact_dedup.DigestIndex.temporary(spark, 4)))
+@pytest.mark.parametrize("batches", [1, 3])
+def test_exact_dedup_matches_brute_force(spark, awkward, nothing, batches):
+    with exact_dedup.DigestIndex.temporary(spark, 4) as index:
+        got = rows_of(exact_dedup.deduplicate_newest_first(awkward, index, batches))
+        assert exact_dedup.deduplicate_newest_first(nothing, index, batches).count() == 0
+        assert index.table().count() == len({g["digest"] for g in got})
+    assert not spark.catalog.tableExists(index.name)
     groups = defaultdict(list)
     for r in awkward.collect():
         groups[hashlib.sha256((r.text or "").translate(LOWER).encode()).hexdigest()].append(r.doc_id)
@@ -31,14 +36,27 @@ def test_exact_dedup_matches_brute_force(spark, awkward):
 
 
 def test_digest_index_grows_and_drops_later_copies(spark, nothing):
-    index = exact_dedup.DigestIndex.temporary(spark, 4)
     schema = "doc_id long, text string"
-    assert exact_dedup.deduplicate(nothing, index, "0").count() == 0
-    first = exact_dedup.kept_documents(spark.createDataFrame([(1, "a"), (2, "A"), (3, "b"), (3, "b")], schema), index, "1")
-    assert sorted(map(tuple, first.collect())) == [(2, "A"), (3, "b")]
-    second = exact_dedup.kept_documents(spark.createDataFrame([(9, "a"), (8, "c"), (None, "d")], schema), index, "2")
-    assert sorted(r.text for r in second.collect()) == ["c", "d"]
-    assert index.table().count() == 4
+    with exact_dedup.DigestIndex.temporary(spark, 4) as index:
+        assert exact_dedup.deduplicate(nothing, index).count() == 0
+        first = exact_dedup.kept_documents(spark.createDataFrame([(1, "a"), (2, "A"), (3, "b"), (3, "b")], schema), index)
+        assert sorted(map(tuple, first.collect())) == [(2, "A"), (3, "b")]
+        second = exact_dedup.kept_documents(spark.createDataFrame([(9, "a"), (8, "c"), (None, "d")], schema), index)
+        assert sorted(r.text for r in second.collect()) == ["c", "d"]
+        assert index.table().count() == 4
+        # a text that was rare fills the next batch: it is joined as a hot one of that batch
+        hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("B")).otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+        got = exact_dedup.deduplicate(hot, index).groupBy("kept", "keep_id", "group_size").count().filter("group_size > 1").collect()
+        assert [tuple(r) for r in got] == [(False, 3, 1000, 1000)]
+
+
+def test_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "x", 1, 2, 3), (2, "A B", "s", "y", 1, 2, 3)], "doc_id long, text string, source string, digest string, _copies int, _th int, copies int")
+    with exact_dedup.DigestIndex.temporary(spark, 4) as index:
+        out = exact_dedup.kept_documents(docs, index)
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(2, "A B", "s", "y", 1, 2, 3)]
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {r.digest for r in mixed.collect()} == {"x", "y"}
 
 
 def test_shards(spark, awkward, nothing):
@@ -139,7 +157,15 @@ def test_sketches_merge_and_find_outliers(spark):
     assert {r.doc_id for r in bad.collect()} == set(range(7, 3000, 100))
     rows = quality.measures(docs)
     parts = quality.sketch(rows.filter("doc_id < 1000"), ["source"]).unionByName(quality.sketch(rows.filter("doc_id >= 1000"), ["source"]))
-    assert sorted(map(str, quality.fences(parts, ["source"]).collect())) == sorted(map(str, quality.fences(quality.sketch(rows, ["source"]), ["source"]).collect()))
+    assert sorted(map(str, quality.quartiles(parts, ["source"]).collect())) == sorted(map(str, quality.quartiles(quality.sketch(rows, ["source"]), ["source"]).collect()))
+
+
+def test_fences_follow_the_group_the_more_documents_it_has(spark):
+    columns = {f"{r}_{p}": p for r in quality.RULES for p in (25, 75)}
+    one = lambda n, lang: spark.createDataFrame([("en", "s", n, *[v * 10 for v in columns.values()])], f"lang string, source string, documents long, {', '.join(f'{c} long' for c in columns)}") if lang is None else spark.createDataFrame([("en", n, *columns.values())], f"lang string, documents long, {', '.join(f'{c} long' for c in columns)}")
+    of_all, of_lang = dict(columns), one(10**6, "en")
+    got = [quality.fences(one(n, None), of_lang, of_all).first().max_symbol_permille for n in (0, 100, 10**7)]
+    assert got[0] == 75 + 3 * 50 + 50 and got[0] < got[1] < got[2] and abs(got[2] - (750 + 3 * 500 + 50)) < 0.1
 
 
 def test_bins(spark):
