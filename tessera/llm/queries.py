@@ -17,7 +17,8 @@ PSEUDONYM_KEY = "tessera-demonstration-key"
 
 
 def op1_zstd_novelty_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = secrets.scan(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    rows = secrets.scan(docs, secrets.corpus_words(docs))
     base = F.filter("spans", lambda s: s["kind"] != "novel")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     sha = F.sha2(F.encode(secrets.joined(base), "UTF-8"), 256)
