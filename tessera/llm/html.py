@@ -7,13 +7,19 @@ by features of its text; it is trained on labelled pages and decoded by Viterbi.
 
 The labelled pages are made here by rule (``labelled_pages``): articles of
 random prose in many layouts, with menus, notices, adverts, sidebars, forms,
-comments and footers under the names that pages use for them. Their number is a
-parameter; they are fixed by a seed, so the model is the same each time.
+comments and footers under the names that pages use for them, some of them
+hidden. Their number is a parameter; they are fixed by a seed, so the model is
+the same each time.
+
+Only what is no text is left out before the model sees it: scripts, styles,
+heads, comments, and embedded objects, drawings and media with their fallbacks.
 
 Defined results: a null page is empty and has an empty text, as has a page of
 which no block is main; broken mark-up is read as far as it goes, with open
-elements closed where a parent ends; repeated rows return repeated rows; an
-empty table returns no rows. Other columns are not read.
+elements closed where a parent ends, an embedded element without end tag taken
+for its start tag alone, and a quote that is never closed ended with its tag;
+repeated rows return repeated rows; an empty table returns no rows. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -35,12 +41,19 @@ from tessera.llm.crf import Bag, Chain
 #: Element names by their part in a page (fixed values).
 BLOCKS = frozenset("address article aside blockquote body br button center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video head".split())
+SKIPPED = frozenset("script style noscript template svg iframe object canvas audio video head".split())
 CLOSES_P = BLOCKS - {"br", "button", "option", "optgroup"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>?|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.I)
+VALUE = r"""(?:"(?:[^"]*"|[^">]*)|'(?:[^']*'|[^'>]*)|[^\s>"'][^\s>]*)"""
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>?|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)"
+    rf"(?P<attrs>(?:[\s/]+|[^\s>/=][^\s>/=]*+(?:\s*=\s*{VALUE})?|=)*+)>",
+    re.S,
+)
+ATTRIBUTE = re.compile(rf"([^\s>/=]+)(?:\s*=\s*({VALUE}))?")
+NAMED = frozenset("class id role itemprop".split())
+HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+HIDDEN = "hidden!"
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 MAIN, OTHER = "main", "other"
 FEATURES = 1 << 15
@@ -100,8 +113,7 @@ def leaf_blocks(html: str) -> list[Block]:
                         break
             continue
         attrs = m["attrs"]
-        hides = attrs and HIDDEN.search(attrs)
-        if tag in SKIPPED or (hides and tag in BLOCKS and tag not in VOID):
+        if tag in SKIPPED:
             if not attrs.endswith("/"):
                 at = _end_of(html, tag, at, n)
             if tag not in ("script", "style", "noscript", "template"):
@@ -116,31 +128,44 @@ def leaf_blocks(html: str) -> list[Block]:
             if tag in ("li", "option", "tr", "td", "th", "dd", "dt") and stack and stack[-1][0] == tag:
                 stack.pop()
             if tag not in VOID and not attrs.endswith("/"):
-                names = tuple(x.lower() for a in NAMES.finditer(attrs) for x in PARTS.findall(a[2] or a[3] or a[4] or "")) if attrs else ()
-                stack.append((tag, names))
+                stack.append((tag, _names(attrs) if attrs else ()))
     add(html[at:])
     close()
     return blocks
 
 
+def _names(attrs: str) -> tuple[str, ...]:
+    """The parts of what an element is called, and whether it is hidden."""
+    out = []
+    for a in ATTRIBUTE.finditer(attrs):
+        name, value = a[1].lower(), a[2] or ""
+        if name in NAMED:
+            out += [x.lower() for x in PARTS.findall(value)]
+        elif name == "hidden" or name == "style" and HIDES.search(value):
+            out.append(HIDDEN)
+    return tuple(out)
+
+
 def _end_of(html: str, tag: str, at: int, n: int) -> int:
-    """Behind the end tag of an element whose start tag ends at ``at``."""
+    """Behind the end tag of an element whose start tag ends at ``at``; ``at``
+    itself if it has none."""
     if tag in ("script", "style"):
         m = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
         return m.end() if m else n
-    depth = 1
+    depth, last = 1, at
     for m in re.compile(rf"<!--.*?(?:-->|$)|<(/?){tag}\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I | re.S).finditer(html, at):
         if m[1] is None:
             continue
         depth += -1 if m[1] else 1
+        last = m.end() if m[1] else last
         if not depth:
-            return m.end()
+            return last
         if tag == "head" and not m[1]:
             break
     if tag == "head":  # a head without end goes on to the body
         m = re.compile(r"<body\b|<(?:div|p|article|main|header|h1)\b", re.I).search(html, at)
         return m.start() if m else n
-    return n
+    return last
 
 
 @lru_cache(maxsize=1 << 16)
@@ -190,9 +215,11 @@ ARTICLE_NAMES = "article post entry content story main text body article-body en
 PLAIN_NAMES = "wrapper container row col inner page site grid box layout block outer section".split()
 
 
-def labelled_pages(n: int, seed: int = 17) -> list[list[tuple[Block, int]]]:
-    """n pages as blocks with label (1: main), made by rule from a seed."""
+def labelled_pages(n: int, seed: int = 17, half: int | None = None) -> list[list[tuple[Block, int]]]:
+    """n pages as blocks with label (1: main), made by rule from a seed. half: 0
+    or 1, to call parts by every second name only."""
     rng = random.Random(seed)
+    called = lambda names: [x for i, x in enumerate(names) if half is None or i % 2 == half]
     syllables = [a + b for a in "b d f g k l m n p r s t v w th ch".split() for b in "a e i o u an er on is".split()]
 
     def prose(least: int, most: int) -> str:
@@ -203,7 +230,7 @@ def labelled_pages(n: int, seed: int = 17) -> list[list[tuple[Block, int]]]:
         return " ".join(words).capitalize() + rng.choice([".", ".", ".", ""])
 
     def label(kind: str) -> str:
-        names = rng.choice(NAMES_OF[kind].split())
+        names = rng.choice(called(NAMES_OF[kind].split()))
         if rng.random() < 0.3:
             names = rng.choice(["js-", "c-", "site-", "block-", ""]) + names + rng.choice(["", "-wrap", "-1", " box", "__inner"])
         return f'{rng.choice(["class", "class", "id"])}="{names}"'
@@ -235,6 +262,8 @@ def labelled_pages(n: int, seed: int = 17) -> list[list[tuple[Block, int]]]:
             inner = rng.choice([f"<h1>{prose(1, 4)}</h1>", f"<p>{prose(1, 8)}</p>", item(prose(1, 3))])
         else:
             inner = rng.choice([f"<p>{prose(3, 40)}</p>", prose(2, 25), f"{prose(2, 12)} {item(prose(1, 2))}"])
+        if rng.random() < 0.08:
+            attrs += rng.choice([" hidden", ' style="display:none"', ' hidden=""'])
         return f"<{tag} {attrs}>\x01{inner}\x02</{tag}>"
 
     def article() -> str:
@@ -271,12 +300,12 @@ def labelled_pages(n: int, seed: int = 17) -> list[list[tuple[Block, int]]]:
         elif r < 0.65:
             body = f"<main>{body}</main>"
         elif r < 0.9:
-            body = f'<div {rng.choice(["class", "id"])}="{rng.choice(ARTICLE_NAMES)}">{body}</div>'
+            body = f'<div {rng.choice(["class", "id"])}="{rng.choice(called(ARTICLE_NAMES))}">{body}</div>'
         if rng.random() < 0.4:
-            body = f'<div class="{rng.choice(PLAIN_NAMES)}">{body}</div>'
+            body = f'<div class="{rng.choice(called(PLAIN_NAMES))}">{body}</div>'
         whole = "".join([*before, body, *after])
         if rng.random() < 0.3:
-            whole = f'<div class="{rng.choice(PLAIN_NAMES)}">{whole}</div>'
+            whole = f'<div class="{rng.choice(called(PLAIN_NAMES))}">{whole}</div>'
         return f"<html><head><title>{prose(2, 8)}</title></head><body>{whole}</body></html>"
 
     out = []
@@ -294,15 +323,18 @@ def labelled_pages(n: int, seed: int = 17) -> list[list[tuple[Block, int]]]:
     return out
 
 
-@lru_cache(maxsize=1)
-def trained(pages: int = 700, rounds: int = 60) -> Chain:
-    data = labelled_pages(pages)
+def fitted(data: list[list[tuple[Block, int]]], rounds: int = 60) -> Chain:
     bag = _bag([[b for b, _ in p] for p in data])
     gold = np.array([y for p in data for _, y in p])
     lens = np.array([len(p) for p in data])
     return Chain.new([OTHER, MAIN], FEATURES).fit([bag], np.arange(len(gold)), gold, lens, rounds)
 
 
+@lru_cache(maxsize=1)
+def trained(pages: int = 700) -> Chain:
+    return fitted(labelled_pages(pages))
+
+
 def label_pages(chain: Chain, pages: list[list[Block]]) -> list[np.ndarray]:
     """For each page which of its blocks are main."""
     lens = np.array([len(p) for p in pages], dtype=np.int64)

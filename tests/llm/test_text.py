@@ -179,6 +179,35 @@ def test_pages_in_other_layouts(spark):
     assert got[2] == got[3] == got[5] == got[None] == ""
 
 
+def blocks_text(page):
+    return [b.text for b in html.leaf_blocks(page)]
+
+
+def test_broken_and_hidden_mark_up_is_read():
+    assert blocks_text('<article title="the hidden gem"><p title="hidden">Kept.</p></article><div class="box hidden md">Too.</div>') == ["Kept.", "Too."]
+    assert blocks_text("<p hidden>note<p>Article one.<p>Article two.") == ["note", "Article one.", "Article two."]
+    assert html.leaf_blocks("<p hidden>note")[0].path == (("p", (html.HIDDEN,)),)
+    assert blocks_text("<p>One</p><svg><path><p>Two</p>") == ["One", "Two"]
+    assert blocks_text("<p>One</p><svg><g></g></svg><p>Two</p><iframe src=x><p>Three</p>") == ["One", "Two", "Three"]
+    assert blocks_text("<p data-x=don't>Hello there. It's fine. Then more text.</p><p>Next</p>") == ["Hello there. It's fine. Then more text.", "Next"]
+    assert blocks_text('<p>See <a href="x>here</a> and there.</p>') == ["See here and there."]
+    assert blocks_text("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>") == ["So x=2 holds."]
+    assert blocks_text("<p class='a' id=b data-y = \"c>d\" checked>Text</p><br/>more") == ["Text", "more"]
+    assert blocks_text("a < b and <3 > 2 <p") == ["a < b and <3 > 2 <p"]
+
+
+def test_blocks_under_names_that_were_not_seen():
+    """Learned under every second name, tested under the others."""
+    chain, data = html.fitted(html.labelled_pages(500, seed=5, half=0)), html.labelled_pages(150, seed=6, half=1)
+    found = html.label_pages(chain, [[b for b, _ in p] for p in data])
+    right = [bool(y) == bool(x) for p, f in zip(data, found) for (_, y), x in zip(p, f)]
+    assert np.mean(right) > 0.9
+
+
+def test_no_pages(spark):
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_blocks_are_found_in_labelled_pages_that_were_not_seen():
     data = html.labelled_pages(120, seed=99)
     found = html.label_pages(html.trained(), [[b for b, _ in p] for p in data])
