@@ -40,6 +40,8 @@ LEXICON = 1 << 16
 #: Characters and distinct words worked on at once.
 CHARS_AT_ONCE = 1_000_000
 ITEMS_AT_ONCE = 40_000
+#: Words before and behind a stretch of a long text that are read with it.
+BESIDE = 50
 UNDETERMINED = "und"
 
 
@@ -63,8 +65,10 @@ def word_bags(words: list[str]) -> list[Bag]:
         h = (h ^ shifted) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         buckets = ((h >> np.uint64(11)) & np.uint64(GRAMS - 1)).astype(np.int64)
-        bags.append(Bag(np.where(at + order <= ends, buckets, -1), starts))
-        whole = whole * np.uint64(31) + np.add.reduceat(h * (np.uint64(2) * (at - np.repeat(starts, sizes)).astype(np.uint64) + np.uint64(1)), starts)
+        inside = at + order <= ends
+        bags.append(Bag(np.where(inside, buckets, -1), starts))
+        # of the word's own grams only: a word's features don't depend on the next one
+        whole = whole * np.uint64(31) + np.add.reduceat(np.where(inside, h, np.uint64(0)) * (np.uint64(2) * (at - np.repeat(starts, sizes)).astype(np.uint64) + np.uint64(1)), starts)
     whole = (whole ^ (whole >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     bags.append(Bag((GRAMS + ((whole >> np.uint64(20)) & np.uint64(LEXICON - 1))).astype(np.int64), np.arange(len(words))))
     return bags
@@ -126,34 +130,61 @@ def fit(sample: list[tuple[str, str]], max_words: int = 200_000, seed: int = 11,
     return chain.fit(word_bags(list(index)), np.array(items), np.array(gold), np.array(lens), rounds)
 
 
+def stretches(text: str) -> Iterator[tuple[list[str], int, int]]:
+    """(words, first, end): a text's words by stretches of ``CHARS_AT_ONCE``
+    characters, with up to ``BESIDE`` of those before and behind it; first and
+    end bound its own. Beyond so many words nothing is left of a neighbour's
+    influence, so a text of any length is read in bounded memory."""
+    at, n = 0, len(text)
+    while at < n:
+        end = min(n, at + CHARS_AT_ONCE)
+        while end < n and LETTERS.match(text, end):
+            end += 1
+        low, high = max(0, at - 12 * BESIDE), min(n, end + 12 * BESIDE)
+        before, own, after = words_of(text[low:at])[low > 0 :], words_of(text[at:end]), words_of(text[end:high])
+        before, after = before[-BESIDE:], after[: len(after) - (high < n)][:BESIDE]
+        yield [*before, *own, *after], len(before), len(before) + len(own)
+        at = end
+
+
 def _label(chain: Chain, texts: pa.Array, with_words: bool = False):
     """For each text its sums of posteriors and number of words, and, if asked
-    for, its words' labels. Texts of like length are worked on together, some
-    ``CHARS_AT_ONCE`` at a time."""
+    for, its words' labels. Stretches of like length are worked on together,
+    some ``CHARS_AT_ONCE`` at a time."""
     size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     sums, counts = np.zeros((len(texts), len(chain.labels))), np.zeros(len(texts), np.int64)
     labels: list[list[str]] = [[] for _ in range(len(texts))] if with_words else []
-    order = np.argsort(-size, kind="stable")
-    order = order[size[order] > 0]
-    part = np.cumsum(size[order]) // CHARS_AT_ONCE
-    for own in np.split(order, np.flatnonzero(np.diff(part)) + 1) if len(order) else []:
-        words = [words_of(t) for t in texts.take(pa.array(own)).to_pylist()]
-        lens = np.fromiter(map(len, words), np.int64, len(words))
-        counts[own] = lens
-        words, own, lens = [w for w in words if w], own[lens > 0], lens[lens > 0]
-        if not words:
-            continue
+
+    def work(pieces: list[tuple[int, list[str], int, int]]) -> None:
+        pieces = [p for p in pieces if p[3] > p[2]]
+        if not pieces:
+            return
+        lens = np.array([len(p[1]) for p in pieces])
         index: dict[str, int] = {}
-        items = np.fromiter((index.setdefault(w, len(index)) for ws in words for w in ws), np.int64, int(lens.sum()))
+        items = np.fromiter((index.setdefault(w, len(index)) for p in pieces for w in p[1]), np.int64, int(lens.sum()))
         distinct = list(index)
         scores = np.concatenate([chain.emissions(word_bags(distinct[j : j + ITEMS_AT_ONCE])) for j in range(0, len(distinct), ITEMS_AT_ONCE)])
         gamma = chain.marginals(scores[items], lens)
         begins = np.cumsum(lens) - lens
-        sums[own] = np.add.reduceat(gamma, begins, axis=0, dtype=np.float64)
-        if with_words:
-            best = gamma.argmax(axis=1)
-            for i, b, n in zip(own, begins, lens):
-                labels[i] = [chain.labels[k] for k in best[b : b + n]]
+        own = np.stack([begins + [p[2] for p in pieces], begins + [p[3] for p in pieces]], axis=1)
+        # what lies between one piece's own words and the next one's is summed too, and left out
+        found = np.add.reduceat(np.concatenate([gamma, np.zeros_like(gamma[:1])]), own.ravel(), axis=0, dtype=np.float64)[::2]
+        for (i, _, first, end), f, (lo, hi) in zip(pieces, found, own):
+            sums[i] += f
+            counts[i] += end - first
+            if with_words:
+                labels[i] += [chain.labels[k] for k in gamma[lo:hi].argmax(axis=1)]
+
+    order = np.argsort(-size, kind="stable")
+    waiting, chars = [], 0
+    for i in order[size[order] > 0].tolist():
+        for words, first, end in stretches(texts[i].as_py()):
+            waiting.append((i, words, first, end))
+            chars += min(int(size[i]), CHARS_AT_ONCE)
+            if chars >= CHARS_AT_ONCE:
+                work(waiting)
+                waiting, chars = [], 0
+    work(waiting)
     return sums, counts, labels
 
 

@@ -148,6 +148,27 @@ def test_language_held_out_accuracy_and_switches(spark, awkward, nothing):
     assert language.fit([]) is None and language.identify(awkward, None).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_features_of_a_word_are_its_own():
+    words = ["a", "über", "house", "maison", "x" * 40]
+    chain = language.Chain(["l", "m"], np.random.default_rng(1).normal(size=(language.GRAMS + language.LEXICON + 1, 2)), np.zeros((2, 2)), np.zeros(2))
+    chain.weights[-1] = 0
+    together = chain.emissions(language.word_bags(words))
+    for i, w in enumerate(words):
+        assert np.allclose(chain.emissions(language.word_bags([w])), together[i])
+
+
+@pytest.mark.parametrize("at_once", [40, 2000])
+def test_long_texts_are_read_by_stretches(spark, monkeypatch, at_once):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    chain = language.fit(language.labelled_sample(docs))
+    by_lang = {r.lang: r.text for r in docs.filter("n_chars > 1500").collect()}
+    texts = pa.array([" ".join(t[:1200] for t in by_lang.values()), "", None, "x" * 100, *by_lang.values()])
+    want = language._label(chain, texts, True)
+    monkeypatch.setattr(language, "CHARS_AT_ONCE", at_once)
+    got = language._label(chain, texts, True)
+    assert got[1].tolist() == want[1].tolist() and got[2] == want[2] and np.allclose(got[0], want[0], atol=1e-3)
+
+
 def test_learns_only_from_rows_that_are_not_held_out(spark):
     import zlib
 
