@@ -84,6 +84,11 @@ def financial(sector: str | Column) -> Column:
     return F.lower(F.coalesce(col(sector), F.lit("unknown"))).contains("financ")
 
 
+def not_past(fiscal_date: str | Column, today: str | Column) -> Column:
+    """Whether an estimate is for the running year or a later one."""
+    return col(fiscal_date) >= F.trunc(col(today), "YEAR")
+
+
 def off_tolerance(ours: Column, theirs: Column, our_price: Column, their_price: Column, flat: float = 0.001, tick: float = 0.011) -> Column:
     """Whether two returns differ by more than quantised prices explain."""
     return F.abs(ours - theirs) > F.greatest(F.lit(flat), F.lit(tick) / our_price, F.lit(tick) / their_price)

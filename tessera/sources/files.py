@@ -1,4 +1,4 @@
-"""Files in: delimited, JSON and ragged text, always by an explicit schema."""
+"""Files in and out: delimited, JSON and ragged text, read by explicit schemas."""
 
 from __future__ import annotations
 
@@ -25,3 +25,10 @@ def scan_months(spark: SparkSession, path: str, scale: float = 100.0) -> DataFra
 def scan_dates(table: DataFrame, column: str, low: str, high: str) -> DataFrame:
     """Rows between two days, both included; the bounds reach the file scan."""
     return table.filter(F.col(column).between(F.lit(low).cast("date"), F.lit(high).cast("date")))
+
+
+def write_artifact(rows: DataFrame, path: str, kind: str = "json") -> None:
+    """A result as JSON lines or as delimited text with a header, in place of
+    what is there; as many files as rows has partitions."""
+    writer = rows.write.mode("overwrite")
+    writer.option("header", True).csv(path) if kind == "csv" else writer.json(path)

@@ -3,14 +3,19 @@
     spark.dataSource.register(PagedJson)
     spark.read.format("paged_json").schema("id long, name string")
         .option("url", "https://host/items?page={page}&size=100{&since}")
-        .option("pages", 40).load()
-
-Each page is one partition, so pages are fetched by the executors side by side.
-A task keeps ``interval`` seconds between requests and tries ``attempts`` times,
-waiting twice as long each time. ``urls`` may hold several templates, one a
-line; the first that answers with rows is taken. Placeholders ``{&name}`` whose
-option is missing are dropped. An answer may be a list or an object with the
-list under ``rows_key``; an object with ``error_key`` is an error.
+        .option("tasks", 8).load()
+
+Pages are read until one is empty. ``tasks`` tasks read side by side: the i-th
+takes every tasks-th page from the i-th on, each until it meets an empty page, so
+all pages up to the first empty one are read, however many there are; ``pages``
+sets a number instead. The scan as a whole keeps ``interval`` seconds between
+requests: a task waits tasks times as long. A request is tried ``attempts`` times,
+waiting twice as long each time. ``urls`` may hold several templates, one a line;
+the first that answers with rows is taken, and is asked first for the pages that
+follow. If none has rows for the first page the scan fails, unless
+``allow_empty`` is set. Placeholders ``{&name}`` whose option is missing are
+dropped. An answer may be a list or an object with the list under ``rows_key``;
+an object with ``error_key`` is an error.
 """
 
 from __future__ import annotations
@@ -21,13 +26,16 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
+from itertools import count, islice
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
-class Page(InputPartition):
-    def __init__(self, number: int):
-        self.number = number
+class Pages(InputPartition):
+    """Pages first, first + step, and so on: count of them, or until one is empty."""
+
+    def __init__(self, first: int, step: int, count: int | None):
+        self.first, self.step, self.count = first, step, count
 
 
 def filled(template: str, options: dict, page: int) -> str:
@@ -49,11 +57,15 @@ class PagedReader(DataSourceReader):
     def __init__(self, schema, options: dict):
         self.schema, self.options = schema, {k.lower(): v for k, v in options.items()}
 
-    def partitions(self) -> list[Page]:
-        return [Page(i) for i in range(int(self.options.get("first", 0)), int(self.options.get("first", 0)) + int(self.options.get("pages", 1)))]
+    def partitions(self) -> list[Pages]:
+        first, tasks = int(self.options.get("first", 0)), int(self.options.get("tasks", 1))
+        pages = self.options.get("pages")
+        if pages is None:
+            return [Pages(first + i, tasks, None) for i in range(tasks)]
+        return [Pages(first + i, tasks, len(range(i, int(pages), tasks))) for i in range(min(tasks, int(pages)))]
 
     def fetch(self, url: str) -> list[dict]:
-        o, wait = self.options, float(self.options.get("interval", 0.1))
+        o, wait = self.options, float(self.options.get("interval", 0.1)) * int(self.options.get("tasks", 1))
         attempts = int(o.get("attempts", 4))
         for n in range(attempts):
             time.sleep(wait)
@@ -69,21 +81,29 @@ class PagedReader(DataSourceReader):
             wait = 2 * wait if n else max(wait, float(o.get("backoff", 2.0)))
         return []
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        failed: Exception | None = None
-        for template in self.options.get("urls", self.options.get("url", "")).split("\n"):
-            try:
-                rows = self.fetch(filled(template.strip(), self.options, partition.number))
-            except (OSError, ValueError) as e:
-                failed = e
-                continue
-            failed = None
-            if rows:
-                for x in rows:
-                    yield tuple(x.get(f.name) for f in self.schema.fields)
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        templates = [t.strip() for t in self.options.get("urls", self.options.get("url", "")).split("\n")]
+        first = int(self.options.get("first", 0))
+        numbers = count(partition.first, partition.step)
+        for number in numbers if partition.count is None else islice(numbers, partition.count):
+            rows, failed = [], None
+            for template in templates:
+                try:
+                    rows = self.fetch(filled(template, self.options, number))
+                except (OSError, ValueError) as e:
+                    failed = failed or e
+                    continue
+                if rows:
+                    templates.sort(key=lambda t: t != template)  # remembered for the next page
+                    break
+            if not rows and failed is not None and number == first:
+                raise failed
+            if not rows and number == first and self.options.get("allow_empty", "false") != "true":
+                raise ValueError(f"no rows from {' or '.join(templates)}")
+            if not rows and partition.count is None:
                 return
-        if failed is not None:
-            raise failed
+            for x in rows:
+                yield tuple(x.get(f.name) for f in self.schema.fields)
 
 
 class PagedJson(DataSource):

@@ -6,13 +6,15 @@ under its own number, and what is there already is left out by an anti-join.
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STALE_AFTER = datetime.timedelta(hours=6)
+from tessera.operators.predicates import iso_week
+from tessera.sources.tables import upserted
+
+STALE_AFTER = "INTERVAL 6 HOURS"
 
 
 def once_within(stream: DataFrame, time: str, key: list[str], lateness: str) -> DataFrame:
@@ -40,68 +42,48 @@ def new_vintages(existing: DataFrame, feed: DataFrame, key: list[str], hash_col:
     return rows.withColumn("vintage_id", (F.coalesce("_x.vintage_id", F.lit(0)) + 1).cast("int")).drop("_x")
 
 
-class JobLedger:
-    """Claims of (job, period) as an append-only table of a few rows a day.
+def due(clock: DataFrame, now: str = "now") -> DataFrame:
+    """(now, job, period) of what each time of a clock in UTC calls for: daily
+    from 23:00 on weekdays, weekly from 12:00 on Saturdays, monthly from 13:00 on
+    every day from the second on, so that a month that was missed is made up for.
 
-    A period is claimed if it has no row, or if its last one says ``running``
-    and is older than ``STALE_AFTER``, or ``failed``. One scheduler at a time.
+    What is run, and when, is left to an outside scheduler; this tells it what
+    to ask for.
+    """
+    t = F.col(now)
+    day, hour = F.weekday(t), F.hour(t)  # Monday is 0
+    rules = {
+        "daily": ((day < 5) & (hour >= 23), F.date_format(t, "yyyy-MM-dd")),
+        "weekly": ((day == 5) & (hour >= 12), iso_week(t)),
+        "monthly": ((F.dayofmonth(t) >= 2) & (hour >= 13), F.date_format(t, "yyyy-MM")),
+    }
+    each = F.array(*[F.when(rule, F.struct(F.lit(job).alias("job"), period.alias("period"))) for job, (rule, period) in rules.items()])
+    return clock.select(t.alias("now"), F.explode(F.array_compact(each)).alias("x")).select("now", "x.*")
+
+
+def claimable(asked: DataFrame, log: DataFrame) -> DataFrame:
+    """The earliest asking (job, period, now) of each period that may run: none is
+    logged for it, or only a ``running`` row that is older than STALE_AFTER. A
+    period that ended, well or not, isn't run again.
+
+    log: job, period, status, ran_at; a row a period.
     """
+    first = asked.groupBy("job", "period").agg(F.min("now").alias("now"))
+    held = log.select("job", "period", "status", "ran_at")
+    rows = first.join(held, ["job", "period"], "left")
+    stale = (F.col("status") == "running") & (F.col("ran_at") < F.col("now") - F.expr(STALE_AFTER))
+    return rows.filter(F.col("status").isNull() | stale).select("job", "period", "now")
+
+
+def recorded(log: DataFrame, claims: DataFrame, status: str, detail: Column) -> DataFrame:
+    """log with the claims' rows put in their new status (upsert by period)."""
+    new = claims.select("job", "period", F.lit(status).alias("status"), F.col("now").alias("ran_at"), detail.alias("detail"))
+    return upserted(log, new.select(*log.columns), ["job", "period"])
+
 
-    SCHEMA = "job string, period string, status string, detail string, at timestamp_ntz"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _append(self, job: str, period: str, status: str, detail: str, at: datetime.datetime) -> None:
-        self.spark.createDataFrame([(job, period, status, detail, at)], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
-
-    def last(self) -> DataFrame:
-        """The newest row of each (job, period)."""
-        w = Window.partitionBy("job", "period").orderBy(F.desc("at"))
-        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
-
-    def claim(self, job: str, period: str, now: datetime.datetime) -> bool:
-        try:
-            found = self.last().filter((F.col("job") == job) & (F.col("period") == period)).first()
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):  # else the first claim of all
-                raise
-            found = None
-        if found and not (found.status == "failed" or found.status == "running" and now - found["at"] > STALE_AFTER):
-            return False
-        self._append(job, period, "running", "", now)
-        return True
-
-    def finish(self, job: str, period: str, status: str, detail: str, now: datetime.datetime) -> None:
-        self._append(job, period, status, detail, now)
-
-
-def due(now: datetime.datetime, force: bool = False) -> list[tuple[str, str]]:
-    """The (job, period) that a clock in UTC calls for: daily after 22:00 on
-    weekdays, weekly on Saturdays, monthly on the first days of a month."""
-    week = now.date().isocalendar()
-    out = []
-    if force or (now.weekday() < 5 and now.hour >= 22):
-        out.append(("daily", now.strftime("%Y-%m-%d")))
-    if force or now.weekday() == 5:
-        out.append(("weekly", f"{week.year}-W{week.week:02d}"))
-    if force or now.day <= 3:
-        out.append(("monthly", now.strftime("%Y-%m")))
-    return out
-
-
-def run_due(ledger: JobLedger, jobs: dict[str, Callable[[str], str]], now: datetime.datetime, force: bool = False) -> dict[str, str]:
-    """Runs what is due and not claimed, and records how it ended; a failure is
-    recorded and raised."""
-    done = {}
-    for job, period in due(now, force):
-        if job not in jobs or not ledger.claim(job, period, now):
-            continue
-        try:
-            done[job] = jobs[job](period)
-        except Exception as e:
-            ledger.finish(job, period, "failed", str(e)[:500], now)
-            raise
-        ledger.finish(job, period, "done", done[job], now + datetime.timedelta(seconds=1))
-    return done
+def topped_up(stored: DataFrame, daily: DataFrame, today: Column, days: int = 45) -> DataFrame:
+    """stored (as_of, sec, mktcap) with the last value of each month put over it
+    that the daily feed (sec, d, mktcap) has within so many days of today."""
+    late = daily.filter((F.col("d") >= F.date_sub(today, days)) & (F.col("mktcap") > 0))
+    last = late.groupBy("sec", F.trunc("d", "MM").alias("m")).agg(F.max(F.struct(F.col("d").alias("as_of"), "mktcap")).alias("x"))
+    return upserted(stored, last.select("x.as_of", "sec", "x.mktcap").select(*stored.columns), ["as_of", "sec"])

@@ -51,7 +51,10 @@ def test_intervals_merge_and_contain(spark):
 def test_rename_chain_follows_to_the_end(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("p", "q"), ("q", "p")], "old string, new string")
     got = {r.start: r.last for r in temporal.rename_chain(e).collect()}
-    assert got["a"] == got["b"] == got["c"] == "d" and got["x"] == "y" and {"p", "q"} <= set(got)
+    assert got == {"a": "d", "b": "d", "c": "d", "x": "y", "p": None, "q": None}
+    long = spark.range(300).select(F.col("id").alias("old"), (F.col("id") + 1).alias("new"))
+    assert {(r.last, r.start + r.steps) for r in temporal.rename_chain(long).collect()} == {(300, 300)}
+    assert temporal.rename_chain(long.limit(0)).count() == 0
 
 
 def test_probit_equals_the_standard_library(spark):
@@ -126,17 +129,26 @@ def test_vintages_and_later_rows(spark):
     assert [tuple(r) for r in incremental.later_rows(stored, new, "k", "t").collect()] == [("a", 6)]
 
 
-def test_ledger_claims_once_and_again_when_stale(spark, tmp_path):
-    ledger, now = incremental.JobLedger(spark, str(tmp_path / "ledger")), dt.datetime(2024, 5, 1, 22, 5)
-    assert ledger.claim("daily", "2024-05-01", now)
-    assert not ledger.claim("daily", "2024-05-01", now + dt.timedelta(hours=5))
-    assert ledger.claim("daily", "2024-05-01", now + dt.timedelta(hours=7))
-    assert incremental.due(now) == [("daily", "2024-05-01"), ("monthly", "2024-05")]
-    ran = incremental.run_due(ledger, {"monthly": lambda p: f"did {p}"}, now)
-    assert ran == {"monthly": "did 2024-05"} and incremental.run_due(ledger, {"monthly": lambda p: "again"}, now) == {}
-    with pytest.raises(ValueError):
-        incremental.run_due(ledger, {"weekly": lambda p: int("x")}, dt.datetime(2024, 5, 4, 1))
-    assert {r.job: r.status for r in ledger.last().collect()} == {"daily": "running", "monthly": "done", "weekly": "failed"}
+def test_schedule_rules_at_their_edges(spark):
+    times = {
+        dt.datetime(2024, 5, 1, 22, 59): [], dt.datetime(2024, 5, 1, 23): [("daily", "2024-05-01")],
+        dt.datetime(2024, 5, 4, 11, 59): [], dt.datetime(2024, 5, 4, 12): [("weekly", "2024-W18")], dt.datetime(2024, 5, 5, 23): [("monthly", "2024-05")],
+        dt.datetime(2024, 5, 2, 12, 59): [], dt.datetime(2024, 5, 2, 13): [("monthly", "2024-05")], dt.datetime(2024, 5, 31, 23): [("daily", "2024-05-31"), ("monthly", "2024-05")],
+        dt.datetime(2024, 6, 1, 13): [("weekly", "2024-W22")],
+    }
+    rows = incremental.due(spark.createDataFrame([(t,) for t in times], "now timestamp_ntz")).collect()
+    assert {t: sorted((r.job, r.period) for r in rows if r.now == t) for t in times} == {t: sorted(x) for t, x in times.items()}
+
+
+def test_periods_are_claimed_once_and_again_when_stale(spark):
+    t = dt.datetime(2024, 5, 1, 12)
+    log = spark.createDataFrame([("a", "ended", "ok", t, ""), ("a", "failed", "error", t, ""), ("a", "held", "running", t - dt.timedelta(hours=6), ""), ("a", "stale", "running", t - dt.timedelta(hours=6, seconds=1), "")], "job string, period string, status string, ran_at timestamp_ntz, detail string")
+    asked = spark.createDataFrame([("a", p, t + dt.timedelta(minutes=m)) for p in ("ended", "failed", "held", "stale", "new") for m in (0, 1)], "job string, period string, now timestamp_ntz").filter("period <> 'held' OR minute(now) = 0")
+    claims = incremental.claimable(asked, log)
+    assert sorted(r.period for r in claims.collect()) == ["new", "stale"]
+    after = incremental.recorded(log, claims, "running", F.lit("claimed"))
+    assert {r.period: (r.status, r.detail) for r in after.collect()} == {"ended": ("ok", ""), "failed": ("error", ""), "held": ("running", ""), "stale": ("running", "claimed"), "new": ("running", "claimed")}
+    assert incremental.claimable(asked.filter("period <> 'held'"), after).count() == 0
 
 
 def test_stream_takes_each_key_once(spark, tmp_path):
@@ -154,13 +166,13 @@ def test_gates(spark):
     assert tuple(quality.share(rows.filter("x > 9"), F.col("x") > 1, 0.9).first()) == (0, 1.0, True)
 
 
-class Pages(http.server.BaseHTTPRequestHandler):
+class Served(http.server.BaseHTTPRequestHandler):
     tries = {}
 
     def do_GET(self):
         n = self.tries[self.path] = self.tries.get(self.path, 0) + 1
         page = int(self.path.split("page=")[1].split("&")[0])
-        code, body = (429, {}) if page == 1 and n == 1 and "old" not in self.path else (404, {}) if "old" in self.path else (200, {"rows": [{"id": 10 * page + i, "name": None if i else "x"} for i in range(2)]} if page < 3 else [])
+        code, body = (429, {}) if page == 1 and n == 1 and "old" not in self.path else (404, {}) if "old" in self.path else (200, {"rows": [{"id": 10 * page + i, "name": None if i else "x"} for i in range(2)]} if page < 7 else [])
         self.send_response(code)
         self.end_headers()
         self.wfile.write(json.dumps(body).encode())
@@ -169,15 +181,92 @@ class Pages(http.server.BaseHTTPRequestHandler):
         pass
 
 
-def test_paged_json_source(spark):
-    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Pages)
+@pytest.fixture(scope="module")
+def served():
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Served)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    base = f"http://127.0.0.1:{server.server_port}"
-    spark.dataSource.register(rest.PagedJson)
-    read = spark.read.format("paged_json").schema("id long, name string").option("interval", 0.01).option("backoff", 0.01).option("pages", 4)
-    got = read.option("urls", f"{base}/old?page={{page}}\n{base}/new?page={{page}}{{&since}}").load().collect()
+    yield f"http://127.0.0.1:{server.server_port}"
     server.shutdown()
-    assert sorted(r.id for r in got) == [0, 1, 10, 11, 20, 21]
+
+
+def test_paged_json_source(spark, served):
+    spark.dataSource.register(rest.PagedJson)
+    read = lambda: spark.read.format("paged_json").schema("id long, name string").option("interval", 0.01).option("backoff", 0.01)
+    every = [10 * p + i for p in range(7) for i in range(2)]
+    for tasks in (1, 3, 9):
+        got = read().option("tasks", tasks).option("urls", f"{served}/old{tasks}?page={{page}}\n{served}/new{tasks}?page={{page}}{{&since}}").load().collect()
+        assert sorted(r.id for r in got) == every
+    some = read().option("pages", 3).option("url", f"{served}/some?page={{page}}")
+    assert sorted(r.id for r in some.option("tasks", 2).load().collect()) == every[:6]
+    with pytest.raises(Exception, match="no rows"):
+        read().option("first", 7).option("url", f"{served}/none?page={{page}}").load().collect()
+    assert read().option("first", 7).option("allow_empty", "true").option("url", f"{served}/none?page={{page}}").load().count() == 0
     with pytest.raises(ValueError):
         rest.rows_of({"error": "no"})
     assert rest.filled("u?page={page}{&since}{&to}", {"since": "5"}, 3) == "u?page=3&since=5"
+
+
+def test_remembered_template(spark):
+    """The template that answered is asked first for the pages that follow."""
+    reader = rest.PagedReader(None, {"urls": "a{page}\nb{page}", "pages": "3"})
+    reader.schema = type("S", (), {"fields": []})()
+    asked = []
+    reader.fetch = lambda url: asked.append(url) or ([{}] if url[0] == "b" else [])
+    list(reader.read(reader.partitions()[0]))
+    assert asked == ["a0", "b0", "b1", "b2"]
+
+
+def test_bootstrap_and_clusters_have_the_values_of_numpy(spark):
+    x = np.random.default_rng(4).normal(size=30)
+    got = stats.block_bootstrap(spark.createDataFrame([("f", i, float(v)) for i, v in enumerate(x)], "k string, t int, v double"), "v", "t", "k", draws=500).first()
+    rng, means = np.random.default_rng(20260726), []
+    starts = rng.integers(0, 30, (500, 5))
+    for row in starts:
+        means.append(np.mean([x[(s + j) % 30] for s in row for j in range(6)][:30]))
+    assert (got.low, got.high) == pytest.approx((np.quantile(means, 0.025), np.quantile(means, 0.975))) and got.n == 30
+    d = np.array([[0, 0.1, 0.9, 0.8], [0.1, 0, 0.7, 0.9], [0.9, 0.7, 0, 0.3], [0.8, 0.9, 0.3, 0]])
+    assert stats.average_linkage(list("abcd"), d, 0.5) == [["a", "b"], ["c", "d"]]
+    assert stats.average_linkage(list("abcd"), d, 0.82) == stats.average_linkage(list("abcd"), d, 0.825)
+    assert stats.average_linkage(list("abcd"), d, 0.83) == [["a", "b", "c", "d"]]
+
+
+def test_least_squares_equal_numpy(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 4))
+    y = x @ [1.0, -2.0, 0.5, 0.0] + rng.normal(size=60)
+    got = {r.term: r.beta for r in stats.grouped_ols(spark.createDataFrame([("g", *map(float, r), float(v)) for r, v in zip(x, y)], "g string, a double, b double, c double, d double, y double"), "y", list("abcd"), "g", 5).collect()}
+    z = (x - x.mean(0)) / x.std(0)
+    want = np.linalg.lstsq(np.column_stack([np.ones(60), z]), y, rcond=None)[0]
+    assert [got[t] for t in ("intercept", *"abcd")] == pytest.approx(list(want))
+    alike = stats.eliminated(np.array([[1.0, 1.0], [1.0, 1.0]]), np.array([2.0, 2.0]), 1e-9)
+    assert alike.tolist() == [2.0, 0.0]
+
+
+def test_visibility_equals_brute_force(spark):
+    """Vintages out of order, gaps and many periods, against the definition."""
+    import random
+
+    rnd = random.Random(2)
+    rows = []
+    for sec in range(4):
+        for q in range(14):
+            end = D(2018, 1, 31) + dt.timedelta(91 * q)
+            for v in range(1, rnd.randint(1, 4)):
+                accepted = None if rnd.random() < 0.1 else dt.datetime.combine(end, dt.time(rnd.randint(9, 20))) + dt.timedelta(rnd.randint(-5, 500))
+                rows.append((sec, end, v, accepted, float(rnd.randint(1, 99))))
+    s = spark.createDataFrame(rows, "sec int, period_end date, vintage_id int, accepted timestamp_ntz, gp double")
+    months = [D(2018 + k // 12, k % 12 + 1, 27) for k in range(3, 60)]
+    grid = spark.createDataFrame([(m, 10 + i) for i, m in enumerate(months)], "as_of date, ai long")
+    for last in (3, None):
+        want = set()
+        for m in months:
+            close = dt.datetime.combine(m, dt.time(16))
+            for sec in range(4):
+                best = {}
+                for r in rows:
+                    if r[0] == sec and r[1] <= m and r[3] is not None and r[3] <= close:
+                        best[r[1]] = max(best.get(r[1], (0, 0)), (r[2], r[4]))
+                for nth, end in enumerate(sorted(best, reverse=True)[:last], 1):
+                    want.add((sec, m, end, *best[end], nth))
+        got = {(r.sec, r.as_of, r.period_end, r.vintage_id, r.gp, r.nth) for r in temporal.visible_on_grid(s, grid, last).collect()}
+        assert got == want
