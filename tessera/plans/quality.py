@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import predicates as P
 from tessera.operators import quality as Q
-from tessera.operators import returns
+from tessera.operators import factors, returns
 from tessera.operators import temporal as TJ
 from tessera.plans import history as H
 from tessera.plans import panel
@@ -161,3 +161,93 @@ def api_summary(spark, d):
         one = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+LEVELS = "SELECT sec, COUNT(*) AS n FROM daily WHERE r IS NOT NULL GROUP BY 1"
+
+
+@query(f"""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS levels FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
+  FULL JOIN ({LEVELS}) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""", daily=H.DAILY)
+def audit_levels(spark, d):
+    """Securities whose levels are not as many as their prices: the first day has
+    a price and no return."""
+    prices = X.bars(spark, d).groupBy("sec").agg(F.count("*").alias("prices"))
+    levels = returns.index_level(H.daily(spark, d).filter("r IS NOT NULL")).groupBy("sec").agg(F.count("level").alias("levels"))
+    return Q.drift(prices, levels, "sec", "prices", "levels")
+
+
+@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS reports, COALESCE(b.n, 0) AS scored FROM (SELECT sec, COUNT(*) AS n FROM surprises GROUP BY 1) a
+  FULL JOIN (SELECT sec, COUNT(sue) AS n FROM sue GROUP BY 1) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""", sue=H.SUE)
+def audit_surprises(spark, d):
+    r = X.surprises(spark, d)
+    scored = factors.standardised_surprise(r).groupBy("sec").agg(F.count("sue").alias("scored"))
+    return Q.drift(r.groupBy("sec").agg(F.count("*").alias("reports")), scored, "sec", "reports", "scored")
+
+
+@query(f"""SELECT 'snapshots' AS what, COUNT(*) AS n, COUNT(DISTINCT as_of) AS months FROM snapshot UNION ALL SELECT 'benchmark', COUNT(*), COUNT(DISTINCT as_of) FROM bench
+  UNION ALL SELECT 'registry', {len(panel.FACTORS)}, 0 UNION ALL SELECT 'vintages', COUNT(*), COUNT(DISTINCT date_trunc('month', accepted)) FROM statements WHERE vintage_id > 1""", **H.UNIVERSE, bench=H.BENCH)
+def audit_totals(spark, d):
+    count = lambda df, what, month="as_of": df.agg(F.count("*").alias("n"), F.countDistinct(month).alias("months")).select(F.lit(what).alias("what"), "n", "months")
+    registry = spark.range(1).select(F.lit("registry").alias("what"), F.lit(len(panel.FACTORS)).cast("long").alias("n"), F.lit(0).cast("long").alias("months"))
+    later = X.statements(spark, d).filter("vintage_id > 1").withColumn("m", F.date_trunc("month", "accepted"))
+    return count(H.snapshot(spark, d), "snapshots").unionByName(count(H.benchmark(spark, d), "benchmark")).unionByName(registry).unionByName(count(later, "vintages", "m"))
+
+
+# chain proofs: a security's first and last symbol, each on its first day, resolve to the same securities
+PROOFS = """SELECT a.sec, a.first_s, a.first_d, a.last_s, a.last_d FROM (SELECT sec, arg_min(symbol, (valid_from, symbol)) AS first_s, MIN(valid_from) AS first_d,
+    arg_max(symbol, (valid_from, symbol)) AS last_s, MAX(valid_from) AS last_d, COUNT(DISTINCT symbol) AS n FROM symbol_map GROUP BY 1) a WHERE n > 1"""
+RESOLVED = """SELECT p.sec, list_sort(list(DISTINCT m.sec)) AS secs FROM proofs p JOIN symbol_map m ON m.symbol = p.{s} AND m.valid_from <= p.{d} AND (m.valid_to IS NULL OR m.valid_to >= p.{d}) GROUP BY 1"""
+
+
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(list_contains(a.secs, p.sec) AND list_contains(b.secs, p.sec), FALSE) THEN 1 END) AS violations,
+  COUNT(CASE WHEN a.secs = b.secs THEN 1 END) AS alike FROM proofs p LEFT JOIN ra a ON a.sec = p.sec LEFT JOIN rb b ON b.sec = p.sec""", proofs=PROOFS, ra=RESOLVED.format(s="first_s", d="first_d"), rb=RESOLVED.format(s="last_s", d="last_d"))
+def gate_identity_chains(spark, d):
+    """Renamed securities: both symbols must resolve to it, each at its time;
+    alike counts those where both resolve to the very same securities."""
+    m = X.symbol_map(spark, d)
+    ends = m.groupBy("sec").agg(F.min(F.struct("valid_from", "symbol")).alias("a"), F.max(F.struct("valid_from", "symbol")).alias("b"), F.countDistinct("symbol").alias("n")).filter("n > 1")
+    asked = ends.select("sec", F.expr("inline(array(named_struct('side', 'a', 't', a.valid_from, 'symbol', a.symbol), named_struct('side', 'b', 't', b.valid_from, 'symbol', b.symbol)))"))
+    held = m.select("symbol", F.col("sec").alias("found"), "valid_from", "valid_to")
+    hits = asked.join(held, "symbol").filter(P.covers("valid_from", "valid_to", "t")).groupBy("sec").agg(
+        F.array_sort(F.collect_set(F.when(F.col("side") == "a", F.col("found")))).alias("x"), F.array_sort(F.collect_set(F.when(F.col("side") == "b", F.col("found")))).alias("y")
+    )
+    rows = ends.select("sec").join(hits, "sec", "left")
+    right = F.coalesce(F.array_contains("x", F.col("sec")) & F.array_contains("y", F.col("sec")), F.lit(False))
+    return rows.agg(F.count("*").alias("rows_"), F.count_if(~right).alias("violations"), F.count_if(F.col("x") == F.col("y")).alias("alike"))
+
+
+@query("SELECT 5 AS checks, 0 AS violations")
+def gate_synthetic_restatement(spark, d):
+    """The selector itself on a restated period made by hand: the original until
+    the restatement is accepted, the restated value from then on, and nothing of
+    what is accepted after the close."""
+    rows = spark.sql("""SELECT * FROM VALUES (1, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-05-01 09:00:00', 100.0D), (1, DATE'2016-03-31', 2, TIMESTAMP_NTZ'2025-05-01 09:00:00', 999.0D),
+      (2, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-06-30 17:30:00', 100.0D) AS t(sec, period_end, vintage_id, accepted, gp)""")
+    grid = spark.sql("SELECT * FROM VALUES (DATE'2016-06-30', 1L), (DATE'2016-07-29', 2L), (DATE'2018-06-30', 3L), (DATE'2026-06-30', 4L) AS t(as_of, ai)")
+    want = spark.sql("""SELECT * FROM VALUES (1, DATE'2018-06-30', 100.0D), (1, DATE'2026-06-30', 999.0D), (2, DATE'2016-06-30', CAST(NULL AS DOUBLE)), (2, DATE'2016-07-29', 100.0D), (1, DATE'2016-06-30', 100.0D) AS t(sec, as_of, want)""")
+    seen = TJ.visible_on_grid(rows, grid, 6).select("sec", "as_of", "gp")
+    both = want.join(seen, ["sec", "as_of"], "left")
+    return both.agg(F.count("*").cast("int").alias("checks"), F.count_if(~F.col("want").eqNullSafe(F.col("gp"))).cast("int").alias("violations"))
+
+
+@query("SELECT as_of, COUNT(*) AS members FROM members GROUP BY 1", **H.UNIVERSE, members=panel.MEMBERS)
+def api_universe_series(spark, d):
+    return panel.members(spark, d).groupBy("as_of").agg(F.count("*").alias("members"))
+
+
+@query("SELECT CASE WHEN pct IS NULL THEN 'no-oracle' WHEN pct >= 99 THEN '99+' WHEN pct >= 95 THEN '95-99' ELSE '<95' END AS bucket, COUNT(*) AS n FROM recon GROUP BY 1", daily=H.DAILY, pairs=H.PAIRS, recon=RECON)
+def api_recon_histogram(spark, d):
+    return returns.match_score(H._pairs(spark, d)).groupBy(P.bucket_of_match("pct").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT step, n FROM (SELECT 'snapshots' AS step, COUNT(*) AS n FROM snapshot UNION ALL SELECT 'members', COUNT(*) FROM members UNION ALL SELECT 'board', COUNT(*) FROM covered
+  UNION ALL SELECT 'ic', COUNT(*) FROM ics UNION ALL SELECT 'long-short', COUNT(*) FROM lsq
+  UNION ALL SELECT 'gate', CASE WHEN COUNT(DISTINCT factor) = {len(panel.FACTORS)} AND COUNT(DISTINCT as_of) = (SELECT COUNT(DISTINCT as_of) FROM members) THEN 1 ELSE 0 END FROM covered)""", **panel.EVAL)
+def recompute_chain(spark, d):
+    """The monthly chain, each step from what the one before has stored: universe,
+    board, evaluation, and the gate over them."""
+    out = None
+    for step, rows in (("snapshots", H.snapshot), ("members", panel.members), ("board", panel.board), ("ic", panel.ics), ("long-short", panel.spreads)):
+        one = rows(spark, d).agg(F.count("*").alias("n")).select(F.lit(step).alias("step"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out.unionByName(gate_board_integrity(spark, d).select(F.lit("gate").alias("step"), F.col("passed").cast("long").alias("n")))

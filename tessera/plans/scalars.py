@@ -180,3 +180,33 @@ def resume_targets(spark, d):
     done = o.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
     due = o.filter("o_orderdate >= DATE'1999-01-01'").select(F.col("o_custkey").alias("c_custkey"))
     return c.select("c_custkey").join(done, "c_custkey", "left_anti").join(due, "c_custkey", "left_semi")
+
+
+@query(f"""SELECT COALESCE(a, b) AS present, COUNT(*) AS n FROM (SELECT CASE WHEN l_returnflag = 'R' THEN l_discount END AS a, CASE WHEN l_linestatus = 'F' THEN l_tax END AS b FROM lineitem) GROUP BY 1""")
+def first_present(spark, d):
+    """Zero is a value here, unlike in first_truthy."""
+    li = X.table(spark, d, "lineitem")
+    a, b = F.when(F.col("l_returnflag") == "R", F.col("l_discount")), F.when(F.col("l_linestatus") == "F", F.col("l_tax"))
+    return li.groupBy(P.first_present(a, b).alias("present")).agg(F.count("*").alias("n"))
+
+
+VENUES = """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'NYSE American' WHEN 1 THEN 'NASDAQ Global Select' WHEN 2 THEN 'OTC' WHEN 3 THEN 'amex' END AS venue,
+  CASE c_custkey % 4 WHEN 0 THEN 'Financial Services' WHEN 1 THEN 'financials' WHEN 2 THEN c_mktsegment END AS sector FROM customer"""
+
+
+@query("""SELECT venue, sector, COALESCE(upper(venue) LIKE '%NYSE%' OR upper(venue) LIKE '%NASDAQ%' OR upper(venue) LIKE '%AMEX%', FALSE) AS listed,
+  COALESCE(lower(sector) LIKE '%financ%', FALSE) AS financial, COUNT(*) AS n FROM venues GROUP BY ALL""", venues=VENUES)
+def venue_and_sector_flags(spark, d):
+    k = F.col("c_custkey")
+    venue = F.when(k % 5 == 0, "NYSE American").when(k % 5 == 1, "NASDAQ Global Select").when(k % 5 == 2, "OTC").when(k % 5 == 3, "amex")
+    sector = F.when(k % 4 == 0, "Financial Services").when(k % 4 == 1, "financials").when(k % 4 == 2, F.col("c_mktsegment"))
+    rows = X.table(spark, d, "customer").select(venue.alias("venue"), sector.alias("sector"))
+    return rows.groupBy("venue", "sector", P.listed("venue").alias("listed"), P.financial("sector").alias("financial")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_custkey AS sec, CAST(o_orderdate AS DATE) AS fiscal_date, COUNT(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) >= date_trunc('year', (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)) GROUP BY 1, 2""")
+def future_estimates(spark, d):
+    """Estimates for the year of the last one or later; past years are left out."""
+    o = X.table(spark, d, "orders").select(F.col("o_custkey").alias("sec"), F.col("o_orderdate").cast("date").alias("fiscal_date"))
+    today = o.agg(F.max("fiscal_date")).first()[0]
+    return o.filter(P.not_past("fiscal_date", F.lit(today))).groupBy("sec", "fiscal_date").agg(F.count("*").alias("n"))

@@ -35,14 +35,14 @@ def fill_back_scan(spark, d):
 @query("SELECT s_suppkey AS sec, s_name AS name, s_nationkey AS nation FROM supplier")
 def csv_scan(spark, d):
     path = scratch_path(spark, "csv")
-    X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")).write.option("header", True).csv(path)
+    files.write_artifact(X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")), path, "csv")
     return files.scan_csv(spark, path, "sec long, name string, nation int")
 
 
 @query("SELECT n_nationkey AS k, n_name AS name, n_regionkey AS region FROM nation")
 def json_scan(spark, d):
     path = scratch_path(spark, "json")
-    X.table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")).write.json(path)
+    files.write_artifact(X.table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")), path)
     return files.scan_json(spark, path, "k long, name string, region int")
 
 
@@ -121,3 +121,60 @@ def append_later_bars(spark, d):
     b = X.bars(spark, d).select("sec", "d", "close")
     stored = b.filter("d < DATE'1999-01-01'")
     return stored.unionByName(incremental.later_rows(stored, b, "sec", "d")).groupBy("sec").agg(F.count("*").alias("days"), F.max("d").alias("last_d"))
+
+
+# the loop's clock is the events' hours, its log what the first half of them left
+_ASKED = """SELECT DISTINCT now, job, period FROM (SELECT now, unnest([
+    CASE WHEN isodow(now) < 6 AND hour(now) >= 23 THEN {'job': 'daily', 'period': strftime(now, '%Y-%m-%d')} END, CASE WHEN isodow(now) = 6 AND hour(now) >= 12 THEN {'job': 'weekly', 'period': strftime(now, '%G-W%V')} END,
+    CASE WHEN day(now) >= 2 AND hour(now) >= 13 THEN {'job': 'monthly', 'period': strftime(now, '%Y-%m')} END], recursive := true) FROM (SELECT DISTINCT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS now FROM events)) WHERE job IS NOT NULL"""
+
+
+def _asked(spark, d):
+    return incremental.due(X.table(spark, d, "events").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("now")).distinct())
+
+
+@query("SELECT job, period, COUNT(*) AS times, MIN(now) AS first_now FROM asked GROUP BY 1, 2", asked=_ASKED)
+def schedule_predicate(spark, d):
+    return _asked(spark, d).groupBy("job", "period").agg(F.count("*").alias("times"), F.min("now").alias("first_now"))
+
+
+_LOG = """SELECT job, period, CASE length(period) % 2 + ascii(right(period, 1)) % 2 WHEN 0 THEN 'ok' WHEN 1 THEN 'running' ELSE 'error' END AS status,
+    MIN(now) - to_hours(CASE WHEN ascii(right(period, 1)) % 4 = 1 THEN 7 ELSE 5 END) AS ran_at FROM asked WHERE ascii(right(period, 1)) % 3 <> 0 GROUP BY 1, 2"""
+
+
+def _log(spark, d):
+    last = F.ascii(F.right("period", F.lit(1)))
+    code = F.length("period") % 2 + last % 2
+    rows = _asked(spark, d).groupBy("job", "period").agg(F.min("now").alias("now")).filter(last % 3 != 0)
+    at = F.col("now") - F.make_dt_interval(F.lit(0), F.when(last % 4 == 1, 7).otherwise(5))
+    return rows.select("job", "period", F.when(code == 0, "ok").when(code == 1, "running").otherwise("error").alias("status"), at.alias("ran_at"))
+
+
+@query("""SELECT a.job, a.period, a.now FROM (SELECT job, period, MIN(now) AS now FROM asked GROUP BY 1, 2) a LEFT JOIN log_ l ON l.job = a.job AND l.period = a.period
+  WHERE l.status IS NULL OR (l.status = 'running' AND l.ran_at < a.now - INTERVAL 6 HOUR)""", asked=_ASKED, log_=_LOG)
+def claimable_periods(spark, d):
+    return incremental.claimable(_asked(spark, d), _log(spark, d))
+
+
+@query("""SELECT status, COUNT(*) AS n FROM (SELECT COALESCE(CASE WHEN c.job IS NOT NULL THEN 'ok' END, l.status) AS status FROM log_ l FULL JOIN (SELECT a.job, a.period FROM (SELECT job, period, MIN(now) AS now FROM asked GROUP BY 1, 2) a
+  LEFT JOIN log_ l ON l.job = a.job AND l.period = a.period WHERE l.status IS NULL OR (l.status = 'running' AND l.ran_at < a.now - INTERVAL 6 HOUR)) c ON c.job = l.job AND c.period = l.period) GROUP BY 1""", asked=_ASKED, log_=_LOG)
+def job_status_recording(spark, d):
+    log = _log(spark, d).withColumn("detail", F.lit(""))
+    after = incremental.recorded(log, incremental.claimable(_asked(spark, d), log), "ok", F.lit("done"))
+    return after.groupBy("status").agg(F.count("*").alias("n"))
+
+
+_TODAY = "(SELECT MAX(d) FROM bars)"
+_CAPS = """SELECT c.as_of, m.sec, m.tr * x.shares AS mktcap FROM month_end m JOIN calendar c ON c.as_of = m.as_of JOIN securities x ON x.sec = m.sec WHERE m.sec % 7 <> 0"""
+_LATE = f"""SELECT max_by(d, d) AS as_of, sec, max_by(v, d) AS mktcap FROM (SELECT b.sec, b.d, b.close * x.shares AS v FROM bars b JOIN securities x ON x.sec = b.sec WHERE b.d >= {_TODAY} - 45 AND b.close * x.shares > 0) GROUP BY sec, date_trunc('month', d)"""
+
+
+@query("""SELECT COALESCE(n.as_of, o.as_of) AS as_of, COALESCE(n.sec, o.sec) AS sec, ROUND(COALESCE(n.mktcap, o.mktcap), 2) AS mktcap FROM caps o FULL JOIN late n ON n.as_of = o.as_of AND n.sec = o.sec""", caps=_CAPS, late=_LATE)
+def mktcap_topup(spark, d):
+    """Stored month-end market caps with the last of each month put over them
+    that the last 45 days of the daily feed have."""
+    x = X.securities(spark, d).select("sec", "shares")
+    stored = X.month_end(spark, d).join(x, "sec").filter("sec % 7 <> 0").select("as_of", "sec", (F.col("tr") * F.col("shares")).alias("mktcap"))
+    daily = X.bars(spark, d).join(x, "sec").select("sec", "d", (F.col("close") * F.col("shares")).alias("mktcap"))
+    today = daily.agg(F.max("d")).first()[0]
+    return incremental.topped_up(stored, daily, F.lit(today)).withColumn("mktcap", F.round("mktcap", 2))
