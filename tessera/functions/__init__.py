@@ -1 +1 @@
-"""See the modules."""
+"""Column expressions and statistics."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.stats import average_rank, correlation, newey_west, probit, standardised, winsorized
+from tessera.functions.stats import average_rank, correlation, newey_west, probit, standardised, winsorized
 
 
 def covered(values: DataFrame, members: DataFrame, least: float = 0.6, without_financials: list[str] = ()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.predicates import covers
+from tessera.functions.predicates import covers
 from tessera.sources.scratch import checkpointed
 
 FOREVER = "9999-12-31"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.operators import factors, predicates, returns, universe
+from tessera.functions import predicates
+from tessera.operators import factors, returns, universe
 from tessera.operators.crosssection import counted_spread
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X

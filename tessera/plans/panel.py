@@ -13,8 +13,9 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessera.functions import stats
 from tessera.operators import crosssection as C
-from tessera.operators import factors, returns, stats, temporal, universe
+from tessera.operators import factors, returns, temporal, universe
 from tessera.plans import history as H
 from tessera.plans import temporal as T
 from tessera.plans.registry import query
@@ -325,8 +326,13 @@ def clusters(spark, d):
     return spark.createDataFrame(out, "cut double, cluster int, members string")
 
 
-#: The registered composites: their members, and how many of them a name needs.
-COMPOSITES = {"a": (["mom_12_1", "gp_a", "sue", "net_issuance"], 3), "b": (["mom_12_1", "gp_a", "sue", "net_issuance", "ebit_ev", "bp"], 4)}
+#: The registered composites a and b, and one of price and balance sheet only:
+#: their members, and how many of them a name needs.
+COMPOSITES = {
+    "a": (["mom_12_1", "gp_a", "sue", "net_issuance"], 3), "b": (["mom_12_1", "gp_a", "sue", "net_issuance", "ebit_ev", "bp"], 4),
+    "c": (["mom_12_1", "bp", "asset_growth", "accruals"], 3),
+}
+REGISTERED = ("a", "b")
 SIGNS = {f: factors.REGISTRY[f][1] for f in FACTORS}
 SIGN_SQL = f"CASE WHEN factor IN ({_in(f for f in FACTORS if SIGNS[f] < 0)}) THEN -1 ELSE 1 END"
 
@@ -375,6 +381,8 @@ composite_a_ew = _composite("composite_a_ew", "a", False)
 composite_a_icw = _composite("composite_a_icw", "a", True)
 composite_b_ew = _composite("composite_b_ew", "b", False)
 composite_b_icw = _composite("composite_b_icw", "b", True)
+composite_ew = _composite("composite_ew", "c", False)
+composite_icw = _composite("composite_icw", "c", True)
 
 
 @query("SELECT as_of, factor, ROUND(weight, 7) AS weight FROM weights_", **EVAL, **_composite_sql("b", True))
@@ -405,7 +413,7 @@ _CURVE = "SELECT as_of, ROUND(product(1 + ROUND(ls, 6)) OVER (ORDER BY as_of ROW
 def _all_composites_sql() -> tuple[str, dict[str, str]]:
     """One statement for the four: their parts under names of their own."""
     parts, ctes = [], {}
-    for which in COMPOSITES:
+    for which in REGISTERED:
         for weighted in (False, True):
             tag = f"{which}_{'icw' if weighted else 'ew'}"
             own = _composite_sql(which, weighted)
@@ -424,7 +432,7 @@ _CURVES_SQL, _CURVES_CTES = _all_composites_sql()
 def composite_curves(spark, d):
     """The curves of the four composites and where their holdout begins."""
     out = None
-    for which in COMPOSITES:
+    for which in REGISTERED:
         for weighted in (False, True):
             tag = f"{which}_{'icw' if weighted else 'ew'}"
             one = _rounded(_spread(spark, d, which, weighted), "ls").withColumn("composite", F.lit(tag))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import predicates as P
+from tessera.functions import predicates as P
 from tessera.operators import quality as Q
 from tessera.operators import factors, returns
 from tessera.operators import temporal as TJ

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import predicates as P
+from tessera.functions import predicates as P
 from tessera.operators.temporal import by_priority
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X

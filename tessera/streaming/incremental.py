@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.predicates import iso_week
+from tessera.functions.predicates import iso_week
 from tessera.sources.tables import upserted
 
 STALE_AFTER = "INTERVAL 6 HOURS"

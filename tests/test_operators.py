@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import crosssection, factors, predicates, quality, stats, temporal, universe
+from tessera.functions import predicates, stats
+from tessera.operators import crosssection, factors, quality, temporal, universe
 from tessera.sources import rest, tables
 from tessera.streaming import incremental
 
