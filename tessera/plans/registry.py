@@ -26,6 +26,3 @@ def query(sql: str | None = None, **ctes: str):
         return f
 
     return add
-
-
-from tessera.plans import history, panel, quality, scalars, storage, temporal  # noqa: E402, F401  they register themselves
