@@ -90,8 +90,8 @@ def meetings(fps: np.ndarray, width: int, radius: int, block: int, part: int = 0
     """Pairs of indices (first, other) into fps: of the strings that share a
     variant, each with the one nearest to it (the least index on a tie).
 
-    fps must be distinct. Only variants of this part are written out, and only
-    over the bits outside the block (-1: over all bits).
+    Only variants of this part are written out, and only over the bits outside
+    the block (-1: over all bits).
     """
     low, high = blocks(width, radius)[block] if block >= 0 else (0, 0)
     masks, sizes = flips([b for b in range(width) if not low <= b < high], radius)
