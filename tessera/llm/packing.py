@@ -58,7 +58,7 @@ class WordTokenizer:
     """A tokenizer that drops white space and never joins what it separates, so
     that a text's ids are those of its words. Each distinct word of a batch is
     looked up once; words are remembered from batch to batch, as Arrow and NumPy
-    arrays of bounded size.
+    arrays of bounded size, those that many batches have the longest.
     """
 
     def __init__(self, path: str):
@@ -70,7 +70,19 @@ class WordTokenizer:
     def _forget(self) -> None:
         self.words = pa.array([], pa.large_string())
         self.pool = np.zeros(0, "<u4")
-        self.sizes = self.starts = np.zeros(0, np.int64)
+        self.sizes = self.starts = self.hits = np.zeros(0, np.int64)
+
+    def _keep_common(self) -> None:
+        """Forgets words that one batch only has had, and where that isn't enough
+        the less common half of the others."""
+        least = max(2, int(np.median(self.hits[self.hits > 1])) + 1 if (self.hits > 1).sum() > REMEMBERED // 2 else 2)
+        keep = self.hits >= least
+        sizes, starts = self.sizes[keep], self.starts[keep]
+        begins = np.cumsum(sizes) - sizes
+        self.pool = self.pool[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
+        self.words, self.sizes, self.starts, self.hits = self.words.filter(pa.array(keep)), sizes, begins, self.hits[keep] // 2
+        if self.words.nbytes + self.pool.nbytes > REMEMBERED_BYTES:
+            self._forget()
 
     @classmethod
     def at(cls, path: str) -> WordTokenizer:
@@ -92,12 +104,14 @@ class WordTokenizer:
     def _places(self, words: pa.Array) -> np.ndarray:
         """Where each of some distinct words is remembered."""
         if len(self.words) > REMEMBERED or self.words.nbytes + self.pool.nbytes > REMEMBERED_BYTES:
-            self._forget()
+            self._keep_common()
         at = pc.index_in(words, value_set=self.words)
         new, known = at.is_null(), len(self.words)
         self._learn(words.filter(new))
         at = at.fill_null(-1).to_numpy().astype(np.int64)
         at[at < 0] = np.arange(known, len(self.words))
+        self.hits = np.append(self.hits, np.zeros(len(self.words) - known, np.int64))
+        self.hits[at] += 1
         return at
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
