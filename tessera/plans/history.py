@@ -14,7 +14,8 @@ from tessera.sources.stored import stored
 
 DAILY = """SELECT sec, d, close, prev, CASE WHEN prev <> 0 THEN (close * COALESCE(split, 1) + COALESCE(dividend, 0)) / prev END - 1 AS r FROM (
   SELECT b.sec, b.d, b.close, lag(b.close) OVER (PARTITION BY b.sec ORDER BY b.d) AS prev, a.split, a.dividend FROM bars b LEFT JOIN (
-    SELECT sec, d, MAX(CASE WHEN kind = 'split' THEN value END) AS split, SUM(CASE WHEN kind = 'dividend' THEN value END) AS dividend FROM actions GROUP BY 1, 2) a ON a.sec = b.sec AND a.d = b.d)"""
+    SELECT sec, d, MAX(CASE WHEN kind = 'split' THEN value END) AS split, SUM(CASE WHEN kind = 'dividend'
+    THEN value END) AS dividend FROM actions GROUP BY 1, 2) a ON a.sec = b.sec AND a.d = b.d)"""
 
 
 def daily(spark, d):
@@ -40,8 +41,10 @@ def tr_index(spark, d):
     return rows.groupBy("sec", F.trunc("d", "MM").alias("m")).agg(F.round(F.max_by("level", "d"), 4).alias("level"))
 
 
-@query("""SELECT sec, arg_max(n, d) AS days, ROUND(arg_max(base * g, d), 4) AS level FROM (SELECT r.sec, r.d, s.level AS base, product(1 + COALESCE(r.r, 0)) OVER w AS g, COUNT(*) OVER w AS n
-  FROM daily r JOIN (SELECT sec, MAX(d) AS last_d, ROUND(arg_max(level, d), 6) AS level FROM lvl WHERE d < DATE '2000-01-01' GROUP BY 1) s ON s.sec = r.sec AND r.d > s.last_d
+@query("""SELECT sec, arg_max(n, d) AS days, ROUND(arg_max(base * g, d), 4) AS level
+  FROM (SELECT r.sec, r.d, s.level AS base, product(1 + COALESCE(r.r, 0)) OVER w AS g, COUNT(*) OVER w AS n
+  FROM daily r JOIN (SELECT sec, MAX(d) AS last_d, ROUND(arg_max(level, d), 6) AS level FROM lvl WHERE d < DATE '2000-01-01'
+  GROUP BY 1) s ON s.sec = r.sec AND r.d > s.last_d
   WINDOW w AS (PARTITION BY r.sec ORDER BY r.d ROWS UNBOUNDED PRECEDING)) GROUP BY 1""", daily=DAILY, lvl=LEVEL)
 def tr_extension(spark, d):
     r = daily(spark, d)
@@ -51,8 +54,10 @@ def tr_extension(spark, d):
 
 
 # reconciliation against a second series: the same prices, disturbed by rule
-PAIRS = """SELECT sec, d, abs(r - o) > greatest(0.001::DOUBLE, 0.011::DOUBLE / prev, 0.011::DOUBLE / (prev + 1)) AS mismatch, abs(o) > 1 AND abs(r) < 0.2::DOUBLE AS insane, abs(r) > 0.5::DOUBLE AND abs(r - o) > 0.3::DOUBLE AS seam FROM (
-  SELECT *, CASE WHEN (sec + dayofyear(d)) % 29 = 0 THEN r + 0.4::DOUBLE WHEN (sec + dayofyear(d)) % 83 = 0 THEN r + 3 ELSE r END AS o FROM daily WHERE r IS NOT NULL)"""
+PAIRS = """SELECT sec, d, abs(r - o) > greatest(0.001::DOUBLE, 0.011::DOUBLE / prev, 0.011::DOUBLE / (prev + 1)) AS mismatch, abs(o) > 1
+  AND abs(r) < 0.2::DOUBLE AS insane, abs(r) > 0.5::DOUBLE AND abs(r - o) > 0.3::DOUBLE AS seam FROM (
+  SELECT *, CASE WHEN (sec + dayofyear(d)) % 29 = 0 THEN r + 0.4::DOUBLE WHEN (sec + dayofyear(d)) % 83 = 0
+  THEN r + 3 ELSE r END AS o FROM daily WHERE r IS NOT NULL)"""
 
 
 def _pairs(spark, d):
@@ -63,8 +68,10 @@ def _pairs(spark, d):
     return rows.select("sec", "d", predicates.off_tolerance(r, o, F.col("prev"), F.col("prev") + 1).alias("mismatch"), predicates.other_insane(r, o).alias("insane"), seam.alias("seam"))
 
 
-@query("""SELECT sec, n, bad, CASE WHEN n > 0 AND bad <= greatest(10::DOUBLE, 0.02::DOUBLE * n) THEN ROUND(100 * (1 - mism / n::DOUBLE), 2) END AS pct, first_mismatch FROM (
-  SELECT sec, COUNT(CASE WHEN NOT insane THEN 1 END) AS n, COUNT(CASE WHEN insane THEN 1 END) AS bad, COUNT(CASE WHEN NOT insane AND mismatch THEN 1 END) AS mism, MIN(CASE WHEN NOT insane AND mismatch THEN d END) AS first_mismatch FROM pairs GROUP BY 1)""", daily=DAILY, pairs=PAIRS)
+@query("""SELECT sec, n, bad, CASE WHEN n > 0 AND bad <= greatest(10::DOUBLE, 0.02::DOUBLE * n)
+  THEN ROUND(100 * (1 - mism / n::DOUBLE), 2) END AS pct, first_mismatch FROM (
+  SELECT sec, COUNT(CASE WHEN NOT insane THEN 1 END) AS n, COUNT(CASE WHEN insane THEN 1 END) AS bad, COUNT(CASE WHEN NOT insane AND mismatch
+  THEN 1 END) AS mism, MIN(CASE WHEN NOT insane AND mismatch THEN d END) AS first_mismatch FROM pairs GROUP BY 1)""", daily=DAILY, pairs=PAIRS)
 def recon_score(spark, d):
     return returns.match_score(_pairs(spark, d))
 
@@ -74,9 +81,13 @@ def recon_counterfactuals(spark, d):
     return _pairs(spark, d).groupBy("sec").agg(F.count_if("mismatch").alias("aware"), F.count_if("seam").alias("seams"), F.count_if("insane").alias("insane"))
 
 
-ADV = """SELECT sec, d, close, CASE WHEN n >= 40 THEN list_sort(v)[n // 2 + 1] END AS adv FROM (SELECT sec, d, close, list(close * volume) OVER w AS v, COUNT(*) OVER w AS n FROM bars WINDOW w AS (PARTITION BY sec ORDER BY d ROWS 62 PRECEDING))"""
-SNAP = """SELECT c.as_of, b.sec, arg_max(b.close, b.d) AS price, max_by(b.adv, b.d) AS adv0, MAX(b.d) AS last_d FROM adv b JOIN calendar c ON date_trunc('month', c.as_of) = date_trunc('month', b.d) AND b.d <= c.as_of GROUP BY 1, 2"""
-SNAPSHOT = """SELECT s.as_of, s.sec, s.price, a.adv, s.price * x.shares AS mktcap, date_diff('day', s.last_d, s.as_of) AS gap FROM snap s JOIN adv a ON a.sec = s.sec AND a.d = s.last_d JOIN securities x ON x.sec = s.sec"""
+ADV = """SELECT sec, d, close, CASE WHEN n >= 40 THEN list_sort(v)[n // 2 + 1] END AS adv
+  FROM (SELECT sec, d, close, list(close * volume) OVER w AS v, COUNT(*) OVER w AS n FROM bars
+  WINDOW w AS (PARTITION BY sec ORDER BY d ROWS 62 PRECEDING))"""
+SNAP = """SELECT c.as_of, b.sec, arg_max(b.close, b.d) AS price, max_by(b.adv, b.d) AS adv0, MAX(b.d) AS last_d FROM adv b
+  JOIN calendar c ON date_trunc('month', c.as_of) = date_trunc('month', b.d) AND b.d <= c.as_of GROUP BY 1, 2"""
+SNAPSHOT = """SELECT s.as_of, s.sec, s.price, a.adv, s.price * x.shares AS mktcap, date_diff('day', s.last_d, s.as_of) AS gap FROM snap s
+  JOIN adv a ON a.sec = s.sec AND a.d = s.last_d JOIN securities x ON x.sec = s.sec"""
 UNIVERSE = dict(adv=ADV, snap=SNAP, snapshot=SNAPSHOT)
 BARS = dict(min_mktcap=3e9, min_adv=3e4, min_price=1200.0, max_gap=12)
 ELIGIBLE = "COALESCE(mktcap >= 3e9 AND adv >= 3e4 AND price >= 1200 AND gap <= 12, FALSE)"
@@ -97,7 +108,9 @@ def universe_snapshot(spark, d):
     return snapshot(spark, d).select("as_of", "sec", "price", F.round("mktcap", 2).alias("mktcap"), F.col("gap").cast("long").alias("gap"), universe.eligible(**BARS).alias("in_universe"))
 
 
-@query("""SELECT COALESCE(CASE WHEN mktcap IS NULL THEN 'mktcap-missing' WHEN adv IS NULL THEN 'adv-warmup' WHEN mktcap < 3e9 THEN 'cap' WHEN price < 1200 THEN 'price' WHEN adv < 3e4 OR gap > 12 THEN 'adv/staleness' END, 'member') AS reason, COUNT(*) AS n FROM snapshot GROUP BY 1""", **UNIVERSE)
+@query("""SELECT COALESCE(CASE WHEN mktcap IS NULL THEN 'mktcap-missing' WHEN adv IS NULL THEN 'adv-warmup' WHEN mktcap < 3e9
+  THEN 'cap' WHEN price < 1200 THEN 'price' WHEN adv < 3e4 OR gap > 12
+  THEN 'adv/staleness' END, 'member') AS reason, COUNT(*) AS n FROM snapshot GROUP BY 1""", **UNIVERSE)
 def exclusion_reasons(spark, d):
     return snapshot(spark, d).groupBy(F.coalesce(universe.exclusion_reason(**BARS), F.lit("member")).alias("reason")).agg(F.count("*").alias("n"))
 
@@ -121,8 +134,10 @@ def june_report(spark, d):
 
 
 # month grid: every security by every month, so that lags count months
-GRID = """SELECT s.sec, c.as_of, c.ai, NULLIF(m.tr, 0) AS tr FROM (SELECT DISTINCT sec FROM month_end) s CROSS JOIN calendar c LEFT JOIN month_end m ON m.sec = s.sec AND m.as_of = c.as_of"""
-LAGS = """SELECT sec, as_of, ai, tr, lag(tr, 1) OVER w AS tr1, lag(tr, 12) OVER w AS tr12, lead(tr) OVER w AS nxt, lead(as_of) OVER w AS nxt_asof FROM grid WINDOW w AS (PARTITION BY sec ORDER BY ai)"""
+GRID = """SELECT s.sec, c.as_of, c.ai, NULLIF(m.tr, 0) AS tr FROM (SELECT DISTINCT sec FROM month_end) s CROSS JOIN calendar c LEFT
+  JOIN month_end m ON m.sec = s.sec AND m.as_of = c.as_of"""
+LAGS = """SELECT sec, as_of, ai, tr, lag(tr, 1) OVER w AS tr1, lag(tr, 12) OVER w AS tr12, lead(tr) OVER w AS nxt,
+  lead(as_of) OVER w AS nxt_asof FROM grid WINDOW w AS (PARTITION BY sec ORDER BY ai)"""
 MONTHLY = dict(grid=GRID, lags=LAGS)
 
 
@@ -154,7 +169,8 @@ def benchmark(spark, d):
 
 
 BETAS = """SELECT sec, as_of, b AS value FROM (
-    SELECT sec, as_of, CASE WHEN COUNT(y) OVER w >= 24 AND var_pop(y) OVER w > 1e-10::DOUBLE THEN covar_samp(x, y) OVER w / var_pop(y) OVER w END AS b FROM (
+    SELECT sec, as_of, CASE WHEN COUNT(y) OVER w >= 24 AND var_pop(y) OVER w > 1e-10::DOUBLE
+    THEN covar_samp(x, y) OVER w / var_pop(y) OVER w END AS b FROM (
       SELECT sec, l.as_of, ai, CASE WHEN bench IS NOT NULL THEN tr / tr1 - 1 END AS x, CASE WHEN tr / tr1 IS NOT NULL THEN bench END AS y
       FROM lags l LEFT JOIN bench b ON b.as_of = l.as_of) WINDOW w AS (PARTITION BY sec ORDER BY ai ROWS 35 PRECEDING)) o
   WHERE as_of <= (SELECT MAX(c.as_of) FROM calendar c WHERE c.ai <= (SELECT MAX(m.ai) FROM month_end m WHERE m.sec = o.sec) + 12)"""
@@ -172,8 +188,11 @@ ALIVE_GRID = "SELECT s.sec, c.as_of, c.ai, NULLIF(m.tr, 0) AS tr FROM (SELECT DI
 ALIVE_LAGS = "SELECT sec, as_of, ai, tr, lead(tr) OVER w AS nxt, lead(as_of) OVER w AS nxt_asof FROM alive_grid WINDOW w AS (PARTITION BY sec ORDER BY ai)"
 
 
-@query("""SELECT l.sec, l.as_of, ROUND(COALESCE(nxt / tr - 1, CASE WHEN e.last_d > l.as_of AND e.last_d <= nxt_asof THEN CASE WHEN x.delist_date > l.as_of AND x.delist_date <= nxt_asof AND x.method = 'deal' THEN (e.last_tr / tr) * (1 + x.terminal_return) - 1 ELSE e.last_tr / tr - 1 END END), 8) AS fwd
-  FROM alive_lags l JOIN (SELECT sec, MAX(d) AS last_d, max_by(close, d) AS last_tr FROM alive GROUP BY 1) e ON e.sec = l.sec LEFT JOIN delistings x ON x.sec = l.sec
+@query("""SELECT l.sec, l.as_of, ROUND(COALESCE(nxt / tr - 1, CASE WHEN e.last_d > l.as_of AND e.last_d <= nxt_asof
+  THEN CASE WHEN x.delist_date > l.as_of AND x.delist_date <= nxt_asof AND x.method = 'deal'
+  THEN (e.last_tr / tr) * (1 + x.terminal_return) - 1 ELSE e.last_tr / tr - 1 END END), 8) AS fwd
+  FROM alive_lags l JOIN (SELECT sec, MAX(d) AS last_d, max_by(close, d) AS last_tr FROM alive GROUP BY 1) e ON e.sec = l.sec LEFT
+  JOIN delistings x ON x.sec = l.sec
   WHERE COALESCE(nxt / tr - 1, CASE WHEN e.last_d > l.as_of AND e.last_d <= nxt_asof THEN e.last_tr / tr END) IS NOT NULL""", alive=ALIVE, alive_end=ALIVE_END, alive_grid=ALIVE_GRID, alive_lags=ALIVE_LAGS)
 def forward_returns_delisted(spark, d):
     ends, grid = X.delistings(spark, d), X.calendar(spark, d)
@@ -184,9 +203,12 @@ def forward_returns_delisted(spark, d):
     return returns.forward_returns(cells, grid, ends, last).filter("fwd IS NOT NULL").select("sec", "as_of", F.round("fwd", 8).alias("fwd"))
 
 
-@query("""SELECT as_of, n, ROUND(avg(CASE WHEN r > n - k THEN fwd END), 8) AS top, ROUND(avg(CASE WHEN r <= k THEN fwd END), 8) AS bottom, ROUND(avg(CASE WHEN r > n - k THEN fwd END) - avg(CASE WHEN r <= k THEN fwd END), 8) AS ls FROM (
-  SELECT as_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY mom, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM (
-    SELECT sec, as_of, tr1 / tr12 - 1 AS mom, nxt / tr - 1 AS fwd FROM lags) WHERE mom IS NOT NULL AND fwd IS NOT NULL) GROUP BY as_of, n, k HAVING n >= 5""", **MONTHLY)
+@query("""SELECT as_of, n, ROUND(avg(CASE WHEN r > n - k THEN fwd END), 8) AS top, ROUND(avg(CASE WHEN r <= k
+  THEN fwd END), 8) AS bottom, ROUND(avg(CASE WHEN r > n - k THEN fwd END) - avg(CASE WHEN r <= k THEN fwd END), 8) AS ls FROM (
+  SELECT as_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of
+  ORDER BY mom, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM (
+    SELECT sec, as_of, tr1 / tr12 - 1 AS mom, nxt / tr - 1 AS fwd FROM lags) WHERE mom IS NOT NULL AND fwd IS NOT NULL) GROUP BY as_of, n, k
+    HAVING n >= 5""", **MONTHLY)
 def mom_decile_ls(spark, d):
     cells, grid = X.month_end(spark, d), X.calendar(spark, d)
     pairs = returns.momentum(cells, grid).withColumnRenamed("value", "mom").join(returns.forward_returns(cells, grid).drop("ai"), ["sec", "as_of"])
@@ -195,7 +217,8 @@ def mom_decile_ls(spark, d):
 
 
 SUE = """SELECT sec, report_date, CASE WHEN n >= 4 AND sd > 1e-9::DOUBLE THEN ROUND(diff / sd, 4) END AS sue FROM (
-  SELECT sec, report_date, diff, COUNT(diff) OVER w AS n, stddev_pop(diff) OVER w AS sd FROM (SELECT sec, report_date, actual - estimate AS diff FROM surprises WHERE estimate IS NOT NULL)
+  SELECT sec, report_date, diff, COUNT(diff) OVER w AS n, stddev_pop(diff) OVER w AS sd
+  FROM (SELECT sec, report_date, actual - estimate AS diff FROM surprises WHERE estimate IS NOT NULL)
   WINDOW w AS (PARTITION BY sec ORDER BY report_date ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING))"""
 
 

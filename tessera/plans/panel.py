@@ -72,14 +72,17 @@ COVERED = f"""SELECT v.* FROM (SELECT *, COUNT(*) OVER (PARTITION BY as_of, fact
   WHERE n >= 0.6::DOUBLE * CASE WHEN factor IN ({_in(WITHOUT_FINANCIALS)}) THEN n_non ELSE n_all END"""
 RANKED = f"""SELECT *, {stats.probit_sql('(rk / (n + 1))')} AS rank_norm FROM (
   SELECT *, rank() OVER (PARTITION BY as_of, factor ORDER BY w) + (COUNT(*) OVER (PARTITION BY as_of, factor, w) - 1) / 2::DOUBLE AS rk FROM (
-    SELECT as_of, sec, factor, sector, mktcap, n, value, greatest(quantile_cont(value, 0.01) OVER g, least(quantile_cont(value, 0.99) OVER g, value)) AS w
+    SELECT as_of, sec, factor, sector, mktcap, n, value, greatest(quantile_cont(value, 0.01) OVER g, least(quantile_cont(value, 0.99) OVER g,
+    value)) AS w
     FROM covered WINDOW g AS (PARTITION BY as_of, factor)))"""
 SECTORED = """SELECT *, CASE WHEN stddev_pop(dz) OVER g > 1e-9::DOUBLE THEN dz / stddev_pop(dz) OVER g ELSE dz END AS z_sector FROM (
-  SELECT *, rank_norm - avg(rank_norm) OVER s AS dz, ln(mktcap) - avg(ln(mktcap)) OVER s AS x FROM ranked WINDOW s AS (PARTITION BY as_of, factor, sector))
+  SELECT *, rank_norm - avg(rank_norm) OVER s AS dz, ln(mktcap) - avg(ln(mktcap)) OVER s AS x FROM ranked
+  WINDOW s AS (PARTITION BY as_of, factor, sector))
   WINDOW g AS (PARTITION BY as_of, factor)"""
 CELLS = """SELECT as_of, sec, factor, sector, mktcap, rank_norm, z_sector,
     CASE WHEN stddev_pop(rz) OVER g > 1e-9::DOUBLE THEN (rz - avg(rz) OVER g) / stddev_pop(rz) OVER g ELSE rz - avg(rz) OVER g END AS z
-  FROM (SELECT *, z_sector - SUM(z_sector * x) OVER g / greatest(SUM(x * x) OVER g, 1e-12::DOUBLE) * x AS rz FROM sectored WINDOW g AS (PARTITION BY as_of, factor))
+  FROM (SELECT *, z_sector - SUM(z_sector * x) OVER g / greatest(SUM(x * x) OVER g, 1e-12::DOUBLE) * x AS rz FROM sectored
+  WINDOW g AS (PARTITION BY as_of, factor))
   WINDOW g AS (PARTITION BY as_of, factor)"""
 BASE = dict(**H.UNIVERSE, visible_=T.VISIBLE, members=MEMBERS, ttm=TTM, ago=AGO)
 SIGNALS = dict(svals=STATEMENT_VALUES, bench=H.BENCH, vols=H.VOLS, betas=H.BETAS, sue=H.SUE, sue_values=SUE_VALUES, vals=VALS)
@@ -175,7 +178,9 @@ def coverage_filter(spark, d):
     return covered(spark, d).groupBy("factor", "as_of").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT as_of, ROUND(ratio, 6) AS ratio, ratio BETWEEN 0.55::DOUBLE AND 0.65::DOUBLE AS knife_edge FROM (SELECT m.as_of, COUNT(v.value) / CAST(COUNT(*) AS DOUBLE) AS ratio FROM members m LEFT JOIN (SELECT * FROM svals WHERE factor = 'gp_a') v ON v.sec = m.sec AND v.as_of = m.as_of GROUP BY 1)""", **BASE, svals=STATEMENT_VALUES)
+@query("""SELECT as_of, ROUND(ratio, 6) AS ratio, ratio BETWEEN 0.55::DOUBLE AND 0.65::DOUBLE AS knife_edge
+  FROM (SELECT m.as_of, COUNT(v.value) / CAST(COUNT(*) AS DOUBLE) AS ratio FROM members m LEFT JOIN (SELECT * FROM svals
+  WHERE factor = 'gp_a') v ON v.sec = m.sec AND v.as_of = m.as_of GROUP BY 1)""", **BASE, svals=STATEMENT_VALUES)
 def coverage_ratio(spark, d):
     m = members(spark, d)
     v = factors.statement_factors(T.visible(spark, d), m.select("sec", "as_of", "mktcap", "is_fin")).filter("factor = 'gp_a'").select("sec", "as_of", "value")
@@ -220,9 +225,12 @@ def ic_newey_west(spark, d):
     return stats.newey_west(ics(spark, d), "ic", "as_of", ["factor"], 3).select("factor", "n", F.round("mean", 6).alias("mean"), F.round("t", 5).alias("t"))
 
 
-@query(f"""SELECT g.factor, months, ROUND(mean_ic, 6) AS mean_ic, ROUND(mean_ic / sd, 5) AS icir, ROUND(a.t, 5) AS ic_t, ROUND(12 * m, 6) AS ls_ann, ROUND(b.t, 5) AS ls_t FROM (
-  SELECT i.factor, COUNT(ic) AS months, avg(ic) AS mean_ic, stddev_pop(ic) AS sd, avg(top - bottom) AS m FROM ics i JOIN lsq USING (factor, as_of) GROUP BY 1 HAVING COUNT(ic) >= 12) g
-  JOIN ({_newey_west_sql(0, 'SELECT factor, as_of, ic AS v FROM ics')}) a ON a.factor = g.factor JOIN ({_newey_west_sql(0, 'SELECT factor, as_of, top - bottom AS v FROM lsq')}) b ON b.factor = g.factor""", **EVAL)
+@query(f"""SELECT g.factor, months, ROUND(mean_ic, 6) AS mean_ic, ROUND(mean_ic / sd, 5) AS icir, ROUND(a.t, 5) AS ic_t, ROUND(12 * m, 6) AS ls_ann,
+  ROUND(b.t, 5) AS ls_t FROM (
+  SELECT i.factor, COUNT(ic) AS months, avg(ic) AS mean_ic, stddev_pop(ic) AS sd, avg(top - bottom) AS m FROM ics i
+  JOIN lsq USING (factor, as_of) GROUP BY 1 HAVING COUNT(ic) >= 12) g
+  JOIN ({_newey_west_sql(0, 'SELECT factor, as_of, ic AS v FROM ics')}) a ON a.factor = g.factor
+  JOIN ({_newey_west_sql(0, 'SELECT factor, as_of, top - bottom AS v FROM lsq')}) b ON b.factor = g.factor""", **EVAL)
 def factor_summary(spark, d):
     monthly = ics(spark, d).drop("n").join(spreads(spark, d).select("factor", "as_of", "ls"), ["factor", "as_of"])
     s = C.summary(monthly, "factor", 12)
@@ -233,15 +241,18 @@ def _wide(spark, d, names):
     return paired(spark, d).filter(F.col("factor").isin(names)).groupBy("as_of", "sec").pivot("factor", names).agg(F.first("z")).dropna()
 
 
-@query("""SELECT as_of, n, ROUND(b, 8) AS beta FROM (SELECT as_of, COUNT(*) AS n, covar_pop(z, fwd) / stddev_pop(z) AS b FROM paired WHERE factor = 'mom_12_1' GROUP BY 1 HAVING COUNT(*) >= 10 AND stddev_pop(z) > 1e-9::DOUBLE)""", **EVAL)
+@query("""SELECT as_of, n, ROUND(b, 8) AS beta FROM (SELECT as_of, COUNT(*) AS n, covar_pop(z, fwd) / stddev_pop(z) AS b FROM paired
+  WHERE factor = 'mom_12_1' GROUP BY 1 HAVING COUNT(*) >= 10 AND stddev_pop(z) > 1e-9::DOUBLE)""", **EVAL)
 def fm_univariate(spark, d):
     g = paired(spark, d).filter("factor = 'mom_12_1'").groupBy("as_of").agg(F.count("*").alias("n"), F.covar_pop("z", "fwd").alias("c"), F.stddev_pop("z").alias("s"))
     return g.filter("n >= 10 AND s > 1e-9").select("as_of", "n", F.round(F.col("c") / F.col("s"), 8).alias("beta"))
 
 
-@query("""SELECT as_of, n, ROUND((c1 / s1 - r * c2 / s2) / (1 - r * r), 7) AS beta_mom, ROUND((c2 / s2 - r * c1 / s1) / (1 - r * r), 7) AS beta_bp FROM (
+@query("""SELECT as_of, n, ROUND((c1 / s1 - r * c2 / s2) / (1 - r * r), 7) AS beta_mom, ROUND((c2 / s2 - r * c1 / s1) / (1 - r * r),
+  7) AS beta_bp FROM (
   SELECT as_of, COUNT(*) AS n, covar_pop(a, y) AS c1, covar_pop(b, y) AS c2, stddev_pop(a) AS s1, stddev_pop(b) AS s2, corr(a, b) AS r FROM (
-    SELECT m.as_of, m.sec, m.z AS a, p.z AS b, m.fwd AS y FROM paired m JOIN paired p ON p.sec = m.sec AND p.as_of = m.as_of WHERE m.factor = 'mom_12_1' AND p.factor = 'bp') GROUP BY 1 HAVING COUNT(*) >= 10) WHERE 1 - r * r > 1e-6""", **EVAL)
+    SELECT m.as_of, m.sec, m.z AS a, p.z AS b, m.fwd AS y FROM paired m JOIN paired p ON p.sec = m.sec AND p.as_of = m.as_of
+    WHERE m.factor = 'mom_12_1' AND p.factor = 'bp') GROUP BY 1 HAVING COUNT(*) >= 10) WHERE 1 - r * r > 1e-6""", **EVAL)
 def fm_two_factor(spark, d):
     p = paired(spark, d)
     wide = p.filter(F.col("factor").isin("mom_12_1", "bp")).groupBy("as_of", "sec").agg(F.max(F.when(F.col("factor") == "mom_12_1", F.col("z"))).alias("a"), F.max(F.when(F.col("factor") == "bp", F.col("z"))).alias("b"), F.first("fwd").alias("y")).dropna()
@@ -259,7 +270,8 @@ def _least_squares_sql() -> dict[str, str]:
         "complete": f"SELECT * FROM paired QUALIFY COUNT(*) OVER (PARTITION BY as_of, sec) = {k}",
         "columns_": f"""SELECT as_of, sec, list_position([{_in(FACTORS)}], factor) AS k, z AS v FROM complete
     UNION ALL SELECT as_of, sec, {k + 1}, MAX(fwd) FROM complete GROUP BY 1, 2""",
-        "system0": f"""SELECT a.as_of, a.k AS i, b.k AS j, COUNT(*) AS n, CASE WHEN stddev_pop(a.v) > 1e-9::DOUBLE AND (b.k > {k} OR stddev_pop(b.v) > 1e-9::DOUBLE)
+        "system0": f"""SELECT a.as_of, a.k AS i, b.k AS j, COUNT(*) AS n, CASE WHEN stddev_pop(a.v) > 1e-9::DOUBLE
+        AND (b.k > {k} OR stddev_pop(b.v) > 1e-9::DOUBLE)
       THEN covar_pop(a.v, b.v) / stddev_pop(a.v) / CASE WHEN b.k > {k} THEN 1 ELSE stddev_pop(b.v) END ELSE 0 END AS v
     FROM columns_ a JOIN columns_ b ON b.as_of = a.as_of AND b.sec = a.sec WHERE a.k <= {k} GROUP BY 1, 2, 3 HAVING COUNT(*) >= {REGRESSED}""",
     }
@@ -304,7 +316,8 @@ def bootstrap_ci(spark, d):
 
 
 REDUNDANCY = """SELECT a, b, avg(abs(r)) AS rho, COUNT(*) AS months FROM (
-    SELECT x.factor AS a, y.factor AS b, x.as_of, CASE WHEN stddev_pop(x.z) > 1e-9::DOUBLE AND stddev_pop(y.z) > 1e-9::DOUBLE THEN covar_pop(x.z, y.z) / (stddev_pop(x.z) * stddev_pop(y.z)) END AS r
+    SELECT x.factor AS a, y.factor AS b, x.as_of, CASE WHEN stddev_pop(x.z) > 1e-9::DOUBLE AND stddev_pop(y.z) > 1e-9::DOUBLE
+    THEN covar_pop(x.z, y.z) / (stddev_pop(x.z) * stddev_pop(y.z)) END AS r
     FROM cells x JOIN cells y ON x.as_of = y.as_of AND x.sec = y.sec AND x.factor < y.factor GROUP BY 1, 2, 3) WHERE r IS NOT NULL GROUP BY 1, 2"""
 
 
@@ -341,15 +354,19 @@ def _composite_sql(which: str, weighted: bool) -> dict[str, str]:
     names, least = COMPOSITES[which]
     signed = f"SELECT as_of, sec, factor, fwd, {SIGN_SQL} * z AS z FROM paired WHERE factor IN ({_in(names)})"
     # every member has a weight at every month: that of the months before it
-    weights = f"""SELECT as_of, factor, CASE WHEN MIN(n) OVER g < {BURN_IN} OR SUM(m) OVER g <= 1e-9::DOUBLE THEN 1::DOUBLE / COUNT(*) OVER g ELSE m / SUM(m) OVER g END AS weight FROM (
+    weights = f"""SELECT as_of, factor, CASE WHEN MIN(n) OVER g < {BURN_IN} OR SUM(m) OVER g <= 1e-9::DOUBLE
+    THEN 1::DOUBLE / COUNT(*) OVER g ELSE m / SUM(m) OVER g END AS weight FROM (
     SELECT c.as_of, f.factor, greatest(COALESCE(avg(i.ic) OVER w, 0), 0) AS m, COUNT(i.ic) OVER w AS n
-    FROM calendar c CROSS JOIN (SELECT unnest([{_in(names)}]) AS factor) f LEFT JOIN (SELECT factor, as_of, {SIGN_SQL} * ic AS ic FROM ics) i ON i.as_of = c.as_of AND i.factor = f.factor
+    FROM calendar c CROSS JOIN (SELECT unnest([{_in(names)}]) AS factor) f LEFT
+    JOIN (SELECT factor, as_of, {SIGN_SQL} * ic AS ic FROM ics) i ON i.as_of = c.as_of AND i.factor = f.factor
     WINDOW w AS (PARTITION BY f.factor ORDER BY c.as_of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WINDOW g AS (PARTITION BY as_of)"""
     equal = f"SELECT as_of, factor, 1::DOUBLE AS weight FROM calendar CROSS JOIN (SELECT unnest([{_in(names)}]) AS factor)"
-    scored = f"""SELECT s.as_of, s.sec, MAX(fwd) AS fwd, ROUND(SUM(z * weight) / CASE WHEN SUM(weight) > 1e-9::DOUBLE THEN SUM(weight) ELSE 1 END, 9) AS score
+    scored = f"""SELECT s.as_of, s.sec, MAX(fwd) AS fwd, ROUND(SUM(z * weight) / CASE WHEN SUM(weight) > 1e-9::DOUBLE
+    THEN SUM(weight) ELSE 1 END, 9) AS score
     FROM signed s JOIN weights_ w ON w.as_of = s.as_of AND w.factor = s.factor GROUP BY 1, 2 HAVING COUNT(*) >= {least}"""
     counted = f"""SELECT as_of, n, avg(CASE WHEN r > n - k THEN fwd END) - avg(CASE WHEN r <= k THEN fwd END) AS ls FROM (
-    SELECT as_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM scored)
+    SELECT as_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of
+    ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM scored)
     WHERE n >= {NAMES} GROUP BY as_of, n"""
     return dict(signed=signed, weights_=weights if weighted else equal, scored=scored, counted=counted)
 
@@ -440,10 +457,13 @@ def composite_curves(spark, d):
     return C.equity_curve(out, "composite", "ls").select("composite", "as_of", "curve", (F.col("as_of") > F.lit(HOLDOUT)).alias("holdout"))
 
 
-@query("""SELECT p.as_of, p.sec, side, m.symbol, x.sector, ROUND(score, 6) AS score FROM (SELECT *, CASE WHEN r > n - k THEN 'long' WHEN r <= k THEN 'short' END AS side FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, least(greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1), 25) AS k
+@query("""SELECT p.as_of, p.sec, side, m.symbol, x.sector, ROUND(score, 6) AS score
+  FROM (SELECT *, CASE WHEN r > n - k THEN 'long' WHEN r <= k THEN 'short' END AS side FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of
+  ORDER BY score, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, least(greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1), 25) AS k
   FROM scored WHERE as_of = (SELECT MAX(as_of) FROM scored))) p
-  LEFT JOIN (SELECT sec, arg_max(symbol, (valid_from, symbol)) AS symbol FROM symbol_map GROUP BY 1) m ON m.sec = p.sec JOIN securities x ON x.sec = p.sec
+  LEFT JOIN (SELECT sec, arg_max(symbol, (valid_from, symbol)) AS symbol FROM symbol_map GROUP BY 1) m ON m.sec = p.sec
+  JOIN securities x ON x.sec = p.sec
   WHERE side IS NOT NULL""", **EVAL, **_composite_sql("a", False))
 def portfolio_top_bottom(spark, d):
     rows = scored(spark, d, "a", False)
@@ -458,7 +478,8 @@ def portfolio_top_bottom(spark, d):
     return named.select("as_of", "sec", "side", "symbol", "sector", F.round("score", 6).alias("score"))
 
 
-@query("""SELECT factor, as_of, ROUND(ls, 6) AS ls FROM (SELECT factor, as_of, top - bottom AS ls, ROW_NUMBER() OVER (PARTITION BY factor ORDER BY top - bottom, as_of) AS r FROM lsq) WHERE r <= 5""", **EVAL)
+@query("""SELECT factor, as_of, ROUND(ls, 6) AS ls
+  FROM (SELECT factor, as_of, top - bottom AS ls, ROW_NUMBER() OVER (PARTITION BY factor ORDER BY top - bottom, as_of) AS r FROM lsq) WHERE r <= 5""", **EVAL)
 def worst_months(spark, d):
     rows = spreads(spark, d).withColumn("r", F.row_number().over(Window.partitionBy("factor").orderBy("ls", "as_of"))).filter("r <= 5")
     return _rounded(rows.select("factor", "as_of", "ls"), "ls")
@@ -466,7 +487,8 @@ def worst_months(spark, d):
 
 EXTERNAL = "SELECT date_trunc('month', d) AS m, avg(close) / 1000 - 1 AS v FROM bars WHERE sec % 2 = 0 GROUP BY 1"
 OUTSIDE = """SELECT factor, COUNT(*) AS months, corr(ls, v) AS rho FROM (
-  SELECT l.factor, l.top - l.bottom AS ls, e.v FROM lsq l JOIN external e ON e.m = date_trunc('month', l.as_of) + INTERVAL 1 MONTH) GROUP BY 1 HAVING COUNT(*) >= 24"""
+  SELECT l.factor, l.top - l.bottom AS ls, e.v FROM lsq l JOIN external e ON e.m = date_trunc('month', l.as_of) + INTERVAL 1 MONTH) GROUP BY 1
+  HAVING COUNT(*) >= 24"""
 
 
 def outside(spark, d):
@@ -516,8 +538,10 @@ def replication_verdict(spark, d):
 
 # hand audit: momentum ranked raw over members, beside the stored spread
 HAND = f"""SELECT as_of, next_of, n, avg(CASE WHEN r > n - k THEN fwd END) - avg(CASE WHEN r <= k THEN fwd END) AS ls FROM (
-  SELECT as_of, next_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of ORDER BY mom, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM (
-    SELECT m.sec, m.as_of, l.nxt_asof AS next_of, l.tr1 / l.tr12 - 1 AS mom, l.nxt / l.tr - 1 AS fwd FROM members m JOIN lags l ON l.sec = m.sec AND l.as_of = m.as_of)
+  SELECT as_of, next_of, fwd, ROW_NUMBER() OVER (PARTITION BY as_of
+  ORDER BY mom, sec) AS r, COUNT(*) OVER (PARTITION BY as_of) AS n, greatest(COUNT(*) OVER (PARTITION BY as_of) // 10, 1) AS k FROM (
+    SELECT m.sec, m.as_of, l.nxt_asof AS next_of, l.tr1 / l.tr12 - 1 AS mom, l.nxt / l.tr - 1 AS fwd FROM members m
+    JOIN lags l ON l.sec = m.sec AND l.as_of = m.as_of)
   WHERE mom IS NOT NULL AND fwd IS NOT NULL) WHERE n >= {NAMES} GROUP BY as_of, next_of, n"""
 
 
@@ -533,7 +557,8 @@ def hand_series(spark, d):
 @query("""SELECT keyed, COUNT(*) AS months, ROUND(corr(ls, v), 6) AS rho FROM (
     SELECT 'return month' AS keyed, h.ls, e.v FROM hand h JOIN external e ON e.m = date_trunc('month', next_of)
     UNION ALL SELECT 'signal month', h.ls, e.v FROM hand h JOIN external e ON e.m = date_trunc('month', as_of)
-    UNION ALL SELECT 'stored', h.ls, l.top - l.bottom FROM hand h JOIN lsq l ON l.as_of = h.as_of AND l.factor = 'mom_12_1') GROUP BY 1 HAVING COUNT(*) >= 24""", **EVAL, external=EXTERNAL, hand=HAND)
+    UNION ALL SELECT 'stored', h.ls, l.top - l.bottom FROM hand h JOIN lsq l ON l.as_of = h.as_of AND l.factor = 'mom_12_1') GROUP BY 1
+    HAVING COUNT(*) >= 24""", **EVAL, external=EXTERNAL, hand=HAND)
 def hand_audit(spark, d):
     """The hand series against the outside one, keyed by the month returns accrue
     in and by that of the signal, and against the stored spread."""
@@ -547,7 +572,8 @@ def hand_audit(spark, d):
     return g.filter("months >= 24")
 
 
-@query("""SELECT as_of, COUNT(*) AS members, date_trunc('month', as_of) = (SELECT date_trunc('month', MAX(d)) FROM bars) AS running FROM members GROUP BY 1
+@query("""SELECT as_of, COUNT(*) AS members, date_trunc('month', as_of) = (SELECT date_trunc('month',
+  MAX(d)) FROM bars) AS running FROM members GROUP BY 1
   HAVING date_trunc('month', as_of) < (SELECT date_trunc('month', MAX(d)) FROM bars)""", **BASE)
 def complete_months(spark, d):
     """Months evaluated when today is the day of the last bar."""

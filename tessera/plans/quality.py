@@ -15,14 +15,16 @@ from tessera.plans.registry import query
 from tessera.sources import fixtures as X
 
 
-@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(accepted <= CAST(as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND timing_pit AND period_end <= as_of, FALSE) THEN 1 END) AS violations FROM visible_ WHERE nth <= 6""", visible_=T.VISIBLE)
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(accepted <= CAST(as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND timing_pit
+  AND period_end <= as_of, FALSE) THEN 1 END) AS violations FROM visible_ WHERE nth <= 6""", visible_=T.VISIBLE)
 def gate_point_in_time(spark, d):
     return Q.violations(T.visible(spark, d), ~(P.visible("accepted", "as_of") & F.col("timing_pit") & (F.col("period_end") <= F.col("as_of"))))
 
 
 OVERLAPS = """SELECT a.symbol, a.sec AS sa, b.sec AS sb, a.valid_from AS fa, b.valid_from AS fb,
   date_diff('day', greatest(a.valid_from, b.valid_from), least(COALESCE(a.valid_to, DATE '9999-12-31'), COALESCE(b.valid_to, DATE '9999-12-31'))) + 1 AS days
-  FROM symbol_map a JOIN symbol_map b ON a.symbol = b.symbol AND a.sec < b.sec AND a.valid_from <= COALESCE(b.valid_to, DATE '9999-12-31') AND b.valid_from <= COALESCE(a.valid_to, DATE '9999-12-31')"""
+  FROM symbol_map a JOIN symbol_map b ON a.symbol = b.symbol AND a.sec < b.sec AND a.valid_from <= COALESCE(b.valid_to, DATE '9999-12-31')
+  AND b.valid_from <= COALESCE(a.valid_to, DATE '9999-12-31')"""
 
 
 def _overlaps(spark, d):
@@ -31,17 +33,21 @@ def _overlaps(spark, d):
     return TJ.overlaps(X.symbol_map(spark, d), "symbol", "sec").withColumn("days", days)
 
 
-@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN q.symbol IS NULL THEN 1 END) AS violations FROM overlaps_ o LEFT JOIN (SELECT DISTINCT symbol FROM symbol_map WHERE sec % 3 = 0) q ON q.symbol = o.symbol""", overlaps_=OVERLAPS)
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN q.symbol IS NULL THEN 1 END) AS violations FROM overlaps_ o LEFT
+  JOIN (SELECT DISTINCT symbol FROM symbol_map WHERE sec % 3 = 0) q ON q.symbol = o.symbol""", overlaps_=OVERLAPS)
 def gate_identity(spark, d):
     quarantined = X.symbol_map(spark, d).filter("sec % 3 = 0").select("symbol", F.lit(True).alias("known")).distinct()
     return Q.violations(_overlaps(spark, d).join(quarantined, "symbol", "left"), F.col("known").isNull())
 
 
-RECON = """SELECT sec, CASE WHEN n > 0 AND bad <= greatest(10::DOUBLE, 0.02::DOUBLE * n) THEN ROUND(100 * (1 - mism / n::DOUBLE), 2) END AS pct FROM (SELECT sec, COUNT(CASE WHEN NOT insane THEN 1 END) AS n, COUNT(CASE WHEN insane THEN 1 END) AS bad,
+RECON = """SELECT sec, CASE WHEN n > 0 AND bad <= greatest(10::DOUBLE, 0.02::DOUBLE * n) THEN ROUND(100 * (1 - mism / n::DOUBLE), 2) END AS pct
+  FROM (SELECT sec, COUNT(CASE WHEN NOT insane THEN 1 END) AS n, COUNT(CASE WHEN insane THEN 1 END) AS bad,
   COUNT(CASE WHEN NOT insane AND mismatch THEN 1 END) AS mism FROM pairs GROUP BY 1)"""
 
 
-@query("""SELECT COUNT(*) AS rows_, ROUND(COUNT(CASE WHEN pct IS NULL OR pct >= 95 THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 6) AS share, COUNT(CASE WHEN pct IS NULL OR pct >= 95 THEN 1 END) / CAST(COUNT(*) AS DOUBLE) >= 0.99::DOUBLE AS passed
+@query("""SELECT COUNT(*) AS rows_, ROUND(COUNT(CASE WHEN pct IS NULL OR pct >= 95
+  THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 6) AS share, COUNT(CASE WHEN pct IS NULL OR pct >= 95
+  THEN 1 END) / CAST(COUNT(*) AS DOUBLE) >= 0.99::DOUBLE AS passed
   FROM members m LEFT JOIN recon r ON r.sec = m.sec""", **H.UNIVERSE, members=panel.MEMBERS, daily=H.DAILY, pairs=H.PAIRS, recon=RECON)
 def gate_reconciled_members(spark, d):
     pct = returns.match_score(H._pairs(spark, d)).select("sec", "pct")
@@ -57,19 +63,23 @@ def gate_embedded_issuer(spark, d):
     return Q.violations(rows, ~P.same_issuer("cik", F.get_json_object("raw", "$.income.cik")))
 
 
-@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN timing_pit AND date_diff('day', period_end, CAST(accepted AS DATE)) <= 10 THEN 1 END) AS violations FROM statements""")
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN timing_pit AND date_diff('day', period_end, CAST(accepted AS DATE)) <= 10
+  THEN 1 END) AS violations FROM statements""")
 def gate_timing_flag(spark, d):
     return Q.violations(X.statements(spark, d), F.col("timing_pit") & (P.lag_class("accepted", "period_end") == "missing"))
 
 
-@query("""SELECT COUNT(*) AS rows_, ROUND(COUNT(CASE WHEN c_custkey % 100 <> 3 THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 6) AS share, COUNT(CASE WHEN c_custkey % 100 <> 3 THEN 1 END) / CAST(COUNT(*) AS DOUBLE) >= 0.98::DOUBLE AS passed FROM customer""")
+@query("""SELECT COUNT(*) AS rows_, ROUND(COUNT(CASE WHEN c_custkey % 100 <> 3
+  THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 6) AS share, COUNT(CASE WHEN c_custkey % 100 <> 3
+  THEN 1 END) / CAST(COUNT(*) AS DOUBLE) >= 0.98::DOUBLE AS passed FROM customer""")
 def gate_hash_recomputes(spark, d):
     now = P.canonical_hash({"name": F.col("c_name"), "segment": F.col("c_mktsegment")})
     then = P.canonical_hash({"name": F.when(F.col("c_custkey") % 100 == 3, F.lit("renamed")).otherwise(F.col("c_name")), "segment": F.col("c_mktsegment")})
     return Q.share(X.table(spark, d, "customer"), now == then, 0.98)
 
 
-@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(mktcap >= 3e9 AND adv >= 3e4 AND price >= 1200 AND gap <= 12, FALSE) THEN 1 END) AS violations FROM snapshot WHERE COALESCE(mktcap >= 1e8 AND adv >= 1e3 AND price >= 1000 AND gap <= 40, FALSE)""", **H.UNIVERSE)
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(mktcap >= 3e9 AND adv >= 3e4 AND price >= 1200 AND gap <= 12, FALSE)
+  THEN 1 END) AS violations FROM snapshot WHERE COALESCE(mktcap >= 1e8 AND adv >= 1e3 AND price >= 1000 AND gap <= 40, FALSE)""", **H.UNIVERSE)
 def gate_member_thresholds(spark, d):
     """How many of the members by looser bars miss the report's bars."""
     from tessera.operators import universe
@@ -77,7 +87,8 @@ def gate_member_thresholds(spark, d):
     return Q.violations(H.snapshot(spark, d).filter(universe.eligible(**panel.LOOSE)), ~universe.eligible(**H.BARS))
 
 
-@query("""SELECT n, median, wild, median BETWEEN 0.1::DOUBLE AND 5 AND wild < 0.01::DOUBLE * n AS passed FROM (SELECT COUNT(sue) AS n, quantile_disc(abs(sue), 0.5) AS median, COUNT(CASE WHEN abs(sue) > 50 THEN 1 END) AS wild FROM sue)""", sue=H.SUE)
+@query("""SELECT n, median, wild, median BETWEEN 0.1::DOUBLE AND 5 AND wild < 0.01::DOUBLE * n AS passed
+  FROM (SELECT COUNT(sue) AS n, quantile_disc(abs(sue), 0.5) AS median, COUNT(CASE WHEN abs(sue) > 50 THEN 1 END) AS wild FROM sue)""", sue=H.SUE)
 def gate_sue_sanity(spark, d):
     from tessera.operators.factors import standardised_surprise
 
@@ -86,8 +97,10 @@ def gate_sue_sanity(spark, d):
     return g.select("n", "median", "wild", (F.col("median").between(0.1, 5) & (F.col("wild") < 0.01 * F.col("n"))).alias("passed"))
 
 
-@query(f"""SELECT b.*, months, {len(panel.FACTORS)} AS registered, b.board_months = months AND b.factors = {len(panel.FACTORS)} AND b.unknown = 0 AS passed FROM (
-  SELECT COUNT(DISTINCT as_of) AS board_months, COUNT(DISTINCT factor) AS factors, COUNT(CASE WHEN factor NOT IN ({panel._in(panel.FACTORS)}) THEN 1 END) AS unknown FROM covered) b
+@query(f"""SELECT b.*, months, {len(panel.FACTORS)} AS registered, b.board_months = months AND b.factors = {len(panel.FACTORS)}
+  AND b.unknown = 0 AS passed FROM (
+  SELECT COUNT(DISTINCT as_of) AS board_months, COUNT(DISTINCT factor) AS factors, COUNT(CASE WHEN factor NOT IN ({panel._in(panel.FACTORS)})
+  THEN 1 END) AS unknown FROM covered) b
   CROSS JOIN (SELECT COUNT(DISTINCT as_of) AS months FROM members)""", **panel.BOARD)
 def gate_board_integrity(spark, d):
     """Whether the board has every month with members and every factor of the
@@ -100,38 +113,46 @@ def gate_board_integrity(spark, d):
     return g.withColumn("passed", passed)
 
 
-@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS marked FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
-  FULL JOIN (SELECT sec, COUNT(*) AS n FROM bars WHERE sec % 11 <> 5 OR month(d) <> 2 GROUP BY 1) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""")
+@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS marked
+  FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
+  FULL JOIN (SELECT sec, COUNT(*) AS n FROM bars WHERE sec % 11 <> 5 OR month(d) <> 2 GROUP BY 1) b ON a.sec = b.sec
+  WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""")
 def audit_price_markers(spark, d):
     b = X.bars(spark, d)
     marked = b.filter("sec % 11 <> 5 OR month(d) <> 2").groupBy("sec").agg(F.count("*").alias("marked"))
     return Q.drift(b.groupBy("sec").agg(F.count("*").alias("prices")), marked, "sec", "prices", "marked")
 
 
-@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS originals, COALESCE(b.n, 0) AS periods FROM (SELECT sec, COUNT(*) AS n FROM statements WHERE vintage_id = 1 GROUP BY 1) a
+@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS originals, COALESCE(b.n, 0) AS periods
+  FROM (SELECT sec, COUNT(*) AS n FROM statements WHERE vintage_id = 1 GROUP BY 1) a
   FULL JOIN (SELECT sec, COUNT(DISTINCT period_end) AS n FROM statements GROUP BY 1) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""")
 def audit_vintages(spark, d):
     s = X.statements(spark, d)
     return Q.drift(s.filter("vintage_id = 1").groupBy("sec").agg(F.count("*").alias("originals")), s.groupBy("sec").agg(F.countDistinct("period_end").alias("periods")), "sec", "originals", "periods")
 
 
-@query("""SELECT verdict, COUNT(*) AS n FROM (SELECT CASE WHEN days <= 7 THEN 'trim' WHEN sa % 4 = 0 AND sb % 4 <> 0 THEN 'keep-a' WHEN sb % 4 = 0 AND sa % 4 <> 0 THEN 'keep-b'
-  WHEN month(fa) = 1 AND month(fb) <> 1 THEN 'drop-a' WHEN month(fb) = 1 AND month(fa) <> 1 THEN 'drop-b' ELSE 'conflict' END AS verdict FROM overlaps_) GROUP BY 1""", overlaps_=OVERLAPS)
+@query("""SELECT verdict, COUNT(*) AS n FROM (SELECT CASE WHEN days <= 7 THEN 'trim' WHEN sa % 4 = 0 AND sb % 4 <> 0
+  THEN 'keep-a' WHEN sb % 4 = 0 AND sa % 4 <> 0 THEN 'keep-b'
+  WHEN month(fa) = 1 AND month(fb) <> 1 THEN 'drop-a' WHEN month(fb) = 1 AND month(fa) <> 1
+  THEN 'drop-b' ELSE 'conflict' END AS verdict FROM overlaps_) GROUP BY 1""", overlaps_=OVERLAPS)
 def overlap_adjudication(spark, d):
     a, b = F.col("a_entity") % 4 == 0, F.col("b_entity") % 4 == 0
     verdict = Q.adjudicated(F.col("days"), a, b, F.month("a_from") == 1, F.month("b_from") == 1)
     return _overlaps(spark, d).groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT symbol, CASE WHEN uses > 1 THEN 'reuse' WHEN NOT profile THEN 'no-profile' WHEN is_open AND NOT gone THEN 'active' WHEN gone THEN 'delisted' ELSE 'closed' END AS outcome FROM (
-  SELECT m.symbol, COUNT(DISTINCT m.sec) AS uses, bool_or(valid_to IS NULL) AS is_open, bool_or(m.sec % 7 <> 2) AS profile, bool_or(x.sec IS NOT NULL) AS gone FROM symbol_map m LEFT JOIN delistings x ON x.sec = m.sec GROUP BY 1)""")
+@query("""SELECT symbol, CASE WHEN uses > 1 THEN 'reuse' WHEN NOT profile THEN 'no-profile' WHEN is_open AND NOT gone THEN 'active' WHEN gone
+  THEN 'delisted' ELSE 'closed' END AS outcome FROM (
+  SELECT m.symbol, COUNT(DISTINCT m.sec) AS uses, bool_or(valid_to IS NULL) AS is_open, bool_or(m.sec % 7 <> 2) AS profile,
+  bool_or(x.sec IS NOT NULL) AS gone FROM symbol_map m LEFT JOIN delistings x ON x.sec = m.sec GROUP BY 1)""")
 def identity_resolution(spark, d):
     m = X.symbol_map(spark, d).join(X.delistings(spark, d).select("sec", F.lit(True).alias("gone")), "sec", "left")
     g = m.groupBy("symbol").agg(F.countDistinct("sec").alias("uses"), F.bool_or(F.col("valid_to").isNull()).alias("is_open"), F.bool_or(F.col("sec") % 7 != 2).alias("profile"), F.bool_or(F.col("gone").isNotNull()).alias("gone"))
     return g.select("symbol", Q.resolution(F.col("uses"), F.col("is_open"), F.col("profile"), F.col("gone")).alias("outcome"))
 
 
-@query("""SELECT a.sec, COUNT(*) AS periods, COUNT(CASE WHEN abs(a.gp - b.gp) > greatest(1000::DOUBLE, 0.005::DOUBLE * abs(b.gp)) THEN 1 END) AS restated FROM statements a JOIN statements b ON a.sec = b.sec AND a.period_end = b.period_end
+@query("""SELECT a.sec, COUNT(*) AS periods, COUNT(CASE WHEN abs(a.gp - b.gp) > greatest(1000::DOUBLE, 0.005::DOUBLE * abs(b.gp))
+  THEN 1 END) AS restated FROM statements a JOIN statements b ON a.sec = b.sec AND a.period_end = b.period_end
   WHERE a.vintage_id = 1 AND b.vintage_id = 2 GROUP BY 1""")
 def vintage_comparison(spark, d):
     s = X.statements(spark, d)
@@ -140,7 +161,8 @@ def vintage_comparison(spark, d):
     return one.join(two, ["sec", "period_end"]).groupBy("sec").agg(F.count("*").alias("periods"), F.count_if(~P.near(F.col("a"), F.col("b"), 1000.0, 0.005)).alias("restated"))
 
 
-@query("""SELECT what, factor, ROUND(avg(ic), 6) AS mean_ic, COUNT(*) AS months FROM (SELECT 'full' AS what, factor, ic FROM ics UNION ALL SELECT 'registered', factor, ic FROM ics WHERE as_of <= DATE '2000-07-31') GROUP BY 1, 2""", **panel.EVAL)
+@query("""SELECT what, factor, ROUND(avg(ic), 6) AS mean_ic, COUNT(*) AS months FROM (SELECT 'full' AS what, factor, ic FROM ics
+  UNION ALL SELECT 'registered', factor, ic FROM ics WHERE as_of <= DATE '2000-07-31') GROUP BY 1, 2""", **panel.EVAL)
 def registered_window(spark, d):
     windows = F.when(F.col("as_of") <= F.lit(panel.HOLDOUT), F.array(F.lit("full"), F.lit("registered"))).otherwise(F.array(F.lit("full")))
     return panel.ics(spark, d).select("factor", "ic", F.explode(windows).alias("what")).groupBy("what", "factor").agg(F.round(F.avg("ic"), 6).alias("mean_ic"), F.count("*").alias("months"))
@@ -152,7 +174,8 @@ def hash_sample(spark, d):
     return Q.hash_sample(X.table(spark, d, "customer"), "c_custkey", 50).select("c_custkey", "c_name")
 
 
-@query("""SELECT 'securities' AS what, COUNT(*) AS n FROM securities UNION ALL SELECT 'bars', COUNT(*) FROM bars UNION ALL SELECT 'statements', COUNT(*) FROM statements UNION ALL SELECT 'surprises', COUNT(*) FROM surprises
+@query("""SELECT 'securities' AS what, COUNT(*) AS n FROM securities UNION ALL SELECT 'bars', COUNT(*) FROM bars
+  UNION ALL SELECT 'statements', COUNT(*) FROM statements UNION ALL SELECT 'surprises', COUNT(*) FROM surprises
   UNION ALL SELECT 'members', COUNT(*) FROM members""", **H.UNIVERSE, members=panel.MEMBERS)
 def api_summary(spark, d):
     parts = {"securities": X.securities(spark, d), "bars": X.bars(spark, d), "statements": X.statements(spark, d), "surprises": X.surprises(spark, d), "members": panel.members(spark, d)}
@@ -166,7 +189,8 @@ def api_summary(spark, d):
 LEVELS = "SELECT sec, COUNT(*) AS n FROM daily WHERE r IS NOT NULL GROUP BY 1"
 
 
-@query(f"""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS levels FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
+@query(f"""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS prices, COALESCE(b.n, 0) AS levels
+  FROM (SELECT sec, COUNT(*) AS n FROM bars GROUP BY 1) a
   FULL JOIN ({LEVELS}) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""", daily=H.DAILY)
 def audit_levels(spark, d):
     """Securities whose levels are not as many as their prices: the first day has
@@ -176,7 +200,8 @@ def audit_levels(spark, d):
     return Q.drift(prices, levels, "sec", "prices", "levels")
 
 
-@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS reports, COALESCE(b.n, 0) AS scored FROM (SELECT sec, COUNT(*) AS n FROM surprises GROUP BY 1) a
+@query("""SELECT COALESCE(a.sec, b.sec) AS sec, COALESCE(a.n, 0) AS reports, COALESCE(b.n, 0) AS scored
+  FROM (SELECT sec, COUNT(*) AS n FROM surprises GROUP BY 1) a
   FULL JOIN (SELECT sec, COUNT(sue) AS n FROM sue GROUP BY 1) b ON a.sec = b.sec WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""", sue=H.SUE)
 def audit_surprises(spark, d):
     r = X.surprises(spark, d)
@@ -184,8 +209,11 @@ def audit_surprises(spark, d):
     return Q.drift(r.groupBy("sec").agg(F.count("*").alias("reports")), scored, "sec", "reports", "scored")
 
 
-@query(f"""SELECT 'snapshots' AS what, COUNT(*) AS n, COUNT(DISTINCT as_of) AS months FROM snapshot UNION ALL SELECT 'benchmark', COUNT(*), COUNT(DISTINCT as_of) FROM bench
-  UNION ALL SELECT 'registry', {len(panel.FACTORS)}, 0 UNION ALL SELECT 'vintages', COUNT(*), COUNT(DISTINCT date_trunc('month', accepted)) FROM statements WHERE vintage_id > 1""", **H.UNIVERSE, bench=H.BENCH)
+@query(f"""SELECT 'snapshots' AS what, COUNT(*) AS n, COUNT(DISTINCT as_of) AS months FROM snapshot
+  UNION ALL SELECT 'benchmark', COUNT(*), COUNT(DISTINCT as_of) FROM bench
+  UNION ALL SELECT 'registry', {len(panel.FACTORS)}, 0
+  UNION ALL SELECT 'vintages', COUNT(*), COUNT(DISTINCT date_trunc('month', accepted)) FROM statements
+  WHERE vintage_id > 1""", **H.UNIVERSE, bench=H.BENCH)
 def audit_totals(spark, d):
     count = lambda df, what, month="as_of": df.agg(F.count("*").alias("n"), F.countDistinct(month).alias("months")).select(F.lit(what).alias("what"), "n", "months")
     registry = spark.range(1).select(F.lit("registry").alias("what"), F.lit(len(panel.FACTORS)).cast("long").alias("n"), F.lit(0).cast("long").alias("months"))
@@ -194,12 +222,16 @@ def audit_totals(spark, d):
 
 
 # chain proofs: a security's first and last symbol, each on its first day, resolve to the same securities
-PROOFS = """SELECT a.sec, a.first_s, a.first_d, a.last_s, a.last_d FROM (SELECT sec, arg_min(symbol, (valid_from, symbol)) AS first_s, MIN(valid_from) AS first_d,
-    arg_max(symbol, (valid_from, symbol)) AS last_s, MAX(valid_from) AS last_d, COUNT(DISTINCT symbol) AS n FROM symbol_map GROUP BY 1) a WHERE n > 1"""
-RESOLVED = """SELECT p.sec, list_sort(list(DISTINCT m.sec)) AS secs FROM proofs p JOIN symbol_map m ON m.symbol = p.{s} AND m.valid_from <= p.{d} AND (m.valid_to IS NULL OR m.valid_to >= p.{d}) GROUP BY 1"""
+PROOFS = """SELECT a.sec, a.first_s, a.first_d, a.last_s, a.last_d
+  FROM (SELECT sec, arg_min(symbol, (valid_from, symbol)) AS first_s, MIN(valid_from) AS first_d,
+    arg_max(symbol, (valid_from, symbol)) AS last_s, MAX(valid_from) AS last_d, COUNT(DISTINCT symbol) AS n FROM symbol_map GROUP BY 1) a
+    WHERE n > 1"""
+RESOLVED = """SELECT p.sec, list_sort(list(DISTINCT m.sec)) AS secs FROM proofs p
+  JOIN symbol_map m ON m.symbol = p.{s} AND m.valid_from <= p.{d} AND (m.valid_to IS NULL OR m.valid_to >= p.{d}) GROUP BY 1"""
 
 
-@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(list_contains(a.secs, p.sec) AND list_contains(b.secs, p.sec), FALSE) THEN 1 END) AS violations,
+@query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(list_contains(a.secs, p.sec) AND list_contains(b.secs, p.sec), FALSE)
+  THEN 1 END) AS violations,
   COUNT(CASE WHEN a.secs = b.secs THEN 1 END) AS alike FROM proofs p LEFT JOIN ra a ON a.sec = p.sec LEFT JOIN rb b ON b.sec = p.sec""", proofs=PROOFS, ra=RESOLVED.format(s="first_s", d="first_d"), rb=RESOLVED.format(s="last_s", d="last_d"))
 def gate_identity_chains(spark, d):
     """Renamed securities: both symbols must resolve to it, each at its time;
@@ -221,10 +253,12 @@ def gate_synthetic_restatement(spark, d):
     """The selector itself on a restated period made by hand: the original until
     the restatement is accepted, the restated value from then on, and nothing of
     what is accepted after the close."""
-    rows = spark.sql("""SELECT * FROM VALUES (1, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-05-01 09:00:00', 100.0D), (1, DATE'2016-03-31', 2, TIMESTAMP_NTZ'2025-05-01 09:00:00', 999.0D),
+    rows = spark.sql("""SELECT * FROM VALUES (1, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-05-01 09:00:00', 100.0D), (1, DATE'2016-03-31', 2,
+    TIMESTAMP_NTZ'2025-05-01 09:00:00', 999.0D),
       (2, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-06-30 17:30:00', 100.0D) AS t(sec, period_end, vintage_id, accepted, gp)""")
     grid = spark.sql("SELECT * FROM VALUES (DATE'2016-06-30', 1L), (DATE'2016-07-29', 2L), (DATE'2018-06-30', 3L), (DATE'2026-06-30', 4L) AS t(as_of, ai)")
-    want = spark.sql("""SELECT * FROM VALUES (1, DATE'2018-06-30', 100.0D), (1, DATE'2026-06-30', 999.0D), (2, DATE'2016-06-30', CAST(NULL AS DOUBLE)), (2, DATE'2016-07-29', 100.0D), (1, DATE'2016-06-30', 100.0D) AS t(sec, as_of, want)""")
+    want = spark.sql("""SELECT * FROM VALUES (1, DATE'2018-06-30', 100.0D), (1, DATE'2026-06-30', 999.0D), (2, DATE'2016-06-30',
+    CAST(NULL AS DOUBLE)), (2, DATE'2016-07-29', 100.0D), (1, DATE'2016-06-30', 100.0D) AS t(sec, as_of, want)""")
     seen = TJ.visible_on_grid(rows, grid, 6).select("sec", "as_of", "gp")
     both = want.join(seen, ["sec", "as_of"], "left")
     return both.agg(F.count("*").cast("int").alias("checks"), F.count_if(~F.col("want").eqNullSafe(F.col("gp"))).cast("int").alias("violations"))
@@ -240,9 +274,11 @@ def api_recon_histogram(spark, d):
     return returns.match_score(H._pairs(spark, d)).groupBy(P.bucket_of_match("pct").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query(f"""SELECT step, n FROM (SELECT 'snapshots' AS step, COUNT(*) AS n FROM snapshot UNION ALL SELECT 'members', COUNT(*) FROM members UNION ALL SELECT 'board', COUNT(*) FROM covered
+@query(f"""SELECT step, n FROM (SELECT 'snapshots' AS step, COUNT(*) AS n FROM snapshot UNION ALL SELECT 'members', COUNT(*) FROM members
+  UNION ALL SELECT 'board', COUNT(*) FROM covered
   UNION ALL SELECT 'ic', COUNT(*) FROM ics UNION ALL SELECT 'long-short', COUNT(*) FROM lsq
-  UNION ALL SELECT 'gate', CASE WHEN COUNT(DISTINCT factor) = {len(panel.FACTORS)} AND COUNT(DISTINCT as_of) = (SELECT COUNT(DISTINCT as_of) FROM members) THEN 1 ELSE 0 END FROM covered)""", **panel.EVAL)
+  UNION ALL SELECT 'gate', CASE WHEN COUNT(DISTINCT factor) = {len(panel.FACTORS)}
+  AND COUNT(DISTINCT as_of) = (SELECT COUNT(DISTINCT as_of) FROM members) THEN 1 ELSE 0 END FROM covered)""", **panel.EVAL)
 def recompute_chain(spark, d):
     """The monthly chain, each step from what the one before has stored: universe,
     board, evaluation, and the gate over them."""

@@ -30,11 +30,13 @@ def lag_class(spark, d):
 
 
 LABELS = """SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_size END AS num, CASE WHEN p_partkey % 5 <> 0 THEN p_partkey % 4 END AS den,
-  CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS VARCHAR) || ':2' WHEN 1 THEN '3/' || CAST(p_size % 3 AS VARCHAR) WHEN 2 THEN 'x-2' ELSE CAST(p_size AS VARCHAR) END AS label FROM part"""
+  CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS VARCHAR) || ':2' WHEN 1 THEN '3/' || CAST(p_size % 3 AS VARCHAR) WHEN 2
+  THEN 'x-2' ELSE CAST(p_size AS VARCHAR) END AS label FROM part"""
 
 
 @query("""SELECT p_partkey, COALESCE(CAST(NULLIF(num, 0) AS DOUBLE) / NULLIF(den, 0),
-  TRY_CAST(trim(string_split_regex(label, '[:/-]')[1]) AS DOUBLE) / NULLIF(TRY_CAST(trim(string_split_regex(label, '[:/-]')[2]) AS DOUBLE), 0)) AS ratio FROM labels_""", labels_=LABELS)
+  TRY_CAST(trim(string_split_regex(label, '[:/-]')[1]) AS DOUBLE) / NULLIF(TRY_CAST(trim(string_split_regex(label, '[:/-]')[2]) AS DOUBLE),
+  0)) AS ratio FROM labels_""", labels_=LABELS)
 def split_ratio_parse(spark, d):
     k, size = F.col("p_partkey"), F.col("p_size").cast("string")
     label = F.when(k % 4 == 0, F.concat(size, F.lit(":2"))).when(k % 4 == 1, F.concat(F.lit("3/"), (F.col("p_size") % 3).cast("string"))).when(k % 4 == 2, F.lit("x-2")).otherwise(size)
@@ -42,7 +44,8 @@ def split_ratio_parse(spark, d):
     return rows.select("p_partkey", P.split_ratio("num", "den", "label").alias("ratio"))
 
 
-SYMBOLS = """SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'ABC-P' || substr('ABC', 1 + CAST(p_size % 3 AS INTEGER), 1) WHEN 1 THEN 'ABC-UN' WHEN 2 THEN 'WXYZ' || substr('UWRA', 1 + CAST(p_size % 4 AS INTEGER), 1)
+SYMBOLS = """SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'ABC-P' || substr('ABC', 1 + CAST(p_size % 3 AS INTEGER), 1) WHEN 1
+  THEN 'ABC-UN' WHEN 2 THEN 'WXYZ' || substr('UWRA', 1 + CAST(p_size % 4 AS INTEGER), 1)
   WHEN 3 THEN 'AB-W' WHEN 4 THEN 'AB-WS' WHEN 5 THEN upper(substr(p_name, 1, 3)) WHEN 6 THEN 'BRK-R' ELSE 'T-PX1' END AS symbol, p_size FROM part"""
 
 
@@ -55,7 +58,8 @@ def _symbols(spark, d):
     return X.table(spark, d, "part").select("p_partkey", s.alias("symbol"), "p_size")
 
 
-@query("""SELECT symbol, regexp_matches(symbol, '-(P[A-Z]?|UN|WS|WT|R|U)$') OR (length(symbol) = 5 AND substr(symbol, 5, 1) IN ('U', 'W', 'R')) AS excluded,
+@query("""SELECT symbol, regexp_matches(symbol, '-(P[A-Z]?|UN|WS|WT|R|U)$') OR (length(symbol) = 5
+  AND substr(symbol, 5, 1) IN ('U', 'W', 'R')) AS excluded,
   CASE WHEN regexp_matches(symbol, '-(P[A-Z]?|UN|WS|WT|R|U)$') THEN 'suffix' WHEN length(symbol) = 5 AND substr(symbol, 5, 1) = 'U' THEN '5U'
   WHEN length(symbol) = 5 AND substr(symbol, 5, 1) = 'W' THEN '5W' WHEN length(symbol) = 5 AND substr(symbol, 5, 1) = 'R' THEN '5R' ELSE 'common?' END AS class, COUNT(*) AS n
   FROM symbols_ GROUP BY ALL""", symbols_=SYMBOLS)
@@ -63,14 +67,17 @@ def instrument_class(spark, d):
     return _symbols(spark, d).groupBy("symbol", P.not_common("symbol").alias("excluded"), P.instrument_class("symbol").alias("class")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT p_size, MIN(class) AS label, bool_or(class <> 'common?') AS excluded FROM (SELECT p_size, CASE WHEN regexp_matches(symbol, '-(P[A-Z]?|UN|WS|WT|R|U)$') THEN 'suffix'
-  WHEN length(symbol) = 5 AND substr(symbol, 5, 1) IN ('U', 'W', 'R') THEN '5' || substr(symbol, 5, 1) ELSE 'common?' END AS class FROM symbols_) GROUP BY 1""", symbols_=SYMBOLS)
+@query("""SELECT p_size, MIN(class) AS label, bool_or(class <> 'common?') AS excluded
+  FROM (SELECT p_size, CASE WHEN regexp_matches(symbol, '-(P[A-Z]?|UN|WS|WT|R|U)$') THEN 'suffix'
+  WHEN length(symbol) = 5 AND substr(symbol, 5, 1) IN ('U', 'W', 'R')
+  THEN '5' || substr(symbol, 5, 1) ELSE 'common?' END AS class FROM symbols_) GROUP BY 1""", symbols_=SYMBOLS)
 def instrument_label_per_entity(spark, d):
     rows = _symbols(spark, d).withColumn("class", P.instrument_class("symbol"))
     return rows.groupBy("p_size").agg(F.array_min(F.collect_set("class")).alias("label"), F.bool_or(F.col("class") != "common?").alias("excluded"))
 
 
-@query("""SELECT c_custkey, lpad(ltrim(CAST(c_custkey AS VARCHAR), '0'), 10, '0') AS padded, COALESCE(NULLIF(ltrim('00' || CAST(c_custkey AS VARCHAR), '0'), '') =
+@query("""SELECT c_custkey, lpad(ltrim(CAST(c_custkey AS VARCHAR), '0'), 10, '0') AS padded,
+  COALESCE(NULLIF(ltrim('00' || CAST(c_custkey AS VARCHAR), '0'), '') =
   NULLIF(ltrim(CASE WHEN c_custkey % 4 = 0 THEN '' ELSE CAST(c_custkey + CAST(c_custkey % 3 = 0 AS INTEGER) AS VARCHAR) END, '0'), ''), TRUE) AS same,
   upper(c_mktsegment) LIKE '%MACH%' OR upper(c_mktsegment) LIKE '%AUTO%' AS segment FROM customer""")
 def issuer_gate(spark, d):
@@ -87,30 +94,37 @@ def recon_buckets(spark, d):
     return rows.groupBy(P.bucket_of_match("p").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT tag, COUNT(*) AS n FROM (SELECT CASE WHEN NOT r AND abs(v - b) <= greatest(50, 0.005::DOUBLE * abs(b)) THEN 'unrestated' WHEN r AND abs(v - a) <= greatest(50, 0.005::DOUBLE * abs(a)) THEN 'original'
+@query("""SELECT tag, COUNT(*) AS n FROM (SELECT CASE WHEN NOT r AND abs(v - b) <= greatest(50, 0.005::DOUBLE * abs(b)) THEN 'unrestated' WHEN r
+  AND abs(v - a) <= greatest(50, 0.005::DOUBLE * abs(a)) THEN 'original'
   WHEN r AND abs(v - b) <= greatest(50, 0.005::DOUBLE * abs(b)) THEN 'restated' ELSE 'neither' END AS tag FROM (
-  SELECT a, b, v, NOT abs(a - b) <= greatest(50, 0.005::DOUBLE * abs(b)) AS r FROM (SELECT o_totalprice AS a, o_totalprice + o_custkey % 3 * 2000 AS b, o_totalprice + o_orderkey % 4 * 1000 AS v FROM orders))) GROUP BY 1""")
+  SELECT a, b, v, NOT abs(a - b) <= greatest(50, 0.005::DOUBLE * abs(b)) AS r
+  FROM (SELECT o_totalprice AS a, o_totalprice + o_custkey % 3 * 2000 AS b, o_totalprice + o_orderkey % 4 * 1000 AS v FROM orders))) GROUP BY 1""")
 def restatement_tags(spark, d):
     a, b, v = F.col("o_totalprice"), F.col("o_totalprice") + F.col("o_custkey") % 3 * 2000, F.col("o_totalprice") + F.col("o_orderkey") % 4 * 1000
     return X.table(spark, d, "orders").groupBy(P.restatement_tag(v, a, b, 50.0, 0.005).alias("tag")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT strftime(o_orderdate, '%G-W%V') AS week, COUNT(*) AS n, COUNT(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END) AS low, COUNT(DISTINCT o_custkey) AS customers,
+@query("""SELECT strftime(o_orderdate, '%G-W%V') AS week, COUNT(*) AS n, COUNT(CASE WHEN o_orderpriority = '5-LOW'
+  THEN 1 END) AS low, COUNT(DISTINCT o_custkey) AS customers,
   ROUND(100 * COUNT(CASE WHEN o_orderstatus = 'P' THEN 1 END) / CAST(COUNT(*) AS DOUBLE), 2) AS pct_open FROM orders GROUP BY 1""")
 def filtered_counts_by_week(spark, d):
     g = X.table(spark, d, "orders").groupBy(P.iso_week("o_orderdate").alias("week"))
     return g.agg(F.count("*").alias("n"), F.count_if(F.col("o_orderpriority") == "5-LOW").alias("low"), F.countDistinct("o_custkey").alias("customers"), F.round(100 * F.count_if(F.col("o_orderstatus") == "P") / F.count("*"), 2).alias("pct_open"))
 
 
-@query("""SELECT o_orderpriority AS p, quantile_disc(o_totalprice, 0.25) AS q25, quantile_disc(o_totalprice, 0.5) AS q50, quantile_disc(o_totalprice, 0.75) AS q75, COUNT(*) AS n FROM orders GROUP BY 1""")
+@query("""SELECT o_orderpriority AS p, quantile_disc(o_totalprice, 0.25) AS q25, quantile_disc(o_totalprice, 0.5) AS q50, quantile_disc(o_totalprice,
+  0.75) AS q75, COUNT(*) AS n FROM orders GROUP BY 1""")
 def disc_percentiles(spark, d):
     X.table(spark, d, "orders").createOrReplaceTempView("disc_orders")
-    return spark.sql("""SELECT o_orderpriority AS p, percentile_disc(0.25) WITHIN GROUP (ORDER BY o_totalprice) AS q25, percentile_disc(0.5) WITHIN GROUP (ORDER BY o_totalprice) AS q50,
+    return spark.sql("""SELECT o_orderpriority AS p, percentile_disc(0.25) WITHIN GROUP (ORDER BY o_totalprice) AS q25,
+    percentile_disc(0.5) WITHIN GROUP (ORDER BY o_totalprice) AS q50,
       percentile_disc(0.75) WITHIN GROUP (ORDER BY o_totalprice) AS q75, COUNT(*) AS n FROM disc_orders GROUP BY 1""")
 
 
-@query("""SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types, len(list(DISTINCT p_size)) AS sizes, arg_max(p_name, p_partkey) AS newest,
-  ROUND(stddev_samp(p_retailprice), 6) AS sd, ROUND(avg(p_retailprice) / (stddev_samp(p_retailprice) / sqrt(COUNT(*))), 6) AS t FROM part GROUP BY 1 HAVING COUNT(*) >= 3""")
+@query("""SELECT p_brand, string_agg(DISTINCT p_type, ','
+  ORDER BY p_type) AS types, len(list(DISTINCT p_size)) AS sizes, arg_max(p_name, p_partkey) AS newest,
+  ROUND(stddev_samp(p_retailprice), 6) AS sd, ROUND(avg(p_retailprice) / (stddev_samp(p_retailprice) / sqrt(COUNT(*))), 6) AS t FROM part
+  GROUP BY 1 HAVING COUNT(*) >= 3""")
 def ordered_aggregates(spark, d):
     g = X.table(spark, d, "part").groupBy("p_brand").agg(
         F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("types"), F.size(F.collect_set("p_size")).cast("long").alias("sizes"), F.max_by("p_name", "p_partkey").alias("newest"),
@@ -119,7 +133,9 @@ def ordered_aggregates(spark, d):
     return g.filter("n >= 3").drop("n")
 
 
-@query("""SELECT c_custkey, substr(sha256('acctbal=' || CASE WHEN c_custkey % 6 = 0 THEN 'null' ELSE CAST(CAST(ROUND(c_acctbal * 100) AS BIGINT) AS VARCHAR) END || '|name=' || c_name || '|segment=' || c_mktsegment), 1, 16) AS hash FROM customer""")
+@query("""SELECT c_custkey, substr(sha256('acctbal=' || CASE WHEN c_custkey % 6 = 0
+  THEN 'null' ELSE CAST(CAST(ROUND(c_acctbal * 100) AS BIGINT) AS VARCHAR) END || '|name=' || c_name || '|segment=' || c_mktsegment), 1,
+  16) AS hash FROM customer""")
 def curated_hash(spark, d):
     bal = F.when(F.col("c_custkey") % 6 != 0, X.cents("c_acctbal"))
     return X.table(spark, d, "customer").select("c_custkey", P.canonical_hash({"name": F.col("c_name"), "segment": F.col("c_mktsegment"), "acctbal": bal}).alias("hash"))
@@ -131,7 +147,9 @@ def json_path_extract(spark, d):
     return rows.groupBy("event_type", "k").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT sec, MIN(v) AS first_v, MAX(v) AS last_v, COUNT(*) AS n FROM (SELECT user_id AS sec, value AS v, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NULL OR v <> p GROUP BY 1""")
+@query("""SELECT sec, MIN(v) AS first_v, MAX(v) AS last_v, COUNT(*) AS n
+  FROM (SELECT user_id AS sec, value AS v, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
+  WHERE p IS NULL OR v <> p GROUP BY 1""")
 def collapsed_facts(spark, d):
     from pyspark.sql import Window
 
@@ -139,19 +157,23 @@ def collapsed_facts(spark, d):
     return rows.filter("p IS NULL OR value <> p").groupBy(F.col("user_id").alias("sec")).agg(F.min("value").alias("first_v"), F.max("value").alias("last_v"), F.count("*").alias("n"))
 
 
-@query("""SELECT sec, m, v, d FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sec, m ORDER BY d DESC, v DESC) AS n FROM (SELECT o_custkey AS sec, strftime(o_orderdate, '%Y-%m') AS m, o_totalprice AS v, CAST(o_orderdate AS DATE) AS d FROM orders)) WHERE n = 1""")
+@query("""SELECT sec, m, v, d FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sec, m ORDER BY d DESC, v DESC) AS n
+  FROM (SELECT o_custkey AS sec, strftime(o_orderdate, '%Y-%m') AS m, o_totalprice AS v, CAST(o_orderdate AS DATE) AS d FROM orders)) WHERE n = 1""")
 def month_end_reduction(spark, d):
     rows = X.table(spark, d, "orders").select(F.col("o_custkey").alias("sec"), F.date_format("o_orderdate", "yyyy-MM").alias("m"), F.col("o_totalprice").alias("v"), F.col("o_orderdate").cast("date").alias("d"))
     return rows.groupBy("sec", "m").agg(F.max(F.struct("d", "v")).alias("x")).select("sec", "m", "x.v", "x.d")
 
 
-@query("""SELECT a.sec, a.d, COALESCE(mx, 0) AS by_max, COALESCE(sm, 0) AS by_sum FROM (SELECT l_suppkey AS sec, CAST(l_shipdate AS DATE) AS d, MAX(CAST(ROUND(l_tax * 100) AS BIGINT)) AS mx, CAST(SUM(CAST(ROUND(l_tax * 100) AS BIGINT)) AS BIGINT) AS sm FROM lineitem GROUP BY 1, 2) a""")
+@query("""SELECT a.sec, a.d, COALESCE(mx, 0) AS by_max, COALESCE(sm, 0) AS by_sum
+  FROM (SELECT l_suppkey AS sec, CAST(l_shipdate AS DATE) AS d, MAX(CAST(ROUND(l_tax * 100) AS BIGINT)) AS mx,
+  CAST(SUM(CAST(ROUND(l_tax * 100) AS BIGINT)) AS BIGINT) AS sm FROM lineitem GROUP BY 1, 2) a""")
 def same_day_combination(spark, d):
     g = X.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("sec"), F.col("l_shipdate").cast("date").alias("d"))
     return g.agg(F.max(X.cents("l_tax")).alias("by_max"), F.sum(X.cents("l_tax")).alias("by_sum"))
 
 
-@query("""SELECT src, k FROM (SELECT 'supplier' AS src, s_suppkey AS k FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT 'customer', c_custkey FROM customer
+@query("""SELECT src, k FROM (SELECT 'supplier' AS src, s_suppkey AS k FROM supplier WHERE s_suppkey % 2 = 0
+  UNION ALL SELECT 'customer', c_custkey FROM customer
   WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0))""")
 def priority_merge(spark, d):
     s = X.table(spark, d, "supplier").filter("s_suppkey % 2 = 0").select(F.lit("supplier").alias("src"), F.col("s_suppkey").alias("k"))
@@ -159,7 +181,8 @@ def priority_merge(spark, d):
     return by_priority([s, c], ["k"])
 
 
-@query("""SELECT k, COUNT(*) AS parts FROM (SELECT DISTINCT k, src FROM (SELECT o_custkey AS k, 'o' AS src FROM orders UNION ALL SELECT l_suppkey, 'l' FROM lineitem UNION ALL SELECT c_custkey, 'c' FROM customer)) GROUP BY 1
+@query("""SELECT k, COUNT(*) AS parts FROM (SELECT DISTINCT k, src FROM (SELECT o_custkey AS k, 'o' AS src FROM orders
+  UNION ALL SELECT l_suppkey, 'l' FROM lineitem UNION ALL SELECT c_custkey, 'c' FROM customer)) GROUP BY 1
   HAVING COUNT(*) < 3""")
 def union_of_targets(spark, d):
     one = lambda t, c, s: X.table(spark, d, t).select(F.col(c).alias("k"), F.lit(s).alias("src"))
@@ -167,14 +190,17 @@ def union_of_targets(spark, d):
     return rows.groupBy("k").agg(F.count("*").alias("parts")).filter("parts < 3")
 
 
-@query("""SELECT k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT k FROM (SELECT p_partkey AS k FROM part INTERSECT SELECT l_partkey FROM lineitem WHERE l_quantity > 49)""")
+@query("""SELECT k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT k
+  FROM (SELECT p_partkey AS k FROM part INTERSECT SELECT l_partkey FROM lineitem WHERE l_quantity > 49)""")
 def difference_and_intersection(spark, d):
     c, o = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k")), X.table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"))
     p, li = X.table(spark, d, "part").select(F.col("p_partkey").alias("k")), X.table(spark, d, "lineitem").filter("l_quantity > 49").select(F.col("l_partkey").alias("k"))
     return c.subtract(o).unionByName(p.intersect(li))
 
 
-@query("""SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 400000) AND c_custkey IN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= DATE '1999-01-01')""")
+@query("""SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o
+  WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 400000) AND c_custkey IN (SELECT DISTINCT o_custkey FROM orders
+  WHERE o_orderdate >= DATE '1999-01-01')""")
 def resume_targets(spark, d):
     c, o = X.table(spark, d, "customer"), X.table(spark, d, "orders")
     done = o.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
@@ -182,7 +208,8 @@ def resume_targets(spark, d):
     return c.select("c_custkey").join(done, "c_custkey", "left_anti").join(due, "c_custkey", "left_semi")
 
 
-@query(f"""SELECT COALESCE(a, b) AS present, COUNT(*) AS n FROM (SELECT CASE WHEN l_returnflag = 'R' THEN l_discount END AS a, CASE WHEN l_linestatus = 'F' THEN l_tax END AS b FROM lineitem) GROUP BY 1""")
+@query(f"""SELECT COALESCE(a, b) AS present, COUNT(*) AS n
+  FROM (SELECT CASE WHEN l_returnflag = 'R' THEN l_discount END AS a, CASE WHEN l_linestatus = 'F' THEN l_tax END AS b FROM lineitem) GROUP BY 1""")
 def first_present(spark, d):
     """Zero is a value here, unlike in first_truthy."""
     li = X.table(spark, d, "lineitem")
@@ -190,7 +217,8 @@ def first_present(spark, d):
     return li.groupBy(P.first_present(a, b).alias("present")).agg(F.count("*").alias("n"))
 
 
-VENUES = """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'NYSE American' WHEN 1 THEN 'NASDAQ Global Select' WHEN 2 THEN 'OTC' WHEN 3 THEN 'amex' END AS venue,
+VENUES = """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'NYSE American' WHEN 1 THEN 'NASDAQ Global Select' WHEN 2 THEN 'OTC' WHEN 3
+  THEN 'amex' END AS venue,
   CASE c_custkey % 4 WHEN 0 THEN 'Financial Services' WHEN 1 THEN 'financials' WHEN 2 THEN c_mktsegment END AS sector FROM customer"""
 
 
@@ -204,7 +232,8 @@ def venue_and_sector_flags(spark, d):
     return rows.groupBy("venue", "sector", P.listed("venue").alias("listed"), P.financial("sector").alias("financial")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT o_custkey AS sec, CAST(o_orderdate AS DATE) AS fiscal_date, COUNT(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) >= date_trunc('year', (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)) GROUP BY 1, 2""")
+@query("""SELECT o_custkey AS sec, CAST(o_orderdate AS DATE) AS fiscal_date, COUNT(*) AS n FROM orders
+  WHERE CAST(o_orderdate AS DATE) >= date_trunc('year', (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)) GROUP BY 1, 2""")
 def future_estimates(spark, d):
     """Estimates for the year of the last one or later; past years are left out."""
     o = X.table(spark, d, "orders").select(F.col("o_custkey").alias("sec"), F.col("o_orderdate").cast("date").alias("fiscal_date"))

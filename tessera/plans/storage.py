@@ -13,7 +13,9 @@ from tessera.sources.scratch import scratch_path
 from tessera.streaming import incremental
 
 
-@query("""SELECT part, COUNT(*) AS n, SUM(volume) AS volume FROM (SELECT CASE WHEN d < DATE '1997-01-01' THEN 1 WHEN d < DATE '1999-01-01' THEN 2 ELSE 3 END AS part, volume FROM bars WHERE d BETWEEN DATE '1996-03-01' AND DATE '2000-06-30') GROUP BY 1""")
+@query("""SELECT part, COUNT(*) AS n, SUM(volume) AS volume
+  FROM (SELECT CASE WHEN d < DATE '1997-01-01' THEN 1 WHEN d < DATE '1999-01-01' THEN 2 ELSE 3 END AS part, volume FROM bars
+  WHERE d BETWEEN DATE '1996-03-01' AND DATE '2000-06-30') GROUP BY 1""")
 def date_chunk_scan(spark, d):
     edges = [("1996-03-01", "1996-12-31"), ("1997-01-01", "1998-12-31"), ("1999-01-01", "2000-06-30")]
     out = None
@@ -23,7 +25,8 @@ def date_chunk_scan(spark, d):
     return out.groupBy("part").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
 
 
-@query("""SELECT sec, COUNT(*) AS n, COUNT(CASE WHEN page = 'old' THEN 1 END) AS filled FROM (SELECT sec, d, 'new' AS page FROM bars WHERE d >= DATE '1999-01-01' UNION ALL SELECT sec, d, 'old' FROM bars WHERE d < DATE '1999-01-01') GROUP BY 1""")
+@query("""SELECT sec, COUNT(*) AS n, COUNT(CASE WHEN page = 'old' THEN 1 END) AS filled FROM (SELECT sec, d, 'new' AS page FROM bars
+  WHERE d >= DATE '1999-01-01' UNION ALL SELECT sec, d, 'old' FROM bars WHERE d < DATE '1999-01-01') GROUP BY 1""")
 def fill_back_scan(spark, d):
     """A capped page is filled up by an older one that overlaps it; what came
     first on a day counts."""
@@ -46,7 +49,8 @@ def json_scan(spark, d):
     return files.scan_json(spark, path, "k long, name string, region int")
 
 
-@query("""SELECT m AS month, COUNT(*) AS n, ROUND(SUM(v), 6) AS value FROM (SELECT strftime(o_orderdate, '%Y%m') AS m, (o_orderkey % 1000) / 100::DOUBLE AS v FROM orders WHERE o_orderkey % 3 <> 0) GROUP BY 1""")
+@query("""SELECT m AS month, COUNT(*) AS n, ROUND(SUM(v), 6) AS value
+  FROM (SELECT strftime(o_orderdate, '%Y%m') AS m, (o_orderkey % 1000) / 100::DOUBLE AS v FROM orders WHERE o_orderkey % 3 <> 0) GROUP BY 1""")
 def ragged_text_scan(spark, d):
     o = X.table(spark, d, "orders")
     m, v = F.date_format("o_orderdate", "yyyyMM"), (F.col("o_orderkey") % 1000).cast("string")
@@ -63,7 +67,8 @@ def insert_or_ignore(spark, d):
     return tables.only_new(have, new, ["k"], ["first_order"])
 
 
-@query("""SELECT c_custkey AS k, COALESCE(o.v, c_acctbal) AS v FROM customer LEFT JOIN (SELECT o_custkey, MAX(o_totalprice) AS v FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) o ON o.o_custkey = c_custkey
+@query("""SELECT c_custkey AS k, COALESCE(o.v, c_acctbal) AS v FROM customer LEFT JOIN (SELECT o_custkey, MAX(o_totalprice) AS v FROM orders
+  WHERE o_custkey % 3 = 0 GROUP BY 1) o ON o.o_custkey = c_custkey
   UNION ALL SELECT -o_custkey, MAX(o_totalprice) FROM orders WHERE o_custkey % 3 = 1 GROUP BY 1""")
 def upsert(spark, d):
     have = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
@@ -86,9 +91,13 @@ def partition_rebuild(spark, d):
     return spark.read.schema("o_orderkey long, rebuilt int, y int").parquet(path).groupBy("y").agg(F.count("*").alias("n"), F.sum("rebuilt").alias("rebuilt"))
 
 
-NEXT = """SELECT sec, period_end, 2 AS vintage_id, h FROM (SELECT b.sec, b.period_end, substr(sha256('gp=' || CAST(CAST(ROUND(b.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS h, substr(sha256('gp=' || CAST(CAST(ROUND(a.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS old, a.sec AS known
-  FROM (SELECT * FROM statements WHERE vintage_id = 2) b JOIN (SELECT * FROM statements WHERE vintage_id = 1) a ON a.sec = b.sec AND a.period_end = b.period_end) WHERE h <> old
-  UNION ALL SELECT b.sec, b.period_end, 1, substr(sha256('gp=' || CAST(CAST(ROUND(b.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) FROM statements b WHERE vintage_id = 2 AND NOT EXISTS (SELECT 1 FROM statements a WHERE a.vintage_id = 1 AND a.sec = b.sec AND a.period_end = b.period_end)"""
+NEXT = """SELECT sec, period_end, 2 AS vintage_id, h
+  FROM (SELECT b.sec, b.period_end, substr(sha256('gp=' || CAST(CAST(ROUND(b.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS h,
+  substr(sha256('gp=' || CAST(CAST(ROUND(a.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS old, a.sec AS known
+  FROM (SELECT * FROM statements WHERE vintage_id = 2) b JOIN (SELECT * FROM statements
+  WHERE vintage_id = 1) a ON a.sec = b.sec AND a.period_end = b.period_end) WHERE h <> old
+  UNION ALL SELECT b.sec, b.period_end, 1, substr(sha256('gp=' || CAST(CAST(ROUND(b.gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) FROM statements b
+  WHERE vintage_id = 2 AND NOT EXISTS (SELECT 1 FROM statements a WHERE a.vintage_id = 1 AND a.sec = b.sec AND a.period_end = b.period_end)"""
 
 
 @query(NEXT)
@@ -115,7 +124,9 @@ def stream_daily_events(spark, d):
     return parts.groupBy("d", "event_type").agg(F.sum("n").alias("n"), F.round(F.sum("value"), 4).alias("value"))
 
 
-@query("""SELECT sec, COUNT(*) AS days, MAX(d) AS last_d FROM (SELECT sec, d FROM bars WHERE d < DATE '1999-01-01' UNION ALL SELECT b.sec, b.d FROM bars b JOIN (SELECT sec, MAX(d) AS last_d FROM bars WHERE d < DATE '1999-01-01' GROUP BY 1) l ON l.sec = b.sec AND b.d > l.last_d) GROUP BY 1""")
+@query("""SELECT sec, COUNT(*) AS days, MAX(d) AS last_d FROM (SELECT sec, d FROM bars WHERE d < DATE '1999-01-01'
+  UNION ALL SELECT b.sec, b.d FROM bars b JOIN (SELECT sec, MAX(d) AS last_d FROM bars WHERE d < DATE '1999-01-01'
+  GROUP BY 1) l ON l.sec = b.sec AND b.d > l.last_d) GROUP BY 1""")
 def append_later_bars(spark, d):
     """Bars not later than the last stored one of their security are ignored."""
     b = X.bars(spark, d).select("sec", "d", "close")
@@ -125,8 +136,10 @@ def append_later_bars(spark, d):
 
 # the loop's clock is the events' hours, its log what the first half of them left
 _ASKED = """SELECT DISTINCT now, job, period FROM (SELECT now, unnest([
-    CASE WHEN isodow(now) < 6 AND hour(now) >= 23 THEN {'job': 'daily', 'period': strftime(now, '%Y-%m-%d')} END, CASE WHEN isodow(now) = 6 AND hour(now) >= 12 THEN {'job': 'weekly', 'period': strftime(now, '%G-W%V')} END,
-    CASE WHEN day(now) >= 2 AND hour(now) >= 13 THEN {'job': 'monthly', 'period': strftime(now, '%Y-%m')} END], recursive := true) FROM (SELECT DISTINCT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS now FROM events)) WHERE job IS NOT NULL"""
+    CASE WHEN isodow(now) < 6 AND hour(now) >= 23 THEN {'job': 'daily', 'period': strftime(now, '%Y-%m-%d')} END, CASE WHEN isodow(now) = 6
+    AND hour(now) >= 12 THEN {'job': 'weekly', 'period': strftime(now, '%G-W%V')} END,
+    CASE WHEN day(now) >= 2 AND hour(now) >= 13 THEN {'job': 'monthly', 'period': strftime(now, '%Y-%m')} END], recursive := true)
+    FROM (SELECT DISTINCT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS now FROM events)) WHERE job IS NOT NULL"""
 
 
 def _asked(spark, d):
@@ -139,7 +152,8 @@ def schedule_predicate(spark, d):
 
 
 _LOG = """SELECT job, period, CASE length(period) % 2 + ascii(right(period, 1)) % 2 WHEN 0 THEN 'ok' WHEN 1 THEN 'running' ELSE 'error' END AS status,
-    MIN(now) - to_hours(CASE WHEN ascii(right(period, 1)) % 4 = 1 THEN 7 ELSE 5 END) AS ran_at FROM asked WHERE ascii(right(period, 1)) % 3 <> 0 GROUP BY 1, 2"""
+    MIN(now) - to_hours(CASE WHEN ascii(right(period, 1)) % 4 = 1 THEN 7 ELSE 5 END) AS ran_at FROM asked
+    WHERE ascii(right(period, 1)) % 3 <> 0 GROUP BY 1, 2"""
 
 
 def _log(spark, d):
@@ -150,14 +164,18 @@ def _log(spark, d):
     return rows.select("job", "period", F.when(code == 0, "ok").when(code == 1, "running").otherwise("error").alias("status"), at.alias("ran_at"))
 
 
-@query("""SELECT a.job, a.period, a.now FROM (SELECT job, period, MIN(now) AS now FROM asked GROUP BY 1, 2) a LEFT JOIN log_ l ON l.job = a.job AND l.period = a.period
+@query("""SELECT a.job, a.period, a.now FROM (SELECT job, period, MIN(now) AS now FROM asked GROUP BY 1, 2) a LEFT
+  JOIN log_ l ON l.job = a.job AND l.period = a.period
   WHERE l.status IS NULL OR (l.status = 'running' AND l.ran_at < a.now - INTERVAL 6 HOUR)""", asked=_ASKED, log_=_LOG)
 def claimable_periods(spark, d):
     return incremental.claimable(_asked(spark, d), _log(spark, d))
 
 
-@query("""SELECT status, COUNT(*) AS n FROM (SELECT COALESCE(CASE WHEN c.job IS NOT NULL THEN 'ok' END, l.status) AS status FROM log_ l FULL JOIN (SELECT a.job, a.period FROM (SELECT job, period, MIN(now) AS now FROM asked GROUP BY 1, 2) a
-  LEFT JOIN log_ l ON l.job = a.job AND l.period = a.period WHERE l.status IS NULL OR (l.status = 'running' AND l.ran_at < a.now - INTERVAL 6 HOUR)) c ON c.job = l.job AND c.period = l.period) GROUP BY 1""", asked=_ASKED, log_=_LOG)
+@query("""SELECT status, COUNT(*) AS n FROM (SELECT COALESCE(CASE WHEN c.job IS NOT NULL THEN 'ok' END, l.status) AS status FROM log_ l FULL
+  JOIN (SELECT a.job, a.period FROM (SELECT job, period, MIN(now) AS now FROM asked GROUP BY 1, 2) a
+  LEFT JOIN log_ l ON l.job = a.job AND l.period = a.period
+  WHERE l.status IS NULL OR (l.status = 'running' AND l.ran_at < a.now - INTERVAL 6 HOUR)) c ON c.job = l.job AND c.period = l.period)
+  GROUP BY 1""", asked=_ASKED, log_=_LOG)
 def job_status_recording(spark, d):
     log = _log(spark, d).withColumn("detail", F.lit(""))
     after = incremental.recorded(log, incremental.claimable(_asked(spark, d), log), "ok", F.lit("done"))
@@ -165,11 +183,14 @@ def job_status_recording(spark, d):
 
 
 _TODAY = "(SELECT MAX(d) FROM bars)"
-_CAPS = """SELECT c.as_of, m.sec, m.tr * x.shares AS mktcap FROM month_end m JOIN calendar c ON c.as_of = m.as_of JOIN securities x ON x.sec = m.sec WHERE m.sec % 7 <> 0"""
-_LATE = f"""SELECT max_by(d, d) AS as_of, sec, max_by(v, d) AS mktcap FROM (SELECT b.sec, b.d, b.close * x.shares AS v FROM bars b JOIN securities x ON x.sec = b.sec WHERE b.d >= {_TODAY} - 45 AND b.close * x.shares > 0) GROUP BY sec, date_trunc('month', d)"""
+_CAPS = """SELECT c.as_of, m.sec, m.tr * x.shares AS mktcap FROM month_end m JOIN calendar c ON c.as_of = m.as_of
+  JOIN securities x ON x.sec = m.sec WHERE m.sec % 7 <> 0"""
+_LATE = f"""SELECT max_by(d, d) AS as_of, sec, max_by(v, d) AS mktcap FROM (SELECT b.sec, b.d, b.close * x.shares AS v FROM bars b
+  JOIN securities x ON x.sec = b.sec WHERE b.d >= {_TODAY} - 45 AND b.close * x.shares > 0) GROUP BY sec, date_trunc('month', d)"""
 
 
-@query("""SELECT COALESCE(n.as_of, o.as_of) AS as_of, COALESCE(n.sec, o.sec) AS sec, ROUND(COALESCE(n.mktcap, o.mktcap), 2) AS mktcap FROM caps o FULL JOIN late n ON n.as_of = o.as_of AND n.sec = o.sec""", caps=_CAPS, late=_LATE)
+@query("""SELECT COALESCE(n.as_of, o.as_of) AS as_of, COALESCE(n.sec, o.sec) AS sec, ROUND(COALESCE(n.mktcap, o.mktcap),
+  2) AS mktcap FROM caps o FULL JOIN late n ON n.as_of = o.as_of AND n.sec = o.sec""", caps=_CAPS, late=_LATE)
 def mktcap_topup(spark, d):
     """Stored month-end market caps with the last of each month put over them
     that the last 45 days of the daily feed have."""
