@@ -16,6 +16,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a job of this session wrote and no plan reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df has not, whatever the case of letters."""
     taken = {c.lower() for c in df.columns}

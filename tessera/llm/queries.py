@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, html, language, mixing, packing, private, quality, secrets, sharding, simhash
+from tessera.llm import centroids, decontaminate, exact_dedup, html, language, manifest, mixing, packing, private, quality, secrets, sharding, simhash
 from tessera.llm.common import documents, scratch_path
 from tessera.llm.oracles import ORACLES  # noqa: F401  the entry module takes them from here
 
@@ -70,6 +70,23 @@ def op10_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_hamerly_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    sha = F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256)
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    rows = manifest.manifest(documents(spark, sf_dir), third)
+    return rows.select("*", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +100,8 @@ QUERIES = {
         op8_feistel_pseudonyms,
         op9_digest_index_dedup,
         op10_ball_simhash,
+        op11_hamerly_clusters,
+        op12_suffix_array_decontamination,
+        op13_merkle_manifest,
     )
 }
