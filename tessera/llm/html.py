@@ -27,6 +27,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -50,6 +51,9 @@ TOKEN = re.compile(
     rf"(?P<attrs>(?:[\s/]+|[^\s>/=][^\s>/=]*+(?:\s*=\s*{VALUE})?|=)*+)>",
     re.S,
 )
+#: The same where no CDATA section ends any more.
+TOKEN_AFTER = re.compile(TOKEN.pattern.replace(r"<!\[CDATA\[(?P<cdata>.*?)\]\]>", "(?P<cdata>(?!))"), re.S)
+OPENS = re.compile("<[!?]")
 ATTRIBUTE = re.compile(rf"([^\s>/=]+)(?:\s*=\s*({VALUE}))?")
 NAMED = frozenset("class id role itemprop".split())
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -60,27 +64,59 @@ FEATURES = 1 << 15
 PAGES_AT_ONCE = 400
 
 
+class Element:
+    """An open block-level element, its names, and the features that it and its
+    ancestors give to all below: made once, each of them once, so that a block
+    costs as many as there are different ones, however deep it lies."""
+
+    __slots__ = ("tag", "names", "parent", "own", "_below")
+
+    def __init__(self, tag: str, names: tuple[str, ...], parent: Element | None):
+        self.tag, self.names, self.parent, self._below = tag, names, parent, None
+        self.own = [x for name in names for x in (f"name={name}", f"name:{name[:5]}")]
+
+    @property
+    def below(self) -> list[str]:
+        chain, e = [], self
+        while e is not None and e._below is None:
+            chain.append(e)
+            e = e.parent
+        above = e._below if e is not None else []
+        for e in reversed(chain):
+            f = [f"under={e.tag}", *e.own]
+            e._below = above = above if f == above[: len(f)] else list(dict.fromkeys([*f, *above]))
+        return above
+
+
 class Block:
-    __slots__ = ("text", "path", "tag", "linked")
+    __slots__ = ("text", "element", "linked")
 
-    def __init__(self, text: str, path: tuple, tag: str, linked: int):
-        self.text, self.path, self.tag, self.linked = text, path, tag, linked
+    def __init__(self, text: str, element: Element | None, linked: int):
+        self.text, self.element, self.linked = text, element, linked
+
+    @property
+    def tag(self) -> str:
+        return self.element.tag if self.element else ""
 
 
 def leaf_blocks(html: str) -> list[Block]:
     """The page's leaf blocks in order, references decoded, white space single."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple]] = []  # open block-level elements and their names
+    stack: list[Element] = []  # open block-level elements
+    opened: Counter[str] = Counter()
     run: list[str] = []
     links = linked = 0
     at, n = 0, len(html)
+    # behind the last > nothing is a tag, and behind the last ]]> nothing a CDATA section: not looked for again and again
+    last, last_cdata = html.rfind(">") + 1, html.rfind("]]>")
+    endless: set[str] = set()  # embedded elements that no end tag follows for any more
 
     def close() -> None:
         nonlocal linked
         if run:
             text = " ".join(unescape("".join(run)).split())
             if text:
-                blocks.append(Block(text, tuple(stack), stack[-1][0] if stack else "", linked))
+                blocks.append(Block(text, stack[-1] if stack else None, linked))
             run.clear()
         linked = 0
 
@@ -91,11 +127,15 @@ def leaf_blocks(html: str) -> list[Block]:
             if links:
                 linked += len(piece)
 
-    for m in TOKEN.finditer(html):
-        if m.start() < at:  # inside an element that was skipped whole
-            continue
+    def drop() -> None:
+        opened[stack.pop().tag] -= 1
+
+    while m := (TOKEN if at <= last_cdata else TOKEN_AFTER).search(html, at, last):
         add(html[at : m.start()])
         at = m.end()
+        if at == last and html.startswith("<!--", m.start()) and not html.endswith("-->", m.start(), at):
+            at = n  # a comment that is never closed
+            break
         if m["cdata"] is not None:
             add(m["cdata"])
         tag = (m["tag"] or "").lower()
@@ -106,16 +146,19 @@ def leaf_blocks(html: str) -> list[Block]:
                 links = max(0, links - 1)
             elif tag in BLOCKS:
                 close()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        links = 0
-                        break
+                if opened[tag]:
+                    while stack[-1].tag != tag:
+                        drop()
+                    drop()
+                    links = 0
             continue
         attrs = m["attrs"]
         if tag in SKIPPED:
-            if not attrs.endswith("/"):
-                at = _end_of(html, tag, at, n)
+            if not attrs.endswith("/") and tag not in endless:
+                end = _end_of(html, tag, at, n)
+                if end == at:
+                    endless.add(tag)
+                at = end
             if tag not in ("script", "style", "noscript", "template"):
                 close()
             continue
@@ -123,13 +166,15 @@ def leaf_blocks(html: str) -> list[Block]:
             links += 1
         elif tag in BLOCKS:
             close()
-            if tag in CLOSES_P and stack and stack[-1][0] == "p":
-                stack.pop()
-            if tag in ("li", "option", "tr", "td", "th", "dd", "dt") and stack and stack[-1][0] == tag:
-                stack.pop()
+            if tag in CLOSES_P and stack and stack[-1].tag == "p":
+                drop()
+            if tag in ("li", "option", "tr", "td", "th", "dd", "dt") and stack and stack[-1].tag == tag:
+                drop()
             if tag not in VOID and not attrs.endswith("/"):
-                stack.append((tag, _names(attrs) if attrs else ()))
-    add(html[at:])
+                stack.append(Element(tag, _names(attrs) if attrs else (), stack[-1] if stack else None))
+                opened[tag] += 1
+    tail = OPENS.search(html, max(at, last))
+    add(html[at : tail.start() if tail else n])
     close()
     return blocks
 
@@ -182,13 +227,13 @@ def _features(blocks: list[Block]) -> list[list[int]]:
         f += [f"sign={s}" for s in ("©", "|", "»", "→", "@", "http") if s in b.text]
         if b.text[:1].isdigit():
             f.append("digit first")
-        for depth, (tag, names) in enumerate(reversed(b.path)):
-            f.append(f"under={tag}")
-            if depth < 2:
-                f.append(f"up{depth}={tag}")
-            for x in names:
-                f.append(f"name={x}")
-                f.append(f"name:{x[:5]}")
+        e = b.element
+        for depth in range(2):
+            if e is not None:
+                f += [f"under={e.tag}", f"up{depth}={e.tag}", *e.own]
+                e = e.parent
+        if e is not None:
+            f += e.below
         out.append([_bucket(x) for x in dict.fromkeys(f)])
     return out
 

@@ -138,8 +138,8 @@ def stretches(text: str) -> Iterator[tuple[list[str], int, int]]:
     at, n = 0, len(text)
     while at < n:
         end = min(n, at + CHARS_AT_ONCE)
-        while end < n and LETTERS.match(text, end):
-            end += 1
+        if end < n and (rest := LETTERS.match(text, end)):
+            end = rest.end()  # the word that goes on is its own
         low, high = max(0, at - 12 * BESIDE), min(n, end + 12 * BESIDE)
         before, own, after = words_of(text[low:at])[low > 0 :], words_of(text[at:end]), words_of(text[end:high])
         before, after = before[-BESIDE:], after[: len(after) - (high < n)][:BESIDE]

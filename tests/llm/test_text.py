@@ -4,6 +4,7 @@ trips and held-out accuracy."""
 import hashlib
 import itertools
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -207,7 +208,7 @@ def blocks_text(page):
 def test_broken_and_hidden_mark_up_is_read():
     assert blocks_text('<article title="the hidden gem"><p title="hidden">Kept.</p></article><div class="box hidden md">Too.</div>') == ["Kept.", "Too."]
     assert blocks_text("<p hidden>note<p>Article one.<p>Article two.") == ["note", "Article one.", "Article two."]
-    assert html.leaf_blocks("<p hidden>note")[0].path == (("p", (html.HIDDEN,)),)
+    assert html.leaf_blocks("<p hidden>note")[0].element.names == (html.HIDDEN,)
     assert blocks_text("<p>One</p><svg><path><p>Two</p>") == ["One", "Two"]
     assert blocks_text("<p>One</p><svg><g></g></svg><p>Two</p><iframe src=x><p>Three</p>") == ["One", "Two", "Three"]
     assert blocks_text("<p data-x=don't>Hello there. It's fine. Then more text.</p><p>Next</p>") == ["Hello there. It's fine. Then more text.", "Next"]
@@ -399,3 +400,40 @@ def test_each_kind_alone_in_a_text_is_found(spark):
     got = {r.doc_id: r for r in private.pseudonymise(docs, "k").collect()}
     for i, v in enumerate(alone):
         assert [f.value for f in got[i].finds] == [v] and v not in got[i].text, v
+
+
+def seconds(work, n):
+    began = time.process_time()
+    work(n)
+    return time.process_time() - began
+
+
+NOVELTY = secrets.Novelty()
+PROBES = {
+    "one run of letters": (lambda n: list(language.stretches("a" * n)), 4_000_000),
+    "sensitive words": (lambda n: secrets.novel_spans(t := "token " * (n // 6), secrets.base_spans(t), NOVELTY), 1_000_000),
+    "sensitive words in one run": (lambda n: secrets.novel_spans(t := "token" * (n // 5), secrets.base_spans(t), NOVELTY), 1_000_000),
+    "many base spans": (lambda n: secrets.novel_spans(t := f"secret={'x' * 20} auth {'ab1' * 7} " * (n // 60), secrets.base_spans(t)[:1] * 2, secrets.Novelty()), 120_000),
+    "embedded elements without end": (lambda n: html._features(html.leaf_blocks("<svg>" * (n // 5))), 1_000_000),
+    "unfinished tags": (lambda n: html._features(html.leaf_blocks("<a " * (n // 3))), 1_000_000),
+    "unfinished sections": (lambda n: html._features(html.leaf_blocks("<![CDATA[ " * (n // 10))), 1_000_000),
+    "nested elements": (lambda n: html._features(html.leaf_blocks("<div>x" * (n // 6))), 600_000),
+    "end tags of nothing": (lambda n: html._features(html.leaf_blocks("<div>x" * (n // 12) + "</p>" * (n // 8))), 600_000),
+}
+
+
+@pytest.mark.parametrize("probe", PROBES)
+def test_time_is_in_proportion_to_a_text(probe):
+    work, n = PROBES[probe]
+    work(n // 50)
+    half, whole = seconds(work, n // 2), seconds(work, n)
+    assert whole < 3 * half + 0.3 and whole < 20
+
+
+def test_end_of_page_as_far_as_it_goes():
+    assert blocks_text("<p>one<!-- never closed <p>two") == ["one"]
+    assert blocks_text("<p>one <a href=x") == ["one <a href=x"]
+    assert blocks_text("<p>one <!doctype") == ["one"]
+    assert blocks_text("<p>one<![CDATA[ two ]]> three<![CDATA[ four") == ["one two three"]
+    assert blocks_text("<div><p>a</div></section></p>b") == ["a", "b"]
+    assert blocks_text("<p>a<svg><p>b<svg>c</svg>d") == ["a", "d"]
