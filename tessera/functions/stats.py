@@ -163,26 +163,120 @@ def eliminated(a: np.ndarray, b: np.ndarray, floor: float) -> np.ndarray:
 
 def block_bootstrap(df: DataFrame, value: str, order: str, by: str, block: int = 6, draws: int = 2000, seed: int = 20260726, low: float = 0.025, high: float = 0.975) -> DataFrame:
     """by, n, low, high: circular block bootstrap interval of a series' mean.
-    A series has one value a month, so a group is small."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(order)[value].to_numpy(float)
-        n, rng = len(x), np.random.default_rng(seed)
-        blocks = -(-n // block)
-        at = (rng.integers(0, n, (draws, blocks))[:, :, None] + np.arange(block)) % n
-        means = x[at.reshape(draws, -1)[:, :n]].mean(axis=1)
-        return pd.DataFrame({by: [pdf[by].iloc[0]], "n": [n], "low": [np.quantile(means, low)], "high": [np.quantile(means, high)]})
-
-    return df.select(by, order, value).dropna().groupBy(by).applyInPandas(run, f"{by} {dict(df.dtypes)[by]}, n long, low double, high double")
-
-
-def average_linkage(names: list[str], distance: np.ndarray, cut: float) -> list[list[str]]:
-    """Clusters by average linkage, merged while closer than cut. For a matrix
-    of a few dozen signals, which is all the driver ever holds."""
-    groups = [[i] for i in range(len(names))]
-    while len(groups) > 1:
-        d, i, j = min((distance[np.ix_(a, b)].mean(), x, y) for x, a in enumerate(groups) for y, b in enumerate(groups) if x < y)
-        if d > cut:
-            break
-        groups[i] += groups.pop(j)
-    return sorted(sorted(names[k] for k in g) for g in groups)
+
+    A draw takes n // block + 1 blocks and of the last one what is left to n
+    values. Where block j of a draw starts is a digest of seed, series, draw and
+    j, so draws don't depend on who makes them; a block's sum is the difference
+    of two running sums. A series has a value a month: its row holds them all.
+    """
+    o = Window.partitionBy(by).orderBy(order)
+    rows = df.select(by, order, value).dropna().withColumn("i", F.row_number().over(o) - 1).withColumn("n", F.count("*").over(Window.partitionBy(by)))
+    # the series over and over, as far as a block reaches beyond its end
+    again = rows.select(by, "n", value, F.explode(F.expr(f"transform(sequence(0, cast(ceil({block} / n) as int)), k -> i + k * n)")).alias("i"))
+    before = F.coalesce(F.sum(value).over(Window.partitionBy(by).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    one = again.select(by, "n", F.struct("i", before.alias("p")).alias("x")).groupBy(by, "n").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"]).alias("p"))
+    drawn = one.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+
+    def part(j: Column) -> Column:
+        name = F.concat_ws(":", F.lit(str(seed)), F.col(by).cast("string"), F.col("draw").cast("string"), j.cast("string"))
+        start = (F.conv(F.substring(F.md5(F.encode(name, "UTF-8")), 1, 13), 16, 10).cast("long") % F.col("n")).cast("int")
+        size = F.least(F.lit(block), F.col("n").cast("int") - j * block)
+        return F.transform(F.array(start), lambda s: F.get("p", s + size) - F.get("p", s))[0]
+
+    total = F.aggregate(F.sequence(F.lit(0), F.floor(F.col("n") / block).cast("int")), F.lit(0.0), lambda acc, j: acc + part(j))
+    means = drawn.select(by, "n", (total / F.col("n")).alias("mean"))
+    return means.groupBy(by, "n").agg(F.percentile("mean", F.lit(low)).alias("low"), F.percentile("mean", F.lit(high)).alias("high"))
+
+
+def average_linkage(pairs: DataFrame, cuts: list[float]) -> DataFrame:
+    """cut, cluster, members: clusters of the names in pairs (a, b, distance; a
+    pair that is absent is 1 apart) by average linkage, merged while closer than
+    each cut; of equally close ones those named first.
+
+    The names are a few dozen signals, so the matrix is an array in one row. A
+    fold over it merges two clusters a step: the distance to the merged one is
+    the mean of those to its parts by their sizes (Lance and Williams).
+    """
+    cells = F.array_sort(F.collect_set(F.struct("a", "b", "distance")))
+    row = pairs.agg(cells.alias("cells"), F.array_sort(F.array_union(F.collect_set("a"), F.collect_set("b"))).alias("names"))
+    row = row.withColumn("k", F.size("names")).withColumn("of", F.map_from_entries(F.transform("cells", lambda c: F.struct(F.concat_ws("\n", c["a"], c["b"]), c["distance"]))))
+    at = lambda x: F.get("names", x.cast("int"))
+    known = lambda i, j: F.coalesce(F.try_element_at("of", F.concat_ws("\n", at(i), at(j))), F.try_element_at("of", F.concat_ws("\n", at(j), at(i))), F.lit(1.0))
+    every = F.sequence(F.lit(0), F.col("k") * F.col("k") - 1)
+    row_of, col_of = (lambda p: F.floor(p / F.col("k")).cast("int")), (lambda p: (p % F.col("k")).cast("int"))
+    row = row.filter("k > 0").withColumn("d", F.transform(every, lambda p: F.when(row_of(p) == col_of(p), F.lit(float("inf"))).otherwise(known(row_of(p), col_of(p)))))
+    row = row.withColumn("cut", F.explode(F.array(*[F.lit(c) for c in cuts])))
+    once = lambda v, body: F.transform(F.array(v), body)[0]
+
+    def merged(acc: Column, i: Column, j: Column) -> Column:
+        ni, nj = F.get(acc["n"], i), F.get(acc["n"], j)
+
+        def cell(v: Column, p: Column) -> Column:
+            r, c = row_of(p), col_of(p)
+            other = F.when(r == i, c).otherwise(r)
+            mean = (F.get(acc["d"], i * F.col("k") + other) * ni + F.get(acc["d"], j * F.col("k") + other) * nj) / (ni + nj)
+            return F.when((r == j) | (c == j) | (r == c), F.lit(float("inf"))).when((r == i) | (c == i), mean).otherwise(v)
+
+        sizes = F.transform(acc["n"], lambda v, x: F.when(x == i, ni + nj).otherwise(v))
+        labels = F.transform(acc["to"], lambda t: F.when(t == j, i).otherwise(t))
+        return F.struct(F.transform(acc["d"], cell).alias("d"), sizes.alias("n"), labels.alias("to"))
+
+    def step(acc: Column, _: Column) -> Column:
+        least = F.array_min(F.transform(acc["d"], lambda v, p: F.struct(v.alias("v"), p.alias("p"))))
+        return once(least, lambda m: F.when(m["v"] <= F.col("cut"), merged(acc, row_of(m["p"]), col_of(m["p"]))).otherwise(acc))
+
+    ids = F.sequence(F.lit(0), F.col("k") - 1)
+    start = F.struct(F.col("d").alias("d"), F.transform(ids, lambda _: F.lit(1)).alias("n"), ids.alias("to"))
+    rows = row.select("cut", "names", F.aggregate(ids, start, step, lambda acc: acc["to"]).alias("to"))
+    groups = F.array_sort(F.transform(F.array_distinct("to"), lambda g: F.array_join(F.filter("names", lambda _, i: F.get("to", i) == g), ",")))
+    return rows.select("cut", F.posexplode(groups).alias("cluster", "members"))
+
+
+#: Coefficients of Hart's algorithm 5666 for the upper tail of the normal distribution (fixed values, published).
+HART = (
+    (220.206867912376, 221.213596169931, 112.079291497871, 33.912866078383, 6.37396220353165, 0.700383064443688, 0.0352624965998911),
+    (440.413735824752, 793.826512519948, 637.333633378831, 296.564248779674, 86.7807322029461, 16.064177579207, 1.75566716318264, 0.0883883476483184),
+)
+
+
+def two_sided_p(t: Column) -> Column:
+    """The probability of a normal value at least as far from nil as t."""
+    z = F.abs(t)
+
+    def horner(c: Sequence[float]) -> Column:
+        out = F.lit(c[-1])
+        for v in reversed(c[:-1]):
+            out = out * z + F.lit(v)
+        return out
+
+    far = z + 0.65
+    for k in (4.0, 3.0, 2.0, 1.0):
+        far = z + F.lit(k) / far
+    near = horner(HART[0]) / horner(HART[1])
+    return 2 * F.exp(-z * z / 2) * F.when(z < 7.07106781186547, near).otherwise(1 / (far * 2.506628274631))
+
+
+def two_sided_p_sql(t: str) -> str:
+    """The same in SQL over the expression t."""
+
+    def horner(c):
+        out = f"{c[-1]!r}::DOUBLE"
+        for v in reversed(c[:-1]):
+            out = f"(({out}) * abs({t}) + {v!r}::DOUBLE)"
+        return out
+
+    far = f"(abs({t}) + 0.65::DOUBLE)"
+    for k in (4, 3, 2, 1):
+        far = f"(abs({t}) + {k} / {far})"
+    return f"(2 * exp(-({t}) * ({t}) / 2) * CASE WHEN abs({t}) < 7.07106781186547::DOUBLE THEN {horner(HART[0])} / {horner(HART[1])} ELSE 1 / ({far} * 2.506628274631::DOUBLE) END)"
+
+
+def benjamini_hochberg(tests: DataFrame, family: str, p: str, tie: str) -> DataFrame:
+    """tests + q: the least false discovery rate at which a test of its family is
+    rejected, by the step-up rule. A test without p isn't counted and has no q."""
+    w = Window.partitionBy(family, F.col(p).isNull())
+    up = w.orderBy(p, tie)
+    rows = tests.withColumn("_r", F.row_number().over(up)).withColumn("_m", F.count(p).over(w))
+    rows = rows.withColumn("_x", F.col(p) * F.col("_m") / F.col("_r"))
+    least = F.min("_x").over(w.orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("q", F.least(least, F.when(F.col(p).isNotNull(), 1.0))).drop("_r", "_m", "_x")

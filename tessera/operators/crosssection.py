@@ -122,3 +122,11 @@ def walk_forward_weights(ics: DataFrame, months: DataFrame, signs: dict[str, int
 def equity_curve(monthly: DataFrame, by: str, value: str, order: str = "as_of") -> DataFrame:
     w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return monthly.withColumn("curve", F.round(F.product(1 + F.col(value)).over(w), 4))
+
+
+def decay(ics: DataFrame, first: int, floor: float = 1e-9) -> DataFrame:
+    """(factor, horizon, months, mean_ic, kept) of monthly (factor, horizon, as_of,
+    ic): the mean, and its ratio to that of the first horizon."""
+    g = ics.groupBy("factor", "horizon").agg(F.count("ic").alias("months"), F.round(F.avg("ic"), 9).alias("mean_ic"))
+    start = F.max(F.when(F.col("horizon") == first, F.col("mean_ic"))).over(Window.partitionBy("factor"))
+    return g.withColumn("kept", F.when(F.abs(start) > floor, F.col("mean_ic") / start))

@@ -50,9 +50,10 @@ def momentum(cells: DataFrame, grid: DataFrame, near: int = 1, far: int = 12) ->
 
 
 def forward_returns(cells: DataFrame, grid: DataFrame, delistings: DataFrame | None = None, last_trades: DataFrame | None = None, compounding_method: str = "deal") -> DataFrame:
-    """(sec, as_of, ai, fwd): return to the next as_of, or to the last trade in
-    between where there is no next cell, compounded with the terminal return of
-    a delisting in that span by the method given."""
+    """(sec, as_of, ai, fwd, plain): return to the next as_of, or to the last trade
+    in between where there is no next cell, compounded with the terminal return of
+    a delisting in that span by the method given; plain is without that fallback
+    and the only one where last trades aren't given."""
     w = Window.partitionBy("sec").orderBy("ai")
     rows = dense(cells, grid).withColumn("nxt", F.lead("as_of").over(w)).withColumn("tr1", F.nullif(F.lead("tr").over(w), F.lit(0.0))).withColumn("tr0", F.nullif("tr", F.lit(0.0)))
     full = F.col("tr1") / F.col("tr0") - 1
@@ -63,7 +64,23 @@ def forward_returns(cells: DataFrame, grid: DataFrame, delistings: DataFrame | N
     part = F.when(within("last_d"), F.col("last_tr") / F.col("tr0") - 1)
     ends = within("delist_date") & (F.col("method") == compounding_method) & F.col("terminal_return").isNotNull()
     part = F.when(ends, (1 + part) * (1 + F.col("terminal_return")) - 1).otherwise(part)
-    return rows.select("sec", "as_of", "ai", F.coalesce(full, part).alias("fwd"))
+    return rows.select("sec", "as_of", "ai", F.coalesce(full, part).alias("fwd"), full.alias("plain"))
+
+
+def horizon_returns(levels: DataFrame, horizons: list[int]) -> DataFrame:
+    """levels (sec, d, level) + pos, r_<h>: the return to the last trade within
+    the next h days of the trading calendar, for all horizons from one order of a
+    security's rows; null where the calendar ends before, or nothing trades.
+
+    The calendar, a row a day, gives every day its position; it is broadcast."""
+    days = levels.select("d").distinct()
+    calendar = days.withColumn("pos", F.row_number().over(Window.orderBy("d"))).withColumn("last", F.count("*").over(Window.partitionBy(F.lit(0))))
+    rows = levels.join(F.broadcast(calendar), "d")
+    w = Window.partitionBy("sec").orderBy("pos")
+    for h in horizons:
+        there = F.last("level").over(w.rangeBetween(1, h))
+        rows = rows.withColumn(f"r_{h}", F.when(F.col("pos") + h <= F.col("last"), there / F.nullif("level", F.lit(0.0)) - 1))
+    return rows.drop("last")
 
 
 def match_score(pairs: DataFrame) -> DataFrame:

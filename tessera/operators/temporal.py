@@ -29,13 +29,24 @@ def asof_backward(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     return out
 
 
-def resolve(left: DataFrame, intervals: DataFrame, key: str, time: str, value: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+def resolve(left: DataFrame, intervals: DataFrame, key: str, time: str, value: str, valid_from: str = "valid_from", valid_to: str = "valid_to", bin_days: int = 366) -> DataFrame:
     """Each row of left with the value whose interval covers its time, that of
-    the latest start if several do. left must have no repeated (key, time)."""
-    i = intervals.select(key, F.col(valid_from).alias("_f"), F.col(valid_to).alias("_t"), F.col(value).alias("_v"))
-    hit = left.select(key, time).join(i, key).filter(covers("_f", "_t", time))
-    best = hit.groupBy(key, time).agg(F.max(F.struct("_f", "_v"))["_v"].alias(value))
-    return left.join(best, [key, time], "left")
+    the latest start (then the largest value) if several do.
+
+    Time is cut into bins of ``bin_days``: an interval is written out for the
+    bins it reaches, an open one up to left's last time, and an equi-join on key
+    and bin meets only what lies in the same stretch of time. A key with very many
+    rows is so dealt to as many tasks as it has bins.
+    """
+    bin_ = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / bin_days)
+    asked = left.select(F.col(key).alias("_k"), F.col(time).alias("_at")).distinct().withColumn("_bin", bin_(F.col("_at")))
+    last = asked.agg(F.max("_bin").alias("_last"))  # one row
+    i = intervals.select(F.col(key).alias("_k"), F.col(valid_from).alias("_f"), F.col(valid_to).alias("_t"), F.col(value).alias("_v")).join(F.broadcast(last))
+    i = i.withColumn("_to", F.least(F.coalesce(bin_(F.col("_t")), "_last"), "_last")).filter(bin_(F.col("_f")) <= F.col("_to"))
+    i = i.withColumn("_bin", F.explode(F.sequence(bin_(F.col("_f")), "_to"))).drop("_last", "_to")
+    hit = asked.join(i, ["_k", "_bin"]).filter(covers("_f", "_t", "_at"))
+    best = hit.groupBy("_k", "_bin", "_at").agg(F.max(F.struct("_f", "_v"))["_v"].alias(value)).drop("_bin")
+    return left.join(best, (left[key] == best["_k"]) & (left[time] == best["_at"]), "left").drop("_k", "_at")
 
 
 def seen_intervals(statements: DataFrame) -> DataFrame:
@@ -109,15 +120,26 @@ def merged(intervals: DataFrame, by: list[str]) -> DataFrame:
     return out.select(*by, "valid_from", F.nullif("valid_to", F.lit(FOREVER).cast("date")).alias("valid_to"), "n")
 
 
-def uncontained(intervals: DataFrame, by: list[str]) -> DataFrame:
-    """Intervals that no other, different one of their group contains."""
-    left = intervals.dropDuplicates([*by, "valid_from", "valid_to"])
-    o = left.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("valid_from").alias("_f"), _end("valid_to").alias("_t"))
-    same = F.lit(True)
+def uncontained(intervals: DataFrame, by: list[str], stretch: str = "month") -> DataFrame:
+    """Intervals that no other, different one of their group contains.
+
+    In order of start, and of falling end at one start, an interval is contained
+    exactly if one before it reaches as far. So the furthest end so far decides:
+    that of all earlier stretches of time, carried over a table of one row a group
+    and stretch, and within the stretch a window. No interval is joined with
+    others of its group, and a large group is dealt by its stretches.
+    """
+    end, part = _end("valid_to"), F.trunc("valid_from", stretch)
+    rows = intervals.dropDuplicates([*by, "valid_from", "valid_to"]).withColumn("_part", part).withColumn("_end", end)
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy(*by, "_part").agg(F.max("_end").alias("_far")).withColumn("_far", F.max("_far").over(earlier))
+    carried = carried.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_stretch"), "_far")
+    same = F.col("_part") == F.col("_stretch")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    inside = (F.col("_f") <= F.col("valid_from")) & (F.col("_t") >= _end("valid_to")) & ~((F.col("_f") == F.col("valid_from")) & (F.col("_t") == _end("valid_to")))
-    return left.join(o, same & inside, "left_anti")
+    within = Window.partitionBy(*by, "_part").orderBy("valid_from", F.desc("_end")).rowsBetween(Window.unboundedPreceding, -1)
+    reach = rows.withColumn("_near", F.max("_end").over(within)).join(carried, same)
+    return reach.filter(F.coalesce(F.greatest("_near", "_far") < F.col("_end"), F.lit(True))).select(*intervals.columns)
 
 
 def by_priority(parts: list[DataFrame], key: list[str], order: list[str] | None = None) -> DataFrame:

@@ -1,3 +1,3 @@
 """The registered queries: each module registers its own when it is imported."""
 
-from tessera.plans import history, panel, quality, scalars, storage, temporal  # noqa: F401
+from tessera.plans import history, panel, quality, research, scalars, storage, temporal  # noqa: F401

@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime
 import re
 
-import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -87,16 +86,20 @@ CELLS = """SELECT as_of, sec, factor, sector, mktcap, rank_norm, z_sector,
 BASE = dict(**H.UNIVERSE, visible_=T.VISIBLE, members=MEMBERS, ttm=TTM, ago=AGO)
 SIGNALS = dict(svals=STATEMENT_VALUES, bench=H.BENCH, vols=H.VOLS, betas=H.BETAS, sue=H.SUE, sue_values=SUE_VALUES, vals=VALS)
 BOARD = dict(**BASE, **H.MONTHLY, **SIGNALS, covered=COVERED, ranked=RANKED, sectored=SECTORED, cells=CELLS)
+#: The return that follows: to the next month, or of a name that stops trading in between to its last trade, with a deal's terminal return; plain: only the former.
+FORWARD = """SELECT l.sec, l.as_of, l.nxt / l.tr - 1 AS plain, COALESCE(l.nxt / l.tr - 1, CASE WHEN e.last_d > l.as_of AND e.last_d <= l.nxt_asof
+    THEN CASE WHEN x.delist_date > l.as_of AND x.delist_date <= l.nxt_asof AND x.method = 'deal' THEN e.last_tr / l.tr * (1 + x.terminal_return) - 1 ELSE e.last_tr / l.tr - 1 END END) AS fwd
+  FROM lags l JOIN (SELECT sec, MAX(d) AS last_d, max_by(level, d) AS last_tr FROM levels GROUP BY 1) e ON e.sec = l.sec LEFT JOIN delistings x ON x.sec = l.sec"""
 #: Evaluated on what no rounding can reorder: signals as ranks are rounded first.
-PAIRED = """SELECT c.as_of, c.sec, c.factor, ROUND(c.z, 9) AS z, l.nxt / l.tr - 1 AS fwd
-  FROM cells c JOIN lags l ON l.sec = c.sec AND l.as_of = c.as_of WHERE l.nxt / l.tr IS NOT NULL"""
+PAIRED = """SELECT c.as_of, c.sec, c.factor, ROUND(c.z, 9) AS z, f.fwd, f.plain
+  FROM cells c JOIN forward f ON f.sec = c.sec AND f.as_of = c.as_of WHERE f.fwd IS NOT NULL"""
 ICS = f"""SELECT factor, as_of, corr(ra, rb) AS ic, COUNT(*) AS n FROM (
   SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY z, sec) AS DOUBLE) AS ra,
     CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY fwd, sec) AS DOUBLE) AS rb FROM paired) GROUP BY 1, 2 HAVING COUNT(*) >= {NAMES}"""
 LS = f"""SELECT factor, as_of, COUNT(*) AS n, avg(CASE WHEN z >= hi THEN fwd END) AS top, avg(CASE WHEN z <= lo THEN fwd END) AS bottom FROM (
   SELECT *, quantile_cont(z, 0.9) OVER g AS hi, quantile_cont(z, 0.1) OVER g AS lo FROM paired WINDOW g AS (PARTITION BY factor, as_of))
   GROUP BY 1, 2 HAVING COUNT(*) >= {NAMES}"""
-EVAL = dict(**BOARD, paired=PAIRED, ics=ICS, lsq=LS)
+EVAL = dict(**BOARD, forward=FORWARD, paired=PAIRED, ics=ICS, lsq=LS)
 
 
 @stored("as_of")
@@ -134,12 +137,21 @@ def board(spark, d):
     return C.standardise(covered(spark, d)).withColumnRenamed("z_sector_size", "z")
 
 
+def forward(spark, d):
+    """(sec, as_of, fwd, plain): the return that follows, with the fallback of a
+    name that stops trading in between and without."""
+    cells, grid = X.month_end(spark, d), X.calendar(spark, d)
+    last = X.levels(spark, d).groupBy("sec").agg(F.max(F.struct("d", "level")).alias("x")).select("sec", F.col("x.d").alias("last_d"), F.col("x.level").alias("last_tr"))
+    return returns.forward_returns(cells, grid, X.delistings(spark, d), last).select("sec", "as_of", "fwd", "plain")
+
+
 @stored("as_of")
 def paired(spark, d):
-    """The board's cells of complete months with the return that follows."""
-    fwd = returns.forward_returns(X.month_end(spark, d), X.calendar(spark, d)).filter("fwd IS NOT NULL").select("sec", "as_of", "fwd")
+    """The board's cells of complete months with the return that follows. A name
+    delisted within the month counts with what its last trade and its terminal
+    return make; composites take the plain return, as they are registered."""
     cells = universe.complete_months(board(spark, d), F.current_date())
-    return cells.select("as_of", "sec", "factor", F.round("z", 9).alias("z")).join(fwd, ["sec", "as_of"])
+    return cells.select("as_of", "sec", "factor", F.round("z", 9).alias("z")).join(forward(spark, d).filter("fwd IS NOT NULL"), ["sec", "as_of"])
 
 
 @stored()
@@ -237,10 +249,6 @@ def factor_summary(spark, d):
     return s.select("factor", "months", F.round("mean_ic", 6).alias("mean_ic"), F.round("icir", 5).alias("icir"), F.round("ic_t", 5).alias("ic_t"), F.round("ls_ann", 6).alias("ls_ann"), F.round("ls_t", 5).alias("ls_t"))
 
 
-def _wide(spark, d, names):
-    return paired(spark, d).filter(F.col("factor").isin(names)).groupBy("as_of", "sec").pivot("factor", names).agg(F.first("z")).dropna()
-
-
 @query("""SELECT as_of, n, ROUND(b, 8) AS beta FROM (SELECT as_of, COUNT(*) AS n, covar_pop(z, fwd) / stddev_pop(z) AS b FROM paired
   WHERE factor = 'mom_12_1' GROUP BY 1 HAVING COUNT(*) >= 10 AND stddev_pop(z) > 1e-9::DOUBLE)""", **EVAL)
 def fm_univariate(spark, d):
@@ -288,14 +296,20 @@ def _least_squares_sql() -> dict[str, str]:
 REGRESSION = dict(**EVAL, **_least_squares_sql())
 
 
-@stored()
-def fm_betas(spark, d):
-    """Each month's slopes on all factors of the registry, over the names that
-    have every one of them."""
+@stored("as_of")
+def complete(spark, d):
+    """The names of each month that have every factor of the registry and a
+    return, one column a factor; months with at least REGRESSED of them."""
     wide = paired(spark, d).groupBy("as_of", "sec").pivot("factor", FACTORS).agg(F.first("z").alias("z"), F.first("fwd").alias("fwd"))
     names = [F.col(f"{f}_z").alias(f) for f in FACTORS]
-    rows = wide.select("as_of", "sec", *names, F.col(f"{FACTORS[0]}_fwd").alias("fwd"))
-    return stats.grouped_ols(rows, "fwd", FACTORS, "as_of", REGRESSED)
+    rows = wide.select("as_of", "sec", *names, F.col(f"{FACTORS[0]}_fwd").alias("fwd")).dropna()
+    return rows.withColumn("n", F.count("*").over(Window.partitionBy("as_of"))).filter(F.col("n") >= REGRESSED)
+
+
+@stored()
+def fm_betas(spark, d):
+    """Each month's slopes on all factors of the registry, over complete cases."""
+    return stats.grouped_ols(complete(spark, d), "fwd", FACTORS, "as_of", REGRESSED)
 
 
 @query("SELECT as_of, term, ROUND(beta, 6) AS beta, n FROM fm", **REGRESSION)
@@ -309,34 +323,62 @@ def fm_multi_newey_west(spark, d):
     return rows.select("term", "n", F.round("mean", 6).alias("mean"), F.round("t", 4).alias("t"))
 
 
-@query()
+_DRAWS = """SELECT factor, draw, ANY_VALUE(n) AS n, SUM(list_sum(list_transform(range(start, start + least(6, n - 6 * j)), lambda i: v[1 + i % n]))) / ANY_VALUE(n) AS mean FROM (
+  SELECT *, CAST('0x' || substr(md5('20260726:' || factor || ':' || draw || ':' || j), 1, 13) AS BIGINT) % n AS start FROM (
+    SELECT *, unnest(range(0, n // 6 + 1)) AS j FROM (SELECT *, unnest(range(1, 2001)) AS draw FROM (
+      SELECT factor, list(top - bottom ORDER BY as_of) AS v, COUNT(*) AS n FROM lsq GROUP BY 1)))) GROUP BY 1, 2"""
+
+
+@query("SELECT factor, n, ROUND(quantile_cont(mean, 0.025), 6) AS low, ROUND(quantile_cont(mean, 0.975), 6) AS high FROM draws GROUP BY 1, 2", **EVAL, draws=_DRAWS)
 def bootstrap_ci(spark, d):
     ls = spreads(spark, d)
     return _rounded(stats.block_bootstrap(ls, "ls", "as_of", "factor"), "low", "high")
 
 
+#: Complete cases, a row a factor, in months with enough of them.
+FULL = f"SELECT * FROM complete QUALIFY COUNT(*) OVER (PARTITION BY as_of) >= {REGRESSED} * {len(FACTORS)}"
 REDUNDANCY = """SELECT a, b, avg(abs(r)) AS rho, COUNT(*) AS months FROM (
     SELECT x.factor AS a, y.factor AS b, x.as_of, CASE WHEN stddev_pop(x.z) > 1e-9::DOUBLE AND stddev_pop(y.z) > 1e-9::DOUBLE
     THEN covar_pop(x.z, y.z) / (stddev_pop(x.z) * stddev_pop(y.z)) END AS r
-    FROM cells x JOIN cells y ON x.as_of = y.as_of AND x.sec = y.sec AND x.factor < y.factor GROUP BY 1, 2, 3) WHERE r IS NOT NULL GROUP BY 1, 2"""
+    FROM full_ x JOIN full_ y ON x.as_of = y.as_of AND x.sec = y.sec AND x.factor < y.factor GROUP BY 1, 2, 3) WHERE r IS NOT NULL GROUP BY 1, 2"""
+
+
+def full(spark, d):
+    """Complete cases, a row a factor."""
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("factor"), F.col(f).alias("z")) for f in FACTORS]))
+    return complete(spark, d).select("as_of", "sec", "fwd", each.alias("x")).select("as_of", "sec", "fwd", "x.*")
 
 
-@query("SELECT a, b, ROUND(rho, 6) AS rho, months FROM red", **BOARD, red=REDUNDANCY)
+@query(f"""SELECT factor, as_of, ROUND(corr(ra, rb), 6) AS ic, COUNT(*) AS n FROM (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY z, sec) AS DOUBLE) AS ra,
+    CAST(ROW_NUMBER() OVER (PARTITION BY factor, as_of ORDER BY fwd, sec) AS DOUBLE) AS rb FROM full_) GROUP BY 1, 2""", **REGRESSION, full_=FULL)
+def univariate_ic(spark, d):
+    """Each factor's rank correlation with the return over complete cases."""
+    return _rounded(C.rank_ic(full(spark, d), ["factor", "as_of"], "z", "fwd", REGRESSED), "ic")
+
+
+@query("SELECT a, b, ROUND(rho, 6) AS rho, months FROM red", **REGRESSION, full_=FULL, red=REDUNDANCY)
 def redundancy_matrix(spark, d):
-    return _rounded(C.redundancy(board(spark, d), "z"), "rho")
+    return _rounded(C.redundancy(full(spark, d), "z"), "rho")
+
+
+CUTS = (0.5, 0.7)
+# by the definition: the mean distance between the members of two clusters, all anew at each step
+_MATRIX = f"SELECT list(d ORDER BY i, j) AS d, {len(FACTORS)} AS k FROM (SELECT x.i, y.i AS j, CASE WHEN x.i = y.i THEN 0 ELSE 1 - COALESCE(r.rho, 0) END AS d FROM names_ x CROSS JOIN names_ y LEFT JOIN red r ON r.a = least(x.f, y.f) AND r.b = greatest(x.f, y.f))"
+_MERGES = f"""WITH RECURSIVE walk(cut, step, to_) AS (SELECT unnest({list(CUTS)}::DOUBLE[]), 0, range({len(FACTORS)})
+  UNION ALL SELECT cut, step + 1, list_transform(to_, lambda t: CASE WHEN t = best.p % k THEN best.p // k ELSE t END) FROM (
+    SELECT w.*, m.k, list_sort(list_transform(list_filter(range(k * k), lambda p: p // k < p % k AND list_contains(to_, p // k) AND list_contains(to_, p % k)),
+      lambda p: {{'v': list_avg(list_transform(list_filter(range(k * k), lambda q: to_[1 + q // k] = p // k AND to_[1 + q % k] = p % k), lambda q: d[1 + q])), 'p': p}}))[1] AS best
+    FROM walk w CROSS JOIN matrix m) WHERE best.v <= cut)
+  SELECT cut, arg_max(to_, step) AS to_ FROM walk GROUP BY 1"""
 
 
-@query()
+@query(f"""SELECT CAST(cut AS DOUBLE) AS cut, CAST(ROW_NUMBER() OVER (PARTITION BY cut ORDER BY members) - 1 AS INTEGER) AS cluster, members FROM (
+  SELECT cut, string_agg(f, ',' ORDER BY f) AS members FROM merges, names_ GROUP BY cut, to_[1 + i])""", **REGRESSION, full_=FULL, red=REDUNDANCY, names_=f"SELECT unnest([{_in(FACTORS)}]) AS f, unnest(range({len(FACTORS)})) AS i", matrix=_MATRIX, merges=_MERGES)
 def clusters(spark, d):
-    """Groups of alike factors at two cuts; the matrix has a row a pair of the registry."""
-    rows = C.redundancy(board(spark, d), "z").collect()
-    names = sorted({r.a for r in rows} | {r.b for r in rows})
-    at = {n: i for i, n in enumerate(names)}
-    dist = np.ones((len(names), len(names))) - np.eye(len(names))
-    for r in rows:
-        dist[at[r.a], at[r.b]] = dist[at[r.b], at[r.a]] = 1 - r.rho
-    out = [(cut, i, ",".join(g)) for cut in (0.5, 0.7) for i, g in enumerate(stats.average_linkage(names, dist, cut))]
-    return spark.createDataFrame(out, "cut double, cluster int, members string")
+    """Groups of alike factors at two cuts."""
+    rows = C.redundancy(full(spark, d), "z")
+    return stats.average_linkage(rows.select("a", "b", (1 - F.col("rho")).alias("distance")), list(CUTS))
 
 
 #: The registered composites a and b, and one of price and balance sheet only:
@@ -352,7 +394,7 @@ SIGN_SQL = f"CASE WHEN factor IN ({_in(f for f in FACTORS if SIGNS[f] < 0)}) THE
 
 def _composite_sql(which: str, weighted: bool) -> dict[str, str]:
     names, least = COMPOSITES[which]
-    signed = f"SELECT as_of, sec, factor, fwd, {SIGN_SQL} * z AS z FROM paired WHERE factor IN ({_in(names)})"
+    signed = f"SELECT as_of, sec, factor, plain AS fwd, {SIGN_SQL} * z AS z FROM paired WHERE factor IN ({_in(names)}) AND plain IS NOT NULL"
     # every member has a weight at every month: that of the months before it
     weights = f"""SELECT as_of, factor, CASE WHEN MIN(n) OVER g < {BURN_IN} OR SUM(m) OVER g <= 1e-9::DOUBLE
     THEN 1::DOUBLE / COUNT(*) OVER g ELSE m / SUM(m) OVER g END AS weight FROM (
@@ -378,7 +420,8 @@ def weights(spark, d, which):
 
 def scored(spark, d, which, weighted):
     names, least = COMPOSITES[which]
-    rows = C.composite(paired(spark, d), {f: SIGNS[f] for f in names}, "z", least, weights(spark, d, which) if weighted else None, keep="fwd")
+    plain = paired(spark, d).filter("plain IS NOT NULL").withColumn("fwd", F.col("plain"))
+    rows = C.composite(plain, {f: SIGNS[f] for f in names}, "z", least, weights(spark, d, which) if weighted else None, keep="fwd")
     return rows.withColumn("score", F.round("score", 9))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import predicates as P
+from tessera.operators import selection
 from tessera.operators.temporal import by_priority
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X
@@ -115,10 +116,8 @@ def filtered_counts_by_week(spark, d):
 @query("""SELECT o_orderpriority AS p, quantile_disc(o_totalprice, 0.25) AS q25, quantile_disc(o_totalprice, 0.5) AS q50, quantile_disc(o_totalprice,
   0.75) AS q75, COUNT(*) AS n FROM orders GROUP BY 1""")
 def disc_percentiles(spark, d):
-    X.table(spark, d, "orders").createOrReplaceTempView("disc_orders")
-    return spark.sql("""SELECT o_orderpriority AS p, percentile_disc(0.25) WITHIN GROUP (ORDER BY o_totalprice) AS q25,
-    percentile_disc(0.5) WITHIN GROUP (ORDER BY o_totalprice) AS q50,
-      percentile_disc(0.75) WITHIN GROUP (ORDER BY o_totalprice) AS q75, COUNT(*) AS n FROM disc_orders GROUP BY 1""")
+    rows = X.table(spark, d, "orders").select(F.col("o_orderpriority").alias("p"), "o_totalprice")
+    return selection.discrete_percentiles(rows, "o_totalprice", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["p"])
 
 
 @query("""SELECT p_brand, string_agg(DISTINCT p_type, ','

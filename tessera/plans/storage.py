@@ -183,7 +183,7 @@ def job_status_recording(spark, d):
 
 
 _TODAY = "(SELECT MAX(d) FROM bars)"
-_CAPS = """SELECT c.as_of, m.sec, m.tr * x.shares AS mktcap FROM month_end m JOIN calendar c ON c.as_of = m.as_of
+_CAPS = """SELECT c.as_of, m.sec, m.close * x.shares AS mktcap FROM month_end m JOIN calendar c ON c.as_of = m.as_of
   JOIN securities x ON x.sec = m.sec WHERE m.sec % 7 <> 0"""
 _LATE = f"""SELECT max_by(d, d) AS as_of, sec, max_by(v, d) AS mktcap FROM (SELECT b.sec, b.d, b.close * x.shares AS v FROM bars b
   JOIN securities x ON x.sec = b.sec WHERE b.d >= {_TODAY} - 45 AND b.close * x.shares > 0) GROUP BY sec, date_trunc('month', d)"""
@@ -195,7 +195,7 @@ def mktcap_topup(spark, d):
     """Stored month-end market caps with the last of each month put over them
     that the last 45 days of the daily feed have."""
     x = X.securities(spark, d).select("sec", "shares")
-    stored = X.month_end(spark, d).join(x, "sec").filter("sec % 7 <> 0").select("as_of", "sec", (F.col("tr") * F.col("shares")).alias("mktcap"))
+    stored = X.month_end(spark, d).join(x, "sec").filter("sec % 7 <> 0").select("as_of", "sec", (F.col("close") * F.col("shares")).alias("mktcap"))
     daily = X.bars(spark, d).join(x, "sec").select("sec", "d", (F.col("close") * F.col("shares")).alias("mktcap"))
     today = daily.agg(F.max("d")).first()[0]
     return incremental.topped_up(stored, daily, F.lit(today)).withColumn("mktcap", F.round("mktcap", 2))

@@ -55,13 +55,25 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trading_grid(bars(spark, sf_dir), min_rows=5)
 
 
+@stored("sec")
+def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sec, d, close, level): bars up to a delisting, and the total return index
+    over them as it is stored, with six places."""
+    from tessera.operators.returns import daily_returns, index_level
+
+    ends = delistings(spark, sf_dir).select("sec", "delist_date")
+    alive = bars(spark, sf_dir).join(ends, "sec", "left").filter("delist_date IS NULL OR d <= delist_date").drop("delist_date")
+    return index_level(daily_returns(alive, actions(spark, sf_dir))).select("sec", "d", "close", F.round("level", 6).alias("level"))
+
+
 @stored("sec")
 def month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sec, as_of, ai, tr): the last close in each month of the grid."""
-    b = bars(spark, sf_dir)
-    last = b.groupBy("sec", F.trunc("d", "MM").alias("m")).agg(F.max_by("close", "d").alias("tr"))
+    """(sec, as_of, ai, tr, close): the last index level and close in each month
+    of the grid. The test securities trade on few days, so it is the month's last
+    day of theirs and not the grid's very day."""
+    last = levels(spark, sf_dir).groupBy("sec", F.trunc("d", "MM").alias("m")).agg(F.max(F.struct("d", "level", "close")).alias("x"))
     grid = calendar(spark, sf_dir).withColumn("m", F.trunc("as_of", "MM"))
-    return last.join(F.broadcast(grid), "m").select("sec", "as_of", "ai", "tr")
+    return last.join(F.broadcast(grid), "m").select("sec", "as_of", "ai", F.col("x.level").alias("tr"), "x.close")  # a grid row a month
 
 
 @stored("sec")
@@ -123,8 +135,6 @@ CTES = {
   UNION ALL SELECT sec, d, 'split', CAST(2 AS DOUBLE) FROM bars WHERE (sec * 31 + dayofyear(d)) % 487 = 0""",
     "calendar": """SELECT as_of, ROW_NUMBER() OVER (ORDER BY as_of) AS ai FROM (
   SELECT MAX(d) AS as_of FROM (SELECT d FROM bars GROUP BY d HAVING COUNT(*) >= 5) GROUP BY date_trunc('month', d))""",
-    "month_end": """SELECT l.sec, c.as_of, c.ai, l.tr FROM (SELECT sec, date_trunc('month', d) AS m, max_by(close, d) AS tr FROM bars GROUP BY 1, 2) l
-  JOIN calendar c ON date_trunc('month', c.as_of) = l.m""",
     "statements": """SELECT sec, period_end, vintage_id,
   CAST(period_end AS TIMESTAMP) + to_days(CAST(lag AS INTEGER)) + to_hours(9 + sec % 12) AS accepted, lag > 10 AS timing_pit,
   rev * 0.25::DOUBLE AS ebit, rev * 0.5::DOUBLE AS gp, rev * 0.125::DOUBLE AS ni, q * 100::DOUBLE AS cfo,
@@ -144,6 +154,13 @@ CTES = {
   FROM orders GROUP BY 1, 2)""",
     "delistings": """SELECT sec, MAX(d) - CAST(400 + sec % 37 * 20 AS INTEGER) AS delist_date, (sec % 7 - 3) / 10::DOUBLE AS terminal_return,
   CASE WHEN sec % 20 = 3 THEN 'deal' ELSE 'unknown' END AS method FROM bars WHERE sec % 10 = 3 GROUP BY sec""",
+    "levels": """SELECT sec, d, close, ROUND(100 * product(1 + COALESCE(CASE WHEN prev <> 0 THEN (close * COALESCE(split, 1) + COALESCE(dividend, 0)) / prev END - 1, 0))
+    OVER (PARTITION BY sec ORDER BY d ROWS UNBOUNDED PRECEDING), 6) AS level FROM (
+  SELECT b.sec, b.d, b.close, lag(b.close) OVER (PARTITION BY b.sec ORDER BY b.d) AS prev, a.split, a.dividend FROM bars b LEFT JOIN delistings x ON x.sec = b.sec
+  LEFT JOIN (SELECT sec, d, MAX(CASE WHEN kind = 'split' THEN value END) AS split, SUM(CASE WHEN kind = 'dividend' THEN value END) AS dividend FROM actions GROUP BY 1, 2) a
+    ON a.sec = b.sec AND a.d = b.d WHERE x.sec IS NULL OR b.d <= x.delist_date)""",
+    "month_end": """SELECT l.sec, c.as_of, c.ai, l.tr, l.close FROM (SELECT sec, date_trunc('month', d) AS m, max_by(level, d) AS tr, max_by(close, d) AS close FROM levels GROUP BY 1, 2) l
+  JOIN calendar c ON date_trunc('month', c.as_of) = l.m""",
 }
 
 

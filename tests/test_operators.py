@@ -1,6 +1,7 @@
 """Operators on small tables made by hand: the cases that the data may lack."""
 
 import datetime as dt
+import hashlib
 import http.server
 import json
 import statistics
@@ -217,18 +218,40 @@ def test_remembered_template(spark):
     assert asked == ["a0", "b0", "b1", "b2"]
 
 
-def test_bootstrap_and_clusters_have_the_values_of_numpy(spark):
-    x = np.random.default_rng(4).normal(size=30)
-    got = stats.block_bootstrap(spark.createDataFrame([("f", i, float(v)) for i, v in enumerate(x)], "k string, t int, v double"), "v", "t", "k", draws=500).first()
-    rng, means = np.random.default_rng(20260726), []
-    starts = rng.integers(0, 30, (500, 5))
-    for row in starts:
-        means.append(np.mean([x[(s + j) % 30] for s in row for j in range(6)][:30]))
-    assert (got.low, got.high) == pytest.approx((np.quantile(means, 0.025), np.quantile(means, 0.975))) and got.n == 30
-    d = np.array([[0, 0.1, 0.9, 0.8], [0.1, 0, 0.7, 0.9], [0.9, 0.7, 0, 0.3], [0.8, 0.9, 0.3, 0]])
-    assert stats.average_linkage(list("abcd"), d, 0.5) == [["a", "b"], ["c", "d"]]
-    assert stats.average_linkage(list("abcd"), d, 0.82) == stats.average_linkage(list("abcd"), d, 0.825)
-    assert stats.average_linkage(list("abcd"), d, 0.83) == [["a", "b", "c", "d"]]
+@pytest.mark.parametrize("n", [4, 29, 30])
+def test_bootstrap_equals_numpy_on_the_same_draws(spark, n):
+    x = np.random.default_rng(4).normal(size=n)
+    df = spark.createDataFrame([("f", i, float(v)) for i, v in enumerate(x)], "k string, t int, v double")
+    got = stats.block_bootstrap(df.unionByName(df.limit(1).withColumn("v", F.lit(None).cast("double"))), "v", "t", "k", draws=300).first()
+    means = []
+    for draw in range(1, 301):
+        starts = [int(hashlib.md5(f"20260726:f:{draw}:{j}".encode()).hexdigest()[:13], 16) % n for j in range(n // 6 + 1)]
+        means.append(np.mean([x[(s + j) % n] for s in starts for j in range(6)][:n]))
+    assert (got.low, got.high) == pytest.approx((np.quantile(means, 0.025), np.quantile(means, 0.975))) and got.n == n
+
+
+def linkage(names, d, cut):
+    groups = [[i] for i in range(len(names))]
+    while len(groups) > 1:
+        v, i, j = min((d[np.ix_(a, b)].mean(), x, y) for x, a in enumerate(groups) for y, b in enumerate(groups) if x < y)
+        if v > cut:
+            break
+        groups[i] += groups.pop(j)
+    return sorted(",".join(sorted(names[k] for k in g)) for g in groups)
+
+
+def test_average_linkage_equals_its_definition(spark):
+    rng = np.random.default_rng(7)
+    names = [f"s{i:02}" for i in range(9)]
+    d = rng.random((9, 9))
+    d = (d + d.T) / 2
+    pairs = spark.createDataFrame([(names[i], names[j], float(d[i, j])) for i in range(9) for j in range(i + 1, 9)], "a string, b string, distance double")
+    cuts = [0.1, 0.3, 0.4, 0.5, 0.9]
+    got = stats.average_linkage(pairs, cuts).collect()
+    for c in cuts:
+        assert [r.members for r in sorted((r for r in got if r.cut == c), key=lambda r: r.cluster)] == linkage(names, d, c)
+    assert stats.average_linkage(pairs.limit(0), cuts).count() == 0
+    assert [r.members for r in stats.average_linkage(pairs.filter("a = 's00' AND b = 's01'"), [2.0]).collect()] == ["s00,s01"]
 
 
 def test_least_squares_equal_numpy(spark):
