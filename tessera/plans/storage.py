@@ -10,7 +10,7 @@ from tessera.plans.registry import query
 from tessera.sources import files, tables
 from tessera.sources import fixtures as X
 from tessera.sources.scratch import scratch_path
-from tessera.streaming import incremental
+from tessera.streaming import incremental, keyed
 
 
 @query("""SELECT part, COUNT(*) AS n, SUM(volume) AS volume
@@ -199,3 +199,57 @@ def mktcap_topup(spark, d):
     daily = X.bars(spark, d).join(x, "sec").select("sec", "d", (F.col("close") * F.col("shares")).alias("mktcap"))
     today = daily.agg(F.max("d")).first()[0]
     return incremental.topped_up(stored, daily, F.lit(today)).withColumn("mktcap", F.round("mktcap", 2))
+
+
+def _in_two(spark, rows, by_time, name):
+    """rows written as two folders of a feed, the earlier half first."""
+    path = scratch_path(spark, name)
+    middle = rows.agg(F.percentile_approx(by_time, 0.5).alias("mid"))  # one row
+    halves = rows.join(F.broadcast(middle)).withColumn("half", (F.col(by_time) > F.col("mid")).cast("int")).drop("mid")
+    for half in (0, 1):
+        halves.filter(F.col("half") == half).drop("half").write.parquet(f"{path}/half-{half}")
+    return path
+
+
+def _in_two_runs(spark, path, schema, work, out_schema):
+    """A stream over the first half, and one started anew over both from where
+    the first had come to; what they wrote."""
+    out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+    with keyed.keyed_store(spark):
+        for halves in ("half-[0]", "half-[01]"):
+            rows = spark.readStream.schema(schema).parquet(f"{path}/{halves}")
+            work(rows).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out_schema).parquet(out)
+
+
+_ENDED = "ascii(right(period, 1)) % 2 = 0"
+_CLAIMED = f"""SELECT job, period, now FROM (WITH RECURSIVE c(job, period, now) AS (SELECT job, period, MIN(now) FROM asked GROUP BY 1, 2
+  UNION ALL SELECT c.job, c.period, MIN(a.now) FROM c JOIN asked a ON a.job = c.job AND a.period = c.period AND a.now > c.now + INTERVAL 6 HOUR
+  WHERE NOT ({_ENDED.replace("period", "c.period")}) GROUP BY c.job, c.period, c.now) SELECT * FROM c)"""
+
+
+@query(_CLAIMED, asked=_ASKED)
+def stream_claims(spark, d):
+    """Two feeds ask for periods; every second period's run ends two hours after
+    its first asking, the others never do and are given again when stale."""
+    asked = _asked(spark, d)
+    both = asked.withColumn("feed", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("what", F.lit("ask"))
+    first = asked.groupBy("job", "period").agg(F.min("now").alias("now")).filter(F.ascii(F.right("period", F.lit(1))) % 2 == 0)
+    ends = first.select("job", "period", (F.col("now") + F.expr("INTERVAL 2 HOURS")).alias("now"), F.lit("end").alias("what"), F.lit(0).alias("feed"))
+    path = _in_two(spark, both.unionByName(ends), "now", "asked")
+    schema = "now timestamp_ntz, job string, period string, feed int, what string"
+    out = _in_two_runs(spark, path, schema, keyed.claims, "job string, period string, ms long, feed int")
+    return out.select("job", "period", F.timestamp_millis("ms").cast("timestamp_ntz").alias("now"))
+
+
+@query("""SELECT sec, period_end, CAST(ROW_NUMBER() OVER (PARTITION BY sec, period_end ORDER BY accepted, h) AS INTEGER) AS vintage, accepted, h FROM (
+  SELECT *, lag(h) OVER (PARTITION BY sec, period_end ORDER BY accepted, h) AS before FROM (
+    SELECT sec, period_end, accepted, substr(sha256('gp=' || CAST(CAST(ROUND(gp * 100) AS BIGINT) AS VARCHAR)), 1, 16) AS h FROM statements)) WHERE before IS NULL OR before <> h""")
+def stream_vintages(spark, d):
+    """Statements as a feed by acceptance: each changed hash is one vintage."""
+    s = X.statements(spark, d).select("sec", "period_end", "accepted", P.canonical_hash({"gp": X.cents("gp")}).alias("h"))
+    path = _in_two(spark, s, "accepted", "accepted")
+    work = lambda rows: keyed.vintages(rows.withColumn("ms", keyed.millis(F.col("accepted"))), F.concat_ws(":", "sec", "period_end"))
+    out = _in_two_runs(spark, path, "sec long, period_end date, accepted timestamp_ntz, h string", work, "key string, vintage int, ms long, h string")
+    part = F.split("key", ":")
+    return out.select(part[0].cast("long").alias("sec"), part[1].cast("date").alias("period_end"), "vintage", F.timestamp_millis("ms").cast("timestamp_ntz").alias("accepted"), "h")

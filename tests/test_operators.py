@@ -169,12 +169,19 @@ def test_gates(spark):
 
 
 class Served(http.server.BaseHTTPRequestHandler):
-    tries = {}
+    """Seven pages of two rows; ``old`` is unknown, page 1 is busy at first, and what
+    ``broken`` says always fails, or the first time only."""
+
+    tries, broken, asked, pages = {}, {}, [], 7
 
     def do_GET(self):
         n = self.tries[self.path] = self.tries.get(self.path, 0) + 1
+        self.asked.append(self.path)
         page = int(self.path.split("page=")[1].split("&")[0])
-        code, body = (429, {}) if page == 1 and n == 1 and "old" not in self.path else (404, {}) if "old" in self.path else (200, {"rows": [{"id": 10 * page + i, "name": None if i else "x"} for i in range(2)]} if page < 7 else [])
+        body = {"rows": [{"id": 10 * page + i, "name": None if i else "x"} for i in range(2)]} if page < self.pages else []
+        code = 429 if page == 1 and n == 1 and "old" not in self.path else 200
+        if "old" in self.path or any(mark in self.path and page == p and (always or n == 1) for mark, (p, always) in self.broken.items()):
+            code, body = 404, {}
         self.send_response(code)
         self.end_headers()
         self.wfile.write(json.dumps(body).encode())
@@ -191,15 +198,22 @@ def served():
     server.shutdown()
 
 
-def test_paged_json_source(spark, served):
+EVERY = [10 * p + i for p in range(7) for i in range(2)]
+
+
+def paged(reader, spark):
     spark.dataSource.register(rest.PagedJson)
-    read = lambda: spark.read.format("paged_json").schema("id long, name string").option("interval", 0.01).option("backoff", 0.01)
-    every = [10 * p + i for p in range(7) for i in range(2)]
+    return reader.format("paged_json").schema("id long, name string").option("interval", 0.01).option("backoff", 0.01)
+
+
+def test_paged_json_source(spark, served):
+    read = lambda: paged(spark.read, spark)
     for tasks in (1, 3, 9):
         got = read().option("tasks", tasks).option("urls", f"{served}/old{tasks}?page={{page}}\n{served}/new{tasks}?page={{page}}{{&since}}").load().collect()
-        assert sorted(r.id for r in got) == every
+        assert sorted(r.id for r in got) == EVERY
+        assert sorted(r.id for r in read().option("tasks", tasks).option("url", f"{served}/one{tasks}?page={{page}}").load().collect()) == EVERY
     some = read().option("pages", 3).option("url", f"{served}/some?page={{page}}")
-    assert sorted(r.id for r in some.option("tasks", 2).load().collect()) == every[:6]
+    assert sorted(r.id for r in some.option("tasks", 2).load().collect()) == EVERY[:6]
     with pytest.raises(Exception, match="no rows"):
         read().option("first", 7).option("url", f"{served}/none?page={{page}}").load().collect()
     assert read().option("first", 7).option("allow_empty", "true").option("url", f"{served}/none?page={{page}}").load().count() == 0
@@ -208,6 +222,104 @@ def test_paged_json_source(spark, served):
     assert rest.filled("u?page={page}{&since}{&to}", {"since": "5"}, 3) == "u?page=3&since=5"
 
 
+@pytest.mark.parametrize("tasks", [1, 2, 5])
+@pytest.mark.parametrize("pages", [None, 7])
+def test_a_lost_page_fails_the_scan(spark, served, tasks, pages):
+    mark = f"lost{tasks}{pages}"
+    Served.broken = {mark: (3, True)}
+    scan = paged(spark.read, spark).option("tasks", tasks).option("url", f"{served}/{mark}?page={{page}}")
+    with pytest.raises(Exception, match="404"):
+        (scan.option("pages", pages) if pages else scan).load().collect()
+    Served.broken = {}
+    assert sorted(r.id for r in scan.load().collect()) == EVERY
+
+
+def test_a_page_that_its_template_fails_on_is_not_empty(spark):
+    import urllib.error
+
+    reader = rest.PagedReader(None, {"urls": "a{page}\nb{page}"})
+    error = lambda code: urllib.error.HTTPError("u", code, "", None, None)
+
+    def page(number, answers, templates=None):
+        def fetch(url):
+            if isinstance(answers[url[0]], Exception):
+                raise answers[url[0]]
+            return answers[url[0]]
+
+        reader.fetch = fetch
+        return reader.page(number, templates or reader.templates())
+
+    assert page(0, {"a": error(404), "b": []}) == [] and page(0, {"a": error(404), "b": [{}]}) == [{}]
+    assert page(0, {"a": rest.ErrorAnswer(), "b": []}) == []
+    for a, b in ((error(404), error(404)), (error(500), []), (TimeoutError(), []), (ValueError(), [])):
+        with pytest.raises(Exception):  # noqa: B017
+            page(0, {"a": a, "b": b})
+    known = reader.templates()
+    known.remember("b{page}")
+    with pytest.raises(urllib.error.HTTPError):
+        page(3, {"a": [], "b": error(404)}, known)
+    assert page(3, {"a": error(404), "b": []}, known) == []
+
+
+def test_filters_narrow_the_request(spark, served):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        scan = paged(spark.read, spark).option("pages", 2).option("push", "id:>=:from, name:=:name").option("url", f"{served}/push?page={{page}}{{&from}}{{&name}}")
+        Served.asked.clear()
+        assert [r.id for r in scan.load().filter("id >= 10 AND name = 'x'").collect()] == [10]
+        assert set(Served.asked) == {f"/push?page={p}&from=10&name=x" for p in (0, 1)}
+        Served.asked.clear()
+        assert [r.id for r in scan.load().filter("id > 10").collect()] == [11]
+        assert set(Served.asked) == {f"/push?page={p}" for p in (0, 1)}
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def follow(spark, url, out, state, **options):
+    stream = paged(spark.readStream, spark).option("url", url)
+    for k, v in options.items():
+        stream = stream.option(k, v)
+    q = stream.load().writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    return sorted(r.id for r in spark.read.schema("id long").parquet(out).collect())
+
+
+def test_pages_as_a_stream(spark, served, tmp_path):
+    """New pages follow where the last run ended; a page that errors once costs nothing,
+    one that always errors fails the query and is read again when it answers."""
+    at = [str(tmp_path / x) for x in ("out", "state")]
+    Served.pages, Served.broken = 5, {"grow": (4, False)}
+    try:
+        with pytest.raises(Exception, match="404"):
+            follow(spark, f"{served}/grow?page={{page}}", *at, tasks=2)
+        assert follow(spark, f"{served}/grow?page={{page}}", *at, tasks=2) == EVERY[:10]
+        Served.pages, Served.broken = 7, {"grow": (5, True)}
+        with pytest.raises(Exception, match="404"):
+            follow(spark, f"{served}/grow?page={{page}}", *at, tasks=2)
+        Served.broken = {}
+        assert follow(spark, f"{served}/grow?page={{page}}", *at, tasks=3) == EVERY
+        assert follow(spark, f"{served}/grow?page={{page}}", *at) == EVERY
+    finally:
+        Served.pages, Served.broken = 7, {}
+
+
+@pytest.mark.parametrize("most", [0, 1, 3, 4, 100])
+def test_offsets_are_found_by_halving(most):
+    for there in (0, 1, 2, 3, 5, 8, 13):
+        stream = rest.PagedStream(None, {"url": "{page}", "pages_per_batch": str(most)})
+        asked = []
+        stream.reader.page = lambda n, _, there=there: asked.append(n) or ([{}] if n < there else [])
+        offset, batches = stream.initialOffset(), []
+        while (end := stream.latestOffset()) != offset:
+            parts = stream.partitions(offset, end)
+            assert sum(p.count for p in parts) == end["page"] - offset["page"] and (not most or end["page"] - offset["page"] <= most)
+            offset = end
+            batches.append(end["page"])
+        assert offset["page"] == there
+        if not most:
+            assert len(asked) <= 4 * (there.bit_length() + 1) + 2
+
+
 def test_remembered_template(spark):
     """The template that answered is asked first for the pages that follow."""
     reader = rest.PagedReader(None, {"urls": "a{page}\nb{page}", "pages": "3"})
