@@ -115,7 +115,7 @@ def sue_values(spark, d):
     return rows.select("sec", "as_of", F.lit("sue").alias("factor"), F.col("sue").alias("value"))
 
 
-@stored("as_of")
+@stored("as_of", "factor")
 def board_values(spark, d):
     """Every signal of the registry, as far as members have it."""
     m, cells, grid = members(spark, d), X.month_end(spark, d), X.calendar(spark, d)
@@ -132,7 +132,7 @@ def covered(spark, d):
     return C.covered(board_values(spark, d), members(spark, d), 0.6, WITHOUT_FINANCIALS)
 
 
-@stored("as_of")
+@stored("as_of", "factor")
 def board(spark, d):
     return C.standardise(covered(spark, d)).withColumnRenamed("z_sector_size", "z")
 
@@ -145,7 +145,7 @@ def forward(spark, d):
     return returns.forward_returns(cells, grid, X.delistings(spark, d), last).select("sec", "as_of", "fwd", "plain")
 
 
-@stored("as_of")
+@stored("as_of", "factor")
 def paired(spark, d):
     """The board's cells of complete months with the return that follows. A name
     delisted within the month counts with what its last trade and its terminal

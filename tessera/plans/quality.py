@@ -13,6 +13,7 @@ from tessera.plans import panel
 from tessera.plans import temporal as T
 from tessera.plans.registry import query
 from tessera.sources import fixtures as X
+from tessera.streaming.recompute import required
 
 
 @query("""SELECT COUNT(*) AS rows_, COUNT(CASE WHEN NOT COALESCE(accepted <= CAST(as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND timing_pit
@@ -249,20 +250,26 @@ def gate_identity_chains(spark, d):
     return rows.agg(F.count("*").alias("rows_"), F.count_if(~right).alias("violations"), F.count_if(F.col("x") == F.col("y")).alias("alike"))
 
 
-@query("SELECT 5 AS checks, 0 AS violations")
+# every original restated by rule: 999 more, accepted 400 days after it
+_RESTATED = """SELECT sec, period_end, vintage_id, accepted, gp FROM statements WHERE vintage_id = 1
+  UNION ALL SELECT sec, period_end, 2, accepted + INTERVAL 400 DAY, gp + 999 FROM statements WHERE vintage_id = 1"""
+
+
+@query("""SELECT COUNT(*) AS checks, COUNT(CASE WHEN restated THEN 1 END) AS restated, 0 AS violations FROM (
+  SELECT sec, as_of, bool_or(vintage_id = 2) AS restated, DENSE_RANK() OVER (PARTITION BY sec, as_of ORDER BY period_end DESC) AS nth FROM restated_ s
+  JOIN calendar c ON s.accepted <= CAST(c.as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND s.period_end <= c.as_of GROUP BY sec, as_of, period_end) WHERE nth <= 6""", restated_=_RESTATED)
 def gate_synthetic_restatement(spark, d):
-    """The selector itself on a restated period made by hand: the original until
-    the restatement is accepted, the restated value from then on, and nothing of
-    what is accepted after the close."""
-    rows = spark.sql("""SELECT * FROM VALUES (1, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-05-01 09:00:00', 100.0D), (1, DATE'2016-03-31', 2,
-    TIMESTAMP_NTZ'2025-05-01 09:00:00', 999.0D),
-      (2, DATE'2016-03-31', 1, TIMESTAMP_NTZ'2016-06-30 17:30:00', 100.0D) AS t(sec, period_end, vintage_id, accepted, gp)""")
-    grid = spark.sql("SELECT * FROM VALUES (DATE'2016-06-30', 1L), (DATE'2016-07-29', 2L), (DATE'2018-06-30', 3L), (DATE'2026-06-30', 4L) AS t(as_of, ai)")
-    want = spark.sql("""SELECT * FROM VALUES (1, DATE'2018-06-30', 100.0D), (1, DATE'2026-06-30', 999.0D), (2, DATE'2016-06-30',
-    CAST(NULL AS DOUBLE)), (2, DATE'2016-07-29', 100.0D), (1, DATE'2016-06-30', 100.0D) AS t(sec, as_of, want)""")
-    seen = TJ.visible_on_grid(rows, grid, 6).select("sec", "as_of", "gp")
-    both = want.join(seen, ["sec", "as_of"], "left")
-    return both.agg(F.count("*").cast("int").alias("checks"), F.count_if(~F.col("want").eqNullSafe(F.col("gp"))).cast("int").alias("violations"))
+    """The selector on statements restated by rule: the original until the
+    restatement is accepted, the restated value from then on, and nothing of what
+    is accepted after the close."""
+    first = X.statements(spark, d).filter("vintage_id = 1").select("sec", "period_end", "vintage_id", "accepted", "gp")
+    later = first.select("sec", "period_end", F.lit(2).alias("vintage_id"), (F.col("accepted") + F.expr("INTERVAL 400 DAYS")).alias("accepted"), (F.col("gp") + 999).alias("gp"))
+    seen = TJ.visible_on_grid(first.unionByName(later), X.calendar(spark, d), 6).select("sec", "as_of", "period_end", "gp")
+    rows = seen.join(first.select("sec", "period_end", F.col("accepted").alias("original"), F.col("gp").alias("old")), ["sec", "period_end"])
+    close = F.col("as_of").cast("timestamp_ntz") + F.expr("INTERVAL 16 HOURS")
+    restated = F.col("original") + F.expr("INTERVAL 400 DAYS") <= close
+    right = F.when(restated, F.col("gp") == F.col("old") + 999).otherwise((F.col("gp") == F.col("old")) & (F.col("original") <= close))
+    return rows.agg(F.count("*").alias("checks"), F.count_if(restated).alias("restated"), F.count_if(~right).cast("int").alias("violations"))
 
 
 @query("SELECT as_of, COUNT(*) AS members FROM members GROUP BY 1", **H.UNIVERSE, members=panel.MEMBERS)
@@ -282,9 +289,10 @@ def api_recon_histogram(spark, d):
   AND COUNT(DISTINCT as_of) = (SELECT COUNT(DISTINCT as_of) FROM members) THEN 1 ELSE 0 END FROM covered)""", **panel.EVAL)
 def recompute_chain(spark, d):
     """The monthly chain, each step from what the one before has stored: universe,
-    board, evaluation, and the gate over them."""
+    board, evaluation, and the gate over them, which raises if it fails."""
     out = None
     for step, rows in (("snapshots", H.snapshot), ("members", panel.members), ("board", panel.board), ("ic", panel.ics), ("long-short", panel.spreads)):
         one = rows(spark, d).agg(F.count("*").alias("n")).select(F.lit(step).alias("step"), "n")
         out = one if out is None else out.unionByName(one)
+    required(gate_board_integrity(spark, d), "board integrity")
     return out.unionByName(gate_board_integrity(spark, d).select(F.lit("gate").alias("step"), F.col("passed").cast("long").alias("n")))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions import predicates as P
-from tessera.operators.temporal import by_priority
+from tessera.operators.temporal import by_priority, visible_on_grid
 from tessera.plans.registry import query
-from tessera.sources import files, tables
+from tessera.sources import files, keyed_table, tables
 from tessera.sources import fixtures as X
 from tessera.sources.scratch import scratch_path
-from tessera.streaming import incremental, keyed
+from tessera.streaming import incremental, keyed, recompute
 
 
 @query("""SELECT part, COUNT(*) AS n, SUM(volume) AS volume
@@ -67,14 +69,54 @@ def insert_or_ignore(spark, d):
     return tables.only_new(have, new, ["k"], ["first_order"])
 
 
-@query("""SELECT c_custkey AS k, COALESCE(o.v, c_acctbal) AS v FROM customer LEFT JOIN (SELECT o_custkey, MAX(o_totalprice) AS v FROM orders
-  WHERE o_custkey % 3 = 0 GROUP BY 1) o ON o.o_custkey = c_custkey
-  UNION ALL SELECT -o_custkey, MAX(o_totalprice) FROM orders WHERE o_custkey % 3 = 1 GROUP BY 1""")
-def upsert(spark, d):
+# of each customer the highest order put over the balance; every third under a key of its own
+_PUT = """SELECT c_custkey AS k, COALESCE(o.v, c_acctbal) AS v FROM customer LEFT JOIN (SELECT o_custkey, MAX(o_totalprice) AS v FROM orders
+  WHERE o_custkey % 3 <> 1 GROUP BY 1) o ON o.o_custkey = c_custkey
+  UNION ALL SELECT -o_custkey, MAX(o_totalprice) FROM orders WHERE o_custkey % 3 = 1 GROUP BY 1"""
+
+
+def _balances(spark, d):
     have = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
-    o = X.table(spark, d, "orders").filter("o_custkey % 3 <> 2")
-    new = o.select(F.when(F.col("o_custkey") % 3 == 1, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("k"), F.col("o_totalprice").alias("v"))
-    return tables.upserted(have, new, ["k"], [F.desc("v")])
+    new = X.table(spark, d, "orders").select(F.when(F.col("o_custkey") % 3 == 1, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("k"), F.col("o_totalprice").alias("v"), "o_orderkey")
+    return have, new
+
+
+@query(_PUT)
+def upsert(spark, d):
+    have, new = _balances(spark, d)
+    return tables.upserted(have, new.drop("o_orderkey"), ["k"], [F.desc("v")])
+
+
+def _kept(spark, name, rows):
+    """A keyed table of its own."""
+    return keyed_table.KeyedTable(spark, f"tessera_{name}_{uuid.uuid4().hex}", "k").create(rows)
+
+
+@query(_PUT)
+def upsert_by_deltas(spark, d):
+    """The same in three batches, of which each becomes a delta: what a later
+    batch puts higher is put over, after a compaction too."""
+    have, new = _balances(spark, d)
+    table, last = _kept(spark, "balances", have), None
+    for i in range(3):
+        batch = new.filter(F.col("o_orderkey") % 3 == i).groupBy("k").agg(F.max("v").alias("v"))
+        last = batch if last is None else last.unionByName(batch).groupBy("k").agg(F.max("v").alias("v"))
+        table.upsert(last)
+        if i == 1:
+            table.compact()
+    return table.read()
+
+
+@query("""SELECT c_custkey AS k, c_acctbal AS v FROM customer WHERE c_custkey % 2 = 0
+  UNION ALL SELECT o_custkey, MAX(o_totalprice) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) GROUP BY 1""")
+def insert_new_by_deltas(spark, d):
+    """Insert or ignore into every second customer, all orders twice over."""
+    have, _ = _balances(spark, d)
+    new = X.table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("v"))
+    table = _kept(spark, "inserted", have.filter("k % 2 = 0"))
+    for batch in (new, new.withColumn("v", F.col("v") + 1)):
+        table.insert_new(batch, [F.desc("v")])
+    return table.read()
 
 
 @query("SELECT p_brand AS name, ROW_NUMBER() OVER (ORDER BY substr(md5(p_brand), 1, 3), p_brand) AS id FROM (SELECT DISTINCT p_brand FROM part)")
@@ -253,3 +295,34 @@ def stream_vintages(spark, d):
     out = _in_two_runs(spark, path, "sec long, period_end date, accepted timestamp_ntz, h string", work, "key string, vintage int, ms long, h string")
     part = F.split("key", ":")
     return out.select(part[0].cast("long").alias("sec"), part[1].cast("date").alias("period_end"), "vintage", F.timestamp_millis("ms").cast("timestamp_ntz").alias("accepted"), "h")
+
+
+_QUARTER = "(SELECT DISTINCT period_end FROM statements ORDER BY period_end DESC LIMIT 1 OFFSET 9)"
+_SEEN = """SELECT sec, as_of, period_end, gp, ebit FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sec, as_of ORDER BY period_end DESC) AS nth FROM (
+  SELECT s.*, c.as_of, ROW_NUMBER() OVER (PARTITION BY s.sec, c.as_of, s.period_end ORDER BY s.vintage_id DESC) AS vn
+  FROM {of} s JOIN calendar c ON s.accepted <= CAST(c.as_of AS TIMESTAMP) + INTERVAL 16 HOUR AND s.period_end <= c.as_of) WHERE vn = 1) WHERE nth <= 4"""
+
+
+@query("""SELECT a.as_of, COUNT(*) AS names, CAST(SUM(a.cents) AS BIGINT) AS gp_cents, r.as_of IS NOT NULL AS rebuilt FROM (
+    SELECT as_of, sec, SUM(CAST(ROUND(gp * 100) AS BIGINT)) AS cents FROM seen GROUP BY 1, 2) a
+  LEFT JOIN (SELECT DISTINCT as_of FROM ((SELECT * FROM seen EXCEPT SELECT * FROM seen0) UNION ALL (SELECT * FROM seen0 EXCEPT SELECT * FROM seen))) r ON r.as_of = a.as_of GROUP BY ALL""",
+    earlier=f"SELECT * FROM statements WHERE NOT (vintage_id = 2 AND period_end = {_QUARTER})", seen0=_SEEN.format(of="earlier"), seen=_SEEN.format(of="statements"))
+def recompute_changed_months(spark, d):
+    """A table of each month's sums over what was visible, made before one
+    quarter's restatements were known and refreshed with them: the months that
+    they change are built anew, and the table is what a full build gives."""
+    s, grid = X.statements(spark, d), X.calendar(spark, d)
+    quarter = s.select("period_end").distinct().orderBy(F.desc("period_end")).offset(9).limit(1)  # one row
+    late = s.join(F.broadcast(quarter), "period_end", "left_semi").filter("vintage_id = 2")
+    table = recompute.MonthlyTable(spark, scratch_path(spark, "monthly"), "as_of", "sec long, cents long")
+    rebuilt = []
+    for rows in (s.join(late.select("sec", "period_end", "vintage_id"), ["sec", "period_end", "vintage_id"], "left_anti"), s):
+        seen = visible_on_grid(rows, grid, 4).select("sec", "as_of", "period_end", "gp", "ebit")
+
+        def build(months, seen=seen):
+            own = seen.join(F.broadcast(months), "as_of")  # a row a month
+            return own.groupBy("as_of", "sec").agg(F.sum(X.cents("gp")).alias("cents"))
+
+        rebuilt = table.refresh(seen, build)
+    again = F.col("as_of").isin(rebuilt) if rebuilt else F.lit(False)
+    return table.read().groupBy("as_of").agg(F.count("*").alias("names"), F.sum("cents").alias("gp_cents")).withColumn("rebuilt", again)
