@@ -137,29 +137,37 @@ def deduplicate(docs: DataFrame, index: DigestIndex, batch: str | None = None, i
     return checkpointed(_rows_out(rows, checkpointed(index.found(groups)), batch))
 
 
-def deduplicate_newest_first(docs: DataFrame, index: DigestIndex, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A whole table through the index in batches of falling doc_id; a row for
-    each row of docs: doc_id, keep_id, group_size (in docs), kept, digest."""
-    rows = checkpointed(digests(docs, id_col, text_col))
+def _append_newest_first(rows: DataFrame, index: DigestIndex, batches: int) -> list[str]:
+    """Takes rows through the index in batches of falling doc_id, so that the
+    anti-join decides what of the later ones is new; the batches' names."""
     edges = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)])).first()[0] if batches > 1 else []
-    number = F.lit(0)  # the batch of a row, from 0 up; rows without doc_id come last, in batch 0
+    number, names = F.lit(0), []  # the batch of a row, from 0 up; rows without doc_id come last, in batch 0
     for edge in edges or []:
         number = number + F.coalesce(F.col("doc_id") >= edge, F.lit(False)).cast("int")
     for i in reversed(range(len(edges or []) + 1)):
-        index.append(groups_of(rows.filter(number == i)), uuid.uuid4().hex)
+        names.append(uuid.uuid4().hex)
+        index.append(groups_of(rows.filter(number == i)), names[-1])
+    return names
+
+
+def deduplicate_newest_first(docs: DataFrame, index: DigestIndex, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A whole table through the index in batches of falling doc_id; a row for
+    each row of docs: doc_id, keep_id, group_size (in docs), kept, digest."""
+    rows = checkpointed(digests(docs, id_col, text_col))
+    _append_newest_first(rows, index, batches)
     return checkpointed(_rows_out(rows, checkpointed(index.found(groups_of(rows))), None))
 
 
-def kept_documents(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
-    """The rows of docs that stay, with all their columns.
+def kept_documents(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each text that the
+    index hasn't had before, that of the largest doc_id.
 
     Only rows that repeat both doc_id and text are deduplicated as whole rows;
     all other rows pass by a semi-join on (doc_id, digest).
     """
-    batch = batch or uuid.uuid4().hex
     rows = checkpointed(digests(docs))
-    index.append(groups_of(rows), batch)
-    mine = index.table().filter(F.col("first_batch") == batch).select("digest", F.col("keep_id").alias("doc_id"))
+    names = _append_newest_first(rows, index, batches)
+    mine = index.table().filter(F.col("first_batch").isin(names)).select("digest", F.col("keep_id").alias("doc_id"))
     kept = checkpointed(rows.join(mine.hint("merge"), [rows["digest"] == mine["digest"], rows["doc_id"].eqNullSafe(mine["doc_id"])], "left_semi"))
     name = unused(docs, "digest")
     keyed = docs.withColumn(name, digest(text_of()))

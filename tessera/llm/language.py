@@ -92,8 +92,8 @@ def labelled_sample(docs: DataFrame, per_lang: int = 300, max_docs: int = 4000,
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = thin.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_lang)
     ids = ids.orderBy("nth", "lang", "doc_id").limit(max_docs).select("doc_id").distinct()
-    # at most max_docs ids are broadcast; the second limit is for ids that repeat
-    return [(r.lang, r.text or "") for r in may.join(F.broadcast(ids), "doc_id").limit(max_docs).select("lang", "text", "doc_id").orderBy("doc_id", "lang", "text").collect()]
+    # at most max_docs ids are broadcast; the second limit is for ids that repeat, and takes the same rows each time
+    return [(r.lang, r.text or "") for r in may.join(F.broadcast(ids), "doc_id").select("lang", "text", "doc_id").orderBy("doc_id", "lang", "text").limit(max_docs).collect()]
 
 
 def fit(sample: list[tuple[str, str]], max_words: int = 200_000, seed: int = 11, rounds: int = 30) -> Chain | None:

@@ -74,16 +74,16 @@ def ball_links(distinct: DataFrame, n: int, radius: int = 2) -> DataFrame:
 
     def links(table: pa.Table) -> pa.Table:
         fps = np.sort(table.column("fp").to_numpy()).view(np.uint64)
-        block, part, parts = (table.column(c)[0].as_py() for c in ("block", "part", "parts"))
+        block, part, parts, inner = (table.column(c)[0].as_py() for c in ("block", "part", "parts", "inner"))
         # what meets is verified pair by pair
-        near = ((a[k], b[k]) for a, b in balls.meetings(fps, BITS, radius, block, part, parts) for k in [np.bitwise_count(fps[a] ^ fps[b]) <= 2 * radius])
+        near = ((a[k], b[k]) for a, b in balls.meetings(fps, BITS, radius, block, part, parts, inner) for k in [np.bitwise_count(fps[a] ^ fps[b]) <= 2 * radius])
         root = balls.roots(len(fps), near)
         moved = root != np.arange(len(fps))
         signed = fps.view(np.int64)
         return pa.table({"src": signed[moved], "dst": signed[root[moved]]})
 
     dealt = balls.dealt(distinct.select(F.col("fingerprint").alias("fp")), n, BITS, radius, PER_GROUP)
-    return dealt.groupBy("block", "lead", "part").applyInArrow(links, "src long, dst long").distinct()
+    return dealt.groupBy(*balls.GROUP).applyInArrow(links, "src long, dst long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -99,7 +99,8 @@ def components(links: DataFrame) -> DataFrame:
         if sizes[0] == sizes[1] and edges.select(F.col("b").alias("a")).join(edges, "a", "left_semi").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # read from where it was written, so that Spark can split the edges of a root that very many have
+        least = checkpointed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_least, "a")

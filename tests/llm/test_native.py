@@ -50,6 +50,17 @@ def test_digest_index_grows_and_drops_later_copies(spark, nothing):
         assert [tuple(r) for r in got] == [(False, 3, 1000, 1000)]
 
 
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_kept_documents_whatever_the_batches(spark, awkward, batches):
+    with exact_dedup.DigestIndex.temporary(spark, 4) as index:
+        got = Counter((r.doc_id, r.text) for r in exact_dedup.kept_documents(awkward, index, batches).collect())
+    groups = defaultdict(list)
+    for r in awkward.collect():
+        groups[(r.text or "").translate(LOWER)].append((r.doc_id is not None, r.doc_id or 0))
+    assert Counter(d for d, _ in got.elements()) == Counter(max(ids)[1] if max(ids)[0] else None for ids in groups.values())
+    assert {(t or "").translate(LOWER) for _, t in got} == set(groups)
+
+
 def test_columns_with_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b", "s", "x", 1, 2, 3), (2, "A B", "s", "y", 1, 2, 3)], "doc_id long, text string, source string, digest string, _copies int, _th int, copies int")
     with exact_dedup.DigestIndex.temporary(spark, 4) as index:

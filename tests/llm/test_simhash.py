@@ -1,6 +1,7 @@
 """Ball hashing against all pairs by brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -95,6 +96,27 @@ def test_links_however_fingerprints_are_dealt(spark, monkeypatch, per_group):
     assert balls.roots(len(fps), iter([(a, b)])).tolist() == want
 
 
+def test_clustered_fingerprints_have_few_copies(spark):
+    """Fingerprints that agree in the leading bits of four blocks: of each a few
+    copies, in groups that a task can hold, and every close pair meets in one."""
+    rng, n = np.random.default_rng(12), 400_000
+    heads = sum(((1 << 5) - 1) << (high - 5) for _, high in balls.blocks(64, 2)[:4])
+    fps = np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64) & ~np.int64(heads))
+    df = spark.createDataFrame([], "fp long").unionByName(spark.createDataFrame(pa.table({"fp": fps})))
+    dealt = balls.dealt(df, len(fps), 64, 2, 1 << 14).groupBy(*balls.GROUP).agg(F.count("*").alias("n"))
+    total, largest = dealt.agg(F.sum("n"), F.max("n")).first()
+    assert total <= 21.5 * len(fps) and largest <= 4 << 14
+    near = fps[:300].copy()
+    for i in range(len(near)):
+        for b in rng.choice(63, 4, replace=False).tolist():
+            near[i] ^= 1 << b
+    pairs = spark.createDataFrame([(i, int(x)) for i, two in enumerate(zip(fps[:300], near)) for x in two], "pair int, fp long")
+    # dealt together with all others, so that groups are as large as theirs
+    group = balls.dealt(pairs.unionByName(df.withColumn("pair", F.lit(-1))), len(fps), 64, 2, 1 << 14).filter("pair >= 0")
+    met = group.groupBy("pair", *balls.GROUP).count().filter("count = 2").select("pair").distinct()
+    assert met.count() == 300
+
+
 def test_components_of_long_chains(spark):
     edges = spark.range(300).select((F.col("id") * 7 % 301).alias("src"), ((F.col("id") + 1) * 7 % 301).alias("dst"))
     assert {r.root for r in simhash.components(edges).collect()} == {0}
