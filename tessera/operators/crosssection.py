@@ -83,6 +83,8 @@ def redundancy(cells: DataFrame, signal: str) -> DataFrame:
     """(a, b, rho, months): mean absolute correlation of each pair of factors.
     Factors are pivoted to columns first, so that nothing is joined to itself."""
     names = [r[0] for r in cells.select("factor").distinct().orderBy("factor").collect()]  # the registry: a dozen
+    if len(names) < 2:
+        return cells.sparkSession.createDataFrame([], "a string, b string, rho double, months long")
     wide = cells.groupBy("as_of", "sec").pivot("factor", names).agg(F.first(signal))
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
     g = wide.groupBy("as_of").agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])

@@ -364,8 +364,9 @@ def redundancy_matrix(spark, d):
 
 CUTS = (0.5, 0.7)
 # by the definition: the mean distance between the members of two clusters, all anew at each step
-_MATRIX = f"SELECT list(d ORDER BY i, j) AS d, {len(FACTORS)} AS k FROM (SELECT x.i, y.i AS j, CASE WHEN x.i = y.i THEN 0 ELSE 1 - COALESCE(r.rho, 0) END AS d FROM names_ x CROSS JOIN names_ y LEFT JOIN red r ON r.a = least(x.f, y.f) AND r.b = greatest(x.f, y.f))"
-_MERGES = f"""WITH RECURSIVE walk(cut, step, to_) AS (SELECT unnest({list(CUTS)}::DOUBLE[]), 0, range({len(FACTORS)})
+_NAMES = "SELECT f, ROW_NUMBER() OVER (ORDER BY f) - 1 AS i FROM (SELECT a AS f FROM red UNION SELECT b FROM red)"
+_MATRIX = "SELECT list(d ORDER BY i, j) AS d, (SELECT COUNT(*) FROM names_) AS k FROM (SELECT x.i, y.i AS j, CASE WHEN x.i = y.i THEN 0 ELSE 1 - COALESCE(r.rho, 0) END AS d FROM names_ x CROSS JOIN names_ y LEFT JOIN red r ON r.a = least(x.f, y.f) AND r.b = greatest(x.f, y.f))"
+_MERGES = f"""WITH RECURSIVE walk(cut, step, to_) AS (SELECT unnest({list(CUTS)}::DOUBLE[]), 0, range(k) FROM matrix
   UNION ALL SELECT cut, step + 1, list_transform(to_, lambda t: CASE WHEN t = best.p % k THEN best.p // k ELSE t END) FROM (
     SELECT w.*, m.k, list_sort(list_transform(list_filter(range(k * k), lambda p: p // k < p % k AND list_contains(to_, p // k) AND list_contains(to_, p % k)),
       lambda p: {{'v': list_avg(list_transform(list_filter(range(k * k), lambda q: to_[1 + q // k] = p // k AND to_[1 + q % k] = p % k), lambda q: d[1 + q])), 'p': p}}))[1] AS best
@@ -374,7 +375,7 @@ _MERGES = f"""WITH RECURSIVE walk(cut, step, to_) AS (SELECT unnest({list(CUTS)}
 
 
 @query(f"""SELECT CAST(cut AS DOUBLE) AS cut, CAST(ROW_NUMBER() OVER (PARTITION BY cut ORDER BY members) - 1 AS INTEGER) AS cluster, members FROM (
-  SELECT cut, string_agg(f, ',' ORDER BY f) AS members FROM merges, names_ GROUP BY cut, to_[1 + i])""", **REGRESSION, full_=FULL, red=REDUNDANCY, names_=f"SELECT unnest([{_in(FACTORS)}]) AS f, unnest(range({len(FACTORS)})) AS i", matrix=_MATRIX, merges=_MERGES)
+  SELECT cut, string_agg(f, ',' ORDER BY f) AS members FROM merges, names_ GROUP BY cut, to_[1 + i])""", **REGRESSION, full_=FULL, red=REDUNDANCY, names_=_NAMES, matrix=_MATRIX, merges=_MERGES)
 def clusters(spark, d):
     """Groups of alike factors at two cuts."""
     rows = C.redundancy(full(spark, d), "z")
