@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 21
 #: A group is cut into at most 2**MOST_PARTS parts.
 MOST_PARTS = 10
+#: Groups of more strings leave memory that is worth handing back.
+SMALL = 4096
 #: What makes up a task.
 GROUP = ("block", "lead", "inner", "deep", "part")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import suppress
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +26,14 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def give_back() -> None:
+    """Hands memory that a task has freed back to the system. Workers wait for
+    their next task beside the JVM, and what they hold on to counts."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df has not, whatever the case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import unit
+from tessera.llm.common import give_back, unit
 from tessera.llm.crf import Bag, Chain
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -206,7 +206,7 @@ def identify(docs: DataFrame, chain: Chain | None, with_words: bool = False, id_
             if with_words:
                 columns, names = [*columns, pa.array(labels, pa.list_(pa.string()))], [*names, "word_langs"]
             yield pa.RecordBatch.from_arrays(columns, names)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double" + ", word_langs array<string>" * with_words)
@@ -224,6 +224,6 @@ def accepted(docs: DataFrame, chain: Chain | None, least: float = 0.5) -> DataFr
                 continue
             sums, lens, _ = _label(chain, b.column(at))
             yield b.filter(pa.array((lens > 0) & (sums.max(axis=1) >= least * np.maximum(lens, 1))))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return docs.mapInArrow(run, schema)

@@ -31,6 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import give_back
+
 CAPACITY = 4096
 END_ID = 2
 #: Remainders that wait in a task at most, pieces handed on and texts tokenized at once.
@@ -235,10 +237,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
                         yield flush()
                 if n_waiting >= WINDOW:
                     yield from settle(keep=WINDOW // 8 * capacity // 8)
-            pa.default_memory_pool().release_unused()  # Arrow would hold on to it while the JVM works
+            give_back()
         yield from settle(keep=0)
         if out:
             yield flush()
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import balls
-from tessera.llm.common import checkpointed
+from tessera.llm.common import checkpointed, give_back
 
 BITS = 64
 SEED = 42
@@ -80,6 +80,8 @@ def ball_links(distinct: DataFrame, n: int, radius: int = 2) -> DataFrame:
         root = balls.roots(len(fps), near)
         moved = root != np.arange(len(fps))
         signed = fps.view(np.int64)
+        if len(fps) > balls.SMALL:
+            give_back()
         return pa.table({"src": signed[moved], "dst": signed[root[moved]]})
 
     dealt = balls.dealt(distinct.select(F.col("fingerprint").alias("fp")), n, BITS, radius, PER_GROUP)
