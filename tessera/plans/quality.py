@@ -296,3 +296,49 @@ def recompute_chain(spark, d):
         out = one if out is None else out.unionByName(one)
     required(gate_board_integrity(spark, d), "board integrity")
     return out.unionByName(gate_board_integrity(spark, d).select(F.lit("gate").alias("step"), F.col("passed").cast("long").alias("n")))
+
+
+_NAMES = """SELECT s.s_suppkey AS sec, s.s_suppkey % 11 <> 0 AS issuer, s.s_nationkey % 6 <> 0 AS instrument, x.sec IS NULL OR s.s_suppkey % 3 = 0 AS active,
+  x.sec IS NOT NULL AS gone, s.s_suppkey % 7 = 0 AS may_trade, m.symbols > 1 AS renamed, m.closed AS change_known, x.method = 'deal' AS deal, x.terminal_return < 0 AS listed_gone
+  FROM supplier s LEFT JOIN delistings x ON x.sec = s.s_suppkey
+  LEFT JOIN (SELECT sec, COUNT(DISTINCT symbol) AS symbols, bool_or(valid_to IS NOT NULL) AS closed FROM symbol_map GROUP BY 1) m ON m.sec = s.s_suppkey"""
+_FILED = """SELECT sec, COUNT(*) AS n, COUNT(told) AS with_accepted, list_sort(list(days) FILTER (WHERE days IS NOT NULL)) AS lags,
+  string_agg(CASE WHEN days < 20 OR days > 200 THEN CAST(period_end AS VARCHAR) || ':' || CAST(days AS VARCHAR) || 'd' END, ',' ORDER BY period_end) AS weird
+  FROM (SELECT sec, period_end, told, date_diff('day', period_end, CAST(told AS DATE)) AS days, ROW_NUMBER() OVER (PARTITION BY sec ORDER BY period_end DESC) AS nth
+    FROM (SELECT sec, period_end, CASE WHEN timing_pit THEN accepted END AS told FROM statements WHERE vintage_id = 1)) WHERE nth <= 8 GROUP BY 1"""
+_EXIT = """SELECT n.sec, concat_ws(',', CASE WHEN NOT (issuer AND instrument) THEN 'missing-anchors' END,
+  CASE WHEN gone AND active AND NOT may_trade THEN 'chimera-suspect(active)' END, CASE WHEN renamed AND NOT change_known THEN 'change-not-in-feed' END) AS flags,
+  CASE WHEN gone THEN CASE WHEN deal THEN 'rung1-deal-feed' WHEN listed_gone THEN 'rung2-delisted-feed' WHEN active THEN 'reused/active-manual-map'
+    ELSE 'UNRESOLVED' END END AS end_known, COALESCE(p.days, 0) AS days, p.match_pct, p.first_mismatch, COALESCE(f.n, 0) AS statements,
+  COALESCE(f.with_accepted, 0) AS with_accepted, f.lags[len(f.lags) // 2 + 1] AS median_lag, COALESCE(f.weird, '') AS weird
+  FROM names n LEFT JOIN filed f ON f.sec = n.sec LEFT JOIN (SELECT sec, COUNT(*) AS days,
+    ROUND(100 * (1 - COUNT(CASE WHEN mismatch THEN 1 END) / CAST(COUNT(*) AS DOUBLE)), 2) AS match_pct, MIN(CASE WHEN mismatch THEN d END) AS first_mismatch
+    FROM pairs GROUP BY 1) p ON p.sec = n.sec"""
+_VENDOR = dict(daily=H.DAILY, pairs=H.PAIRS, names=_NAMES, filed=_FILED)
+
+
+def _vendor_exit(spark, d):
+    sec, x = F.col("sec"), X.delistings(spark, d).select("sec", "method", "terminal_return")
+    m = X.symbol_map(spark, d).groupBy("sec").agg(F.countDistinct("symbol").alias("symbols"), F.bool_or(F.col("valid_to").isNotNull()).alias("change_known"))
+    profile = X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sec"), (F.col("s_suppkey") % 11 != 0).alias("issuer"), (F.col("s_nationkey") % 6 != 0).alias("instrument"))
+    rows = profile.join(x, "sec", "left").join(m, "sec", "left").withColumn("gone", F.col("method").isNotNull())
+    names = rows.select(
+        "sec", "issuer", "instrument", "gone", "change_known", (~F.col("gone") | (sec % 3 == 0)).alias("active"), (sec % 7 == 0).alias("may_trade"),
+        (F.col("symbols") > 1).alias("renamed"), (F.col("method") == "deal").alias("deal"), (F.col("terminal_return") < 0).alias("listed_gone"),
+    )
+    filings = X.statements(spark, d).filter("vintage_id = 1").select("sec", "period_end", F.when(F.col("timing_pit"), F.col("accepted")).alias("accepted"))
+    return Q.vendor_exit(names, H._pairs(spark, d), filings)
+
+
+@query(_EXIT, **_VENDOR)
+def vendor_exit_gates(spark, d):
+    """Every name's identity, match of total returns, statements and known end."""
+    return _vendor_exit(spark, d)
+
+
+@query("""SELECT 'identity' AS gate, COUNT(CASE WHEN flags = '' THEN 1 END) AS passed, COUNT(*) AS of_ FROM exit_
+  UNION ALL SELECT 'returns', COUNT(CASE WHEN match_pct >= 95 THEN 1 END), COUNT(match_pct) FROM exit_
+  UNION ALL SELECT 'statements', COUNT(CASE WHEN with_accepted = statements THEN 1 END), COUNT(*) FROM exit_ WHERE statements > 0
+  UNION ALL SELECT 'delisting', COUNT(CASE WHEN end_known <> 'UNRESOLVED' THEN 1 END), COUNT(end_known) FROM exit_""", **_VENDOR, exit_=_EXIT)
+def vendor_exit_summary(spark, d):
+    return Q.vendor_exit_summary(_vendor_exit(spark, d))

@@ -224,6 +224,12 @@ def job_status_recording(spark, d):
     return after.groupBy("status").agg(F.count("*").alias("n"))
 
 
+@query("SELECT job, period, status, ran_at FROM log_ ORDER BY ran_at DESC, job, period LIMIT 8", asked=_ASKED, log_=_LOG)
+def api_summary_jobs(spark, d):
+    """The eight jobs that ran last; eight is what the page shows."""
+    return _log(spark, d).orderBy(F.desc("ran_at"), "job", "period").limit(8)
+
+
 _TODAY = "(SELECT MAX(d) FROM bars)"
 _CAPS = """SELECT c.as_of, m.sec, m.close * x.shares AS mktcap FROM month_end m JOIN calendar c ON c.as_of = m.as_of
   JOIN securities x ON x.sec = m.sec WHERE m.sec % 7 <> 0"""

@@ -6,6 +6,7 @@ under its own number, and what is there already is left out by an anti-join.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,34 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def replayed(each: Callable[[DataFrame, int], None], lost: tuple[type[Exception], ...] = (ConnectionError,), tries: int = 3, wait: float = 2.0) -> Callable[[DataFrame, int], None]:
+    """each, for `run_available`, with a batch run again whose connection is
+    lost: up to so many times in all, after wait seconds, then twice that, and so
+    on. The last loss, and any other error, is raised and fails the stream, which
+    begins with that batch when it is started anew.
+
+    A batch that is lost halfway is written in part, so each has to write under
+    the batch's number and over what is there, as `by_number` does.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        for nth in range(1, tries + 1):
+            try:
+                return each(batch, number)
+            except lost:
+                if nth == tries:
+                    raise
+                time.sleep(wait * nth)
+
+    return run
+
+
+def by_number(path: str) -> Callable[[DataFrame, int], None]:
+    """Writes each batch to a folder of its number, over what an earlier run of
+    that batch has left there."""
+    return lambda batch, number: batch.write.parquet(f"{path}/batch={number}", mode="overwrite")
+
+
 def later_rows(stored: DataFrame, new: DataFrame, key: str, time: str) -> DataFrame:
     """Rows of new that are later than the last stored one of their key; keys
     that nothing is stored of are left to a backfill."""

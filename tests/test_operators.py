@@ -406,3 +406,57 @@ def test_visibility_equals_brute_force(spark):
                     want.add((sec, m, end, *best[end], nth))
         got = {(r.sec, r.as_of, r.period_end, r.vintage_id, r.gp, r.nth) for r in temporal.visible_on_grid(s, grid, last).collect()}
         assert got == want
+
+
+def test_vendor_exit_gates(spark):
+    names = [
+        (1, True, True, True, False, False, False, False, False, False), (2, True, None, True, True, False, True, False, True, False),
+        (3, True, True, True, True, True, True, True, False, True), (4, True, True, True, True, False, False, None, None, None), (5, True, True, False, True, None, None, None, None, None),
+    ]
+    names = spark.createDataFrame(names, "sec int, issuer boolean, instrument boolean, active boolean, gone boolean, may_trade boolean, renamed boolean, change_known boolean, deal boolean, listed_gone boolean")
+    pairs = spark.createDataFrame([(1, D(2024, 1, i + 1), i in (3, 7)) for i in range(8)] + [(2, D(2024, 1, 1), False)], "sec int, d date, mismatch boolean")
+    ends = [D(2020 + i // 4, 3 * (i % 4) + 1, 28) for i in range(10)]
+    lags = [500, 500, 10, 20, 200, 201, None, 30, 40, 50]  # the first two are older than the latest eight
+    filings = [(1, p, None if n is None else dt.datetime.combine(p, dt.time(17)) + dt.timedelta(n)) for p, n in zip(ends, lags)] + [(3, ends[0], dt.datetime.combine(ends[0], dt.time(9)) + dt.timedelta(45))]
+    gates = quality.vendor_exit(names, pairs, spark.createDataFrame(filings, "sec int, period_end date, accepted timestamp"))
+    got = {r.sec: r for r in gates.collect()}
+    assert [got[i].flags for i in range(1, 6)] == ["", "missing-anchors,chimera-suspect(active),change-not-in-feed", "", "chimera-suspect(active)", ""]
+    assert [got[i].end_known for i in range(1, 6)] == [None, "rung1-deal-feed", "rung2-delisted-feed", "reused/active-manual-map", "UNRESOLVED"]
+    assert (got[1].days, got[1].match_pct, got[1].first_mismatch) == (8, 75.0, D(2024, 1, 4)) and (got[4].days, got[4].match_pct) == (0, None)
+    assert (got[1].statements, got[1].with_accepted, got[1].median_lag) == (8, 7, 40)
+    assert got[1].weird == f"{ends[2]}:10d,{ends[5]}:201d" and (got[3].median_lag, got[3].weird) == (45, "") and (got[2].statements, got[2].median_lag) == (0, None)
+    assert [tuple(r) for r in quality.vendor_exit_summary(gates).collect()] == [("identity", 3, 5), ("returns", 1, 2), ("statements", 1, 2), ("delisting", 3, 4)]
+    none = quality.vendor_exit(names.limit(0), pairs.limit(0), gates.limit(0).select("sec", F.lit(None).cast("date").alias("period_end"), F.lit(None).cast("timestamp").alias("accepted")))
+    assert none.count() == 0 and [r.of_ for r in quality.vendor_exit_summary(none).collect()] == [0] * 4
+
+
+def test_lost_batch_is_replayed_over_what_it_left(spark, tmp_path):
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 10).write.parquet(str(tmp_path / "in"), mode="append")
+    stream = lambda: spark.readStream.schema("id long").option("maxFilesPerTrigger", 3).parquet(str(tmp_path / "in"))
+    out, state, calls = str(tmp_path / "out"), str(tmp_path / "state"), []
+    write = incremental.by_number(out)
+
+    def flaky(fails):
+        def each(batch, number):
+            calls.append(number)
+            if len([n for n in calls if n == number]) <= fails.get(number, 0):
+                write(batch.limit(1), number)  # lost halfway
+                raise ConnectionError("lost")
+            write(batch, number)
+
+        return each
+
+    # two losses cost nothing, a third fails the stream, and one started anew takes that batch up again
+    incremental.run_available(stream(), incremental.replayed(flaky({0: 2}), wait=0.01), state)
+    assert calls[:3] == [0, 0, 0] and sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(30))
+    spark.range(30, 40).write.parquet(str(tmp_path / "in"), mode="append")
+    calls.clear()
+    new = max(int(p.name[6:]) for p in (tmp_path / "out").iterdir()) + 1
+    with pytest.raises(Exception, match="lost"):
+        incremental.run_available(stream(), incremental.replayed(flaky({new: 3}), wait=0.01), state)
+    assert calls == [new] * 3
+    incremental.run_available(stream(), incremental.replayed(write, wait=0.01), state)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
+    with pytest.raises(KeyError):
+        incremental.replayed(lambda b, n: {}["other"])(None, 0)
