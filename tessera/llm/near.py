@@ -15,7 +15,11 @@ what is linked becomes one group, until a round links nothing or no pair is
 left. So pairs stay in proportion to sets, and most groups are found. What that
 leaves out, texts whose links are to others than their nearest, is made up for
 by blocks (``rest``): where sets that met are still of several groups, all of
-them are compared across groups.
+them are compared across groups. What met is told apart from what is listed:
+each task answers with a star of all that met in it, whatever is listed, and
+sets of a star are linked by all their bits (``clouds``). So the law is: two sets
+are linked if they met in some table, differ in at most ``APART`` of all bits and
+have a similarity of 0.8 or more; none of the three caps takes a link away.
 
 Defined results: a null text counts as empty; a text of fewer words than a
 shingle is one shingle; texts of one set (texts without words too) are copies;
@@ -43,6 +47,10 @@ TABLES, WIDTH, RADIUS = 16, 40, 2
 NEAREST, LISTED, VERIFIED = 2, 8, 4
 #: Of all bits of two sets at most so many differ: at similarity 0.8 97 do, with a deviation of 9.
 APART = 160
+#: Sets of a star that differ in so few bits are told by the first of them.
+CLOSE = 96
+#: Sets of stars that a task compares on average.
+STARS = 1 << 16
 #: Distinct sets that a task's group has on average.
 PER_GROUP = 1 << 19
 #: Sets of a cloud that a block has on average, and shingles that are counted at once.
@@ -112,9 +120,9 @@ def _nearest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.n
     return keep
 
 
-def candidates(distinct: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b, apart) of set keys that met in some table, with how many of
-    all their bits differ.
+def meetings(distinct: DataFrame, n: int) -> DataFrame:
+    """(a, b, star) of set keys that met in some table: the nearest pairs, and
+    stars of all that met in a task, each set with the least that it reaches.
 
     distinct: set_key, prints; n: its rows, which fix the groups.
     """
@@ -124,22 +132,78 @@ def candidates(distinct: DataFrame, n: int) -> DataFrame:
         prints = table.column("fp").to_numpy()[at].astype(np.int64).view(np.uint64)
         block, part, parts, inner = (table.column(c)[0].as_py() for c in ("block", "part", "parts", "inner"))
         held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for met in balls.meetings(prints, WIDTH, RADIUS, block, part, parts, inner):
-            held.append(met)
-            if sum(len(h[0]) for h in held[1:]) > balls.CHUNK:
-                held = [_best(held, prints)]
+
+        def met() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for pair in balls.meetings(prints, WIDTH, RADIUS, block, part, parts, inner):
+                held.append(pair)
+                if sum(len(h[0]) for h in held[1:]) > balls.CHUNK:
+                    held[:] = [_best(held, prints)]
+                yield pair
+
+        root = balls.roots(len(keys), met())
         a, b = _best(held, prints)
-        del held
+        held.clear()
+        moved = np.flatnonzero(root != np.arange(len(keys)))
         if len(keys) > balls.SMALL:
             give_back()
-        return pa.table({"a": keys[a], "b": keys[b]})
+        star = np.arange(len(a) + len(moved)) >= len(a)
+        return pa.table({"a": keys[np.r_[a, moved]], "b": keys[np.r_[b, root[moved]]], "star": star})
 
     each = distinct.select("set_key", F.posexplode("prints").alias("tab", "fp"))
     dealt = balls.dealt(each, n, WIDTH, RADIUS, PER_GROUP, ("tab",))
-    met = dealt.groupBy("tab", *balls.GROUP).applyInArrow(pairs, "a long, b long").distinct()
+    return dealt.groupBy("tab", *balls.GROUP).applyInArrow(pairs, "a long, b long, star boolean").distinct()
+
+
+def candidates(met: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b, apart) of those that met, with how many of all their bits differ."""
     x, y = (distinct.select(F.col("set_key").alias(k), F.col("prints").alias(f"p{k}")) for k in "ab")
     apart = F.aggregate(F.zip_with("pa", "pb", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
-    return met.join(x, "a").join(y, "b").select("a", "b", apart.alias("apart")).filter(F.col("apart") <= APART)
+    return met.filter("NOT star").join(x, "a").join(y, "b").select("a", "b", apart.alias("apart")).filter(F.col("apart") <= APART)
+
+
+def _clouds(cloud: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """The least index that each set reaches by sets of its star, which are next
+    to each other, that differ in at most APART bits.
+
+    The first set of a star is compared with all. Those within APART + CLOSE are
+    linked to it (a few too many, which does no harm), and those within CLOSE are
+    done with: whatever is within APART of one of them has been linked too. The
+    first of what is left follows.
+    """
+    a, b, left = [], [], np.arange(len(cloud))
+    while len(left):
+        begins = np.r_[True, cloud[left[1:]] != cloud[left[:-1]]]
+        first = left[np.maximum.accumulate(np.where(begins, np.arange(len(left)), 0))]
+        apart = np.bitwise_count(prints[left] ^ prints[first]).sum(axis=1, dtype=np.int64)
+        near = ~begins & (apart <= APART + CLOSE)
+        a.append(first[near])
+        b.append(left[near])
+        left = left[~begins & (apart > CLOSE)]
+        if len(a) > 256:
+            root = balls.roots(len(cloud), zip(a, b))
+            moved = np.flatnonzero(root != np.arange(len(cloud)))
+            a, b = [root[moved]], [moved]
+    return balls.roots(len(cloud), zip(a, b))
+
+
+def clouds(met: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Links (a, b) between sets that met, so that any two that met in some table
+    and differ in at most APART of all bits reach each other."""
+    stars = met.filter("star").select(F.col("b").alias("star"), F.col("a").alias("set_key"))
+    every = checkpointed(stars.unionByName(stars.select("star", F.col("star").alias("set_key")).distinct()))
+
+    def linked(table: pa.Table) -> pa.Table:
+        keys, star = table.column("set_key").to_numpy(), table.column("star").to_numpy()
+        prints = table.column("prints").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(keys), TABLES)
+        order = np.lexsort((keys, star))
+        keys = keys[order]
+        root = _clouds(star[order], prints[order])
+        moved = root != np.arange(len(keys))
+        return pa.table({"a": keys[moved], "b": keys[root[moved]]})
+
+    tasks = every.count() // STARS + 1
+    dealt = every.join(distinct, "set_key").select("star", "set_key", "prints", F.pmod(F.xxhash64("star"), F.lit(tasks)).alias("task"))
+    return dealt.groupBy("task").applyInArrow(linked, "a long, b long").distinct()
 
 
 def nearest(pairs: DataFrame, most: int) -> DataFrame:
@@ -208,14 +272,13 @@ def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, root) of the sets that are linked, by rounds over the pairs."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
     texts = checkpointed(_texts(docs, checkpointed(ends)))
-    left, found, of = pairs, None, None
+    left, of = pairs, None
     while True:
         now = checkpointed(nearest(left, VERIFIED))
         new = checkpointed(verified(now, texts))
-        if found is not None and new.isEmpty():
+        if of is not None and new.isEmpty():
             return of
-        found = new if found is None else checkpointed(found.unionByName(new))
-        of = checkpointed(components(found))
+        of = checkpointed(components(new if of is None else of.select(F.col("node").alias("src"), F.col("root").alias("dst")).unionByName(new)))
         ra, rb = of.select(F.col("node").alias("a"), F.col("root").alias("ra")), of.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         apart = left.join(now.select("a", "b"), ["a", "b"], "left_anti").join(ra, "a", "left").join(rb, "b", "left")
         left = checkpointed(apart.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "apart"))
@@ -259,15 +322,15 @@ def _alike(table: pa.Table) -> pa.Table:
 def rest(of: DataFrame, met: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between groups that what was listed doesn't tell: the exact way.
 
-    Sets that met, directly or by way of others, are a cloud. In a cloud of
+    Sets that met, directly or by way of others (``clouds``), are a cloud. In a cloud of
     several groups every set is compared with every one of another group, by
     blocks: sets are dealt to blocks of some ``BLOCK`` by their key, each pair of
     blocks is a task, and a task answers with a spanning star of what it linked.
     A set of a cloud of m sets is sent to m / BLOCK tasks.
     """
-    clouds = components(met.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    met = components(met.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     root = of.select("node", F.col("root").alias("group"))
-    ends = clouds.select("node", F.col("root").alias("cloud"))
+    ends = met.select("node", F.col("root").alias("cloud"))
     every = ends.unionByName(ends.select(F.col("cloud").alias("node"), "cloud").distinct()).join(root, "node", "left")
     every = checkpointed(every.select(F.col("node").alias("set_key"), "cloud", F.coalesce("group", "node").alias("root")))
     sizes = every.groupBy("cloud").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
@@ -290,9 +353,9 @@ def rest(of: DataFrame, met: DataFrame, docs: DataFrame) -> DataFrame:
 def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(set_key, root) of every distinct set in rows, which are those of sets()."""
     distinct = checkpointed(rows.groupBy("set_key").agg(F.first("prints").alias("prints")))
-    met = checkpointed(candidates(distinct, distinct.count()))
-    of = links(docs, checkpointed(nearest(met, LISTED)))
-    more = checkpointed(rest(of, met, docs))
+    met = checkpointed(meetings(distinct, distinct.count()))
+    of = links(docs, checkpointed(nearest(candidates(met, distinct), LISTED)))
+    more = checkpointed(rest(of, clouds(met, distinct), docs))
     if not more.isEmpty():
         of = components(of.select(F.col("node").alias("src"), F.col("root").alias("dst")).unionByName(more))
     return distinct.select("set_key").join(of.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from conftest import SCHEMA
 from tessera.llm import near
@@ -114,3 +115,44 @@ def test_a_cloud_of_many_groups(spark, monkeypatch, block):
     want = brute_kept(rows)
     assert 20 < len(want) < 240
     assert {r.doc_id for r in kept(spark, rows)} == want
+
+
+@pytest.mark.parametrize("per_group", [near.PER_GROUP, 3])
+def test_a_link_behind_nearer_strangers(spark, monkeypatch, per_group):
+    """Two near copies meet in one table, where strangers are nearer to both: more
+    of them than are listed, and none within APART bits over all tables. One task a
+    table, and tables dealt by blocks."""
+    monkeypatch.setattr(near, "PER_GROUP", per_group)
+    rnd = random.Random(12)
+    flip = lambda p, bits: [v ^ sum(1 << k for k in bits[t]) for t, v in enumerate(p)]
+    one = [rnd.getrandbits(near.WIDTH) for _ in range(near.TABLES)]
+    two = flip(one, [range(20, 24)] + [rnd.sample(range(near.WIDTH), 8) for _ in range(near.TABLES - 1)])
+    marks = [one, two]
+    for p in (one, two):
+        for k in range(6):
+            marks.append([p[0] ^ 1 << k] + [rnd.getrandbits(near.WIDTH) for _ in range(near.TABLES - 1)])
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join([*base, "and", "more"])] + [" ".join(f"v{rnd.randrange(10**6)}" for _ in range(50)) for _ in marks[2:]]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    keys = {r.doc_id: r.set_key for r in near.sets(docs).collect()}
+    rows = spark.createDataFrame([(i, keys[i], m) for i, m in enumerate(marks)], "doc_id long, set_key long, prints array<long>")
+    root = {r.set_key: r.root for r in near.groups(rows, docs).collect()}
+    assert root[keys[0]] == root[keys[1]] and len(set(root.values())) == len(texts) - 1
+
+
+def test_clouds_against_all_pairs():
+    """Sets of stars reach each other where they differ in at most APART bits."""
+    rng = np.random.default_rng(13)
+    centre = rng.integers(0, 1 << near.WIDTH, (12, near.TABLES), dtype=np.uint64)
+    prints = np.concatenate([centre[rng.integers(0, 12, 700)] for _ in range(2)])
+    for most in (0, 1, 2, 5, 8):  # bits of a table that are changed, by row
+        some = np.flatnonzero(rng.integers(0, 5, len(prints)) == most % 5)
+        for _ in range(most):
+            prints[some] ^= np.uint64(1) << rng.integers(0, near.WIDTH, (len(some), near.TABLES), dtype=np.uint64)
+    star = np.sort(rng.integers(0, 30, len(prints)))
+    root = near._clouds(star, prints)
+    apart = np.bitwise_count(prints[:, None] ^ prints[None, :]).sum(axis=2, dtype=np.int64)
+    right = (star[:, None] == star[None, :]) & (apart <= near.APART)
+    assert (root[:, None] == root[None, :])[right].all() and (star[root] == star).all()
+    far = (star[:, None] == star[None, :]) & (root[:, None] != root[None, :])
+    assert far.any() and (apart[far] > near.APART).all() and 30 < len(set(root.tolist())) < 1000
