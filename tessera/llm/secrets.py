@@ -11,9 +11,9 @@ words to be told from them, and are never measured. It is reported as kind ``nov
 random string of its length and alphabet would (see ``random_cost``), unless a
 pattern has reported part of it already.
 
-The words come from a sample of some ``SAMPLE`` documents, those of them that
-several documents have, ``WORDS`` at most. Letters only and no longer than words
-are, so that a key that copies repeat can't become one.
+The words are those that most of all documents have, ``WORDS`` of them at most,
+as the dictionary has that size. Letters only and no longer than words are, so
+that a key that copies repeat can't become one.
 
 Measured on keys planted in contexts that the patterns miss (see tests): of 24
 random letters, or letters and digits, 19 in 20 or more are found, of 16 three in
@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import unit
+from tessera.llm.common import bin_of, checkpointed
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -54,7 +54,7 @@ REACH, LEAST = 64, 16
 #: Characters around a candidate that it is measured against: one reading alone depends on how well their code happens to fit.
 AROUND = (48, 96, 160, 256)
 MIN_RATIO = 0.9
-SAMPLE, WORDS, IN_DOCUMENTS = 4000, 4000, 3
+WORDS, IN_DOCUMENTS = 4000, 3
 WORD = "[A-Z]?[a-z]{3,13}"
 
 #: Common identifiers and words of code, which a secret is not (fixed values).
@@ -142,17 +142,21 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
     return out
 
 
-def corpus_words(docs: DataFrame, sample: int = SAMPLE, most: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """The words that most documents of a sample have, the commonest first.
+def corpus_words(docs: DataFrame, most: int = WORDS, text_col: str = "text") -> list[str]:
+    """The words that most documents have, the commonest first.
 
-    Documents are sampled by a hash of their id, so that about ``sample`` are;
-    words are counted in Spark, and ``most`` come to the driver.
+    Words of all documents are counted in Spark. Bins of the counts tell from
+    which count on there are ``most`` words, so that a partition sends the driver
+    no others.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    share = sample / max(1, rows.count())
-    some = rows.filter(unit(F.xxhash64("id")) <= share) if share < 1 else rows
-    words = some.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
-    top = words.groupBy("word").count().filter(F.col("count") >= IN_DOCUMENTS).orderBy(F.desc("count"), "word").limit(most)
+    rows = docs.select(F.col(text_col).cast("string").alias("text"))
+    words = rows.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
+    counts = checkpointed(words.groupBy("word").count().filter(F.col("count") >= IN_DOCUMENTS))
+    least, held = IN_DOCUMENTS, 0
+    for r in counts.groupBy(bin_of(F.col("count")).alias("bin")).agg(F.count("*").alias("n")).orderBy(F.desc("bin")).collect():
+        if held < most:
+            least, held = r.bin, held + r.n
+    top = counts.filter(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(most)
     return [r.word for r in top.collect()]
 
 
