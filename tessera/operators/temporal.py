@@ -120,6 +120,55 @@ def merged(intervals: DataFrame, by: list[str]) -> DataFrame:
     return out.select(*by, "valid_from", F.nullif("valid_to", F.lit(FOREVER).cast("date")).alias("valid_to"), "n")
 
 
+def held_alike(asked: DataFrame, intervals: DataFrame, key: str, entity: str) -> DataFrame:
+    """The rows of asked (a_key, a_time, b_key, b_time and others) where the very
+    same entities, at least one, hold both keys, each at its time. intervals: those
+    of one entity and key share no day.
+
+    No set is gathered. Running sums over a key's starts and ends have, for each of
+    its days, how many entities hold it and the sum of their digests. Where both
+    agree, the sets are the same exactly if they share as many as each has.
+    """
+    day = lambda c: F.datediff(c, F.lit("0001-01-01").cast("date"))
+    held = intervals.select(F.col(key).alias("k"), F.col(entity).alias("e"), day("valid_from").alias("f"), (day("valid_to") + 1).alias("g"))
+    held = held.filter("k IS NOT NULL AND e IS NOT NULL AND (g IS NULL OR f < g)")
+    asked = asked.withColumns({"_a": day("a_time"), "_b": day("b_time")})
+    turns = held.select("k", F.xxhash64("e").cast("decimal(20,0)").alias("h"), F.explode(F.array(F.struct(F.col("f").alias("t"), F.lit(1).alias("s")), F.struct(F.col("g").alias("t"), F.lit(-1).alias("s")))).alias("x"))
+    turns = turns.filter("x.t IS NOT NULL").groupBy("k", "x.t").agg(F.sum("x.s").alias("n"), F.sum(F.when(F.col("x.s") > 0, F.col("h")).otherwise(-F.col("h"))).alias("h"))
+    points = asked.select(F.explode(F.array(F.struct(F.col("a_key").alias("k"), F.col("_a").alias("t")), F.struct(F.col("b_key").alias("k"), F.col("_b").alias("t")))).alias("x")).select("x.*").distinct()
+    days = turns.unionByName(points.withColumns({"n": F.lit(0).cast("long"), "h": F.lit(0).cast("decimal(30,0)")})).groupBy("k", "t").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    by_day = days.select("k", "t", F.sum("n").over(w).alias("n"), F.sum("h").over(w).alias("h"))
+    for side in "ab":
+        asked = asked.join(by_day.select(F.col("k").alias(f"{side}_key"), F.col("t").alias(f"_{side}"), F.struct("n", "h").alias(f"_{side}_sums")), [f"{side}_key", f"_{side}"])
+    likely = checkpointed(asked.filter("_a_sums = _b_sums AND _a_sums.n > 0").withColumn("_n", F.col("_a_sums.n")).drop("_a_sums", "_b_sums"))
+    shared = _covering_both(likely.select("a_key", "_a", "b_key", "_b").distinct(), held)
+    return likely.join(shared, ["a_key", "_a", "b_key", "_b"]).filter("_shared = _n").drop("_a", "_b", "_n", "_shared")
+
+
+def _covering_both(points: DataFrame, held: DataFrame) -> DataFrame:
+    """points (a_key, _a, b_key, _b) + _shared: how many entities of held (k, e, f,
+    g: from day f, before day g, null if open) hold a_key on day _a and b_key on _b.
+
+    An entity with both keys is a rectangle, and how many lie over a point is the
+    signed number of corners at or before it in both directions. The days up to
+    _a are at most 22 blocks of lengths in powers of two: corners are written out
+    for the block of each length they lie in, points for those they are made of,
+    and a running sum in order of _b counts within a block.
+    """
+    side = lambda s, k, f, g: held.select(F.col("k").alias(k), "e", F.col("f").alias(f), F.col("g").alias(g)).join(points.select(k).distinct(), k, "left_semi")
+    both = side("a", "a_key", "f1", "g1").join(side("b", "b_key", "f2", "g2"), "e").join(points.select("a_key", "b_key").distinct(), ["a_key", "b_key"], "left_semi")
+    corners = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.lit(s).cast("long").alias("s")) for x, y, s in (("f1", "f2", 1), ("g1", "f2", -1), ("f1", "g2", -1), ("g1", "g2", 1))])
+    corners = both.select("a_key", "b_key", F.explode(corners).alias("c")).filter("c.x IS NOT NULL AND c.y IS NOT NULL")
+    level = F.explode(F.sequence(F.lit(0), F.lit(21))).alias("level")  # days up to 9999 have 22 bits
+    corners = corners.select("a_key", "b_key", "c.*", level).groupBy("a_key", "b_key", "level", F.expr("shiftright(x, level)").alias("block"), "y").agg(F.sum("s").alias("s"))
+    parts = points.select("*", level).filter("shiftright(_a + 1, level) % 2 = 1")
+    parts = parts.select("a_key", "b_key", "level", (F.expr("shiftright(_a + 1, level)") - 1).alias("block"), F.col("_b").alias("y"), F.lit(0).cast("long").alias("s"), "_a")
+    w = Window.partitionBy("a_key", "b_key", "level", "block").orderBy("y").rangeBetween(Window.unboundedPreceding, 0)
+    rows = corners.withColumn("_a", F.lit(None).cast("int")).unionByName(parts).withColumn("s", F.sum("s").over(w)).filter("_a IS NOT NULL")
+    return rows.groupBy("a_key", "_a", "b_key", F.col("y").alias("_b")).agg(F.sum("s").alias("_shared"))
+
+
 def uncontained(intervals: DataFrame, by: list[str], stretch: str = "month") -> DataFrame:
     """Intervals that no other, different one of their group contains.
 

@@ -238,16 +238,15 @@ RESOLVED = """SELECT p.sec, list_sort(list(DISTINCT m.sec)) AS secs FROM proofs
 def gate_identity_chains(spark, d):
     """Renamed securities: both symbols must resolve to it, each at its time;
     alike counts those where both resolve to the very same securities."""
-    m = X.symbol_map(spark, d)
+    m = X.symbol_map(spark, d).filter("symbol IS NOT NULL")
     ends = m.groupBy("sec").agg(F.min(F.struct("valid_from", "symbol")).alias("a"), F.max(F.struct("valid_from", "symbol")).alias("b"), F.countDistinct("symbol").alias("n")).filter("n > 1")
-    asked = ends.select("sec", F.expr("inline(array(named_struct('side', 'a', 't', a.valid_from, 'symbol', a.symbol), named_struct('side', 'b', 't', b.valid_from, 'symbol', b.symbol)))"))
-    held = m.select("symbol", F.col("sec").alias("found"), "valid_from", "valid_to")
-    hits = asked.join(held, "symbol").filter(P.covers("valid_from", "valid_to", "t")).groupBy("sec").agg(
-        F.array_sort(F.collect_set(F.when(F.col("side") == "a", F.col("found")))).alias("x"), F.array_sort(F.collect_set(F.when(F.col("side") == "b", F.col("found")))).alias("y")
-    )
-    rows = ends.select("sec").join(hits, "sec", "left")
-    right = F.coalesce(F.array_contains("x", F.col("sec")) & F.array_contains("y", F.col("sec")), F.lit(False))
-    return rows.agg(F.count("*").alias("rows_"), F.count_if(~right).alias("violations"), F.count_if(F.col("x") == F.col("y")).alias("alike"))
+    ends = ends.select("sec", F.col("a.symbol").alias("a_key"), F.col("a.valid_from").alias("a_time"), F.col("b.symbol").alias("b_key"), F.col("b.valid_from").alias("b_time"))
+    own = ends.join(m, "sec").groupBy("sec").agg(*[
+        F.bool_or((F.col("symbol") == F.col(f"{s}_key")) & P.covers("valid_from", "valid_to", f"{s}_time")).alias(f"{s}_own") for s in "ab"
+    ])
+    alike = TJ.held_alike(ends, m, "symbol", "sec").select("sec", F.lit(True).alias("alike"))
+    right = F.coalesce(F.col("a_own") & F.col("b_own"), F.lit(False))
+    return own.join(alike, "sec", "left").agg(F.count("*").alias("rows_"), F.count_if(~right).alias("violations"), F.count_if("alike").alias("alike"))
 
 
 # every original restated by rule: 999 more, accepted 400 days after it
